@@ -17,6 +17,7 @@ from ..operators.rates import (
     rate_band_join,
 )
 from ..operators.rollup import control_row
+from ..operators.scd import latest_per_key
 from ..operators.stats import best_by_metric, daily_monthly_summary
 from ..schemas import (
     CLAIM_PAYMENTS,
@@ -98,6 +99,15 @@ def premiums_without_rate(vehicle_premiums: DataFrame, rates: DataFrame) -> Data
     return missing_matches(vehicle_premiums, rates, RATE_KEY)
 
 
+def _organizers(mart: Mart) -> DataFrame:
+    """One row per code: an organizer in several groups is reported under the highest one."""
+    return latest_per_key(mart.table(ORGANIZERS), ORGANIZERS.keys, ["CodGrupo", "NroPersona", "Nombre"])
+
+
+def _producers(mart: Mart) -> DataFrame:
+    return latest_per_key(mart.table(PRODUCERS), PRODUCERS.keys, ["NroPersonaProductor", "Nombre"])
+
+
 def person_profile(mart: Mart) -> DataFrame:
     """Premium against claims per person, branch, organizer, producer and month."""
     keys = ["CodRama", "CodOrganizador", "CodProductor", "NroAsegurado"]
@@ -105,8 +115,7 @@ def person_profile(mart: Mart) -> DataFrame:
     paid = movements(mart.table(CLAIM_PAYMENTS), "FechaPago", keys, {"ImporteSiniestro": "Importe"})
     rows = income.unionByName(paid, allowMissingColumns=True)
     return result_profile(
-        rows, current_persons(mart), mart.table(PRODUCERS), mart.table(ORGANIZERS), ["CodRama"], INCOME,
-        "ImporteSiniestro",
+        rows, current_persons(mart), _producers(mart), _organizers(mart), ["CodRama"], INCOME, "ImporteSiniestro"
     )
 
 
@@ -121,7 +130,7 @@ def agents_profile(mart: Mart) -> DataFrame:
         F.lit(1).alias("Denuncias"),
     )
     return agent_profile(
-        operations, paid, reports, mart.table(ORGANIZERS), mart.table(PRODUCERS), INCOME, "ImporteSiniestro"
+        operations, paid, reports, _organizers(mart), _producers(mart), INCOME, "ImporteSiniestro"
     )
 
 

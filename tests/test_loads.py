@@ -1,0 +1,280 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from policy_mart.functions.dates import MONTH
+from policy_mart.operators import load
+from policy_mart.plans import facts
+from policy_mart.plans.mart import Mart, load_fact
+from policy_mart.plans.reports import claim_payments_control
+from policy_mart.schemas import CLAIM_PAYMENTS, OPERATIONS, OTHER_PREMIUMS, SNAPSHOTS
+from policy_mart.sources import readers
+from policy_mart.sources.writers import append_by_month, compact_months, create_table, full_refresh, insert_select
+
+D = dt.date
+SCHEMA = "k bigint, d date, v string"
+
+
+def rows(spark, *data, schema=SCHEMA):
+    return spark.createDataFrame(list(data), schema)
+
+
+def test_append_new_keeps_batch_duplicates_and_null_keys(spark):
+    source = rows(
+        spark,
+        (1, D(2025, 1, 5), "loaded"),
+        (2, D(2025, 1, 6), "new"),
+        (2, D(2025, 1, 6), "twice"),
+        (None, D(2025, 1, 7), "null"),
+        (1, D(2025, 2, 1), "other month"),
+    )
+    target = rows(spark, (1, D(2025, 1, 30), "x"), (None, D(2025, 1, 7), "null"), (1, D(2025, 1, 2), "again"))
+    got = sorted(r.v for r in load.append_new(source, target, ["k"], "d").collect())
+    assert got == ["new", "null", "other month", "twice"]
+
+
+def test_append_new_since_bounds_both_sides(spark):
+    source = rows(spark, (1, D(2024, 12, 31), "old"), (2, D(2025, 1, 1), "a"), (3, None, "no date"))
+    got = load.append_new(source, rows(spark), ["k"], "d", since=D(2025, 1, 1))
+    assert [r.v for r in got.collect()] == ["a"]
+
+
+@pytest.mark.parametrize(
+    "since, expected",
+    [(D(2024, 12, 1), ["dec", "jan"]), (D(2025, 1, 1), ["jan"]), (D(2025, 2, 1), []), (D(2025, 3, 1), ["mar"])],
+)
+def test_stop_at_gap(spark, since, expected):
+    source = rows(spark, (1, D(2024, 12, 5), "dec"), (2, D(2025, 1, 5), "jan"), (3, D(2025, 3, 5), "mar"))
+    got = load.append_new(source, rows(spark), ["k"], "d", since=since, stop_at_gap=True)
+    assert sorted(r.v for r in got.collect()) == expected
+    everything = load.append_new(source, rows(spark), ["k"], "d", since=since)
+    assert everything.count() >= len(expected)
+
+
+def test_contiguous_months_over_the_new_year(spark):
+    months = spark.createDataFrame([(m,) for m in (202411, 202412, 202501, 202503, None)], f"{MONTH} int")
+    assert sorted(r[0] for r in load.contiguous_months(months).collect()) == [202411, 202412, 202501]
+
+
+def test_missing_dates(spark):
+    source = rows(spark, *[(i, D(2025, 2, i), "") for i in (4, 5, 5, 7)])
+    loaded = rows(spark, (1, D(2025, 2, 4), ""))
+    days = load.missing_dates(source, loaded, "d", D(2025, 2, 4), D(2025, 2, 28))
+    assert sorted(r.d for r in days.collect()) == [D(2025, 2, 5), D(2025, 2, 7)]
+    new = load.snapshot_rows_to_load(source, loaded, "d", D(2025, 2, 4), D(2025, 2, 6))
+    assert [r.d for r in new.collect()] == [D(2025, 2, 5)] * 2
+
+
+def test_calendar_is_bounded(spark):
+    with pytest.raises(ValueError):
+        load.calendar(rows(spark), D(1, 1, 1), D(9000, 1, 1), "d")
+
+
+def test_first_date_of_nothing(spark):
+    assert load.first_date(rows(spark), "d") is None
+
+
+def raw_operations(spark, *ops):
+    """(op, suplement, issue date parts, end date parts, organizer, producer, net premium)"""
+    df = spark.createDataFrame(
+        [(op, s, *issued, *end, org, prod, prima) for op, s, issued, end, org, prod, prima in ops],
+        "M1OPER bigint, M1SUOP bigint, M1FEMA int, M1FEMM int, M1FEMD int, M1FVOA int, M1FVOM int, M1FVOD int, "
+        "M1ORG1 bigint, M1PRO1 bigint, MAPRIM double",
+    )
+    parts = {p for ps in facts.OPERATION_DATES.values() for p in ps}
+    names = {*facts.OPERATION_COLUMNS, *parts, "MAPREM"} - set(df.columns)
+    return df.withColumns({n: F.lit(1.0) for n in names})
+
+
+def test_prepare_operations(spark):
+    got = facts.prepare_operations(
+        raw_operations(
+            spark,
+            (1, 0, (2025, 1, 3), (0, 0, 0), 3873, 9105, 10.0),
+            (2, 0, (2025, 1, 3), (2025, 2, 31), 9105, 3873, 0.0),
+            (3, 0, (2025, 1, 3), (2026, 1, 3), 5, 6, 1.0),
+        )
+    )
+    assert got.columns == OPERATIONS.columns
+    out = {r.Op: r for r in got.collect()}
+    assert out[1].FEmision == D(2025, 1, 3) and out[1].FVigHasta is None and out[2].FVigHasta is None
+    assert out[3].FVigHasta == D(2026, 1, 3)
+    assert (out[1].CodOrganizador, out[1].CodProductor) == (9105, 3873)
+    assert (out[2].CodOrganizador, out[2].CodProductor) == (9105, 3873)
+    assert (out[3].CodOrganizador, out[3].CodProductor) == (5, 6)
+    assert (out[1].PrimaTarifa, out[1].PremioBruto) == (11.0, 2.0)
+
+
+def test_operations_load_is_idempotent_and_keeps_rollups(spark, tmp_path):
+    mart = Mart(spark, str(tmp_path / "mart"))
+    first = [
+        (1, 0, (2025, 1, 3), (0, 0, 0), 1, 1, 10.0),
+        (1, 0, (2025, 1, 3), (0, 0, 0), 1, 1, 10.0),  # repeated in the batch: kept
+        (2, 0, (2025, 3, 1), (0, 0, 0), 1, 1, 5.0),
+        (9, 0, (2024, 12, 31), (0, 0, 0), 1, 1, 99.0),  # before the start
+    ]
+    since = D(2025, 1, 1)
+    written = facts.load_operations(mart, raw_operations(spark, *first), since)
+    assert (written.rows, written.months) == (3, (202501, 202503))
+    again = facts.load_operations(mart, raw_operations(spark, *first), since)
+    assert (again.rows, again.months) == (0, ())
+    late = (3, 1, (2025, 1, 20), (0, 0, 0), 1, 1, 7.5)
+    third = facts.load_operations(mart, raw_operations(spark, *first, late), since)
+    assert (third.rows, third.months) == (1, (202501,))
+
+    fact = mart.table(OPERATIONS)
+    rollup = spark.read.parquet(mart.path("sehpm151t_agg"))
+    assert rollup.count() == 2
+    total = {r["m"]: (r["p"], r["n"]) for r in rollup.groupBy(F.col("yyyymm").alias("m")).agg(
+        F.sum("PrimaNeta").alias("p"), F.sum("Cantidad").alias("n")).collect()}
+    assert total == {202501: (27.5, 3), 202503: (5.0, 1)}
+    assert fact.count() == 4
+
+
+def raw_claims(spark, *claims):
+    df = spark.createDataFrame(
+        list(claims), "LC_RAMA bigint, LD_SINI bigint, LC_LIQN bigint, LD_ITEC string, LC_FPAG date, LD_IIAU double"
+    )
+    names = set(facts.CLAIM_PAYMENT_COLUMNS) - set(df.columns)
+    return df.withColumns({n: F.lit(1 if n.startswith("PO_") else None).cast("string") for n in names})
+
+
+def test_claims_load_counts_each_claim_once(spark, tmp_path):
+    mart = Mart(spark, str(tmp_path / "mart"))
+    claims = [
+        (4, 7, 1, "IND ", D(2025, 1, 3), 100.0),
+        (4, 7, 2, "IND", D(2025, 1, 9), -30.0),  # the same claim twice in a month
+        (4, 7, 3, " IND", D(2025, 2, 9), 5.0),
+    ]
+    assert facts.load_claim_payments(mart, raw_claims(spark, *claims[:1])).rows == 1
+    assert facts.load_claim_payments(mart, raw_claims(spark, *claims)).rows == 2
+    rollup = spark.read.parquet(mart.path("sinpagt_perfiles_agg"))
+    got = {r.FechaPagoMes: (r.Importe, r.siniestros_pagados) for r in rollup.collect()}
+    assert got == {D(2025, 1, 1): (70.0, 1), D(2025, 2, 1): (5.0, 1)}
+    assert {r.CodItemPago for r in mart.table(CLAIM_PAYMENTS).collect()} == {"IND"}
+    c = claim_payments_control(mart).first().asDict()
+    assert (c["min_fact"], c["max_fact"], c["months_fact"]) == (202501, 202502, 2)
+    assert (c["min_rollup"], c["max_rollup"], c["months_rollup"]) == (202501, 202502, 2)
+
+
+def test_empty_claims_source_loads_nothing(spark, tmp_path):
+    mart = Mart(spark, str(tmp_path / "mart"))
+    assert facts.load_claim_payments(mart, raw_claims(spark, (4, 1, 1, "a", D(2025, 1, 1), 1.0)).limit(0)).rows == 0
+
+
+def test_snapshot_load(spark, tmp_path):
+    mart = Mart(spark, str(tmp_path / "mart"))
+
+    def raw(*days):
+        df = spark.createDataFrame([(i, d, " AB 1\t") for i, d in enumerate(days)], "Poliza bigint, Fecha date, Dominio string")
+        names = [c for c in SNAPSHOTS.columns if c not in df.columns]
+        return df.withColumns({n: F.lit(None).cast("string") for n in names})
+
+    source = raw(D(2025, 2, 3), D(2025, 2, 4), D(2025, 2, 6), D(2025, 2, 6), D(2025, 2, 8))
+    today = D(2025, 2, 8)
+    assert facts.load_vehicle_snapshots(mart, source, today).rows == 3
+    assert facts.load_vehicle_snapshots(mart, source, today).rows == 0
+    assert facts.load_vehicle_snapshots(mart, source, today + dt.timedelta(days=1)).rows == 1
+    loaded = mart.table(SNAPSHOTS).collect()
+    assert {r.Dominio for r in loaded} == {"AB 1"}
+    assert sorted({r.Fecha.day for r in loaded}) == [4, 6, 8]
+
+
+def test_life_premiums_have_their_own_table(spark, tmp_path):
+    from policy_mart.schemas import LIFE_PREMIUMS
+
+    mart = Mart(spark, str(tmp_path / "mart"))
+    back = {v: k for k, v in facts.LIFE_PREMIUM_COLUMNS.items()}
+    raw = spark.createDataFrame([(D(2018, 1, 1), 1)], "FEmision date, Op bigint")
+    raw = raw.withColumns({back.get(c, c): F.lit(1) for c in LIFE_PREMIUMS.columns if c not in ("FEmision", "FVigDesde", "Op")})
+    raw = raw.withColumn("FVigDesde", F.col("FEmision"))
+    assert facts.load_life_premiums(mart, raw, D(2018, 1, 1)).rows == 1
+    assert facts.load_life_premiums(mart, raw, D(2018, 1, 1)).rows == 0
+    assert mart.table(OTHER_PREMIUMS).count() == 0
+
+
+FILE = """FEC_EMI;VIG_DESDE;VIG_HASTA;NUMERO DE OPERACION;CODIGO DE RAMA DE SEGURO;NUMERO DE LA POLIZA;SUPLEMENTO DE LA OPERACION;NUMERO DE COMPONENTE;NUMERO DE INTERMEDIARIO;NUMERO DE INTERMEDIARIO;EXTRA;CODIGO DE RIESGO;DESCRIPCION DEL RIESGO;CODIGO DE COBERTURA;DESCRIPCION DE LA COBERTURA;CODIGO DE PROVINCIA;SUMA ASEGURADA POR COBERTURA;PREMIO BRUTO;% BONIFICACION SOBRE PRIMA;PORMILAJE DE PRIMA;PRIMA DE TARIFA;PRIMA POR COBERTURA
+03/01/2025;03/01/2025;31/02/2026;1;7;70;0;1;11;22;x;3;Año é;5;Robo;B;500.000,00;1.234,56;10,5;0,5;200,00;100,00
+5/1/2025;05/01/2025;05/01/2026;2;7;70;0;1;11;22;x;3;Año é;5;Robo;B;1.500.000,00;1,00;0;0,5;200,00;100,00
+05/03/2025;05/01/2025;05/01/2026;3;7;70;0;1;11;22;x;3;Año é;5;Robo;B;2.500.000,00;1,00;0;0,5;200,00;100,00
+"""
+
+
+def test_premium_file(spark, tmp_path):
+    path = tmp_path / "file.csv"
+    path.write_bytes(FILE.encode("iso-8859-1"))
+    mart = Mart(spark, str(tmp_path / "mart"))
+    assert facts.load_premium_file(mart, str(path), stop_at_gap=True).months == (202501,)
+    assert facts.load_premium_file(mart, str(path)).months == (202503,)
+    out = {r.Op: r for r in mart.table(OTHER_PREMIUMS).collect()}
+    assert (out[1].CodOrganizador, out[1].CodProductor, out[1].Riesgo) == (11, 22, "Año é")
+    assert out[1].FVigHasta is None and out[2].FEmision == D(2025, 1, 5)
+    assert (out[1].PremioBrutoSuplemento, out[1].PrimaNetaSuplemento) == (1234.56, 200 * (1 - 10.5 / 100))
+    buckets = spark.read.parquet(mart.path("primas_rvarias_agg_reaseguro"))
+    assert sorted(r.SaCoberturaMillones for r in buckets.collect()) == [0.0, 2.0, 2.0]
+
+
+def test_compaction_keeps_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for i in range(5):
+        append_by_month(rows(spark, (i, D(2025, 1, 1 + i), "a"), (i, D(2025, 2, 1), "b")), path, "d")
+    before = sorted(map(tuple, spark.read.parquet(path).collect()))
+    files = len(list((tmp_path / "t" / "yyyymm=202501").glob("*.parquet")))
+    compact_months(spark, path, [202501], ["k"])
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == before
+    assert len(list((tmp_path / "t" / "yyyymm=202501").glob("*.parquet"))) == 1 < files
+
+
+def test_guarded_refresh(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert full_refresh(rows(spark, (1, None, "a")), path, guard_empty=True)
+    assert not full_refresh(rows(spark), path, guard_empty=True)
+    assert spark.read.parquet(path).count() == 1
+    assert full_refresh(rows(spark), path)
+    assert spark.read.parquet(path).count() == 0
+
+
+def test_create_table_and_insert_select(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS mart_test")
+    name = f"mart_test.denuncias_{tmp_path.name.replace('-', '_')}"
+    from policy_mart.schemas import CLAIM_REPORTS
+
+    for _ in range(2):
+        create_table(spark, name, CLAIM_REPORTS.schema, str(tmp_path / "t"), MONTH)
+    row = spark.createDataFrame([(1,)], "Op bigint").withColumns(
+        {c: F.lit(None) for c in CLAIM_REPORTS.columns if c != "Op"}
+    )
+    insert_select(row.withColumn(MONTH, F.lit(202501)), name)
+    assert spark.table(name).count() == 1
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_casting_bad_text_gives_null(spark):
+    df = spark.createDataFrame([("x", "2025-01-01"), ("12", "no")], "Op string, FechaDenuncia string")
+    from policy_mart.schemas import struct
+
+    got = readers.cast_to(df, struct("bigint: Op\ndate: FechaDenuncia"))
+    assert sorted(map(tuple, got.collect()), key=str) == [(12, None), (None, D(2025, 1, 1))]
+
+
+def test_query_parameters_are_values(spark):
+    rows(spark, (1, D(2025, 1, 1), "a"), (2, D(2025, 1, 2), "b' OR 1=1")).createOrReplaceTempView("bound")
+    got = readers.query(spark, "SELECT k FROM bound WHERE d = :fecha AND v = :v", fecha=D(2025, 1, 2), v="b' OR 1=1")
+    assert [r.k for r in got.collect()] == [2]
+
+
+def test_jdbc_options_split():
+    options = readers.jdbc_options("jdbc:x", "GNHDAF", ("DFNRDF", 0, 1000, 8))
+    assert options["numPartitions"] == "8" and options["partitionColumn"] == "DFNRDF"
+    assert "partitionColumn" not in readers.jdbc_options("jdbc:x", "GNHDAF")
+
+
+def test_load_fact_stops_at_gap(spark, tmp_path):
+    mart = Mart(spark, str(tmp_path / "mart"))
+    raw = raw_operations(
+        spark, (1, 0, (2025, 1, 3), (0, 0, 0), 1, 1, 1.0), (2, 0, (2025, 3, 3), (0, 0, 0), 1, 1, 1.0)
+    )
+    rows_ = facts.prepare_operations(raw)
+    assert load_fact(mart, OPERATIONS, rows_, D(2025, 1, 1), stop_at_gap=True).months == (202501,)
+    assert load_fact(mart, OPERATIONS, rows_, D(2025, 1, 1)).months == (202503,)
