@@ -130,7 +130,7 @@ def raw_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     segment = F.ceil(F.col("p_size") / 10).cast("bigint")
     return p.select(
         F.substring("p_brand", 7, 9).cast("bigint").alias("NumTarifa"),
-        F.floor(F.col("p_partkey") / 2000).cast("bigint").alias("Cap"),
+        F.expr("p_partkey DIV 2000").alias("Cap"),
         F.lit(1).cast("bigint").alias("Air"),
         code.alias("CodCobertura"),
         segment.alias("Ant_"),
@@ -211,7 +211,7 @@ def premium_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(4).cast("bigint").alias("CodRama"),
         F.col("l_orderkey").alias("Poliza"),
         price.alias("SaComponente"),
-        F.floor(F.col("l_partkey") / 2000).cast("bigint").alias("Cap"),
+        F.expr("l_partkey DIV 2000").alias("Cap"),
         F.col("p_size").cast("bigint").alias("Var"),
         F.lit(1).cast("bigint").alias("Air"),
         F.col("l_linestatus").alias("Origen"),
@@ -302,7 +302,7 @@ def raw_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     ones, some are blocked, and some belong to the group of a person with a lower number."""
     c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
-    third, fourth, half = [F.floor(k / n).cast("bigint") for n in (3, 4, 2)]
+    third, fourth, half = [F.expr(f"c_custkey DIV {n}") for n in (3, 4, 2)]
     tax_id = F.concat(F.lit("2"), F.lpad(((third * 7919 + 1000000) % 10000000000).cast("string"), 10, "0"))
     born = F.date_add(F.lit("1960-01-01").cast("date"), (k % 15000).cast("int")).cast("string")
     return c.select(

@@ -2,6 +2,7 @@
 
 Columns: NroPersona, Nombre, Domicilio, Cp, CpSufijo, NroDocumento, Cuit, FechaNac, Sexo, Bloqueado
 ('S' blocked, '_' not) and Grupo (the person number that heads the person's group, 0 for none).
+Person numbers are positive. Normalised persons also have EsGrupo: does the person head a group?
 
 Unusable tax ids and documents gather on a few values (zero, placeholders). They never use their
 group's statistics, so those are computed over usable values only, and in the joins back a row
@@ -14,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import null_year_one
-from ..functions.numbers import or_zero
 from ..functions.text import clean_name, lenient_date
+from ..sources.writers import stage
 from .keyed import join_unique, with_flag
 
 # Lengths, placeholders and limits of tax ids and document numbers.
@@ -58,11 +59,12 @@ def normalise_persons(raw: DataFrame) -> DataFrame:
     """Clean the source columns and settle each person's group.
 
     The group is the person's own one, else the person itself where others point at it, else 0.
+    The persons that others point at are also those whose number is somebody's settled group, so
+    one join serves both questions.
     """
-    heads = raw.filter(F.col("Grupo") > 0)
-    flagged = with_flag(raw, heads, "NroPersona", "Grupo", "__pointed_at")
+    flagged = with_flag(raw, raw.filter(F.col("Grupo") > 0), "NroPersona", "Grupo", "EsGrupo")
     own = F.when(F.col("Grupo") != 0, F.col("Grupo"))
-    itself = F.when(F.col("__pointed_at"), F.col("NroPersona"))
+    itself = F.when(F.col("EsGrupo"), F.col("NroPersona"))
     born = lenient_date(F.col("FechaNac").cast("string"), "yyyy-MM-dd")
     return flagged.select(
         "NroPersona",
@@ -76,6 +78,7 @@ def normalise_persons(raw: DataFrame) -> DataFrame:
         F.when(F.col("Sexo") == 1, "M").when(F.col("Sexo") == 2, "F").alias("Sexo"),
         "Bloqueado",
         F.coalesce(own, itself, F.lit(0)).alias("Grupo"),
+        "EsGrupo",
     )
 
 
@@ -110,26 +113,25 @@ def _merge_groups(persons: DataFrame, usable: Column, value: str, others: tuple[
         .when(F.col("__high") == 0, F.col("__person"))
         .otherwise(alone)
     )
-    return join_unique(keyed, stats, keys).withColumn("Grupo", merged).select(*persons.columns)
+    return join_unique(keyed, stats, keys, match_nulls=True).withColumn("Grupo", merged).select(*persons.columns)
 
 
 def resolve_persons(raw: DataFrame, strict_reference: bool = False) -> DataFrame:
     """`persona_key` per person: heads fixed, heads unblocked, merged by tax id, then by document
-    and sex. `EsDelegado` tells who headed a group before the merges."""
-    return resolve_normalised(normalise_persons(raw), strict_reference)
-
-
-def resolve_normalised(persons: DataFrame, strict_reference: bool = False) -> DataFrame:
-    flagged = with_flag(persons, persons, "NroPersona", "Grupo", "__head")
-    fixed = flagged.withColumns(
-        {
-            "Grupo": F.when(F.col("__head"), F.col("NroPersona")).otherwise(F.col("Grupo")),
-            "Bloqueado": F.when(
-                F.col("__head") & (F.col("Bloqueado") == BLOCKED), F.lit(NOT_BLOCKED)
-            ).otherwise(F.col("Bloqueado")),
-        }
+    and sex. `EsDelegado` tells who headed a group before the merges.
+
+    Every step reads the one before twice, for the statistics and for the rows. The source and the
+    first merge are therefore written to the shared work folder, or each step would double the
+    number of times the source is read.
+    """
+    persons = stage(normalise_persons(raw), "persons")
+    head = F.col("EsGrupo")
+    unblocked = F.when(head & (F.col("Bloqueado") == BLOCKED), F.lit(NOT_BLOCKED)).otherwise(F.col("Bloqueado"))
+    fixed = persons.withColumns(
+        {"Grupo": F.when(head, F.col("NroPersona")).otherwise(F.col("Grupo")), "Bloqueado": unblocked}
     )
-    by_tax_id = _merge_groups(fixed, _valid(invalid_tax_id(F.col("Cuit"))), "Cuit", (), F.col("Grupo"))
+    usable = _valid(invalid_tax_id(F.col("Cuit")))
+    by_tax_id = stage(_merge_groups(fixed, usable, "Cuit", (), F.col("Grupo")), "persons-by-tax-id")
     own = F.when(F.col("Grupo") == 0, F.col("NroPersona")).otherwise(F.col("Grupo"))
     usable = _valid(invalid_document(F.col("NroDocumento"), strict_reference))
     return _merge_groups(by_tax_id, usable, "NroDocumento", ("Sexo",), own).select(
@@ -143,7 +145,7 @@ def resolve_normalised(persons: DataFrame, strict_reference: bool = False) -> Da
         F.col("Cp").cast("string").alias("Cp"),
         F.col("CpSufijo").cast("string").alias("CpSufijo"),
         (F.lower("Bloqueado") == "s").cast("smallint").alias("Bloqueado"),
-        F.col("__head").cast("smallint").alias("EsDelegado"),
+        F.col("EsGrupo").cast("smallint").alias("EsDelegado"),
     )
 
 
@@ -165,8 +167,7 @@ def groups_with_several_unblocked(persons: DataFrame) -> DataFrame:
 
 def heads_in_another_group(persons: DataFrame) -> DataFrame:
     """Persons that are a group but belong to a different one."""
-    flagged = with_flag(persons, persons, "NroPersona", "Grupo", "__head")
-    return flagged.filter(F.col("__head") & (F.col("NroPersona") != F.col("Grupo"))).select(*persons.columns)
+    return persons.filter(F.col("EsGrupo") & (F.col("NroPersona") != F.col("Grupo"))).drop("EsGrupo")
 
 
 def _group_sizes(persons: DataFrame) -> DataFrame:
@@ -179,8 +180,7 @@ def blocked_heads(persons: DataFrame, members_per_list: int = MEMBERS_PER_LIST)
     A group of more than `members_per_list` persons has a null list here; `group_member_lists`
     gives its members in rows of bounded length.
     """
-    flagged = with_flag(persons, persons, "NroPersona", "Grupo", "__head")
-    heads = flagged.filter(F.col("__head") & (F.col("Bloqueado") == BLOCKED)).select(*persons.columns)
+    heads = persons.filter(F.col("EsGrupo") & (F.col("Bloqueado") == BLOCKED)).drop("EsGrupo")
     groups = heads.select("Grupo").distinct()
     sizes = join_unique(_group_sizes(persons), groups, ["Grupo"], "left_semi")
     short = sizes.filter(F.col("PersonasEnElGrupo") <= members_per_list)
@@ -200,7 +200,7 @@ def group_member_lists(persons: DataFrame, members_per_list: int = MEMBERS_PER_L
     outgrows a task, and together the rows hold every member.
     """
     long_groups = _group_sizes(persons).filter(F.col("PersonasEnElGrupo") > members_per_list)
-    part = F.floor(F.col("NroPersona") / members_per_list).cast("bigint")
+    part = F.expr(f"NroPersona DIV {int(members_per_list)}")
     return (
         join_unique(persons.select("Grupo", "NroPersona"), long_groups, ["Grupo"], "inner")
         .groupBy("Grupo", "PersonasEnElGrupo", part.alias("Tramo"))
@@ -215,12 +215,12 @@ def _shared_value_stats(persons: DataFrame, strict_reference: bool, *stats) -> D
     """
     tax = invalid_tax_id(F.col("Cuit"))
     doc = invalid_document(F.col("NroDocumento"), strict_reference)
-    rows = persons.filter(~(tax & doc))
+    valid = persons.filter(~(tax & doc)).drop("EsGrupo")
+    rows = valid
     for value, usable, suffix in (("Cuit", _valid(tax), "Cuit"), ("NroDocumento", _valid(doc), "Dni")):
-        keyed = _with_usable_key(rows, "__key", value, usable)
         named = [agg.alias(f"{name}_x_{suffix}") for name, agg in stats]
-        shared = keyed.filter(usable).groupBy("__key").agg(*named)
-        rows = join_unique(keyed, shared, ["__key"]).drop("__key")
+        shared = _with_usable_key(valid.filter(usable), "__key", value, usable).groupBy("__key").agg(*named)
+        rows = join_unique(_with_usable_key(rows, "__key", value, usable), shared, ["__key"]).drop("__key")
     return rows
 
 

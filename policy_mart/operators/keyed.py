@@ -2,9 +2,9 @@
 
 A window over the whole group would send a hot key's rows to one task. Here the group is first
 aggregated (partially before the shuffle, so a hot key sends one row per map task) and the result
-is joined back. Join conditions are null-safe. Besides matching null keys where that is wanted,
-this makes Spark shuffle the aggregated side once more instead of reusing the partitioning of the
-aggregate, and only joins with a shuffle on both sides have their hot partitions split by AQE.
+is joined back. The join conditions are null-safe. That makes Spark shuffle the aggregated side
+once more instead of reusing the partitioning of the aggregate, and only joins with a shuffle on
+both sides have their hot partitions split by AQE.
 """
 
 from __future__ import annotations
@@ -15,22 +15,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _prefixed(keys: Sequence[str]) -> dict[str, str]:
-    return {k: f"__right_{k}" for k in keys}
+def join_unique(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", match_nulls: bool = False
+) -> DataFrame:
+    """Join `right`, which has one row per key, to `left`, keeping the key columns of `left`.
 
-
-def join_unique(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Join `right`, which has one row per key, to `left`; null keys match each other.
-
-    The key columns of `left` are kept. `how` is "left", "inner", "left_semi" or "left_anti".
+    `how` is "left", "inner", "left_semi" or "left_anti". As in SQL a key with a null matches
+    nothing, unless `match_nulls` lets nulls meet, as they do in a group.
     """
-    names = _prefixed(keys)
-    right = right.withColumnsRenamed(names)
+    names = {k: f"__right_{k}" for k in keys}
+    if not match_nulls:
+        right = right.dropna(how="any", subset=list(keys))
     condition = None
     for k, r in names.items():
         same = F.col(k).eqNullSafe(F.col(r))
         condition = same if condition is None else condition & same
-    joined = left.join(right, condition, how)
+    joined = left.join(right.withColumnsRenamed(names), condition, how)
     return joined if how in ("left_semi", "left_anti") else joined.drop(*names.values())
 
 
@@ -64,4 +64,4 @@ def with_group_stats(df: DataFrame, keys: Sequence[str], *stats: Column, where:
     `where` limits the rows that count; the other rows still receive their group's values.
     """
     counted = df if where is None else df.filter(where)
-    return join_unique(df, counted.groupBy(*keys).agg(*stats), keys)
+    return join_unique(df, counted.groupBy(*keys).agg(*stats), keys, match_nulls=True)

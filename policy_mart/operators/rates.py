@@ -68,7 +68,8 @@ def decompose_rates(
     fine = conditional_pivot(base, fine_keys, "CodCobertura", "TasaAnual", BASE_COVERAGES)
     coarse = fine.groupBy(*coarse_keys).agg(*[F.max(n).alias(f"__{n}") for n in names])
     kept = current.filter(F.col("TasaAnual").between(*limits))
-    rows = join_unique(join_unique(kept, fine, fine_keys), coarse, coarse_keys)
+    rows = join_unique(kept, fine, fine_keys, match_nulls=True)
+    rows = join_unique(rows, coarse, coarse_keys, match_nulls=True)
     rows = rows.withColumns({n: F.greatest(or_zero_money(n), or_zero_money(f"__{n}")) for n in names})
 
     flags = coverages.select("CodCobertura", *[or_zero(r).alias(f"__f{r}") for r in RISKS])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import days_back, month_start
 from ..operators.controls import commission_control, missing_matches
+from ..operators.keyed import join_unique
 from ..operators.profiles import agent_profile, movements, result_profile
 from ..operators.rates import (
     REPORT_LIMITS,
@@ -70,7 +71,7 @@ def usable_rates(rates: DataFrame) -> DataFrame:
 
 def vehicles_with_premiums(vehicles: DataFrame, premiums: DataFrame) -> DataFrame:
     """Vehicles with the premium of their component; tariff 0 stands for the default one."""
-    joined = vehicles.join(premiums, COMPONENT, "inner")
+    joined = join_unique(vehicles, premiums, COMPONENT, "inner")
     tariff = F.when(F.col("NumTarifa") == 0, F.lit(DEFAULT_TARIFF)).otherwise(F.col("NumTarifa"))
     return joined.withColumn("NumTarifa", tariff)
 

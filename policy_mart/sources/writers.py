@@ -69,6 +69,16 @@ def full_refresh(df: DataFrame, path: str, guard_empty: bool = False) -> bool:
     return True
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, written once to the shared work folder and read from there.
+
+    For results that several later steps read, where Spark would compute them every time.
+    """
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def versioned_append(df: DataFrame, path: str, version: dt.datetime | int, column: str = "version") -> None:
     """Append the rows with the load's version; readers take the latest row per key."""
     df.withColumn(column, F.lit(version)).write.mode("append").parquet(path)
@@ -80,10 +90,8 @@ def compact_months(spark: SparkSession, path: str, months: Sequence[int], sort:
     The rows are first copied to the shared work folder, since a path cannot be replaced while it
     is read. Should the job die during the replacement, the copy is still there.
     """
-    staged = work_dir(spark, "compact")
     chosen = spark.read.parquet(path).filter(F.col(MONTH).isin(list(months)))
-    chosen.write.parquet(staged)
-    replace_partitions(spark.read.parquet(staged), path, MONTH, sort)
+    replace_partitions(stage(chosen, "compact"), path, MONTH, sort)
 
 
 def create_table(
