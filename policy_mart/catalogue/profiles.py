@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_start
-from ..functions.numbers import money
+from ..functions.numbers import units
 from ..operators.profiles import agent_profile, outer_totals, result_profile
 from ..operators.rollup import additive_rollup, claims_rollup
 from .loads import _CLAIMS_SQL, raw_claim_payments
@@ -27,15 +27,15 @@ def profile_rows(spark, sf_dir):
     s = s.select("s_suppkey", F.col("s_nationkey").cast("bigint").alias("CodOrganizador"))
     lines = li.join(o, li["l_orderkey"] == o["o_orderkey"]).join(s, li["l_suppkey"] == s["s_suppkey"])
     price = F.col("l_extendedprice")
-    none = F.lit(None).cast("decimal(18,4)")
+    none = F.lit(None).cast("bigint")
 
     def contribution(date_col, premium, claim):
         return F.struct(
             month_start(day(date_col)).alias("FechaMes"), premium.alias("PrimaNeta"), claim.alias("ImporteSiniestro")
         )
 
-    premium = contribution("o_orderdate", money(price * (1 - F.col("l_discount"))), none)
-    claim = contribution("l_shipdate", none, money(price))
+    premium = contribution("o_orderdate", units(price * (1 - F.col("l_discount"))), none)
+    claim = contribution("l_shipdate", none, units(price))
     returned = F.col("l_returnflag") == "R"
     each = F.when(returned, F.array(premium, claim)).otherwise(F.array(premium))
     return lines.select("NroAsegurado", "CodOrganizador", F.col("l_suppkey").alias("CodProductor"), F.inline(each))

@@ -7,16 +7,66 @@ from pyspark.sql import functions as F
 
 from .text import _col
 
-MONEY = "decimal(18,4)"
+# Amounts count in ten-thousandths, so sums are exact to the fourth decimal. A sum is kept in two
+# whole numbers, of the low bits and of the rest, which leaves room for any number of rows: it
+# fails only beyond 9e20, and then with an error.
+SCALE = 10_000
+_LOW_BITS = 20
+_LOW_MASK = (1 << _LOW_BITS) - 1
 
 
-def money(c: Column | str) -> Column:
-    return _col(c).cast(MONEY)
+def units(c: Column | str) -> Column:
+    """An amount as a whole number of ten-thousandths."""
+    return F.rint(_col(c) * SCALE).cast("bigint")
+
+
+def high_part(u: Column | str) -> Column:
+    return F.shiftright(_col(u), _LOW_BITS)
+
+
+def low_part(u: Column | str) -> Column:
+    return _col(u).bitwiseAND(F.lit(_LOW_MASK).cast("bigint"))
+
+
+def amount(high: Column, low: Column) -> Column:
+    """The amount of summed parts; exactly rounded below 9e11."""
+    return (high.cast("double") * float(1 << _LOW_BITS) + low.cast("double")) / SCALE
 
 
 def money_sum(c: Column | str) -> Column:
-    """Sum in decimal, so that the result does not depend on task order or on retries."""
-    return F.sum(money(c)).cast("double")
+    """Sum of an amount that does not depend on task order or on retries, as sums of doubles do.
+
+    It costs about twice a sum of doubles; a decimal sum costs five times one.
+    """
+    u = units(c)
+    return amount(F.sum(high_part(u)), F.sum(low_part(u)))
+
+
+class UnitSums:
+    """Sums of units columns under their names, to be combined exactly after the aggregation."""
+
+    def __init__(self, names):
+        self.names = list(names)
+
+    def aggregates(self) -> list[Column]:
+        return [
+            agg
+            for n in self.names
+            for agg in (F.sum(high_part(n)).alias(f"__high_{n}"), F.sum(low_part(n)).alias(f"__low_{n}"))
+        ]
+
+    def total(self, plus, minus=()) -> Column:
+        """Amount of the sums of `plus` less those of `minus`; a missing sum counts as 0."""
+
+        def part(kind: str) -> Column:
+            value = F.lit(0).cast("bigint")
+            for n in plus:
+                value = value + or_zero(f"__{kind}_{n}")
+            for n in minus:
+                value = value - or_zero(f"__{kind}_{n}")
+            return value
+
+        return amount(part("high"), part("low"))
 
 
 def or_zero(c: Column | str) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_start
-from ..functions.numbers import money, or_zero, or_zero_money
+from ..functions.numbers import UnitSums, or_zero, or_zero_money, units
 from ..functions.text import labelled
 from .keyed import join_unique
 
@@ -16,24 +16,35 @@ from .keyed import join_unique
 def movements(
     df: DataFrame, date_col: str, keys: Sequence[str], measures: Mapping[str, str], month_col: str = "FechaMes"
 ) -> DataFrame:
-    """Rows of one source as dated contributions to `measures` (output name -> column)."""
+    """Rows of one source as dated contributions to `measures` (output name -> column), in units."""
     return df.select(
-        *keys, month_start(date_col).alias(month_col), *[money(c).alias(n) for n, c in measures.items()]
+        *keys, month_start(date_col).alias(month_col), *[units(c).alias(n) for n, c in measures.items()]
     )
 
 
-def combine_measures(parts: Sequence[DataFrame], keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+def stack(parts: Sequence[DataFrame]) -> DataFrame:
+    """All rows of the parts; a measure that a part does not have is null there."""
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    return stacked
+
+
+def combine_measures(
+    parts: Sequence[DataFrame], keys: Sequence[str], amounts: Sequence[str], counts: Sequence[str] = ()
+) -> DataFrame:
     """Total of every measure per key over all parts, 0 where a part has no rows for the key.
 
     This is the full outer join of the parts' totals with missing measures set to 0, written as
     one aggregation: the parts are stacked and summed, which takes one shuffle (summed per map
     task before it) in place of one shuffle per part and a join. Null keys meet each other.
+    `amounts` are in units.
     """
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionByName(part, allowMissingColumns=True)
-    totals = [F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures]
-    return stacked.groupBy(*keys).agg(*totals)
+    sums = UnitSums(amounts)
+    totals = stack(parts).groupBy(*keys).agg(*sums.aggregates(), *[F.sum(c).alias(c) for c in counts])
+    return totals.select(
+        *keys, *[sums.total([a]).alias(a) for a in amounts], *[or_zero(c).cast("bigint").alias(c) for c in counts]
+    )
 
 
 def outer_totals(
@@ -60,21 +71,22 @@ def result_profile(
 ) -> DataFrame:
     """Result (income less claims) per person, dimensions and month.
 
-    `rows` are premium and claim contributions (see `movements`), stacked, each with NroAsegurado,
-    dims, CodProductor, CodOrganizador and month; a measure a row does not have is null. Several
-    insured numbers may be one person (`persons`: NroPersona, persona_key, Nombre). Sums per
-    insured would only be summed again, so the rows go straight to the person's group: one shuffle,
-    summed per map task before it. Labels of grouping columns are looked up afterwards, on few
-    rows. Rows with neither premium nor claims are dropped.
+    `rows` are premium and claim contributions in units (see `movements`), stacked, each with
+    NroAsegurado, dims, CodProductor, CodOrganizador and month. Several insured numbers may be one
+    person (`persons`: NroPersona, persona_key, Nombre). Sums per insured would only be summed
+    again, so the rows go straight to the person's group: one shuffle, summed per map task before
+    it. Labels of grouping columns (`producers`, `organizers`: one row per code) are looked up
+    afterwards, on few rows. Rows with neither premium nor claims are dropped.
     """
     insured = persons.select(F.col("NroPersona").alias("NroAsegurado"), "persona_key", "Nombre")
     keys = ["persona_key", *dims, "CodOrganizador", "CodProductor", month_col]
-    sums = [F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in [*income, claims]]
-    person = join_unique(rows, insured, ["NroAsegurado"]).groupBy(*keys).agg(F.max("Nombre").alias("Nombre"), *sums)
-    person = person.filter((F.col(income[0]) != 0) | (F.col(claims) != 0))
-    total = F.col(income[0])
-    for m in income[1:]:
-        total = total + F.col(m)
+    sums = UnitSums([*income, claims])
+    person = (
+        join_unique(rows, insured, ["NroAsegurado"])
+        .groupBy(*keys)
+        .agg(F.max("Nombre").alias("Nombre"), *sums.aggregates())
+        .filter((sums.total([income[0]]) != 0) | (sums.total([claims]) != 0))
+    )
 
     by_organizer = organizers.select(
         "CodOrganizador", F.col("Nombre").alias("NomOrganizador"), F.col("Grupo").alias("GrupoOrganizador")
@@ -86,10 +98,10 @@ def result_profile(
         "CodProductor", "NomProductor", month_col,
         F.year(month_col).alias("Año"),
         F.month(month_col).alias("Mes"),
-        *[F.col(m).cast("double").alias(m) for m in income],
-        total.cast("double").alias("PremioNeto"),
-        F.col(claims).cast("double").alias(claims),
-        (total - F.col(claims)).cast("double").alias("Resultado"),
+        *[sums.total([m]).alias(m) for m in income],
+        sums.total(income).alias("PremioNeto"),
+        sums.total([claims]).alias(claims),
+        sums.total(income, minus=[claims]).alias("Resultado"),
     )
 
 
@@ -111,19 +123,17 @@ def agent_profile(
     keys = [month_col, "CodRama", "CodOrganizador", "CodProductor"]
     counts = ["SiniestrosPagados", "Denuncias"]
     parts = [
-        operations.select(*keys, *[money(m).alias(m) for m in income]),
-        claims.select(*keys, money(claim_amount).alias(claim_amount), "SiniestrosPagados"),
+        operations.select(*keys, *[units(m).alias(m) for m in income]),
+        claims.select(*keys, units(claim_amount).alias(claim_amount), "SiniestrosPagados"),
         reports.select(*keys, "Denuncias"),
     ]
-    rows = combine_measures(parts, keys, [*income, claim_amount, *counts])
+    sums = UnitSums([*income, claim_amount])
+    rows = stack(parts).groupBy(*keys).agg(*sums.aggregates(), *[F.sum(c).alias(c) for c in counts])
     by_organizer = organizers.select(
         "CodOrganizador", F.col("Nombre").alias("NomOrganizador"), F.col("Grupo").alias("GrupoOrganizador")
     )
     by_producer = producers.select("CodProductor", F.col("Nombre").alias("NomProductor"))
     rows = join_unique(join_unique(rows, by_organizer, ["CodOrganizador"]), by_producer, ["CodProductor"])
-    total = F.col(income[0])
-    for m in income[1:]:
-        total = total + F.col(m)
     return rows.select(
         F.year(month_col).alias("Año"),
         F.month(month_col).alias("Mes"),
@@ -137,7 +147,7 @@ def agent_profile(
         "CodProductor",
         "NomProductor",
         labelled("CodProductor", "NomProductor").alias("FullProductor"),
-        *[F.col(m).cast("double").alias(m) for m in [*income, claim_amount]],
-        (total - F.col(claim_amount)).cast("double").alias("Resultado"),
+        *[sums.total([m]).alias(m) for m in [*income, claim_amount]],
+        sums.total(income, minus=[claim_amount]).alias("Resultado"),
         *[or_zero(c).cast("bigint").alias(c) for c in counts],
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import date_from_parts
-from ..functions.numbers import half_even, net_of_discount, truncated
+from ..functions.numbers import half_even, money_sum, net_of_discount, truncated
 from ..functions.text import lenient_date, strip
 from ..operators.load import first_date
 from ..operators.rollup import additive_rollup, claims_rollup
@@ -227,7 +227,7 @@ OPERATION_PROFILE_DIMS = ["CodRama", "CodOrganizador", "CodProductor", "NroAsegu
 def operations_rollup(operations: DataFrame, dims: list[str] = OPERATION_DIMS) -> DataFrame:
     """Monthly sums, the insured sum in whole millions, and the number of operations."""
     extra = {
-        "SumaAseguradaMillones": truncated(F.sum(F.col("SumaAsegurada").cast("decimal(18,4)")) / 1_000_000),
+        "SumaAseguradaMillones": truncated(money_sum("SumaAsegurada") / 1_000_000),
         "Cantidad": F.count(F.lit(1)).cast("int"),
     }
     return additive_rollup(operations, "FEmision", "FEmisionMes", dims, OPERATION_SUMS, extra=extra)

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.dates import MONTH
+from ..functions.numbers import money_sum
 from ..operators.load import append_new
 from ..operators.rollup import additive_rollup, merge_rollups
 from ..operators.scd import latest_per_key
@@ -59,7 +60,7 @@ def stream_rollup(
         else:
             rows = batch.withColumn(month_col, by)
             partial = rows.groupBy(month_col, *dims).agg(
-                *[F.sum(F.col(c).cast("decimal(18,4)")).cast("double").alias(n) for n, c in sums.items()],
+                *[money_sum(c).alias(n) for n, c in sums.items()],
                 F.count(F.lit(1)).alias(count),
             )
         _write_batch(partial, path, number)

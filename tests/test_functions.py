@@ -1,4 +1,5 @@
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -91,6 +92,24 @@ def test_money_sum_does_not_depend_on_order(spark):
     assert rows.agg(numbers.money_sum("x").alias("s")).first()["s"] == 1.0
 
 
+@pytest.mark.parametrize("values", [[-0.0001, -5.25], [1e11, 1e11, -0.01], [-1e13, 1e13, 3.5], [None, 2.0]])
+def test_money_sum_of_signs_and_sizes(spark, values):
+    rows = spark.createDataFrame([(v,) for v in values], "x double")
+    exact = float(sum(Decimal(str(v)) for v in values if v is not None))
+    assert rows.agg(numbers.money_sum("x").alias("s")).first()["s"] == exact
+
+
+def test_money_sum_beyond_one_whole_number(spark):
+    """Far above what a single 64-bit sum of ten-thousandths could hold."""
+    rows = spark.range(0, 1_000_000).select(F.lit(4e13).alias("x"))
+    assert rows.agg(numbers.money_sum("x").alias("s")).first()["s"] == 4e19
+
+
+def test_money_sum_of_nothing_is_null(spark):
+    rows = spark.createDataFrame([(None,)], "x double")
+    assert rows.agg(numbers.money_sum("x").alias("s")).first()["s"] is None
+
+
 def test_net_of_discount(spark):
     assert value(spark, numbers.net_of_discount("a", "p"), a=200.0, p=25.0) == 150.0
     assert value(spark, numbers.net_of_discount("a", "p", "as_loaded"), a=200.0, p=25.0) == 200 * (100 - 0.25)

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from policy_mart.functions.numbers import units
 from policy_mart.operators import controls, profiles, rollup, stats
 from policy_mart.plans import dims, facts, reports
 from policy_mart.plans.mart import Mart
@@ -101,7 +102,8 @@ def test_outer_totals_equal_combined_parts(spark):
     a = spark.createDataFrame([(1, 10.0), (2, 20.0)], "k int, a double")
     b = spark.createDataFrame([(2, 5.0), (3, 7.0)], "k int, b double")
     joined = profiles.outer_totals(a, b, ["k"], ["a", "b"])
-    stacked = profiles.combine_measures([a, b], ["k"], ["a", "b"])
+    in_units = [df.withColumn(c, units(c)) for df, c in ((a, "a"), (b, "b"))]
+    stacked = profiles.combine_measures(in_units, ["k"], ["a", "b"])
     expected = [(1, 10.0, 0.0), (2, 20.0, 5.0), (3, 0.0, 7.0)]
     assert sorted(map(tuple, joined.select("k", "a", "b").collect())) == expected
     assert sorted(map(tuple, stacked.select("k", "a", "b").collect())) == expected
