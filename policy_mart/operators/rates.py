@@ -54,23 +54,16 @@ def decompose_rates(
 ) -> DataFrame:
     """Split every rate into the six risks.
 
-    The base coverages' rates are looked up at two grains, with the age segment and without it,
-    and the higher one counts. Each risk then takes what the ones before it left of the rate, up
-    to its own base rate; `Ap` is the rest.
+    The base coverages' rates count at two grains, within the rate's age segment and over all
+    segments, whichever is higher. The highest rate over all segments is never below the one of a
+    single segment, so the coarse pivot alone gives the base rates, with one join. Each risk then
+    takes what the ones before it left of the rate, up to its own base rate; `Ap` is the rest.
     """
-    coarse_keys = ["NumTarifa", "Cap", "Air"]
-    fine_keys = [*coarse_keys, "segmento_ant"]
-    names = [f"t{c}" for c in BASE_COVERAGES]
-
-    # The coarse pivot is the highest of the fine one, so the rates are read once for both. The
-    # excluded coverages add no base rate, and a group made only of them is all zeros either way.
+    keys = ["NumTarifa", "Cap", "Air"]
     base = current.filter(~F.col("CodCobertura").startswith(EXCLUDED_PREFIX))
-    fine = conditional_pivot(base, fine_keys, "CodCobertura", "TasaAnual", BASE_COVERAGES)
-    coarse = fine.groupBy(*coarse_keys).agg(*[F.max(n).alias(f"__{n}") for n in names])
+    pivot = conditional_pivot(base, keys, "CodCobertura", "TasaAnual", BASE_COVERAGES)
     kept = current.filter(F.col("TasaAnual").between(*limits))
-    rows = join_unique(kept, fine, fine_keys, match_nulls=True)
-    rows = join_unique(rows, coarse, coarse_keys, match_nulls=True)
-    rows = rows.withColumns({n: F.greatest(or_zero_money(n), or_zero_money(f"__{n}")) for n in names})
+    rows = join_unique(kept, pivot, keys, match_nulls=True)
 
     flags = coverages.select("CodCobertura", *[or_zero(r).alias(f"__f{r}") for r in RISKS])
     rows = join_unique(rows, flags, ["CodCobertura"])
@@ -85,7 +78,7 @@ def decompose_rates(
             left = left - F.col(f"Tasa{risk}")
         return F.greatest(F.least(left, ceiling), F.lit(0.0))
 
-    t = {c: F.col(f"t{c}") for c in BASE_COVERAGES}
+    t = {c: or_zero_money(f"t{c}") for c in BASE_COVERAGES}
     steps = [
         ("Rt", ["It"], t["B5"]),
         ("At", ["Rt", "It"], t["C2"] - t["C5"] - t["C4"]),
@@ -98,7 +91,7 @@ def decompose_rates(
     rest = share(["Rt", "It", "At", "Ip", "Rp"], F.col("TasaAnual"))
     enabled = F.least(*t.values()) > 0
     return rows.withColumns({"TasaAp": rest, "Habilitado": enabled.cast("int")}).select(
-        *fine_keys, "AntMinima", "AntMaxima", "CodCobertura", "TasaAnual", "Habilitado",
+        *keys, "segmento_ant", "AntMinima", "AntMaxima", "CodCobertura", "TasaAnual", "Habilitado",
         "TasaIt", "TasaRt", "TasaAt", "TasaIp", "TasaRp", "TasaAp",
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_name
-from ..operators.identity import resolve_persons
+from ..operators import identity
 from ..operators.rates import decompose_rates, widen_last_band
 from ..operators.scd import current_rows, latest_per_key, scd_delta
 from ..schemas import (
@@ -24,7 +24,7 @@ from ..schemas import (
     Table,
 )
 from ..sources.readers import cast_to
-from ..sources.writers import full_refresh, versioned_append
+from ..sources.writers import full_refresh, stage, versioned_append, write_report
 from .mart import Mart
 
 # Source column -> mart column, intermediary types and the unused name.
@@ -154,11 +154,28 @@ def load_other_coverages(mart: Mart, rows: DataFrame) -> bool:
 
 def load_persons(mart: Mart, raw: DataFrame, loaded_at: dt.datetime, strict_reference: bool = False) -> None:
     """Append this load's version of every person. The version is the load's time in microseconds."""
-    persons = resolve_persons(raw.select(*_named(PERSON_COLUMNS)), strict_reference)
+    persons = identity.resolve_persons(raw.select(*_named(PERSON_COLUMNS)), strict_reference)
     version = int(loaded_at.timestamp() * 1_000_000)
     versioned_append(persons.withColumn("last_update", F.lit(loaded_at)), mart.path(PERSONS.name), version)
 
 
+PERSON_REPORTS = {
+    "Grupos_mas_de_un_habilitado": identity.groups_with_several_unblocked,
+    "Personas_que_son_grupo_y_pertenecen_a_otro_grupo": identity.heads_in_another_group,
+    "Personas_que_son_grupo_y_estan_bloqueadas": identity.blocked_heads,
+    "Personas_de_grupos_grandes": identity.group_member_lists,
+    "singrupo": identity.duplicates_without_group,
+    "incoherencias": identity.incoherent_groups,
+}
+
+
+def write_person_reports(mart: Mart, raw: DataFrame) -> None:
+    """The data-quality reports on persons. The source is read once for all of them."""
+    persons = stage(identity.normalise_persons(raw.select(*_named(PERSON_COLUMNS))), "persons")
+    for name, report in PERSON_REPORTS.items():
+        write_report(report(persons), mart.path(f"daf/{name}"), "parquet")
+
+
 def current_persons(mart: Mart) -> DataFrame:
     """Every person as last loaded."""
     return latest_per_key(mart.table(PERSONS), PERSONS.keys, ["version", "persona_key"]).drop("version")

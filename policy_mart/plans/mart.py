@@ -42,7 +42,11 @@ def load_fact(
     stop_at_gap: bool = False,
     rollups: Sequence[Rollup] = (),
 ) -> Written:
-    """Append the new rows of a fact, then renew its rollups for the months that got any."""
+    """Append the new rows of a fact, then renew its rollups for the months that got any.
+
+    Should a run die between the two, the next one finds nothing new: `control_row` shows the
+    difference, and `refresh_rollup` for those months removes it.
+    """
     source = cast_to(rows, table.schema)
     new = append_new(source, mart.table(table), table.keys, table.date_col, since, stop_at_gap)
     written = append_by_month(new, mart.path(table.name), table.date_col, table.sort)

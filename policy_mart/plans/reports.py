@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import days_back, month_start
-from ..operators.controls import commission_control, missing_matches
+from ..operators.controls import MOTOR_BRANCHES, commission_control, compare_commissions, missing_matches
 from ..operators.keyed import join_unique
 from ..operators.profiles import agent_profile, movements, result_profile
 from ..operators.rates import (
@@ -30,16 +30,18 @@ from ..schemas import (
     RATES_BY_RISK,
     SNAPSHOTS,
 )
+from ..sources.writers import full_refresh
 from .dims import current_persons
 from .mart import Mart
 
 # The coverage without own damage, the tariff that stands for none, the report's
-# keys, and the settings of the commission control.
+# keys, the first month of the commission comparison, and the settings of the commission control.
 LIABILITY_ONLY = "A2"
 DEFAULT_TARIFF = 11
 COMPONENT = ["CodRama", "Poliza", "Comp"]
 RATE_KEY = ["NumTarifa", "Cap", "Air", "CodCobertura"]
 INCOME = ["PrimaNeta", "RecAdm", "RecFin", "RecCapital"]
+COMPARED_FROM = 202506
 CONTROL_BRANCH, OWN_PRODUCER, COMMISSION_TYPE, LOWEST_DISCOUNT = 4, 9999, 4, 10.0
 
 
@@ -135,6 +137,11 @@ def agents_profile(mart: Mart) -> DataFrame:
     )
 
 
+def load_agents_profile(mart: Mart) -> None:
+    """Replace the agents' profile table."""
+    full_refresh(agents_profile(mart), mart.path("ss_perfil_agentes"))
+
+
 def monthly_vehicle_counts(mart: Mart) -> DataFrame:
     return daily_monthly_summary(mart.table(SNAPSHOTS), "Fecha").orderBy(F.desc("Mes"))
 
@@ -173,3 +180,30 @@ def operations_without_commission(operations: DataFrame, commissions: DataFrame)
     )
     wanted = ["FEmision", "Op", "CodRama", "Poliza", "Suplemento", "CodProductor", "PrimaNeta", "%Bonif."]
     return found.select(*[F.col(f"`{c}`") for c in wanted]).orderBy(F.desc("Poliza"))
+
+
+def compared_operations(raw: DataFrame, since: int = COMPARED_FROM) -> DataFrame:
+    """New motor policies since a month that have a producer's commission, for the comparison with
+    the regulator's list. `raw` has the operational source's column names."""
+    month = F.col("M1FEMA") * 100 + F.col("M1FEMM")
+    chosen = raw.filter(
+        F.col("M1RAMA").isin(*MOTOR_BRANCHES)
+        & F.col("ComProd").isNotNull()
+        & (month >= since)
+        & (F.col("M1SUOP") == 0)
+    )
+    return chosen.select(
+        F.col("M1RAMA").alias("cod_rama"),
+        F.col("M1POLI").alias("nro_poliza"),
+        F.col("M1ORG1").alias("cod_org"),
+        F.col("M1PRO1").alias("cod_prod"),
+        (F.col("MABPRE") + F.col("MAPRIM")).alias("prima_tarifa"),
+        F.col("MABPRE").alias("bon_prima"),
+        F.col("MAPRIM").alias("prima_neta"),
+        F.col("ComOrg").alias("com_org"),
+        F.col("ComProd").alias("com_prod"),
+    )
+
+
+def commission_comparison(mart: Mart, listed: DataFrame, raw: DataFrame) -> DataFrame:
+    return compare_commissions(listed, compared_operations(raw), _producers(mart), _organizers(mart))

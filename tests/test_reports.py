@@ -182,6 +182,24 @@ def test_compare_commissions(spark):
 CASE = "dominio string, poliza string, cliente string, activa int, cod_productor bigint, nom_productor string, cod_organizador bigint, nom_organizador string"
 
 
+def test_comparison_from_the_mart(mart, spark):
+    raw = spark.createDataFrame(
+        [(4, 5, 1, 1, 10.0, 90.0, 9.0, 18.0, 2025, 6, 0), (4, 5, 1, 1, 10.0, 90.0, 9.0, 18.0, 2025, 6, 1),
+         (4, 5, 1, 1, 10.0, 90.0, 9.0, None, 2025, 7, 0), (4, 5, 1, 1, 10.0, 90.0, 9.0, 18.0, 2025, 5, 0),
+         (7, 5, 1, 1, 10.0, 90.0, 9.0, 18.0, 2025, 6, 0)],
+        "M1RAMA bigint, M1POLI bigint, M1ORG1 bigint, M1PRO1 bigint, MABPRE double, MAPRIM double, ComOrg double, ComProd double, M1FEMA int, M1FEMM int, M1SUOP int",
+    )
+    listed = spark.createDataFrame([(1030, 5), (1030, 6)], "codigo_ramo int, nro_poliza int")
+    got = reports.commission_comparison(mart, listed, raw).collect()
+    assert [(r.nro_poliza, r.prima_tarifa, r.nom_org, r["%com_total"]) for r in got] == [(5, 100.0, "O1", 30.0), (6, None, None, None)]
+
+
+def test_agents_profile_table(mart, spark):
+    for _ in range(2):
+        reports.load_agents_profile(mart)
+    assert spark.read.parquet(mart.path("ss_perfil_agentes")).count() == 3
+
+
 def test_enrich_cases(spark):
     cases = spark.createDataFrame(
         [
@@ -258,3 +276,6 @@ def test_persons_load(spark, tmp_path):
     assert mart.table(PERSONS).count() == 2
     got = dims.current_persons(mart).collect()
     assert [(r.Nombre, r.persona_key, r.Bloqueado, r.NroDocumento) for r in got] == [("Eva", 1, 1, "5000000")]
+    dims.write_person_reports(mart, raw)
+    for name in dims.PERSON_REPORTS:
+        assert spark.read.parquet(mart.path(f"daf/{name}")).count() == 0
