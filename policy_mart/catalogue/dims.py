@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..operators.rates import widen_last_band
 from ..operators.scd import apply_scd, current_rows, latest_per_key, scd_delta
 from ..plans import dims
+from ..plans.mart import Mart
+from ..schemas import LIABILITY_RATES, MOTOR_COVERAGES, RATES
 from ..sources.writers import full_refresh, versioned_append
 from ..workdir import work_dir
 from .registry import query, table
-from .standins import RATE_HISTORY_SQL, day, raw_rates, with_missing
+from .standins import RATE_HISTORY_SQL, coverage_flags, day, rate_history_sql, raw_rates, with_missing
 
 
 def raw_intermediaries(spark, sf_dir):
@@ -179,3 +183,68 @@ def widen(spark, sf_dir):
     """The last age segment of each tariff, chapter and coverage reaches 200 years."""
     named = raw_rates(spark, sf_dir).select(*[F.col(s).alias(n) for s, n in dims.RATE_COLUMNS.items()])
     return widen_last_band(named, ["NumTarifa", "Cap", "Air", "CodCobertura"], "segmento_ant", "AntMaxima")
+
+
+def _two_loads_sql(first: str, second: str, keys, values) -> str:
+    """Current rows after a history took in `first` and then the new and changed rows of `second`."""
+    same_key = " AND ".join(f"c.{k} = s.{k}" for k in keys)
+    changed = " OR ".join(f"c.{v} <> s.{v}" for v in values)
+
+    def latest(rows: str) -> str:
+        order = ", ".join(f"{v} DESC" for v in ["fecha_desde", *values])
+        return f"""SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {order}) AS rn FROM {rows}) WHERE rn = 1"""
+
+    return f"""
+c1 AS ({latest(first)}),
+delta AS (SELECT s.* FROM {second} s LEFT JOIN c1 c ON {same_key} WHERE c.{keys[0]} IS NULL OR (({changed}) AND s.fecha_desde > c.fecha_desde)),
+history AS (SELECT * FROM {first} UNION ALL SELECT * FROM delta)
+{latest('history')}"""
+
+
+@query(
+    "rates_load",
+    f"""
+WITH {rate_history_sql("(SELECT * FROM part WHERE p_size <= 25)", "first_load")}, {rate_history_sql("part", "second_load")},
+{_two_loads_sql("first_load", "second_load", RATES.keys, dims.RATE_VALUES)}
+""",
+)
+def rates_load(spark, sf_dir):
+    """Current rates after a load of the smaller parts and one of all; the first widens other bands."""
+    mart = Mart(spark, work_dir(spark, "rates"))
+    flags = coverage_flags(spark, sf_dir)
+    dims.load_motor_coverages(mart, with_missing(flags, MOTOR_COVERAGES.columns[:-1]), dt.datetime(2024, 1, 1))
+    raw = raw_rates(spark, sf_dir)
+    dims.load_rates(mart, raw.filter("p_size <= 25"))
+    return dims.load_rates(mart, raw)
+
+
+def _raw_liability(spark, sf_dir):
+    price = F.col("p_retailprice")
+    return table(spark, sf_dir, "part").select(
+        F.substring("p_brand", 7, 9).cast("bigint").alias("NumTarifa"),
+        F.expr("p_partkey DIV 200").alias("Cap"),
+        (F.col("p_partkey") % 7).alias("Var"),
+        *[(price * n).alias(c) for n, c in enumerate(dims.LIABILITY_VALUES, 1)],
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.col("p_partkey") % 1000).cast("int")).alias("Fecha"),
+        "p_type",
+    )
+
+
+_LIABILITY_SQL = f"""
+loads AS (SELECT CAST(substr(p_brand, 7) AS BIGINT) AS NumTarifa, p_partkey // 200 AS Cap, p_partkey % 7 AS Var,
+  {', '.join(f'p_retailprice * {n} AS {c}' for n, c in enumerate(dims.LIABILITY_VALUES, 1))},
+  DATE '2020-01-01' + CAST(p_partkey % 1000 AS INTEGER) AS fecha_desde, p_type FROM part),
+first_load AS (SELECT * EXCLUDE p_type FROM loads WHERE p_type IN ('PROMO', 'LARGE')),
+second_load AS (SELECT * EXCLUDE p_type FROM loads)"""
+
+
+@query(
+    "liability_rates_load",
+    f"WITH {_LIABILITY_SQL}, {_two_loads_sql('first_load', 'second_load', LIABILITY_RATES.keys, dims.LIABILITY_VALUES)}",
+)
+def liability_rates_load(spark, sf_dir):
+    """Current liability rates after a load of some part types and one of all."""
+    mart = Mart(spark, work_dir(spark, "liability"))
+    raw = _raw_liability(spark, sf_dir)
+    dims.load_liability_rates(mart, raw.filter("p_type IN ('PROMO', 'LARGE')").drop("p_type"))
+    return dims.load_liability_rates(mart, raw.drop("p_type"))

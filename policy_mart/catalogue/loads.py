@@ -10,13 +10,10 @@ from ..functions.dates import MONTH, in_month, yyyymm
 from ..functions.text import strip
 from ..operators.load import append_new, contiguous_months, first_date, missing_dates, snapshot_rows_to_load
 from ..plans.facts import (
-    CLAIM_PAYMENT_COLUMNS,
     CLAIM_REPORT_COLUMNS,
+    FILE_COLUMNS,
     LIFE_PREMIUM_COLUMNS,
     MOTOR_PREMIUM_UNUSED,
-    OPERATION_COLUMNS,
-    FILE_COLUMNS,
-    claim_payments_rollup,
     load_claim_payments,
     prepare_claim_payments,
     prepare_operations,
@@ -25,12 +22,23 @@ from ..plans.facts import (
 )
 from ..plans.mart import Mart
 from ..plans.reports import claim_payments_control
-from ..schemas import CLAIM_PAYMENTS, CLAIM_REPORTS, LIFE_PREMIUMS, MOTOR_PREMIUMS, OTHER_PREMIUMS, SNAPSHOTS
+from ..schemas import CLAIM_PAYMENTS, CLAIM_REPORTS, LIFE_PREMIUMS, MOTOR_PREMIUMS, OTHER_PREMIUMS
 from ..sources.readers import cast_to
 from ..sources.writers import append_by_month, compact_months
 from ..workdir import work_dir
 from .registry import query, table
-from .standins import OPERATIONS_SQL, PREMIUM_LINES_SQL, day, premium_lines, raw_operations, with_missing
+from .standins import (
+    CLAIMS_SQL,
+    OPERATIONS_SQL,
+    OTHER_PREMIUMS_SQL,
+    PREMIUM_LINES_SQL,
+    day,
+    premium_lines,
+    raw_claim_payments,
+    raw_operations,
+    raw_other_premiums,
+    with_missing,
+)
 
 
 def _orders(spark, sf_dir):
@@ -123,40 +131,14 @@ def operations_load(spark, sf_dir):
     return prepare_operations(raw_operations(spark, sf_dir)).select(*_OPERATION_OUT)
 
 
-def raw_claim_payments(spark, sf_dir):
-    """Returned order lines with the claim payments' source column names."""
-    li = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'")
-    values = {
-        "LC_RAMA": F.lit(4),
-        "LD_SINI": F.col("l_orderkey"),
-        "LC_LIQN": F.col("l_linenumber"),
-        "LD_ITEC": F.concat(F.lit("  "), F.col("l_linestatus"), F.lit(" ")),
-        "LC_FPAG": day("l_shipdate"),
-        "PO_ASEN": F.col("l_partkey"),
-        "PO_ORG1": F.col("l_suppkey") % 25,
-        "PO_PRO1": F.col("l_suppkey"),
-        "LD_IIAU": F.col("l_extendedprice"),
-    }
-    return with_missing(li.select(*[v.alias(n) for n, v in values.items()]), CLAIM_PAYMENT_COLUMNS)
-
-
 _CLAIM_OUT = [
     "CodRama", "Siniestro", "NroLiquidacion", "CodItemPago", "FechaPago", "NroAsegurado", "CodOrganizador",
     "CodProductor", "Importe",
 ]
-_CLAIMS_SQL = """
-claims AS (
-  SELECT CAST(4 AS BIGINT) AS CodRama, l_orderkey AS Siniestro, CAST(l_linenumber AS BIGINT) AS NroLiquidacion, l_linestatus AS CodItemPago,
-    CAST(l_shipdate AS DATE) AS FechaPago, l_partkey AS NroAsegurado, l_suppkey % 25 AS CodOrganizador, l_suppkey AS CodProductor,
-    l_extendedprice AS Importe
-  FROM lineitem WHERE l_returnflag = 'R'
-)"""
-
-
 @query(
     "claims_load",
     f"""
-WITH {_CLAIMS_SQL}
+WITH {CLAIMS_SQL}
 SELECT {', '.join(_CLAIM_OUT)} FROM claims s WHERE NOT EXISTS (
   SELECT 1 FROM claims t WHERE t.CodItemPago = 'F' AND t.CodRama = s.CodRama AND t.Siniestro = s.Siniestro
     AND t.NroLiquidacion = s.NroLiquidacion AND t.CodItemPago = s.CodItemPago
@@ -219,44 +201,16 @@ def premium_loads(spark, sf_dir):
     return append_new(source, loaded, MOTOR_PREMIUMS.keys, "FEmision").select(*_MOTOR_OUT)
 
 
-def raw_other_premiums(spark, sf_dir):
-    """Premium lines with the other-branch table's names; the end date is text, sometimes none."""
-    lines = premium_lines(spark, sf_dir)
-    end = F.when(F.col("Origen") == "O", F.date_format("FVigHasta", "dd/MM/yyyy")).otherwise("31/02/2001")
-    return lines.select(
-        "FEmision", "FVigDesde", end.alias("FVigHasta"), "Op", "CodRama", "Poliza", "Supl", "Comp",
-        "CodOrganizador", "CodProductor", F.col("CodTipoVeh").alias("CodRiesgo"), F.col("Origen").alias("Riesgo"),
-        F.col("Var").alias("CodCobertura"), F.col("CodCoberturaAut").alias("Cobertura"),
-        F.col("l_returnflag").alias("CodProvincia"), (F.col("SaComponente") * 100).alias("SaCobertura"),
-        F.col("PremioSupl").alias("PremioBrutoSupl"), F.lit(1.5).alias("Pormilaje"),
-        "PrimaTarifaSupl", F.col("PrimaTarifaComp").alias("PrimaCoberturaEmitida"),
-        F.col("PrimaNetaComp").alias("PrimaNetaSupl"), F.col("PrimaCascoNetaComp").alias("PrimaCoberturaNeta"),
-    )
-
-
 _OTHER_OUT = [
     "FEmision", "FVigHasta", "Op", "Supl", "Comp", "CodCobertura", "CodProvincia", "SaCobertura", "BonPrimaPorc",
     "PrimaTarifaCobertura", "PrimaNetaCobertura",
 ]
-_OTHER_SQL = (
-    PREMIUM_LINES_SQL
-    + """,
-other_premiums AS (
-  SELECT FEmision, CASE WHEN Origen = 'O' THEN FVigHasta END AS FVigHasta, Op, Supl, Comp, Var AS CodCobertura, CodRama, CodOrganizador, CodProductor,
-    CodTipoVeh AS CodRiesgo, Origen AS Riesgo, CodCoberturaAut AS Cobertura,
-    l_returnflag AS CodProvincia, SaComponente * 100 AS SaCobertura, CAST(0 AS DOUBLE) AS BonPrimaPorc,
-    PrimaTarifaComp AS PrimaTarifaCobertura, PrimaCascoNetaComp AS PrimaNetaCobertura
-  FROM premium_lines
-)"""
-)
-
-
 def _not_loaded(rows: str) -> str:
     return f"""NOT EXISTS (SELECT 1 FROM {rows} t WHERE t.CodProvincia = 'A' AND t.Op = s.Op AND t.Supl = s.Supl AND t.Comp = s.Comp
     AND t.CodCobertura = s.CodCobertura AND date_trunc('month', t.FEmision) = date_trunc('month', s.FEmision))"""
 
 
-@query("other_premiums_load", f"WITH {_OTHER_SQL} SELECT {', '.join(_OTHER_OUT)} FROM other_premiums s WHERE {_not_loaded('other_premiums')}")
+@query("other_premiums_load", f"WITH {OTHER_PREMIUMS_SQL} SELECT {', '.join(_OTHER_OUT)} FROM other_premiums s WHERE {_not_loaded('other_premiums')}")
 def other_premiums_load(spark, sf_dir):
     """Other-branch premiums with lenient end dates, against the rows of province A."""
     source = cast_to(prepare_other_premiums(raw_other_premiums(spark, sf_dir)), OTHER_PREMIUMS.schema)
@@ -270,7 +224,7 @@ _LIFE_OUT = ["FEmision", "Op", "Supl", "Comp", "CodCobertura", "CodProvincia", "
 @query(
     "life_premiums_load",
     f"""
-WITH {_OTHER_SQL}
+WITH {OTHER_PREMIUMS_SQL}
 SELECT FEmision, Op, Supl, Comp, CodCobertura, CodProvincia, SaCobertura AS SaSupl, PrimaNetaCobertura
 FROM other_premiums s WHERE {_not_loaded('other_premiums')}
 """,
@@ -336,7 +290,7 @@ def _claims_mart(spark, sf_dir) -> Mart:
 @query(
     "incremental_claims_rollup",
     f"""
-WITH {_CLAIMS_SQL}
+WITH {CLAIMS_SQL}
 SELECT CAST(date_trunc('month', FechaPago) AS DATE) AS FechaPagoMes, CodRama, CodOrganizador, CodProductor, NroAsegurado,
   CAST(SUM(CAST(Importe AS DECIMAL(18,4))) AS DOUBLE) AS Importe, count(DISTINCT Siniestro) AS siniestros_pagados
 FROM claims GROUP BY ALL
@@ -354,7 +308,7 @@ def incremental_claims_rollup(spark, sf_dir):
 @query(
     "claims_control",
     f"""
-WITH {_CLAIMS_SQL}, m AS (SELECT CAST(year(FechaPago) * 100 + month(FechaPago) AS INTEGER) AS m FROM claims)
+WITH {CLAIMS_SQL}, m AS (SELECT CAST(year(FechaPago) * 100 + month(FechaPago) AS INTEGER) AS m FROM claims)
 SELECT min(m) AS min_fact, max(m) AS max_fact, count(DISTINCT m) AS months_fact,
   min(m) AS min_rollup, max(m) AS max_rollup, count(DISTINCT m) AS months_rollup FROM m
 """,

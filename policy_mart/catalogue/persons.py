@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..operators import identity
-from ..operators.scd import latest_per_key
-from ..sources.writers import versioned_append
+from ..plans.dims import PERSON_COLUMNS, current_persons, load_persons
+from ..plans.mart import Mart
 from ..workdir import work_dir
-from .registry import query, table
+from .registry import query
 from .standins import PERSONS_SQL, raw_persons
 
 # Short lists, so that the longer groups also occur at small scale factors.
@@ -49,19 +51,20 @@ def person_groups(spark, sf_dir):
 @query(
     "person_current",
     f"""
-WITH {PERSONS_SQL}
-SELECT NroPersona, CASE WHEN Bloqueado = '_' THEN NroPersona ELSE Grupo END AS persona_key, CAST(CASE WHEN Bloqueado = '_' THEN 2 ELSE 1 END AS BIGINT) AS version FROM persons
+WITH {_RESOLVED_SQL}
+SELECT NroPersona, persona_key, Cuit, CAST(NroDocumento AS VARCHAR) AS NroDocumento, Sexo, Nombre, Domicilio, CAST(Cp AS VARCHAR) AS Cp,
+  CAST(CpSufijo AS VARCHAR) AS CpSufijo, CAST(Bloqueado = 'S' AS SMALLINT) AS Bloqueado, CAST(head AS SMALLINT) AS EsDelegado,
+  '2024-02-01' AS loaded FROM resolved
 """,
 )
 def person_current(spark, sf_dir):
-    """Two loads of the persons, the second without the blocked ones; each person's latest row."""
-    path = work_dir(spark, "persons")
-    persons = _normalised(spark, sf_dir)
-    versioned_append(persons.select("NroPersona", F.col("Grupo").alias("persona_key")), path, 1)
-    again = persons.filter("Bloqueado = '_'").select("NroPersona", F.col("NroPersona").alias("persona_key"))
-    versioned_append(again, path, 2)
-    current = latest_per_key(spark.read.parquet(path), ["NroPersona"], ["version", "persona_key"])
-    return current.withColumn("version", F.col("version").cast("bigint"))
+    """Every person's latest version after two loads, the first with all persons blocked."""
+    mart = Mart(spark, work_dir(spark, "persons"))
+    raw = raw_persons(spark, sf_dir).withColumnsRenamed({name: source for source, name in PERSON_COLUMNS.items()})
+    load_persons(mart, raw.withColumn("DFBLOQ", F.lit("S")), dt.datetime(2024, 1, 1))
+    load_persons(mart, raw, dt.datetime(2024, 2, 1))
+    loaded = F.col("last_update").cast("date").cast("string")
+    return current_persons(mart).withColumn("loaded", loaded).drop("last_update")
 
 
 @query(

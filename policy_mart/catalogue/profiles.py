@@ -8,11 +8,10 @@ from ..functions.dates import month_start
 from ..functions.numbers import units
 from ..operators.profiles import agent_profile, outer_totals, result_profile
 from ..operators.rollup import additive_rollup, claims_rollup
-from .loads import _CLAIMS_SQL, raw_claim_payments
 from ..plans.facts import prepare_claim_payments
 from ..plans.reports import INCOME
 from .registry import query, table
-from .standins import OPERATIONS_SQL, day, operations, organizers, producers
+from .standins import CLAIMS_SQL, OPERATIONS_SQL, day, operations, organizers, producers, raw_claim_payments
 
 
 def profile_rows(spark, sf_dir):
@@ -104,7 +103,7 @@ _INCOME = ["PrimaNeta", "RecAdm", "RecFin", "RecCapital"]
 @query(
     "agent_profile",
     f"""
-WITH {OPERATIONS_SQL}, {_CLAIMS_SQL},
+WITH {OPERATIONS_SQL}, {CLAIMS_SQL},
 o AS (SELECT date_trunc('month', FEmision) AS m, CodRama, CodOrganizador, CodProductor, {', '.join(f'SUM(CAST({c} AS DECIMAL(18,4))) AS {c}' for c in _INCOME)}
   FROM operations GROUP BY ALL),
 ci AS (SELECT date_trunc('month', FechaPago) AS m, CodRama, CodOrganizador, CodProductor, NroAsegurado, SUM(CAST(Importe AS DECIMAL(18,4))) AS i,

@@ -10,9 +10,16 @@ from ..operators.stats import best_by_metric, daily_monthly_summary
 from ..plans import facts
 from ..schemas import MOTOR_PREMIUMS, OTHER_PREMIUMS
 from ..sources.readers import cast_to
-from .loads import _OTHER_SQL, raw_other_premiums
 from .registry import names, query, table, total, totals
-from .standins import OPERATIONS_SQL, PREMIUM_LINES_SQL, day, operations, premium_lines
+from .standins import (
+    OPERATIONS_SQL,
+    OTHER_PREMIUMS_SQL,
+    PREMIUM_LINES_SQL,
+    day,
+    operations,
+    premium_lines,
+    raw_other_premiums,
+)
 
 
 @query(
@@ -75,7 +82,7 @@ _OTHER_DIMS = names(facts.OTHER_ROLLUP_DIMS)
 @query(
     "reinsurance_rollup",
     f"""
-WITH {_OTHER_SQL}
+WITH {OTHER_PREMIUMS_SQL}
 SELECT CAST(date_trunc('month', FEmision) AS DATE) AS FEmisionMes, {_OTHER_DIMS}, round_even(SaCobertura / 1000000, 0) AS SaCoberturaMillones,
   {total('SaCobertura', 'SaCoberturaSuma')}, min(SaCobertura) AS SaCoberturaMin, max(SaCobertura) AS SaCoberturaMax,
   {totals(['PrimaTarifaCobertura', 'PrimaNetaCobertura'])}

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.facts import OPERATION_COLUMNS, OPERATION_DATES, prepare_operations
+from ..plans.facts import CLAIM_PAYMENT_COLUMNS, OPERATION_COLUMNS, OPERATION_DATES, prepare_operations
 from .registry import table
 
 
@@ -138,25 +138,31 @@ def raw_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
         (segment * 10).alias("Max"),
         (F.col("p_retailprice") / 100 * _lookup(code, WEIGHT_OF_COVERAGE)).alias("Tasa"),
         F.date_add(F.lit("2020-01-01").cast("date"), (F.col("p_partkey") % 1000).cast("int")).alias("Fecha"),
+        "p_size",
     )
 
 
-RATE_HISTORY_SQL = f"""
-raw_rates AS (
+def rate_history_sql(parts: str = "part", name: str = "rate_history") -> str:
+    """SQL of the widened rates of some parts."""
+    return f"""
+raw_{name} AS (
   SELECT CAST(substr(p_brand, 7) AS BIGINT) AS NumTarifa, p_partkey // 2000 AS Cap, CAST(1 AS BIGINT) AS Air,
     {_lookup_sql('p_type', COVERAGE_OF_TYPE)} AS CodCobertura,
     CAST(ceil(p_size / 10.0) AS BIGINT) AS segmento_ant,
     p_retailprice / 100 * ({_lookup_sql(_lookup_sql('p_type', COVERAGE_OF_TYPE), WEIGHT_OF_COVERAGE)}) AS TasaAnual,
     DATE '2020-01-01' + CAST(p_partkey % 1000 AS INTEGER) AS fecha_desde
-  FROM part
+  FROM {parts}
 ),
-rate_history AS (
+{name} AS (
   SELECT NumTarifa, Cap, Air, CodCobertura, segmento_ant, (segmento_ant - 1) * 10 + 1 AS AntMinima,
     CASE WHEN segmento_ant = max(segmento_ant) OVER (PARTITION BY NumTarifa, Cap, Air, CodCobertura)
          THEN 200 ELSE segmento_ant * 10 END AS AntMaxima,
     TasaAnual, fecha_desde
-  FROM raw_rates
+  FROM raw_{name}
 )"""
+
+
+RATE_HISTORY_SQL = rate_history_sql()
 CURRENT_RATES_SQL = (
     RATE_HISTORY_SQL
     + """,
@@ -344,3 +350,57 @@ persons AS (
           AND substr(CAST(NroDocumento AS VARCHAR), 3, 6) = repeat(substr(CAST(NroDocumento AS VARCHAR), 3, 1), 6)) AS mal_doc
   FROM raw_persons
 )"""
+
+
+def raw_claim_payments(spark, sf_dir):
+    """Returned order lines with the claim payments' source column names."""
+    li = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'")
+    values = {
+        "LC_RAMA": F.lit(4),
+        "LD_SINI": F.col("l_orderkey"),
+        "LC_LIQN": F.col("l_linenumber"),
+        "LD_ITEC": F.concat(F.lit("  "), F.col("l_linestatus"), F.lit(" ")),
+        "LC_FPAG": day("l_shipdate"),
+        "PO_ASEN": F.col("l_partkey"),
+        "PO_ORG1": F.col("l_suppkey") % 25,
+        "PO_PRO1": F.col("l_suppkey"),
+        "LD_IIAU": F.col("l_extendedprice"),
+    }
+    return with_missing(li.select(*[v.alias(n) for n, v in values.items()]), CLAIM_PAYMENT_COLUMNS)
+
+
+CLAIMS_SQL = """
+claims AS (
+  SELECT CAST(4 AS BIGINT) AS CodRama, l_orderkey AS Siniestro, CAST(l_linenumber AS BIGINT) AS NroLiquidacion, l_linestatus AS CodItemPago,
+    CAST(l_shipdate AS DATE) AS FechaPago, l_partkey AS NroAsegurado, l_suppkey % 25 AS CodOrganizador, l_suppkey AS CodProductor,
+    l_extendedprice AS Importe
+  FROM lineitem WHERE l_returnflag = 'R'
+)"""
+
+
+def raw_other_premiums(spark, sf_dir):
+    """Premium lines with the other-branch table's names; the end date is text, sometimes none."""
+    lines = premium_lines(spark, sf_dir)
+    end = F.when(F.col("Origen") == "O", F.date_format("FVigHasta", "dd/MM/yyyy")).otherwise("31/02/2001")
+    return lines.select(
+        "FEmision", "FVigDesde", end.alias("FVigHasta"), "Op", "CodRama", "Poliza", "Supl", "Comp",
+        "CodOrganizador", "CodProductor", F.col("CodTipoVeh").alias("CodRiesgo"), F.col("Origen").alias("Riesgo"),
+        F.col("Var").alias("CodCobertura"), F.col("CodCoberturaAut").alias("Cobertura"),
+        F.col("l_returnflag").alias("CodProvincia"), (F.col("SaComponente") * 100).alias("SaCobertura"),
+        F.col("PremioSupl").alias("PremioBrutoSupl"), F.lit(1.5).alias("Pormilaje"),
+        "PrimaTarifaSupl", F.col("PrimaTarifaComp").alias("PrimaCoberturaEmitida"),
+        F.col("PrimaNetaComp").alias("PrimaNetaSupl"), F.col("PrimaCascoNetaComp").alias("PrimaCoberturaNeta"),
+    )
+
+
+OTHER_PREMIUMS_SQL = (
+    PREMIUM_LINES_SQL
+    + """,
+other_premiums AS (
+  SELECT FEmision, CASE WHEN Origen = 'O' THEN FVigHasta END AS FVigHasta, Op, Supl, Comp, Var AS CodCobertura, CodRama, CodOrganizador, CodProductor,
+    CodTipoVeh AS CodRiesgo, Origen AS Riesgo, CodCoberturaAut AS Cobertura,
+    l_returnflag AS CodProvincia, SaComponente * 100 AS SaCobertura, CAST(0 AS DOUBLE) AS BonPrimaPorc,
+    PrimaTarifaComp AS PrimaTarifaCobertura, PrimaCascoNetaComp AS PrimaNetaCobertura
+  FROM premium_lines
+)"""
+)

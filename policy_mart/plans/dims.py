@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import clean_name
 from ..operators import identity
@@ -137,8 +138,12 @@ def load_localities(mart: Mart, places: DataFrame, provinces: DataFrame) -> None
     full_refresh(cast_to(localities(places, provinces), LOCALITIES.schema), mart.path(LOCALITIES.name))
 
 
+def _cast_unversioned(rows: DataFrame, table: Table) -> DataFrame:
+    return cast_to(rows, T.StructType([f for f in table.schema.fields if f.name != "version"]))
+
+
 def load_motor_coverages(mart: Mart, rows: DataFrame, version: dt.datetime) -> None:
-    versioned_append(rows.select(*MOTOR_COVERAGES.columns[:-1]), mart.path(MOTOR_COVERAGES.name), version)
+    versioned_append(_cast_unversioned(rows, MOTOR_COVERAGES), mart.path(MOTOR_COVERAGES.name), version)
 
 
 def motor_coverages(mart: Mart) -> DataFrame:
@@ -156,7 +161,8 @@ def load_persons(mart: Mart, raw: DataFrame, loaded_at: dt.datetime, strict_refe
     """Append this load's version of every person. The version is the load's time in microseconds."""
     persons = identity.resolve_persons(raw.select(*_named(PERSON_COLUMNS)), strict_reference)
     version = int(loaded_at.timestamp() * 1_000_000)
-    versioned_append(persons.withColumn("last_update", F.lit(loaded_at)), mart.path(PERSONS.name), version)
+    rows = _cast_unversioned(persons.withColumn("last_update", F.lit(loaded_at)), PERSONS)
+    versioned_append(rows, mart.path(PERSONS.name), version)
 
 
 PERSON_REPORTS = {
