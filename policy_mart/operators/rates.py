@@ -130,7 +130,9 @@ def portfolio_premiums(
     last = F.max_by(
         F.struct(*[F.col(c).alias(n) for n, c in latest.items()]), F.struct(*[F.col(c) for c in order_cols])
     )
-    grouped = premiums.groupBy(*keys).agg(last.alias("__last"), money_sum(total[1]).alias(total[0]))
+    grouped = premiums.groupBy(*keys).agg(
+        last.alias("__last"), or_zero_money(money_sum(total[1])).alias(total[0])
+    )
     return grouped.select(*keys, *[F.col(f"__last.{n}").alias(n) for n in latest], total[0])
 
 

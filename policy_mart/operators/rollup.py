@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_start, yyyymm
-from ..functions.numbers import money_sum
+from ..functions.numbers import money_sum, or_zero_money
 
 
 def additive_rollup(
@@ -23,12 +23,13 @@ def additive_rollup(
     """Sums per month, dimensions and value buckets.
 
     `sums` maps output names to columns (or lists columns that keep their names), `buckets` adds
-    computed grouping columns, and `extra` adds further aggregates such as counts or extremes.
+    computed grouping columns, and `extra` adds further aggregates such as counts or extremes. The
+    sum of nothing but nulls is 0.
     """
     named = dict(sums) if isinstance(sums, Mapping) else {c: c for c in sums}
     groups = [month_start(date_col).alias(month_col), *[F.col(d) for d in dims]]
     groups += [c.alias(n) for n, c in (buckets or {}).items()]
-    measures = [money_sum(c).alias(n) for n, c in named.items()]
+    measures = [or_zero_money(money_sum(c)).alias(n) for n, c in named.items()]
     measures += [c.alias(n) for n, c in (extra or {}).items()]
     return df.groupBy(*groups).agg(*measures)
 
@@ -49,7 +50,7 @@ def claims_rollup(
 
 def merge_rollups(parts: DataFrame, keys: Sequence[str], sums: Sequence[str], counts: Sequence[str] = ()) -> DataFrame:
     """Add up the rows of partial rollups that share a key."""
-    added = [money_sum(c).alias(c) for c in sums] + [F.sum(c).cast("bigint").alias(c) for c in counts]
+    added = [or_zero_money(money_sum(c)).alias(c) for c in sums] + [F.sum(c).cast("bigint").alias(c) for c in counts]
     return parts.groupBy(*keys).agg(*added)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import yyyymm
-from ..functions.numbers import half_even, money_sum
+from ..functions.numbers import half_even, money_sum, or_zero_money
 
 
 def daily_monthly_summary(df: DataFrame, date_col: str) -> DataFrame:
@@ -44,7 +44,7 @@ def daily_monthly_summary(df: DataFrame, date_col: str) -> DataFrame:
 
 def best_by_metric(df: DataFrame, groups: Sequence[str], candidate: str, metric: str) -> DataFrame:
     """For each group the candidate with the highest total; the lowest candidate wins a tie."""
-    totals = df.groupBy(*groups, candidate).agg(money_sum(metric).alias("__total"))
+    totals = df.groupBy(*groups, candidate).agg(or_zero_money(money_sum(metric)).alias("__total"))
     # min_by on the negated total: among equal totals the struct then orders by candidate.
     best = F.min_by(candidate, F.struct(-F.col("__total"), F.col(candidate)))
     return totals.groupBy(*groups).agg(best.alias(candidate))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import date_from_parts
-from ..functions.numbers import half_even, money_sum, net_of_discount, truncated
+from ..functions.numbers import half_even, money_sum, net_of_discount, or_zero_money, truncated
 from ..functions.text import lenient_date, strip
 from ..operators.load import first_date
 from ..operators.rollup import additive_rollup, claims_rollup
@@ -196,7 +196,7 @@ def _recoded(column: str, codes: dict[int, int]):
 
 def prepare_operations(raw: DataFrame) -> DataFrame:
     """Rename, build the dates from their parts, derive tariff premium and gross price, and
-    exchange two intermediary codes."""
+    exchange two intermediary codes. Missing amounts are 0."""
     dates = {name: date_from_parts(*parts) for name, parts in OPERATION_DATES.items()}
     derived = {
         "PrimaTarifa": F.col("MAPRIM") + F.col("MABPRI"),
@@ -205,10 +205,12 @@ def prepare_operations(raw: DataFrame) -> DataFrame:
     named = raw.withColumns({**dates, **derived}).select(
         *[F.col(source).alias(name) for source, name in OPERATION_COLUMNS.items()], *dates, *derived
     )
+    amounts = [f.name for f in OPERATIONS.schema.fields if isinstance(f.dataType, T.DoubleType)]
     return named.withColumns(
         {
             "CodOrganizador": _recoded("CodOrganizador", ORGANIZER_CODES),
             "CodProductor": _recoded("CodProductor", PRODUCER_CODES),
+            **{c: or_zero_money(c) for c in amounts},
         }
     ).select(*OPERATIONS.columns)
 

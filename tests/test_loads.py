@@ -94,6 +94,7 @@ def test_prepare_operations(spark):
             (1, 0, (2025, 1, 3), (0, 0, 0), 3873, 9105, 10.0),
             (2, 0, (2025, 1, 3), (2025, 2, 31), 9105, 3873, 0.0),
             (3, 0, (2025, 1, 3), (2026, 1, 3), 5, 6, 1.0),
+            (4, 0, (2025, 1, 3), (2026, 1, 3), 5, 6, None),
         )
     )
     assert got.columns == OPERATIONS.columns
@@ -104,6 +105,7 @@ def test_prepare_operations(spark):
     assert (out[2].CodOrganizador, out[2].CodProductor) == (9105, 3873)
     assert (out[3].CodOrganizador, out[3].CodProductor) == (5, 6)
     assert (out[1].PrimaTarifa, out[1].PremioBruto) == (11.0, 2.0)
+    assert (out[4].PrimaNeta, out[4].PrimaTarifa) == (0.0, 0.0)
 
 
 def test_operations_load_is_idempotent_and_keeps_rollups(spark, tmp_path):

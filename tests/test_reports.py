@@ -128,7 +128,7 @@ def test_tail_labels(spark):
 
 
 def test_best_by_metric_prefers_the_lower_candidate_on_ties(spark):
-    df = spark.createDataFrame([("g", 2, 5.0), ("g", 1, 2.0), ("g", 1, 3.0), ("h", 9, -1.0)], "g string, c int, m double")
+    df = spark.createDataFrame([("g", 2, 5.0), ("g", 1, 2.0), ("g", 1, 3.0), ("g", 0, None), ("h", 9, -1.0)], "g string, c int, m double")
     assert {r.g: r.c for r in stats.best_by_metric(df, ["g"], "c", "m").collect()} == {"g": 1, "h": 9}
 
 
