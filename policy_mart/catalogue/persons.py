@@ -53,8 +53,7 @@ def person_groups(spark, sf_dir):
     f"""
 WITH {_RESOLVED_SQL}
 SELECT NroPersona, persona_key, Cuit, CAST(NroDocumento AS VARCHAR) AS NroDocumento, Sexo, Nombre, Domicilio, CAST(Cp AS VARCHAR) AS Cp,
-  CAST(CpSufijo AS VARCHAR) AS CpSufijo, CAST(Bloqueado = 'S' AS SMALLINT) AS Bloqueado, CAST(head AS SMALLINT) AS EsDelegado,
-  '2024-02-01' AS loaded FROM resolved
+  CAST(CpSufijo AS VARCHAR) AS CpSufijo, CAST(Bloqueado = 'S' AS SMALLINT) AS Bloqueado, CAST(head AS SMALLINT) AS EsDelegado FROM resolved
 """,
 )
 def person_current(spark, sf_dir):
@@ -63,8 +62,7 @@ def person_current(spark, sf_dir):
     raw = raw_persons(spark, sf_dir).withColumnsRenamed({name: source for source, name in PERSON_COLUMNS.items()})
     load_persons(mart, raw.withColumn("DFBLOQ", F.lit("S")), dt.datetime(2024, 1, 1))
     load_persons(mart, raw, dt.datetime(2024, 2, 1))
-    loaded = F.col("last_update").cast("date").cast("string")
-    return current_persons(mart).withColumn("loaded", loaded).drop("last_update")
+    return current_persons(mart).drop("last_update")
 
 
 @query(

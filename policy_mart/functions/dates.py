@@ -48,6 +48,12 @@ def in_month(c: Column | str, year: int, month: int) -> Column:
     return (_col(c) >= F.lit(first)) & (_col(c) < F.lit(after))
 
 
+def from_month(year: Column | str, month: Column | str, since: dt.date) -> Column:
+    """Year and month columns not before `since`'s month, as comparisons that sources can evaluate."""
+    later = _col(year) > since.year
+    return later | ((_col(year) == since.year) & (_col(month) >= since.month))
+
+
 def days_back(c: Column | str, until: dt.date, days: int) -> Column:
     """`until - days <= c <= until`, both ends included."""
     return _col(c).between(F.lit(until - dt.timedelta(days=days)), F.lit(until))

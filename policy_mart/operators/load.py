@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import MONTH, month_index, month_number, yyyymm
@@ -22,21 +22,16 @@ def with_month(df: DataFrame, date_col: str) -> DataFrame:
 def contiguous_months(months: DataFrame, start: int | None = None) -> DataFrame:
     """Months from `start` (default: the first one) up to the first month without rows.
 
-    `months` has a `yyyymm` column. One row per calendar month is left after `distinct`, so the
-    rest works on a few hundred rows however long the fact is.
+    `months` has a `yyyymm` column. With a given `start` a gap right there leaves nothing.
     """
     present = months.select(MONTH).dropna().distinct()
     if start is not None:
         present = present.filter(F.col(MONTH) >= start)
-    numbered = present.withColumn("__i", month_index(MONTH))
-    # The run ends at the first month that no other month follows.
-    previous = numbered.select((F.col("__i") - 1).alias("__i"))
-    last = numbered.join(previous, "__i", "left_anti").agg(F.min("__i")).scalar()
-    run = numbered.filter(F.col("__i") <= last)
-    if start is not None:  # a gap right at the start leaves nothing to load
-        begin = numbered.agg(F.min(MONTH)).scalar()
-        run = run.filter(begin == start)
-    return run.select(MONTH)
+    # One row per calendar month is left, so one task can number them however long the fact is.
+    in_order = Window.orderBy(MONTH)
+    position = F.row_number().over(in_order) - 1
+    first = F.first(MONTH).over(in_order) if start is None else F.lit(start)
+    return present.withColumn("__run", month_index(MONTH) - position == month_index(first)).filter("__run").select(MONTH)
 
 
 def append_new(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.dates import date_from_parts
+from ..functions.dates import date_from_parts, from_month
 from ..functions.numbers import half_even, money_sum, net_of_discount, or_zero_money, truncated
 from ..functions.text import lenient_date, strip
 from ..operators.load import first_date
@@ -244,7 +244,9 @@ def load_operations(mart: Mart, raw: DataFrame, since: dt.date, stop_at_gap: boo
         ("sehpm151t_agg", "FEmisionMes", operations_rollup),
         ("sehpm151t_perfiles_agg", "FEmisionMes", operations_profile_rollup),
     ]
-    return load_fact(mart, OPERATIONS, prepare_operations(raw), since, stop_at_gap, rollups)
+    year, month, _ = OPERATION_DATES["FEmision"]
+    recent = raw.filter(from_month(year, month, since))  # the built date can not be filtered by the source
+    return load_fact(mart, OPERATIONS, prepare_operations(recent), since, stop_at_gap, rollups)
 
 
 def prepare_claim_payments(raw: DataFrame) -> DataFrame:

@@ -60,6 +60,15 @@ def test_in_month_is_pushed_as_a_range(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(d), GreaterThanOrEqual(d,2024-12-01), LessThan(d,2025-01-01)]" in plan
 
 
+def test_from_month_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "d")
+    months = [(2023, 12), (2024, 10), (2024, 11), (2024, 12), (2025, 1)]
+    spark.createDataFrame(months, "y int, m int").write.parquet(path)
+    found = spark.read.parquet(path).filter(dates.from_month("y", "m", dt.date(2024, 11, 20)))
+    assert sorted(map(tuple, found.collect())) == months[2:]
+    assert "PushedFilters: [Or(GreaterThan(y,2024),And(EqualTo(y,2024),GreaterThanOrEqual(m,11)))]" in found._jdf.queryExecution().toString()
+
+
 def test_month_index_is_consecutive(spark):
     rows = spark.createDataFrame([(202412,), (202501,), (202502,)], "m int")
     got = [r.i for r in rows.select(dates.month_index("m").alias("i")).collect()]
