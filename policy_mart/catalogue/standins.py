@@ -36,11 +36,11 @@ def raw_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("o_totalprice")
     values = {
         "M1OPER": F.col("o_orderkey"),
-        "M1SUOP": F.lit(0),
+        "M1SUOP": F.lit(0).cast("bigint"),
         "M1TIOU": _by_status(1, 2, 3),
         "M1STOU": F.lit(1),
         "M1PVNR": F.lit(0),
-        "M1RAMA": branch,
+        "M1RAMA": branch.cast("bigint"),
         "M1POLI": F.col("o_custkey"),
         "M1ASEN": F.col("o_custkey"),
         "M1COPOA": F.col("o_custkey") % 1000,
@@ -80,7 +80,7 @@ OPERATIONS_SQL = """
 operations AS (
   SELECT o_orderkey AS Op, CAST(0 AS BIGINT) AS Suplemento,
     CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS CodTipoOp, 1 AS CodSubTipoOp,
-    CASE WHEN o_orderpriority IN ('1-URGENT','2-HIGH') THEN 4 WHEN o_orderpriority = '3-MEDIUM' THEN 44 ELSE 7 END AS CodRama,
+    CAST(CASE WHEN o_orderpriority IN ('1-URGENT','2-HIGH') THEN 4 WHEN o_orderpriority = '3-MEDIUM' THEN 44 ELSE 7 END AS BIGINT) AS CodRama,
     o_custkey AS Poliza, o_custkey AS NroAsegurado, o_custkey % 1000 AS CpAsegurado,
     CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS CpSufijoAsegurado,
     o_orderpriority AS ProvinciaAsegurado,
@@ -356,7 +356,7 @@ def raw_claim_payments(spark, sf_dir):
     """Returned order lines with the claim payments' source column names."""
     li = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'")
     values = {
-        "LC_RAMA": F.lit(4),
+        "LC_RAMA": F.lit(4).cast("bigint"),
         "LD_SINI": F.col("l_orderkey"),
         "LC_LIQN": F.col("l_linenumber"),
         "LD_ITEC": F.concat(F.lit("  "), F.col("l_linestatus"), F.lit(" ")),
