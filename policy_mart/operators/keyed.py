@@ -58,10 +58,6 @@ def with_flag(left: DataFrame, right: DataFrame, column: str, other: str, flag:
     return joined.withColumn(flag, F.col("__found").isNotNull()).drop("__member", "__found")
 
 
-def with_group_stats(df: DataFrame, keys: Sequence[str], *stats: Column, where: Column | None = None) -> DataFrame:
-    """Add aggregates of each row's group, as `agg(...).over(partitionBy(keys))` would.
-
-    `where` limits the rows that count; the other rows still receive their group's values.
-    """
-    counted = df if where is None else df.filter(where)
-    return join_unique(df, counted.groupBy(*keys).agg(*stats), keys, match_nulls=True)
+def with_group_stats(df: DataFrame, keys: Sequence[str], *stats: Column) -> DataFrame:
+    """Add aggregates of each row's group, as `agg(...).over(partitionBy(keys))` would."""
+    return join_unique(df, df.groupBy(*keys).agg(*stats), keys, match_nulls=True)

@@ -31,19 +31,26 @@ def stack(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def combine_measures(
-    parts: Sequence[DataFrame], keys: Sequence[str], amounts: Sequence[str], counts: Sequence[str] = ()
+    parts: Sequence[DataFrame],
+    keys: Sequence[str],
+    amounts: Sequence[str],
+    counts: Sequence[str] = (),
+    differences: Mapping[str, tuple[Sequence[str], Sequence[str]]] | None = None,
 ) -> DataFrame:
     """Total of every measure per key over all parts, 0 where a part has no rows for the key.
 
     This is the full outer join of the parts' totals with missing measures set to 0, written as
     one aggregation: the parts are stacked and summed, which takes one shuffle (summed per map
     task before it) in place of one shuffle per part and a join. Null keys meet each other.
-    `amounts` are in units.
+    `amounts` are in units; `differences` adds sums of some amounts less sums of others.
     """
     sums = UnitSums(amounts)
     totals = stack(parts).groupBy(*keys).agg(*sums.aggregates(), *[F.sum(c).alias(c) for c in counts])
     return totals.select(
-        *keys, *[sums.total([a]).alias(a) for a in amounts], *[or_zero(c).cast("bigint").alias(c) for c in counts]
+        *keys,
+        *[sums.total([a]).alias(a) for a in amounts],
+        *[sums.total(plus, minus).alias(n) for n, (plus, minus) in (differences or {}).items()],
+        *[or_zero(c).cast("bigint").alias(c) for c in counts],
     )
 
 
@@ -127,8 +134,8 @@ def agent_profile(
         claims.select(*keys, units(claim_amount).alias(claim_amount), "SiniestrosPagados"),
         reports.select(*keys, "Denuncias"),
     ]
-    sums = UnitSums([*income, claim_amount])
-    rows = stack(parts).groupBy(*keys).agg(*sums.aggregates(), *[F.sum(c).alias(c) for c in counts])
+    amounts = [*income, claim_amount]
+    rows = combine_measures(parts, keys, amounts, counts, {"Resultado": (income, [claim_amount])})
     by_organizer = organizers.select(
         "CodOrganizador", F.col("Nombre").alias("NomOrganizador"), F.col("Grupo").alias("GrupoOrganizador")
     )
@@ -147,7 +154,7 @@ def agent_profile(
         "CodProductor",
         "NomProductor",
         labelled("CodProductor", "NomProductor").alias("FullProductor"),
-        *[sums.total([m]).alias(m) for m in [*income, claim_amount]],
-        sums.total(income, minus=[claim_amount]).alias("Resultado"),
-        *[or_zero(c).cast("bigint").alias(c) for c in counts],
+        *amounts,
+        "Resultado",
+        *counts,
     )

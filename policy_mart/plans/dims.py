@@ -189,11 +189,11 @@ def current_persons(mart: Mart) -> DataFrame:
 
 def _load_history(mart: Mart, table: Table, rows: DataFrame, compare: list[str], ties: list[str]) -> DataFrame:
     source = cast_to(rows, table.schema)
-    history = mart.table(table).select(*table.columns)
+    history = mart.table(table)
     current = current_rows(history, table.keys, table.date_col, *ties)
     delta = scd_delta(source, current, table.keys, compare, table.date_col)
     delta.write.mode("append").parquet(mart.path(table.name))
-    return current_rows(mart.table(table).select(*table.columns), table.keys, table.date_col, *ties)
+    return current_rows(mart.table(table), table.keys, table.date_col, *ties)
 
 
 def load_liability_rates(mart: Mart, raw: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ class Mart:
 
     def table(self, table: Table) -> DataFrame:
         """Rows loaded so far; facts also have their month."""
-        month = [T.StructField(MONTH, T.IntegerType())] if table.date_col else []
+        month = [T.StructField(MONTH, T.IntegerType())] if table.by_month else []
         return read_or_empty(self.spark, self.path(table.name), T.StructType([*table.schema.fields, *month]))
 
 

@@ -44,6 +44,11 @@ class Table:
     def schema(self) -> T.StructType:
         return struct(self.ddl)
 
+    @property
+    def by_month(self) -> bool:
+        """Facts are stored in one partition per month, sorted; dimensions and histories are not."""
+        return bool(self.sort)
+
     @property
     def columns(self) -> list[str]:
         return [name for name, _ in _columns(self.ddl)]

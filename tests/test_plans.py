@@ -147,6 +147,6 @@ def test_target_months_are_pruned(spark, tmp_path):
     load_fact(mart, CLAIM_REPORTS, rows, dt.date(2024, 12, 1))
     new = load.append_new(rows, mart.table(CLAIM_REPORTS), CLAIM_REPORTS.keys, "FechaDenuncia", dt.date(2025, 1, 1))
     plan = plan_of(new)
-    scan = re.search(r"FileScan.*denupet.*", plan).group(0)
+    scan = re.search(r"FileScan parquet.*", plan).group(0)
     assert re.search(r"PartitionFilters: \[.*yyyymm#\d+ >= 202501", scan)
     assert "Causa" not in re.search(r"ReadSchema: .*", scan).group(0)
