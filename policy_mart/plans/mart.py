@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.dates import MONTH
+from ..functions.dates import MONTH, month_number
 from ..operators.load import append_new, snapshot_rows_to_load
 from ..schemas import Table
 from ..sources.readers import cast_to, read_or_empty
@@ -44,17 +44,45 @@ def load_fact(
 ) -> Written:
     """Append the new rows of a fact, then renew its rollups for the months that got any.
 
-    Should a run die between the two, the next one finds nothing new: `control_row` shows the
-    difference, and `refresh_rollup` for those months removes it.
+    A run that dies in between leaves a note of where it began; the next one then renews all months
+    from there on, since it finds no new rows by which to tell them.
     """
     source = cast_to(rows, table.schema)
     new = append_new(source, mart.table(table), table.keys, table.date_col, since, stop_at_gap)
+    if not rollups:
+        return append_by_month(new, mart.path(table.name), table.date_col, table.sort)
+    unfinished = _unfinished_since(mart, table)
+    _note_start(mart, table, 0 if since is None else month_number(since))
     written = append_by_month(new, mart.path(table.name), table.date_col, table.sort)
+    months = set(written.months)
+    if unfinished is not None:
+        loaded = mart.table(table).filter(F.col(MONTH) >= unfinished).select(MONTH).distinct()
+        months |= {row[MONTH] for row in loaded.collect()}  # one row per calendar month
     for name, month_col, define in rollups:
-        refresh_rollup(mart, table, name, month_col, define, written.months)
+        refresh_rollup(mart, table, name, month_col, define, sorted(months))
+    _clear_notes(mart, table)
     return written
 
 
+_NOTES = T.StructType([T.StructField("since", T.IntegerType())])
+
+
+def _notes_path(mart: Mart, table: Table) -> str:
+    return mart.path(f"{table.name}_loading")
+
+
+def _unfinished_since(mart: Mart, table: Table) -> int | None:
+    return read_or_empty(mart.spark, _notes_path(mart, table), _NOTES).agg(F.min("since").alias("m")).first()["m"]
+
+
+def _note_start(mart: Mart, table: Table, since: int) -> None:
+    mart.spark.createDataFrame([(since,)], _NOTES).coalesce(1).write.mode("append").parquet(_notes_path(mart, table))
+
+
+def _clear_notes(mart: Mart, table: Table) -> None:
+    mart.spark.createDataFrame([], _NOTES).write.mode("overwrite").parquet(_notes_path(mart, table))
+
+
 def refresh_rollup(
     mart: Mart, table: Table, name: str, month_col: str, define: Callable[[DataFrame], DataFrame], months: Sequence[int]
 ) -> None:

@@ -280,3 +280,23 @@ def test_load_fact_stops_at_gap(spark, tmp_path):
     rows_ = facts.prepare_operations(raw)
     assert load_fact(mart, OPERATIONS, rows_, D(2025, 1, 1), stop_at_gap=True).months == (202501,)
     assert load_fact(mart, OPERATIONS, rows_, D(2025, 1, 1)).months == (202503,)
+
+
+def test_a_load_that_dies_before_its_rollups_is_repaired(spark, tmp_path):
+    mart = Mart(spark, str(tmp_path / "mart"))
+    rows_ = facts.prepare_operations(
+        raw_operations(spark, (1, 0, (2025, 1, 3), (0, 0, 0), 1, 1, 1.0), (2, 0, (2025, 3, 3), (0, 0, 0), 1, 1, 2.0))
+    )
+
+    def dies(_):
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        load_fact(mart, OPERATIONS, rows_, D(2025, 1, 1), rollups=[("agg", "FEmisionMes", dies)])
+    for _ in range(2):
+        again = load_fact(
+            mart, OPERATIONS, rows_, D(2025, 3, 1), rollups=[("agg", "FEmisionMes", facts.operations_rollup)]
+        )
+        assert again.rows == 0
+        kept = spark.read.parquet(mart.path("agg"))
+        assert sorted((r.yyyymm, r.PrimaNeta) for r in kept.collect()) == [(202501, 1.0), (202503, 2.0)]
