@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..streaming.maintain import current_so_far, rollup_so_far, stream_append, stream_current, stream_rollup
+from ..streaming.maintain import (
+    current_so_far,
+    rollup_so_far,
+    stream_append,
+    stream_current,
+    stream_rollup,
+    streamed_fact,
+)
 from ..workdir import work_dir
 from .registry import query, table, total
 from .standins import day
@@ -65,4 +72,5 @@ def append(spark, sf_dir):
         stream_append(
             event_stream(spark, sf_dir), f"{path}/table", f"{path}/{run}", ["event_id"], "day", ["ts"]
         ).awaitTermination()
-    return spark.read.parquet(f"{path}/table").select("event_id", "user_id", "event_type", "value", "day", "yyyymm")
+    fact = streamed_fact(spark, f"{path}/table", "day")
+    return fact.select("event_id", "user_id", "event_type", "value", "day", "yyyymm")

@@ -166,12 +166,12 @@ def load_persons(mart: Mart, raw: DataFrame, loaded_at: dt.datetime, strict_refe
 
 
 PERSON_REPORTS = {
-    "Grupos_mas_de_un_habilitado": identity.groups_with_several_unblocked,
-    "Personas_que_son_grupo_y_pertenecen_a_otro_grupo": identity.heads_in_another_group,
-    "Personas_que_son_grupo_y_estan_bloqueadas": identity.blocked_heads,
-    "Personas_de_grupos_grandes": identity.group_member_lists,
-    "singrupo": identity.duplicates_without_group,
-    "incoherencias": identity.incoherent_groups,
+    "several_unblocked": identity.groups_with_several_unblocked,
+    "heads_in_another_group": identity.heads_in_another_group,
+    "blocked_heads": identity.blocked_heads,
+    "long_group_members": identity.group_member_lists,
+    "duplicates_without_group": identity.duplicates_without_group,
+    "incoherent_groups": identity.incoherent_groups,
 }
 
 
@@ -179,7 +179,7 @@ def write_person_reports(mart: Mart, raw: DataFrame) -> None:
     """The data-quality reports on persons. The source is read once for all of them."""
     persons = stage(identity.normalise_persons(raw.select(*_named(PERSON_COLUMNS))), "persons")
     for name, report in PERSON_REPORTS.items():
-        write_report(report(persons), mart.path(f"daf/{name}"), "parquet")
+        write_report(report(persons), mart.path(f"person_reports/{name}"), "parquet")
 
 
 def current_persons(mart: Mart) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.dates import MONTH
+from ..functions.dates import MONTH, yyyymm
 from ..functions.numbers import money_sum
 from ..operators.load import append_new
 from ..operators.rollup import additive_rollup, merge_rollups
@@ -102,20 +102,35 @@ def stream_append(
 ) -> StreamingQuery:
     """Append the rows whose key the fact does not have yet, however late they come.
 
-    A key that repeats within a batch is loaded once. Rows with a null key can not be recognised
-    when a batch runs again, so they are left out here; load them in batch mode.
+    A key that repeats within a batch is loaded once. A row with a null key can not be told from
+    another one when a batch runs again, so such rows go to a table by batch; `streamed_fact`
+    returns both.
     """
     schema = T.StructType([*stream.schema.fields, T.StructField(MONTH, T.IntegerType())])
+    unkeyed = F.lit(False)
+    for k in keys:
+        unkeyed = unkeyed | F.col(k).isNull()
 
     def each(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        once = latest_per_key(batch.dropna(subset=list(keys)), keys, order_cols)
+        _write_batch(batch.filter(unkeyed), _unkeyed_path(path), number)
+        once = latest_per_key(batch.filter(~unkeyed), keys, order_cols)
         fact = read_or_empty(spark, path, schema)
         append_by_month(append_new(once, fact, keys, date_col), path, date_col)
 
     return _run(stream, checkpoint, each)
 
 
+def _unkeyed_path(path: str) -> str:
+    return f"{path.rstrip('/')}-unkeyed"
+
+
+def streamed_fact(spark: SparkSession, path: str, date_col: str) -> DataFrame:
+    """All rows that `stream_append` loaded."""
+    unkeyed = spark.read.parquet(_unkeyed_path(path)).drop(BATCH)
+    return spark.read.parquet(path).unionByName(unkeyed.withColumn(MONTH, yyyymm(date_col)))
+
+
 def fold_batches(
     spark: SparkSession, path: str, new_path: str, combine: Callable[[DataFrame], DataFrame]
 ) -> None:

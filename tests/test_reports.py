@@ -278,4 +278,4 @@ def test_persons_load(spark, tmp_path):
     assert [(r.Nombre, r.persona_key, r.Bloqueado, r.NroDocumento) for r in got] == [("Eva", 1, 1, "5000000")]
     dims.write_person_reports(mart, raw)
     for name in dims.PERSON_REPORTS:
-        assert spark.read.parquet(mart.path(f"daf/{name}")).count() == 0
+        assert spark.read.parquet(mart.path(f"person_reports/{name}")).count() == 0

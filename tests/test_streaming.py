@@ -75,6 +75,15 @@ def test_current_rows_follow_the_stream(spark, stream, tmp_path):
     assert sorted((r.g, r.k) for r in got.collect()) == [("a", 3), ("b", 2)]
 
 
+def test_append_keeps_rows_without_a_key(spark, stream, tmp_path):
+    add, read = stream
+    path, check = str(tmp_path / "t"), str(tmp_path / "c")
+    add([(None, D(2025, 1, 3), 1.0, "a"), (None, D(2025, 1, 3), 1.0, "a"), (1, D(2025, 1, 3), 1.0, "a")])
+    maintain.stream_append(read(), path, check, ["k"], "d", ["v"]).awaitTermination()
+    got = maintain.streamed_fact(spark, path, "d")
+    assert sorted((r.k or 0, r.yyyymm) for r in got.collect()) == [(0, 202501), (0, 202501), (1, 202501)]
+
+
 def test_append_takes_late_rows_and_each_key_once(spark, stream, tmp_path):
     add, read = stream
     path, check = str(tmp_path / "t"), str(tmp_path / "c")
