@@ -209,7 +209,8 @@ def prepare_rates(raw: DataFrame) -> DataFrame:
 
 def load_rates(mart: Mart, raw: DataFrame) -> DataFrame:
     """Append new and changed rates to the history, then renew their split by risk."""
-    current = _load_history(mart, RATES, prepare_rates(raw), RATE_VALUES, RATE_VALUES)
+    # Read by the pivot, by the split and by the caller.
+    current = stage(_load_history(mart, RATES, prepare_rates(raw), RATE_VALUES, RATE_VALUES), "rates")
     split = cast_to(decompose_rates(current, motor_coverages(mart)), RATES_BY_RISK.schema)
     full_refresh(split, mart.path(RATES_BY_RISK.name))
     return current
