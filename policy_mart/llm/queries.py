@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixture, secrets, shards
+from . import language, lines, mixture, near_duplicates, packing, secrets, shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_language")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the documents of the training fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language.identify_languages(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def _of_kind(kind: int):
     return lambda span: span["kind"] == kind
 
@@ -54,6 +61,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+@query("op4_line_templates")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's lines dropped, and its text without them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.drop_recurring_lines(docs).select("doc_id", "n_lines", "dropped", "is_copy", "text")
+
+
 @query("op5_shards")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard and place in it."""
@@ -67,3 +81,17 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign_shards(docs).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query("op6_probminhash")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class of copies and near copies."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates.near_duplicates(docs).select("doc_id", "class_id", "class_rows", "kept")
+
+
+@query("op7_length_buckets")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's bucket, batch and padding."""
+    packed = packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return packed.select("doc_id", "length", "bucket", "boundary", "batch", "place", "padding")
