@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, lines, mixture, near_duplicates, packing, secrets, shards
+from . import ann, language, lines, mixture, near_duplicates, neighbours, packing, secrets, shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -95,3 +95,15 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's bucket, batch and padding."""
     packed = packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return packed.select("doc_id", "length", "bucket", "boundary", "batch", "place", "padding")
+
+
+@query("op9_nn_descent")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's number of links and its component."""
+    return neighbours.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op10_hnsw")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest others of every fiftieth vector."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
