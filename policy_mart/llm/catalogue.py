@@ -1,4 +1,8 @@
 """What the driver's entry takes from this subpackage."""
 
-from .oracles import ORACLES  # noqa: F401
-from .queries import QUERIES  # noqa: F401
+import corpus_pipeline
+
+from . import oracles, queries
+
+QUERIES = queries.QUERIES | {"pipeline": corpus_pipeline.run}
+ORACLES = oracles.ORACLES | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

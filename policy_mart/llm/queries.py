@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, language, lines, mixture, near_duplicates, neighbours, packing, secrets, shards
+from . import ann, language, lines, mixture, near_duplicates, neighbours, packing, quality, secrets, shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,3 +107,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest others of every fiftieth vector."""
     return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query("op8_kneser_ney")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's perplexity under a model of the documents labelled good and not toxic."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    good = table(spark, sf_dir, "labels").filter("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id")
+    trusted = docs.join(good, "doc_id", "left_semi")
+    scored = quality.score_quality(docs, trusted, columns=["doc_id", "lang"])
+    return scored.select("doc_id", "lang", "n_scored", "perplexity", "adjusted", "threshold", "kept")
