@@ -208,23 +208,23 @@ def one_of_each(found: DataFrame, text: str = "text", key: str = "doc_id") -> Da
 def _classes(docs: DataFrame, roots: DataFrame | None, node, key: str, text: str) -> DataFrame:
     rest = others(docs, "class_id", "class_rows", "kept")
     # A text without content is no copy of another, so its rows stay apart.
-    frame = docs.select(*rest, node.alias("node"), name(key).alias("_llm_key"), (F.length(name(text)) > 0).alias("_llm_text"))
+    frame = docs.select(*rest, node.alias("_llm_node"), name(key).alias("_llm_key"), (F.length(name(text)) > 0).alias("_llm_text"))
     if roots is not None:
-        frame = frame.join(roots.withColumnRenamed("root", "_llm_root"), "node", "left")
+        frame = frame.join(roots.select(F.col("node").alias("_llm_node"), F.col("root").alias("_llm_root")), "_llm_node", "left")
     else:
         frame = frame.withColumn("_llm_root", F.lit(None).cast("binary"))
-    frame = frame.withColumn("_llm_root", F.coalesce("_llm_root", "node"))
+    frame = frame.withColumn("_llm_root", F.coalesce("_llm_root", "_llm_node"))
     content = F.coalesce(F.col("_llm_text"), F.lit(False))
     # One row per class: its size and the first of its rows by key and text.
-    first = F.struct(F.col("_llm_key").isNull().alias("none"), F.col("_llm_key").alias("key"), F.col("node").alias("first_node"))
+    first = F.struct(F.col("_llm_key").isNull().alias("none"), F.col("_llm_key").alias("key"), F.col("_llm_node").alias("first_node"))
     classes = (
-        frame.filter(content).groupBy("_llm_root").agg(F.count(F.lit(1)).alias("class_rows"), F.min(first).alias("_llm_first"))
+        frame.filter(content).groupBy("_llm_root").agg(F.count(F.lit(1)).alias("_llm_rows"), F.min(first).alias("_llm_first"))
     )
     out = frame.join(classes, "_llm_root", "left")
     alone = ~content
     return out.select(
         *rest,
         F.when(alone, F.col("_llm_key")).otherwise(F.col("_llm_first.key")).alias("class_id"),
-        F.when(alone, F.lit(1).cast("long")).otherwise(F.col("class_rows")).alias("class_rows"),
-        (alone | (F.col("_llm_key").eqNullSafe(F.col("_llm_first.key")) & (F.col("node") == F.col("_llm_first.first_node")))).alias("kept"),
+        F.when(alone, F.lit(1).cast("long")).otherwise(F.col("_llm_rows")).alias("class_rows"),
+        (alone | (F.col("_llm_key").eqNullSafe(F.col("_llm_first.key")) & (F.col("_llm_node") == F.col("_llm_first.first_node")))).alias("kept"),
     )

@@ -266,7 +266,8 @@ def _scored_by_joins(docs: DataFrame, text: str, model: DataFrame, order: int, k
     totals = rows.join(seen, "gram").groupBy("doc").agg(
         F.sum("n").alias("_llm_chars"), F.sum(F.col("n") * F.col("log")).alias("_llm_log")
     )
-    found = docs.select(*kept, digest.alias("doc")).join(totals, "doc", "left").drop("doc")
+    totals = totals.withColumnRenamed("doc", "_llm_doc")
+    found = docs.select(*kept, digest.alias("_llm_doc")).join(totals, "_llm_doc", "left").drop("_llm_doc")
     return found.withColumn("_llm_chars", F.coalesce("_llm_chars", F.lit(0).cast("long")))
 
 

@@ -44,7 +44,10 @@ CLASSES = (
     CharClass("base64", _DIGITS + _LOWER + _UPPER + "+/_=-", "A-Za-z0-9+/_=-", 24, 24, 3.8, ("[0-9].*[0-9]", "[a-z]", "[A-Z]")),
 )
 
-#: Candidates that look random and are none: UUIDs, placeholders, runs of the alphabet, checksums
+#: The longest strings that candidates are part of, which the allow-list is held against.
+WHOLE = "[A-Za-z0-9+/_=-]{16,}"
+
+#: Strings that look random and are no secrets: UUIDs, placeholders, runs of the alphabet, checksums
 #: of packages, dates.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
@@ -150,6 +153,11 @@ def _allowed(hit: Column, patterns: Sequence[str]) -> Column:
     return found
 
 
+def _outside(spans: str):
+    """A test that a span lies within none of `spans`."""
+    return lambda s: ~F.exists(spans, lambda o: (o["first"] <= s["first"]) & (s["until"] <= o["until"]))
+
+
 def scan_secrets(
     docs: DataFrame,
     text: str = "text",
@@ -159,8 +167,8 @@ def scan_secrets(
     """`docs` with `secrets`: an array of (first, kind, until, hit), by start and then kind.
 
     Kinds: 0 an assignment to a secret's name, 1 an access key, 2 a hexadecimal run; from 3 on one per
-    class of `classes`: a run of the class with a window of high entropy, unless it matches a
-    pattern of `allowed` or lies within a span already found. Positions are code points from 0,
+    class of `classes`: a run of the class with a window of high entropy, unless the whole string
+    that it is part of matches a pattern of `allowed`, or it lies within a span already found. Positions are code points from 0,
     `until` is exclusive. Base kinds are leftmost and do not overlap within a kind, and the
     allow-list does not touch them.
 
@@ -181,16 +189,26 @@ def scan_secrets(
     )
     base = F.concat("_llm_k0", "_llm_k1", "_llm_k2")
     frame = frame.withColumn("_llm_found", base).drop("_llm_k0", "_llm_k1", "_llm_k2")
+    news = []
     for kind, cls in enumerate(classes, start=3):
         run = f"[{cls.chars}]{{{cls.least},}}"
         near = f"(?=[{cls.chars}]*[0-9]){run}"
-        random = _spans(t, run, kind, t.rlike(near), _random(cls))
-        frame = frame.withColumn("_llm_new", F.filter(random, lambda s: ~_allowed(s["hit"], allowed)))
-        fresh = F.filter(
+        frame = frame.withColumn(f"_llm_c{kind}", _spans(t, run, kind, t.rlike(near), _random(cls)))
+        news.append(F.col(f"_llm_c{kind}"))
+    frame = frame.withColumn("_llm_new", F.concat(*news)).drop(*[f"_llm_c{k}" for k in range(3, 3 + len(classes))])
+    is_allowed = lambda hit: _allowed(hit, allowed)
+    frame = frame.withColumn("_llm_allowed", _spans(t, WHOLE, 0, F.size("_llm_new") > 0, is_allowed))
+    for known in ("_llm_allowed", "_llm_found"):
+        frame = frame.withColumn("_llm_new", F.filter("_llm_new", _outside(known)))
+    # A string of two classes is listed for the first.
+    fresh = F.filter(
+        "_llm_new",
+        lambda s: ~F.exists(
             "_llm_new",
-            lambda s: ~F.exists("_llm_found", lambda f: (f["first"] <= s["first"]) & (s["until"] <= f["until"])),
-        )
-        frame = frame.withColumn("_llm_found", F.concat("_llm_found", fresh))
+            lambda o: (o["kind"] < s["kind"]) & (o["first"] <= s["first"]) & (s["until"] <= o["until"]),
+        ),
+    )
+    frame = frame.withColumn("_llm_found", F.concat("_llm_found", fresh))
     return frame.select(*rest, F.array_sort("_llm_found").alias("secrets"))
 
 
