@@ -301,18 +301,18 @@ def score_quality(
         docs.select(*[name(c) for c in columns]) if columns else docs, "n_scored", "perplexity", "adjusted", "threshold", "kept"
     )
     kept.append(name(lang).alias("_llm_language"))
-    known = trusted.select(name(text)).filter(F.length(F.trim(name(text))) > 0)
+    known = trusted.select(name(text)).filter(name(text).rlike(r"\S"))
     model = train(known, shelf, order)
     entries = model.count()
     if entries == 0:
-        chars = F.coalesce(F.length(F.trim(name(text))), F.lit(0)).cast("long")
+        content = F.coalesce(name(text).rlike(r"\S"), F.lit(False))
         return docs.select(
             *kept[:-1],
-            chars.alias("n_scored"),
+            F.lit(0).cast("long").alias("n_scored"),
             F.lit(None).cast("double").alias("perplexity"),
             F.lit(None).cast("double").alias("adjusted"),
             F.lit(None).cast("double").alias("threshold"),
-            (chars > 0).alias("kept"),
+            content.alias("kept"),
         )
     if entries <= sent_entries:
         scored = _scored_by_task(docs, text, model, order, kept)

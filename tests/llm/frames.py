@@ -13,7 +13,7 @@ EXTRA = ("big", 1, "d", "s", 2, "k", "b", 3)
 
 def words(seed: int, n: int, vocabulary: int = 400) -> str:
     r = random.Random(seed)
-    return " ".join(f"{'abcdefghij'[r.randrange(10)]}w{'klmnopqrst'[r.randrange(10)]}{r.randrange(vocabulary) // 100}x" for _ in range(n))
+    return " ".join(f"{'abcdefghij'[r.randrange(10)]}w{'klmnopqrst'[r.randrange(10)]}{'uvyz'[r.randrange(vocabulary) // 100]}x" for _ in range(n))
 
 
 def messy_rows() -> list[tuple]:
