@@ -13,7 +13,7 @@ from policy_mart.llm import language, lines, mixture, near_duplicates, packing
 from policy_mart.llm._work import Shelf, name
 
 #: Documents whose language is less sure than this are rejected, as are those without a letter.
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +32,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of copies and near copies."""
-    return _columns(near_duplicates.one_of_each(near_duplicates.near_duplicates(docs)), docs)
+    return near_duplicates.one_of_each(docs)
 
 
 def mixture_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,5 +66,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     shelf = Shelf(spark, "corpus")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
-        docs = shelf.put(stage(spark, docs, sf_dir))
+        docs = shelf.last(stage(spark, docs, sf_dir))
     return docs

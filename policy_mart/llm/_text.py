@@ -8,7 +8,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Texts are taken together up to so many characters; a longer one is taken alone, whole.
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
 
 _PRIME = np.uint64(0x100000001B3)
 _ODD = np.uint64(0x9E3779B97F4A7C15)

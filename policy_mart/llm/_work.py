@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +23,7 @@ class Shelf:
         self.root = work_dir(spark, name)
         self._n = 0
         self._paths: dict[int, str] = {}
+        self._frames: list[DataFrame] = []
 
     def put(self, df: DataFrame) -> DataFrame:
         self._n += 1
@@ -27,6 +31,7 @@ class Shelf:
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(out)] = path
+        self._frames.append(out)
         return out
 
     def drop(self, *frames: DataFrame) -> None:
@@ -37,6 +42,12 @@ class Shelf:
                 target = jvm.org.apache.hadoop.fs.Path(path)
                 target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
+    def last(self, df: DataFrame) -> DataFrame:
+        """Write the table that a result reads, and remove all others."""
+        out = self.put(df)
+        self.drop(*[f for f in self._frames if f is not out])
+        return out
+
 
 def name(column: str) -> Column:
     """A column by its literal name, dots included."""
@@ -47,3 +58,23 @@ def others(df: DataFrame, *replaced: str) -> list[Column]:
     """All columns but those an operator writes itself."""
     gone = {r.lower() for r in replaced}
     return [name(c) for c in df.columns if c.lower() not in gone]
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
+    """The runs of rows that agree in `keys`, of rows sorted by them, across batches."""
+    held: list[pa.RecordBatch] = []
+    current = None
+    for batch in batches:
+        values = list(zip(*[batch.column(k).to_pylist() for k in keys], strict=True))
+        start = 0
+        for i in range(batch.num_rows):
+            if values[i] != current:
+                if i > start:
+                    held.append(batch.slice(start, i - start))
+                if held:
+                    yield pa.Table.from_batches(held)
+                held, current, start = [], values[i], i
+        if start < batch.num_rows:
+            held.append(batch.slice(start))
+    if held:
+        yield pa.Table.from_batches(held)

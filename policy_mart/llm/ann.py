@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._work import Shelf
+from ._work import Shelf, runs
 from .neighbours import comparable, norms, unit_rows
 
 #: Rows of a shard, which one task indexes, and queries that search a shard together.
@@ -141,7 +141,8 @@ def build_index(vectors: DataFrame, kind: str, shards: int, links: int = 12, wid
     """
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, part in _by(batches, "shard"):
+        for part in runs(batches, ["shard"]):
+            shard = part.column("shard")[0].as_py()
             order = np.argsort(part.column("id").to_numpy())
             part = part.take(pa.array(order))
             column = part.column("vec").combine_chunks()
@@ -163,25 +164,6 @@ def build_index(vectors: DataFrame, kind: str, shards: int, links: int = 12, wid
     return sharded.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(index, INDEX)
 
 
-def _by(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[int, pa.Table]]:
-    """The runs of equal `column` in sorted rows."""
-    held: list[pa.RecordBatch] = []
-    current = None
-    for batch in batches:
-        values = batch.column(column).to_numpy()
-        cuts = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            if a == b:
-                continue
-            if held and values[a] != current:
-                yield int(current), pa.Table.from_batches(held)
-                held = []
-            current = values[a]
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield int(current), pa.Table.from_batches(held)
-
-
 def search_index(index: DataFrame, queries: DataFrame, kind: str, shards: int, k: int, width: int = 96) -> DataFrame:
     """(query_id, vec_id, score): each shard's k best others of each query (columns id, vec).
 
@@ -191,7 +173,7 @@ def search_index(index: DataFrame, queries: DataFrame, kind: str, shards: int, k
     blocks = max(1, ceil(n / QUERY_BLOCK))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, part in _by(batches, "block"):
+        for part in runs(batches, ["block"]):
             yield pa.RecordBatch.from_pydict(
                 {
                     "q_ids": pa.array([part.column("id").to_numpy().tobytes()], pa.binary()),

@@ -7,14 +7,16 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._graph import components
 from ._text import chunks, mix64, shingles
-from ._work import Shelf, name, others
+from ._work import Shelf, name, others, runs
 
 _STEP = np.uint64(0xD1342543DE82EF95)
+#: Texts of a block, and shingles that are compared at once.
+BLOCK, COLUMNS = 128, 8192
 
 
 def signatures(hashes: np.ndarray, owner: np.ndarray, weight: np.ndarray, n: int, size: int) -> np.ndarray:
@@ -74,18 +76,24 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float((1.0 / (above / x + below / y)).sum()), plain
 
 
+def importance(count: np.ndarray) -> np.ndarray:
+    """The weight of a shingle that a text has `count` times: dampened, so that a phrase repeated over and over
+    does not outweigh all the rest of two texts."""
+    return 1.0 + np.log(count)
+
+
 def _banded(texts: DataFrame, width: int, size: int, bands: int) -> DataFrame:
     """(node, key): the band keys of texts (columns node, text); none for texts without words."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(1).to_pylist()
-            for a, b in chunks(column, 1 << 19):
+            for a, b in chunks(column):
                 hashes, owner, count = shingles(column[a:b], width)
                 present, owner = np.unique(owner, return_inverse=True)
                 if not len(present):
                     continue
-                keys = band_keys(signatures(hashes, owner, count, len(present), size), bands)
+                keys = band_keys(signatures(hashes, owner, importance(count), len(present), size), bands)
                 rows = pa.array(np.repeat(a + present, bands))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(rows), pa.array(keys.ravel())], names=["node", "key"]
@@ -105,7 +113,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: float)
     def weighted(text: str) -> tuple[np.ndarray, np.ndarray]:
         hashes, _, count = shingles([text], width)
         order = np.argsort(hashes)
-        return hashes[order], count[order]
+        return hashes[order], importance(count[order])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, sets = None, None  # the pairs of a node often follow one another
@@ -122,7 +130,138 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: float)
     return both.mapInArrow(verify, "a binary, b binary")
 
 
-def near_duplicates(
+def _prefix_pairs(nodes: DataFrame, texts: DataFrame, shelf: Shelf, width: int, threshold: float) -> DataFrame:
+    """(a, b): the pairs of nodes (columns node, root, centre) of different roots and centres that could be
+    similar; no similar pair is missing.
+
+    Each node lists its shingles by how few nodes have them. If fractions u and v of two texts' weight are not
+    common, their probability Jaccard is at most (1 - u)(1 - v) / (1 - u v), and their plain Jaccard is just that, u and v
+    being fractions of the number. All that stands before a pair's first common shingle is not common. So the
+    lists meet only where what stands before a shingle on either side leaves room for `threshold`. A passage that
+    many texts share comes last in their lists and makes no pairs of them, unless it is nearly all they have.
+    """
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(3).to_pylist()
+            for a, b in chunks(column):
+                hashes, owner, count = shingles(column[a:b], width)
+                weight = importance(count)
+                at = pa.array(a + owner)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(at),
+                        batch.column(1).take(at),
+                        batch.column(2).take(at),
+                        pa.array(hashes.view(np.int64)),
+                        pa.array(weight),
+                        pa.array(np.bincount(owner, weight, minlength=b - a)[owner]),
+                        pa.array(np.bincount(owner, minlength=b - a)[owner]),
+                    ],
+                    names=["node", "root", "centre", "shingle", "weight", "all_weight", "all_n"],
+                )
+
+    schema = "node binary, root binary, centre binary, shingle long, weight double, all_weight double, all_n long"
+    rows = shelf.put(texts.join(nodes, "node").select("node", "root", "centre", "text").mapInArrow(listed, schema))
+    # Shingles of one node alone come first in every list; it is enough to know how many there are.
+    spread = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("nodes"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    ordered = Window.partitionBy("node").orderBy("nodes", "shingle")
+    whole = Window.partitionBy("node")
+    n_before = F.col("all_n") - F.count(F.lit(1)).over(whole) + F.row_number().over(ordered) - 1
+    weight_before = F.col("all_weight") - F.sum("weight").over(whole) + F.sum("weight").over(ordered) - F.col("weight")
+    placed = rows.join(spread.filter("nodes > 1"), "shingle").select(
+        "shingle", "node", "root", "centre", "lo", "hi", (n_before / F.col("all_n")).alias("u_n"), (weight_before / F.col("all_weight")).alias("u_w")
+    )
+    least = F.lit(threshold - 1e-9)
+    room = (1 - F.col("u_n") >= least) | (1 - F.col("u_w") >= least)
+    prefix = shelf.put(placed.filter(room & (F.col("lo") < F.col("hi"))).drop("lo", "hi"))
+    other = prefix.select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("node", "root", "centre", "u_n", "u_w")])
+
+    def bound(u: str):
+        v = F.col(f"{u}_a")
+        return (1 - F.col(u)) * (1 - v) >= least * (1 - F.col(u) * v)
+
+    apart = (F.col("root") != F.col("root_a")) & (F.col("centre") != F.col("centre_a")) & (F.col("node_a") < F.col("node"))
+    met = prefix.join(other, "shingle").filter(apart & (bound("u_n") | bound("u_w")))
+    return met.select(F.col("node_a").alias("a"), F.col("node").alias("b"))
+
+
+def _block_links(nodes: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
+    """(a, b): the similar pairs of nodes (columns node, root, centre) of the same centre and different roots.
+
+    Around an original there may be thousands of texts that are nearly, but not quite, similar to each other.
+    They are compared in pairs of blocks: products of matrices give what two texts have in common, and
+    only links come out. Blocks are in the order of roots, and those of one root alone do not meet.
+    """
+    cut = Window.partitionBy("centre").orderBy("root", "node")
+    placed = nodes.withColumn("block", F.floor((F.row_number().over(cut) - 1) / BLOCK).cast("int"))
+    spread = placed.groupBy("centre", "block").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    other = spread.select("centre", *[F.col(c).alias(f"{c}_b") for c in ("block", "lo", "hi")])
+    meet = (F.col("block") <= F.col("block_b")) & ((F.col("lo") != F.col("hi_b")) | (F.col("hi") != F.col("lo_b")))
+    pairs = spread.join(other, "centre").filter(meet).select("centre", F.col("block").alias("i"), F.col("block_b").alias("j"))
+    sides = pairs.select("centre", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
+    rows = (
+        sides.join(placed, ["centre", "block"])
+        .join(texts, "node")
+        .select(F.xxhash64("centre", "i", "j").alias("group"), "i", "j", "block", "node", "root", "text")
+        .repartition("group")
+        .sortWithinPartitions("group", "i", "j")
+    )
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in runs(batches, ["group", "i", "j"]):
+            a, b = _links_in(part, width, threshold)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+    return rows.mapInArrow(compare, "a binary, b binary")
+
+
+def _links_in(part: pa.Table, width: int, threshold: float) -> tuple[list[bytes], list[bytes]]:
+    """The similar pairs of different roots between two blocks (or within one) of texts."""
+    block, node, root = (part.column(c).to_pylist() for c in ("block", "node", "root"))
+    left = [k for k, x in enumerate(block) if x == part.column("i")[0].as_py()]
+    right = [k for k, x in enumerate(block) if x == part.column("j")[0].as_py()]
+    hashes, owner, count = shingles(part.column("text").to_pylist(), width)
+    weight = importance(count)
+    all_n, all_w = np.bincount(owner, minlength=len(block)), np.bincount(owner, weight, minlength=len(block))
+    _, column, times = np.unique(hashes, return_inverse=True, return_counts=True)
+    shared = times[column] > 1  # what one text has alone is common to none
+    order = np.flatnonzero(shared)[np.argsort(column[shared], kind="stable")]
+    column, row, weight_of = column[order], owner[order], weight[order]
+    common, common_x, common_y = (np.zeros((len(left), len(right))) for _ in range(3))
+    edges = np.flatnonzero(np.diff(column, prepend=-1))  # where a column begins
+    for first in range(0, len(edges), COLUMNS):
+        a = edges[first]
+        b = edges[first + COLUMNS] if first + COLUMNS < len(edges) else len(column)
+        _, c = np.unique(column[a:b], return_inverse=True)
+        has, weighs = np.zeros((2, len(block), c.max() + 1), np.float32)
+        has[row[a:b], c], weighs[row[a:b], c] = 1.0, weight_of[a:b]
+        common += has[left] @ has[right].T
+        common_x += weighs[left] @ has[right].T
+        common_y += has[left] @ weighs[right].T
+    plain = common / np.maximum(all_n[left][:, None] + all_n[right][None, :] - common, 1)
+    x, y = common_x / np.maximum(all_w[left][:, None], 1e-300), common_y / np.maximum(all_w[right][None, :], 1e-300)
+    most = x * y / np.maximum(x + y - x * y, 1e-300)  # what probability Jaccard can be, at most
+    apart = np.array([[root[p] != root[q] for q in right] for p in left], bool).reshape(common.shape)
+    if left == right:
+        apart &= np.triu(np.ones_like(apart), 1)
+    found: tuple[list[bytes], list[bytes]] = ([], [])
+    sets: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for p, q in zip(*np.nonzero(apart & ((plain >= threshold) | (most >= threshold - 1e-4))), strict=True):
+        pair = []
+        for k in (left[p], right[q]):
+            if k not in sets:
+                own = owner == k
+                by = np.argsort(hashes[own])
+                sets[k] = (hashes[own][by], weight[own][by])
+            pair.append(sets[k])
+        if max(similarity(*pair)) >= threshold:
+            found[0].append(node[left[p]])
+            found[1].append(node[right[q]])
+    return found
+
+
+def classes(
     docs: DataFrame,
     text: str = "text",
     key: str = "doc_id",
@@ -130,28 +269,11 @@ def near_duplicates(
     threshold: float = 0.8,
     size: int = 160,
     bands: int = 32,
-    star_rounds: int = 3,
+    star_rounds: int = 1,
 ) -> DataFrame:
-    """`docs` with `class_id`, `class_rows` and `kept`: classes of copies and near copies.
-
-    Equal texts are one node. Two nodes are linked if they share a band of their ProbMinHash
-    signatures and their exact probability Jaccard, or plain Jaccard, over shingles of `width`
-    words weighted by count is `threshold` or more; a pair at 0.8 shares no band with probability
-    3e-6. Classes are the components of the links; `class_id` is the smallest key in the class,
-    and the row with it, in the first of its texts, is `kept`. Rows that agree in key and text are the
-    same document and share `kept`; `one_of_each` leaves one of them.
-
-    A bucket never emits its pairs. In star rounds each bucket's nodes are verified against one node of it, another
-    each round, and components found so far are left out, so a group of thousands of near copies costs
-    a few verifications a node. Only nodes of a bucket that are still in different components are then
-    verified with each other, all of them, so no link between components is lost.
-
-    Null texts and texts without words are classes of their own, except equal non-empty ones. Keys may be null or
-    repeat: a null key is never the smallest unless the class has no other. Output columns replace input columns of the same name. An empty
-    table gives an empty table.
-    """
-    spark = docs.sparkSession
-    shelf = Shelf(spark, "near-duplicates")
+    """One row per distinct text (`node`, its digest): `class_id`, `class_rows`, the text (`first_node`)
+    and number of rows (`repeats`) of the class's first key. See `near_duplicates`."""
+    shelf = Shelf(docs.sparkSession, "near-duplicates")
     node = F.unhex(F.md5(name(text)))
     source = docs.select(node.alias("node"), name(text).alias("text")).filter(F.length("text") > 0)
     banded = shelf.put(_banded(source, width, size, bands).distinct())
@@ -161,70 +283,107 @@ def near_duplicates(
     nodes = buckets.select("node").distinct()
     texts = shelf.put(source.join(nodes, "node", "left_semi").dropDuplicates(["node"]))
 
-    links: list[tuple[DataFrame, DataFrame]] = []  # pairs tried, and those found
-    roots = None
+    # The node that meets most others, such as the original of many copies, is the first centre.
+    degree = buckets.join(buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key").groupBy("node").agg(F.sum("n").alias("degree"))
+    buckets = shelf.put(buckets.join(degree, "node"))
+
+    tried: list[tuple[DataFrame, DataFrame]] = []  # pairs, and those of them that are linked
+    roots: DataFrame | None = None
     for turn in range(star_rounds + 1):
         members = buckets if roots is None else buckets.join(roots, "node", "left")
         root = F.col("node") if roots is None else F.coalesce("root", "node")
-        members = members.select("key", "node", root.alias("root"))
+        members = members.select("key", "node", "degree", root.alias("root"))
         # Buckets that lie in one component have nothing left to say.
-        open_keys = members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-        members = members.join(open_keys, "key", "left_semi")
+        spread = members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
+        members = members.join(spread.select("key"), "key", "left_semi")
         if turn < star_rounds:
-            lot = F.struct(F.xxhash64(F.lit(turn), "node").alias("lot"), "node", "root")
-            centre = members.groupBy("key").agg(F.min(lot).alias("c")).select("key", F.col("c.node").alias("a"), F.col("c.root").alias("root_a"))
+            lot = -F.col("degree") if turn == 0 else F.xxhash64(F.lit(turn), "node")
+            lot = F.struct(lot.alias("lot"), "node", "root")
+            centre = members.groupBy("key").agg(F.min(lot).alias("c"))
+            centre = centre.select("key", F.col("c.node").alias("a"), F.col("c.root").alias("root_a"))
             pairs = members.join(centre, "key").filter("root <> root_a").select("a", F.col("node").alias("b"))
         else:
-            other = members.select("key", F.col("node").alias("a"), F.col("root").alias("root_a"))
-            pairs = members.join(other, "key").filter("root <> root_a and a < node").select("a", F.col("node").alias("b"))
+            centre = members.groupBy("key").agg(F.max(F.struct("degree", "node")).alias("c"))
+            nodes = members.join(centre, "key").groupBy("node", "root").agg(F.max("c").alias("c"))
+            nodes = shelf.put(nodes.select("node", "root", F.col("c.node").alias("centre")))
+            pairs = _prefix_pairs(nodes, texts, shelf, width, threshold)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        for seen, _ in links:
+        for seen, _ in tried:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")
         pairs = shelf.put(pairs)
-        found = shelf.put(_verified(pairs, texts, width, threshold))
-        links.append((pairs, found))
-        if found.isEmpty():
-            if turn == star_rounds:
-                break
-            continue
-        roots = shelf.put(components(reduce(DataFrame.unionByName, [f for _, f in links]), shelf))
-    return _classes(docs, roots, node, key, text)
-
-
-def one_of_each(found: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The kept rows of `near_duplicates`, once each. Only if some rows are repeated are rows
-    compared, by key and text."""
-    kept = found.filter("kept")
-    text_id = F.md5(F.coalesce(name(text), F.lit("")))
-    same = [name(key).alias("_llm_key"), text_id.alias("_llm_text")]
-    if kept.filter(F.length(name(text)) > 0).groupBy(*same).count().filter("count > 1").isEmpty():
-        return kept
-    # Rows without text are no copies of each other, whatever their key.
-    blank = F.coalesce(F.length(name(text)) == 0, F.lit(True))
-    rows = kept.filter(~blank).select("*", *same).dropDuplicates(["_llm_key", "_llm_text"]).drop("_llm_key", "_llm_text")
-    return rows.unionByName(kept.filter(blank))
-
-
-def _classes(docs: DataFrame, roots: DataFrame | None, node, key: str, text: str) -> DataFrame:
-    rest = others(docs, "class_id", "class_rows", "kept")
-    # A text without content is no copy of another, so its rows stay apart.
-    frame = docs.select(*rest, node.alias("_llm_node"), name(key).alias("_llm_key"), (F.length(name(text)) > 0).alias("_llm_text"))
-    if roots is not None:
-        frame = frame.join(roots.select(F.col("node").alias("_llm_node"), F.col("root").alias("_llm_root")), "_llm_node", "left")
+        found = _verified(pairs, texts, width, threshold)
+        if turn == star_rounds:
+            found = found.unionByName(_block_links(nodes, texts, width, threshold))
+        found = shelf.put(found)
+        tried.append((pairs, found))
+        if not found.isEmpty():
+            roots = components(reduce(DataFrame.unionByName, [f for _, f in tried]), shelf)
+
+    rows = docs.filter(F.length(name(text)) > 0).groupBy(node.alias("node"), name(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    first = F.struct(F.col("key").isNull().alias("none"), F.col("key").alias("key"), "node", F.col("n").alias("repeats"))
+    own = rows.groupBy("node").agg(F.sum("n").alias("n"), F.min(first).alias("first"))
+    if roots is None:
+        joined = own.withColumn("root", F.col("node"))
     else:
-        frame = frame.withColumn("_llm_root", F.lit(None).cast("binary"))
-    frame = frame.withColumn("_llm_root", F.coalesce("_llm_root", "_llm_node"))
-    content = F.coalesce(F.col("_llm_text"), F.lit(False))
-    # One row per class: its size and the first of its rows by key and text.
-    first = F.struct(F.col("_llm_key").isNull().alias("none"), F.col("_llm_key").alias("key"), F.col("_llm_node").alias("first_node"))
-    classes = (
-        frame.filter(content).groupBy("_llm_root").agg(F.count(F.lit(1)).alias("_llm_rows"), F.min(first).alias("_llm_first"))
+        joined = own.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    whole = joined.groupBy("root").agg(F.sum("n").alias("class_rows"), F.min("first").alias("first"))
+    table = joined.select("node", "root").join(whole, "root").select(
+        "node",
+        F.col("first.key").alias("class_id"),
+        "class_rows",
+        F.col("first.node").alias("first_node"),
+        F.col("first.repeats").alias("repeats"),
     )
-    out = frame.join(classes, "_llm_root", "left")
-    alone = ~content
+    return shelf.last(table)
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", **settings) -> DataFrame:
+    """`docs` with `class_id`, `class_rows` and `kept`: classes of copies and near copies.
+
+    Equal texts are one node. Two nodes are linked if they share a band of their ProbMinHash
+    signatures and their exact probability Jaccard, or plain Jaccard, over shingles of `width`
+    words weighted by dampened count is `threshold` or more; a pair at 0.8 shares no band with probability
+    3e-6. Classes are the components of the links; `class_id` is the smallest key in the class,
+    and the row with it, in the first of its texts, is `kept`. Rows that agree in key and text are the
+    same document and share `kept`; `one_of_each` leaves one of them.
+
+    A bucket never emits its pairs. In star rounds each bucket's nodes are verified against one node of it, first the
+    one that meets most others, then, in further rounds, one by lot, and components found so far are left out, so a group of thousands of near copies costs
+    a few verifications a node. The nodes of buckets that are still in several components are then
+    compared without loss: those around the same centre in blocks (`_block_links`), which emit links only, and
+    others where an exact prefix filter lets them meet (`_prefix_pairs`).
+
+    Null texts and texts without words are classes of their own, except equal non-empty ones. Keys may be null or
+    repeat: a null key is never the smallest unless the class has no other. Output columns replace input columns of the same name. An empty
+    table gives an empty table. For `settings` see `classes`.
+    """
+    return _with_classes(docs, classes(docs, text, key, **settings), text, key)
+
+
+def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", **settings) -> DataFrame:
+    """The kept documents of `near_duplicates`, once each. Only if a kept document is repeated are rows
+    compared, by key and text. Null and empty texts are no copies of each other, so all of them stay."""
+    table = classes(docs, text, key, **settings)
+    kept = _with_classes(docs, table, text, key).filter("kept")
+    columns = [name(c) for c in docs.columns]
+    if table.filter("repeats > 1").isEmpty():
+        return kept.select(*columns)
+    same = [name(key).alias("_llm_key"), F.md5(name(text)).alias("_llm_text"), (F.coalesce(F.length(name(text)), F.lit(0)) == 0).alias("_llm_blank")]
+    rows = kept.select(*columns, *same)
+    once = rows.filter(~F.col("_llm_blank")).dropDuplicates(["_llm_key", "_llm_text"])
+    return once.unionByName(rows.filter("_llm_blank")).select(*columns)
+
+
+def _with_classes(docs: DataFrame, table: DataFrame, text: str, key: str) -> DataFrame:
+    rest = others(docs, "class_id", "class_rows", "kept")
+    frame = docs.select(*rest, F.unhex(F.md5(name(text))).alias("_llm_node"), name(key).alias("_llm_key"))
+    table = table.select(*[F.col(c).alias(f"_llm_{c}") for c in ("node", "class_id", "class_rows", "first_node")])
+    out = frame.join(table, "_llm_node", "left")
+    alone = F.col("_llm_class_rows").isNull()
+    is_first = F.col("_llm_key").eqNullSafe(F.col("_llm_class_id")) & (F.col("_llm_node") == F.col("_llm_first_node"))
     return out.select(
         *rest,
-        F.when(alone, F.col("_llm_key")).otherwise(F.col("_llm_first.key")).alias("class_id"),
-        F.when(alone, F.lit(1).cast("long")).otherwise(F.col("_llm_rows")).alias("class_rows"),
-        (alone | (F.col("_llm_key").eqNullSafe(F.col("_llm_first.key")) & (F.col("_llm_node") == F.col("_llm_first.first_node")))).alias("kept"),
+        F.when(alone, F.col("_llm_key")).otherwise(F.col("_llm_class_id")).alias("class_id"),
+        F.coalesce("_llm_class_rows", F.lit(1).cast("long")).alias("class_rows"),
+        (alone | is_first).alias("kept"),
     )

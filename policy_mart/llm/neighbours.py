@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._graph import components
-from ._work import Shelf, name
+from ._work import Shelf, name, runs
 
 #: A group that one local join compares at once; larger ones are cut into such parts.
 GROUP = 128
@@ -65,24 +65,6 @@ def norms(x: np.ndarray) -> np.ndarray:
     return top * np.sqrt(((x / top[:, None]) ** 2).sum(axis=1))
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The runs of equal `group` in sorted rows, across batches."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        codes = batch.column(0).to_numpy(zero_copy_only=False)
-        cuts = [0, *(np.flatnonzero(codes[1:] != codes[:-1]) + 1).tolist(), batch.num_rows]
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            part = batch.slice(a, b - a)
-            if held and held[-1].column(0)[0].as_py() != part.column(0)[0].as_py():
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(part)
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _local_join(members: DataFrame, k: int, threshold: float, kind: str) -> DataFrame:
     """(a, b, sim): each member's best others in its group, if better than the worst it has, and the
     links of the member with the most links.
@@ -91,7 +73,7 @@ def _local_join(members: DataFrame, k: int, threshold: float, kind: str) -> Data
     """
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches):
+        for group in runs(batches, ["group"]):
             n = group.num_rows
             if n < 2:
                 continue
@@ -247,7 +229,7 @@ def _full_links(members: DataFrame, shelf: Shelf, threshold: float, kind: str) -
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches):
+        for group in runs(batches, ["group"]):
             ids, block = group.column("id").to_numpy(), group.column("block").to_numpy()
             x = unit_rows(group.column("vec").combine_chunks(), kind)
             linked = x @ x.T >= threshold
