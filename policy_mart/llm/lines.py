@@ -12,9 +12,9 @@ FIELD = "<*>"
 
 
 def masked_tokens(line: Column) -> Column:
-    """The tokens of a line; those with a digit are variable fields."""
-    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"\S*[0-9]\S*", FIELD)).otherwise(line)
-    return F.filter(F.split(masked, r"\s+"), lambda t: t != "")
+    """The tokens of a line, which blanks part; those with a digit are variable fields."""
+    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, "[^ ]*[0-9][^ ]*", FIELD)).otherwise(line)
+    return F.array_remove(F.split(masked, " "), "")
 
 
 def _text_id(text: Column) -> Column:
@@ -33,19 +33,21 @@ def recurring_lines(docs: DataFrame, shelf: Shelf, text: str, depth: int, least_
     exploded = docs.select(name(text).alias("_t")).filter(F.col("_t").isNotNull()).select(
         _text_id(F.col("_t")).alias("doc"), F.posexplode(F.split("_t", "\n")).alias("at", "line")
     )
-    tokens = exploded.select("doc", "at", F.xxhash64("line").alias("line"), masked_tokens(F.col("line")).alias("tokens"))
-    tokens = tokens.filter(F.size("tokens") > 0)
-    leaf = F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth))
-    narrow = tokens.select("doc", "at", "line", leaf.alias("leaf"), F.size("tokens").alias("n"))
+    # A line of blanks has no tokens. This is said of the line, so that tokens are made once.
+    tokens = exploded.filter(F.length(F.trim("line")) > 0).withColumn("tokens", masked_tokens(F.col("line")))
+    leaf = F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf")
     # Equal texts are one text here: a copied document does not make its lines recur.
+    narrow = tokens.select("doc", "at", F.xxhash64("line").alias("line"), leaf, F.size("tokens").alias("n"))
     lines = shelf.put(narrow.dropDuplicates(["doc", "at"]))
-    leaves = (
-        lines.select("leaf", "doc").distinct().groupBy("leaf").count().filter(F.col("count") >= least_docs).select("leaf")
-    )
+    leaves = lines.select("leaf", "doc").distinct().groupBy("leaf").count().filter(F.col("count") >= least_docs)
+    # Joined by a shuffle at any size: there is no bound on the number of leaves.
+    leaves = shelf.put(leaves.select("leaf")).hint("merge")
     # The distinct lines of leaves that could hold a recurring template, with the lines' frequency.
     weights = lines.join(leaves, "leaf", "left_semi").groupBy("line").agg(F.count(F.lit(1)).alias("times"))
-    wide = tokens.select("line", leaf.alias("leaf"), "tokens").dropDuplicates(["line"])
-    kept = shelf.put(wide.join(weights, "line"))
+    # Lines are shuffled as they are, and only those of such leaves are cut into tokens again.
+    wide = tokens.select(leaf, F.col("line").alias("_line")).join(leaves, "leaf", "left_semi")
+    wide = wide.select("leaf", F.xxhash64("_line").alias("line"), "_line").dropDuplicates(["line"]).join(weights, "line")
+    kept = shelf.put(wide.select("leaf", "line", "times", masked_tokens(F.col("_line")).alias("tokens")))
     behind = kept.select(
         "line", "leaf", "times", F.posexplode(F.slice("tokens", depth + 1, 1 << 30)).alias("pos", "token")
     )
@@ -98,7 +100,7 @@ def drop_recurring_lines(
     shelf = Shelf(docs.sparkSession, "line-templates")
     lines, drops = recurring_lines(docs, shelf, text, depth, least_docs, constant)
     marked = lines.join(drops.select("line", F.lit(True).alias("drop")), "line", "left")
-    found = (
+    found = shelf.last(
         marked.groupBy("doc")
         .agg(
             F.sum(F.when(F.col("drop"), F.col("n")).otherwise(0)).alias("lost"),
@@ -112,7 +114,7 @@ def drop_recurring_lines(
             (F.col("lost") > F.lit(copy_share) * F.col("all")).alias("_llm_copy"),
         )
     )
-    frame = docs.select("*", _text_id(name(text)).alias("_llm_doc")).join(found, "_llm_doc", "left")
+    frame = docs.select("*", _text_id(name(text)).alias("_llm_doc")).join(found.hint("merge"), "_llm_doc", "left")
     is_copy = F.coalesce("_llm_copy", F.lit(False))
     none = F.array().cast("array<int>")
     frame = frame.withColumn("_llm_drop", F.when(is_copy | F.col("_llm_numbers").isNull(), none).otherwise(F.col("_llm_numbers")))
