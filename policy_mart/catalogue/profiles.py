@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_start
-from ..functions.numbers import units
+from ..functions.numbers import UNITS_TYPE, units
 from ..operators.profiles import agent_profile, outer_totals, result_profile
 from ..operators.rollup import additive_rollup, claims_rollup
 from ..plans.facts import prepare_claim_payments
@@ -26,7 +26,7 @@ def profile_rows(spark, sf_dir):
     s = s.select("s_suppkey", F.col("s_nationkey").cast("bigint").alias("CodOrganizador"))
     lines = li.join(o, li["l_orderkey"] == o["o_orderkey"]).join(s, li["l_suppkey"] == s["s_suppkey"])
     price = F.col("l_extendedprice")
-    none = F.lit(None).cast("bigint")
+    none = F.lit(None).cast(UNITS_TYPE)
 
     def contribution(date_col, premium, claim):
         return F.struct(
@@ -60,12 +60,13 @@ both_sides AS (
   SELECT o_custkey, s_nationkey, l_suppkey, m, coalesce(p, 0) AS p, coalesce(c, 0) AS c
   FROM premium FULL OUTER JOIN claims USING (o_custkey, s_nationkey, l_suppkey, m)),
 person AS (
-  SELECT o_custkey // 10 AS persona_key, max(c_name) AS Nombre, s_nationkey, l_suppkey, m, SUM(p) AS p, SUM(c) AS c
-  FROM both_sides JOIN customer ON o_custkey = c_custkey GROUP BY ALL HAVING SUM(p) <> 0 OR SUM(c) <> 0)
+  SELECT o_custkey // 10 AS persona_key, s_nationkey, l_suppkey, m, SUM(p) AS p, SUM(c) AS c
+  FROM both_sides JOIN customer ON o_custkey = c_custkey GROUP BY ALL HAVING SUM(p) <> 0 OR SUM(c) <> 0),
+named AS (SELECT c_custkey // 10 AS persona_key, max(c_name) AS Nombre FROM customer GROUP BY ALL)
 SELECT persona_key, Nombre, CAST(person.s_nationkey AS BIGINT) AS CodOrganizador, n_name AS NomOrganizador, r_name AS GrupoOrganizador,
   l_suppkey AS CodProductor, s_name AS NomProductor, CAST(m AS DATE) AS FechaMes, CAST(year(m) AS INTEGER) AS "Año", CAST(month(m) AS INTEGER) AS Mes,
   CAST(p AS DOUBLE) AS PrimaNeta, CAST(p AS DOUBLE) AS PremioNeto, CAST(c AS DOUBLE) AS ImporteSiniestro, CAST(p - c AS DOUBLE) AS Resultado
-FROM person JOIN nation ON person.s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey JOIN supplier ON l_suppkey = s_suppkey
+FROM person JOIN named USING (persona_key) JOIN nation ON person.s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey JOIN supplier ON l_suppkey = s_suppkey
 """,
 )
 def profile(spark, sf_dir):
@@ -106,9 +107,9 @@ _INCOME = ["PrimaNeta", "RecAdm", "RecFin", "RecCapital"]
 WITH {OPERATIONS_SQL}, {CLAIMS_SQL},
 o AS (SELECT date_trunc('month', FEmision) AS m, CodRama, CodOrganizador, CodProductor, {', '.join(f'SUM(CAST({c} AS DECIMAL(18,4))) AS {c}' for c in _INCOME)}
   FROM operations GROUP BY ALL),
-ci AS (SELECT date_trunc('month', FechaPago) AS m, CodRama, CodOrganizador, CodProductor, NroAsegurado, SUM(CAST(Importe AS DECIMAL(18,4))) AS i,
-  count(DISTINCT Siniestro) AS s FROM claims GROUP BY ALL),
-c AS (SELECT m, CodRama, CodOrganizador, CodProductor, SUM(i) AS ImporteSiniestro, SUM(s) AS SiniestrosPagados FROM ci GROUP BY ALL),
+c AS (SELECT date_trunc('month', FechaPago) AS m, CodRama, CodOrganizador, CodProductor,
+  SUM(CAST(Importe AS DECIMAL(18,4))) AS ImporteSiniestro, count(DISTINCT Siniestro) AS SiniestrosPagados
+  FROM claims GROUP BY ALL),
 d AS (SELECT date_trunc('month', l_shipdate) AS m, 4 AS CodRama, l_suppkey % 25 AS CodOrganizador, l_suppkey AS CodProductor, count(*) AS Denuncias
   FROM lineitem GROUP BY ALL),
 j AS (SELECT * FROM o FULL OUTER JOIN c USING (m, CodRama, CodOrganizador, CodProductor) FULL OUTER JOIN d USING (m, CodRama, CodOrganizador, CodProductor))
@@ -125,7 +126,7 @@ def agents(spark, sf_dir):
     """Operations, claims paid and claim reports per month, branch, organizer and producer."""
     ops = operations(spark, sf_dir).withColumn("FechaMes", month_start("FEmision"))
     claims = prepare_claim_payments(raw_claim_payments(spark, sf_dir)).withColumnRenamed("Importe", "ImporteSiniestro")
-    dims = ["CodRama", "CodOrganizador", "CodProductor", "NroAsegurado"]
+    dims = ["CodRama", "CodOrganizador", "CodProductor"]  # a claim of two insured counts once
     paid = claims_rollup(claims, "FechaPago", "FechaMes", dims, "ImporteSiniestro", "Siniestro", "SiniestrosPagados")
     li = table(spark, sf_dir, "lineitem")
     reports = li.select(

@@ -7,30 +7,48 @@ from pyspark.sql import functions as F
 
 from .text import _col
 
-# Amounts count in ten-thousandths, so sums are exact to the fourth decimal. A sum is kept in two
-# whole numbers, of the low bits and of the rest, which leaves room for any number of rows: it
-# fails only beyond 9e20, and then with an error.
+# An amount is a whole number of ten-thousandths and a remainder in units of 1e-12. Sums of whole
+# numbers do not depend on the order of rows, and amounts of four decimals are summed exactly. The
+# ten-thousandths are kept in two sums, of the low bits and of the rest, which leaves room for any
+# number of rows: they fail only beyond 9e20, and then with an error.
 SCALE = 10_000
+REST_SCALE = 1e12
+# A remainder this small next to its amount is what a double cannot tell from four decimals.
+_NOISE = 4e-15
+UNITS_TYPE = "struct<whole:bigint,rest:bigint>"
 _LOW_BITS = 20
 _LOW_MASK = (1 << _LOW_BITS) - 1
 
 
+def _whole(c: Column) -> Column:
+    return F.rint(c * SCALE).cast("bigint")
+
+
+def _rest(c: Column) -> Column:
+    left = c - _whole(c) / float(SCALE)
+    return F.when(F.abs(left) > F.abs(c) * _NOISE, F.rint(left * REST_SCALE).cast("bigint")).otherwise(
+        F.lit(0).cast("bigint")
+    )
+
+
 def units(c: Column | str) -> Column:
-    """An amount as a whole number of ten-thousandths."""
-    return F.rint(_col(c) * SCALE).cast("bigint")
+    """An amount in units: ten-thousandths and the remainder. Null for null."""
+    value = _col(c).cast("double")
+    return F.when(value.isNotNull(), F.struct(_whole(value).alias("whole"), _rest(value).alias("rest")))
 
 
-def high_part(u: Column | str) -> Column:
-    return F.shiftright(_col(u), _LOW_BITS)
+def high_part(whole: Column) -> Column:
+    return F.shiftright(whole, _LOW_BITS)
 
 
-def low_part(u: Column | str) -> Column:
-    return _col(u).bitwiseAND(F.lit(_LOW_MASK).cast("bigint"))
+def low_part(whole: Column) -> Column:
+    return whole.bitwiseAND(F.lit(_LOW_MASK).cast("bigint"))
 
 
-def amount(high: Column, low: Column) -> Column:
-    """The amount of summed parts; exactly rounded below 9e11."""
-    return (high.cast("double") * float(1 << _LOW_BITS) + low.cast("double")) / SCALE
+def amount(high: Column, low: Column, rest: Column) -> Column:
+    """The amount of summed parts; exactly rounded below 9e11 if there is no remainder."""
+    whole = (high.cast("double") * float(1 << _LOW_BITS) + low.cast("double")) / SCALE
+    return whole + rest.cast("double") / REST_SCALE
 
 
 def money_sum(c: Column | str) -> Column:
@@ -38,8 +56,9 @@ def money_sum(c: Column | str) -> Column:
 
     It costs about twice a sum of doubles; a decimal sum costs five times one.
     """
-    u = units(c)
-    return amount(F.sum(high_part(u)), F.sum(low_part(u)))
+    value = _col(c).cast("double")
+    whole = _whole(value)
+    return amount(F.sum(high_part(whole)), F.sum(low_part(whole)), F.sum(_rest(value)))
 
 
 class UnitSums:
@@ -52,9 +71,18 @@ class UnitSums:
         return [
             agg
             for n in self.names
-            for agg in (F.sum(high_part(n)).alias(f"__high_{n}"), F.sum(low_part(n)).alias(f"__low_{n}"))
+            for agg in (
+                F.sum(high_part(F.col(n)["whole"])).alias(f"__high_{n}"),
+                F.sum(low_part(F.col(n)["whole"])).alias(f"__low_{n}"),
+                F.sum(F.col(n)["rest"]).alias(f"__rest_{n}"),
+            )
         ]
 
+    def merged(self) -> list[Column]:
+        """Sums of the sums that `aggregates` gave."""
+        names = [f"__{kind}_{n}" for n in self.names for kind in ("high", "low", "rest")]
+        return [F.sum(c).alias(c) for c in names]
+
     def total(self, plus, minus=()) -> Column:
         """Amount of the sums of `plus` less those of `minus`; a missing sum counts as 0."""
 
@@ -66,7 +94,7 @@ class UnitSums:
                 value = value - or_zero(f"__{kind}_{n}")
             return value
 
-        return amount(part("high"), part("low"))
+        return amount(part("high"), part("low"), part("rest"))
 
 
 def or_zero(c: Column | str) -> Column:

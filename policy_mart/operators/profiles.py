@@ -11,6 +11,7 @@ from ..functions.dates import month_start
 from ..functions.numbers import UnitSums, or_zero, or_zero_money, units
 from ..functions.text import labelled
 from .keyed import join_unique
+from .scd import latest_per_key
 
 
 def movements(
@@ -80,20 +81,22 @@ def result_profile(
 
     `rows` are premium and claim contributions in units (see `movements`), stacked, each with
     NroAsegurado, dims, CodProductor, CodOrganizador and month. Several insured numbers may be one
-    person (`persons`: NroPersona, persona_key, Nombre). Sums per insured would only be summed
-    again, so the rows go straight to the person's group: one shuffle, summed per map task before
-    it. Labels of grouping columns (`producers`, `organizers`: one row per code) are looked up
-    afterwards, on few rows. Rows with neither premium nor claims are dropped.
+    person (`persons`: NroPersona, persona_key, Nombre). Only numbers are summed, per insured first
+    and then per person, so that both sums are hash aggregates and the join to the persons is of
+    sums, not of rows. Labels (`producers`, `organizers`: one row per code; a person's highest
+    name) are looked up afterwards. Rows with neither premium nor claims are dropped.
     """
-    insured = persons.select(F.col("NroPersona").alias("NroAsegurado"), "persona_key", "Nombre")
-    keys = ["persona_key", *dims, "CodOrganizador", "CodProductor", month_col]
+    others = [*dims, "CodOrganizador", "CodProductor", month_col]
     sums = UnitSums([*income, claims])
+    insured = persons.select(F.col("NroPersona").alias("NroAsegurado"), "persona_key")
+    names = latest_per_key(persons.select("persona_key", "Nombre"), ["persona_key"], ["Nombre"])
     person = (
-        join_unique(rows, insured, ["NroAsegurado"])
-        .groupBy(*keys)
-        .agg(F.max("Nombre").alias("Nombre"), *sums.aggregates())
+        join_unique(rows.groupBy("NroAsegurado", *others).agg(*sums.aggregates()), insured, ["NroAsegurado"])
+        .groupBy("persona_key", *others)
+        .agg(*sums.merged())
         .filter((sums.total([income[0]]) != 0) | (sums.total([claims]) != 0))
     )
+    person = join_unique(person, names, ["persona_key"])
 
     by_organizer = organizers.select(
         "CodOrganizador", F.col("Nombre").alias("NomOrganizador"), F.col("Grupo").alias("GrupoOrganizador")
@@ -124,8 +127,9 @@ def agent_profile(
 ) -> DataFrame:
     """Yearly and monthly figures per branch, organizer and producer, with composed labels.
 
-    `operations` and `claims` are rollups (claims with SiniestrosPagados), `reports` has the number
-    of claim reports (Denuncias) per month and agent.
+    `operations` and `claims` are rollups, `reports` has the number of claim reports (Denuncias) per
+    month and agent. `claims` has one row per month, branch, organizer and producer: its
+    SiniestrosPagados are numbers of different claims, which cannot be added up.
     """
     keys = [month_col, "CodRama", "CodOrganizador", "CodProductor"]
     counts = ["SiniestrosPagados", "Denuncias"]

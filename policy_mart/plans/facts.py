@@ -258,13 +258,22 @@ def claim_payments_rollup(payments: DataFrame) -> DataFrame:
     return claims_rollup(payments, "FechaPago", "FechaPagoMes", dims, "Importe", "Siniestro")
 
 
+def claim_payments_agents_rollup(payments: DataFrame) -> DataFrame:
+    """At the agents' grain, since numbers of different claims cannot be added over insured."""
+    dims = ["CodRama", "CodOrganizador", "CodProductor"]
+    return claims_rollup(payments, "FechaPago", "FechaPagoMes", dims, "Importe", "Siniestro")
+
+
 def load_claim_payments(mart: Mart, raw: DataFrame, stop_at_gap: bool = False) -> Written:
     """Starts at the source's earliest payment; an empty source loads nothing."""
     rows = prepare_claim_payments(raw)
     since = first_date(rows, "FechaPago")
     if since is None:
         return Written(0, ())
-    rollups = [("sinpagt_perfiles_agg", "FechaPagoMes", claim_payments_rollup)]
+    rollups = [
+        ("sinpagt_perfiles_agg", "FechaPagoMes", claim_payments_rollup),
+        ("sinpagt_agentes_agg", "FechaPagoMes", claim_payments_agents_rollup),
+    ]
     return load_fact(mart, CLAIM_PAYMENTS, rows, since.replace(day=1), stop_at_gap, rollups)
 
 

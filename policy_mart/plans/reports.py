@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import days_back, month_start
+from ..functions.dates import days_back, from_month, month_start
 from ..operators.controls import MOTOR_BRANCHES, commission_control, compare_commissions, missing_matches
 from ..operators.keyed import join_unique
 from ..operators.profiles import agent_profile, movements, result_profile
@@ -111,11 +111,16 @@ def _producers(mart: Mart) -> DataFrame:
     return latest_per_key(mart.table(PRODUCERS), PRODUCERS.keys, ["NroPersonaProductor", "Nombre"])
 
 
+def _rollup(mart: Mart, name: str) -> DataFrame:
+    return mart.spark.read.parquet(mart.path(name))
+
+
 def person_profile(mart: Mart) -> DataFrame:
-    """Premium against claims per person, branch, organizer, producer and month."""
+    """Premium against claims per person, branch, organizer, producer and month, from the rollups
+    that the loads keep at just this grain."""
     keys = ["CodRama", "CodOrganizador", "CodProductor", "NroAsegurado"]
-    income = movements(mart.table(OPERATIONS), "FEmision", keys, {m: m for m in INCOME})
-    paid = movements(mart.table(CLAIM_PAYMENTS), "FechaPago", keys, {"ImporteSiniestro": "Importe"})
+    income = movements(_rollup(mart, "sehpm151t_perfiles_agg"), "FEmisionMes", keys, {m: m for m in INCOME})
+    paid = movements(_rollup(mart, "sinpagt_perfiles_agg"), "FechaPagoMes", keys, {"ImporteSiniestro": "Importe"})
     rows = income.unionByName(paid, allowMissingColumns=True)
     return result_profile(
         rows, current_persons(mart), _producers(mart), _organizers(mart), ["CodRama"], INCOME, "ImporteSiniestro"
@@ -124,8 +129,8 @@ def person_profile(mart: Mart) -> DataFrame:
 
 def agents_profile(mart: Mart) -> DataFrame:
     """Premium, claims and claim reports per month, branch, organizer and producer."""
-    operations = mart.table(OPERATIONS).withColumn("FechaMes", month_start("FEmision"))
-    paid = mart.spark.read.parquet(mart.path("sinpagt_perfiles_agg")).withColumnsRenamed(
+    operations = _rollup(mart, "sehpm151t_perfiles_agg").withColumnRenamed("FEmisionMes", "FechaMes")
+    paid = _rollup(mart, "sinpagt_agentes_agg").withColumnsRenamed(
         {"FechaPagoMes": "FechaMes", "Importe": "ImporteSiniestro", "siniestros_pagados": "SiniestrosPagados"}
     )
     reports = mart.table(CLAIM_REPORTS).select(
@@ -185,11 +190,10 @@ def operations_without_commission(operations: DataFrame, commissions: DataFrame)
 def compared_operations(raw: DataFrame, since: int = COMPARED_FROM) -> DataFrame:
     """New motor policies since a month that have a producer's commission, for the comparison with
     the regulator's list. `raw` has the operational source's column names."""
-    month = F.col("M1FEMA") * 100 + F.col("M1FEMM")
     chosen = raw.filter(
         F.col("M1RAMA").isin(*MOTOR_BRANCHES)
         & F.col("ComProd").isNotNull()
-        & (month >= since)
+        & from_month("M1FEMA", "M1FEMM", dt.date(since // 100, since % 100, 1))
         & (F.col("M1SUOP") == 0)
     )
     return chosen.select(

@@ -114,6 +114,12 @@ def test_money_sum_beyond_one_whole_number(spark):
     assert rows.agg(numbers.money_sum("x").alias("s")).first()["s"] == 4e19
 
 
+def test_money_sum_of_tiny_amounts(spark):
+    rows = spark.range(0, 1_000_000).select(F.lit(0.00004).alias("x"), F.lit(1 / 3).alias("y"), (F.col("id") * 1e-9).alias("z"))
+    got = rows.agg(*[numbers.money_sum(c).alias(c) for c in "xyz"]).first()
+    assert got["x"] == 40.0 and got["y"] == pytest.approx(1e6 / 3, rel=1e-9) and got["z"] == pytest.approx(499.9995, rel=1e-9)
+
+
 def test_money_sum_of_nothing_is_null(spark):
     rows = spark.createDataFrame([(None,)], "x double")
     assert rows.agg(numbers.money_sum("x").alias("s")).first()["s"] is None

@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from policy_mart.catalogue import QUERIES
+from policy_mart.functions.numbers import units
 from policy_mart.operators import controls, identity, keyed, load, profiles, rates, rollup, scd
 from policy_mart.plans.mart import Mart
 from policy_mart.schemas import CLAIM_REPORTS
@@ -23,9 +25,9 @@ def logical_of(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_pairwise_joins_and_no_python(spark, name):
-    plan = plan_of(driver.queries()[name](spark, SF_DIR))
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "FlatMapGroups"):
         assert bad not in plan
 
@@ -80,12 +82,12 @@ OPERATORS = {
     "result_profile": lambda df: profiles.result_profile(
         df.select(
             F.col("k").alias("NroAsegurado"), F.col("n").alias("CodProductor"), F.col("n").alias("CodOrganizador"),
-            F.col("d").alias("FechaMes"), F.col("n").alias("PrimaNeta"), F.col("n").alias("Importe"),
+            F.col("d").alias("FechaMes"), units("n").alias("PrimaNeta"), units("n").alias("Importe"), "payload",
         ),
         df.groupBy(F.col("k").alias("NroPersona")).agg(F.max("n").alias("persona_key"), F.max("payload").alias("Nombre")),
         df.select(F.col("n").alias("CodProductor"), F.col("payload").alias("Nombre")),
         df.select(F.col("n").alias("CodOrganizador"), F.col("payload").alias("Nombre"), F.col("payload").alias("Grupo")),
-        [], ["PrimaNeta"], "Importe",
+        ["payload"], ["PrimaNeta"], "Importe",
     ),
 }
 
@@ -130,6 +132,13 @@ def test_result_profile_reads_each_fact_once(spark):
     assert "l_tax" not in plan and "o_totalprice" not in plan
 
 
+def test_result_profile_sums_before_the_person_join_by_hash(skewed):
+    plan = plan_of(driver.queries()["result_profile"](skewed, SF_DIR))
+    assert "SortAggregate" not in plan
+    below_persons = plan[plan.index("partial_sum(__high_PrimaNeta") :]
+    assert "partial_sum(shiftright" in below_persons  # rows are summed before they meet the persons
+
+
 def test_outer_totals_reuse_the_rollups_partitioning(skewed):
     plan = plan_of(driver.queries()["outer_premium_claims"](skewed, SF_DIR))
     top = plan[: plan.index("HashAggregate")]

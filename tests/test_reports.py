@@ -44,8 +44,8 @@ def mart(spark, tmp_path_factory):
     )
     from policy_mart.plans.mart import load_fact
 
-    load_fact(mart, OPERATIONS, ops, D(2025, 1, 1))
-    load_fact(mart, CLAIM_PAYMENTS, paid, D(2025, 1, 1), rollups=[("sinpagt_perfiles_agg", "FechaPagoMes", facts.claim_payments_rollup)])
+    load_fact(mart, OPERATIONS, ops, D(2025, 1, 1), rollups=[("sehpm151t_perfiles_agg", "FEmisionMes", facts.operations_profile_rollup)])
+    load_fact(mart, CLAIM_PAYMENTS, paid, D(2025, 1, 1), rollups=[("sinpagt_perfiles_agg", "FechaPagoMes", facts.claim_payments_rollup), ("sinpagt_agentes_agg", "FechaPagoMes", facts.claim_payments_agents_rollup)])
     load_fact(mart, CLAIM_REPORTS, seen, D(2025, 1, 1))
     persons = filled(
         spark, PERSONS,
@@ -279,3 +279,12 @@ def test_persons_load(spark, tmp_path):
     dims.write_person_reports(mart, raw)
     for name in dims.PERSON_REPORTS:
         assert spark.read.parquet(mart.path(f"person_reports/{name}")).count() == 0
+
+
+def test_a_claim_of_two_insured_counts_once(spark):
+    one = {"CodRama": 4, "Siniestro": 5, "FechaPago": D(2025, 1, 9), "CodOrganizador": 1, "CodProductor": 1, "Importe": 30.0}
+    paid = filled(spark, CLAIM_PAYMENTS, one | {"NroAsegurado": 1}, one | {"NroAsegurado": 2})
+    got = facts.claim_payments_agents_rollup(paid).collect()
+    assert [(r.siniestros_pagados, r.Importe) for r in got] == [(1, 60.0)]
+    per_insured = facts.claim_payments_rollup(paid).collect()
+    assert [r.siniestros_pagados for r in per_insured] == [1, 1]
