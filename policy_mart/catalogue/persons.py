@@ -13,8 +13,8 @@ from ..workdir import work_dir
 from .registry import query
 from .standins import PERSONS_SQL, raw_persons
 
-# Short lists, so that the longer groups also occur at small scale factors.
-_LIST = 2
+# Short ranges, so that groups have several lists at small scale factors.
+_LIST = 40
 
 
 def _normalised(spark, sf_dir):
@@ -91,22 +91,22 @@ def report_2(spark, sf_dir):
     return identity.heads_in_another_group(_normalised(spark, sf_dir))
 
 
-_LISTS_SQL = """
-size AS (SELECT Grupo, count(DISTINCT NroPersona) AS PersonasEnElGrupo FROM persons GROUP BY ALL)"""
+_LISTS_SQL = f"""
+size AS (SELECT Grupo, count(DISTINCT NroPersona) AS PersonasEnElGrupo FROM persons WHERE Grupo > 0 GROUP BY ALL),
+lists AS (SELECT Grupo, NroPersona // {_LIST} AS Tramo, string_agg(CAST(NroPersona AS VARCHAR), ',' ORDER BY NroPersona) AS Personas_del_grupo
+  FROM (SELECT DISTINCT Grupo, NroPersona FROM persons WHERE Grupo > 0) GROUP BY ALL)"""
 
 
 @query(
     "person_reports_3",
     f"""
-WITH {PERSONS_SQL}, {_LISTS_SQL},
-members AS (SELECT Grupo, string_agg(CAST(NroPersona AS VARCHAR), ',' ORDER BY NroPersona) AS l FROM
-  (SELECT DISTINCT Grupo, NroPersona FROM persons) GROUP BY Grupo)
-SELECT {_PERSON_COLUMNS}, PersonasEnElGrupo, CASE WHEN PersonasEnElGrupo <= {_LIST} THEN l END AS Personas_del_grupo
-FROM persons JOIN size USING (Grupo) JOIN members USING (Grupo) WHERE NroPersona IN (SELECT Grupo FROM persons) AND Bloqueado = 'S'
+WITH {PERSONS_SQL}, {_LISTS_SQL}
+SELECT {_PERSON_COLUMNS}, PersonasEnElGrupo, Tramo, Personas_del_grupo
+FROM persons JOIN size USING (Grupo) JOIN lists USING (Grupo) WHERE NroPersona IN (SELECT Grupo FROM persons) AND Bloqueado = 'S'
 """,
 )
 def report_3(spark, sf_dir):
-    """Blocked heads; the members of longer groups are in `person_member_lists`."""
+    """Blocked heads with the lists of their groups' members."""
     return _report(identity.blocked_heads(_normalised(spark, sf_dir), _LIST), "Personas_del_grupo")
 
 
@@ -114,8 +114,7 @@ def report_3(spark, sf_dir):
     "person_member_lists",
     f"""
 WITH {PERSONS_SQL}, {_LISTS_SQL}
-SELECT Grupo, PersonasEnElGrupo, NroPersona // {_LIST} AS Tramo, string_agg(CAST(NroPersona AS VARCHAR), ',' ORDER BY NroPersona) AS Personas_del_grupo
-FROM (SELECT DISTINCT Grupo, NroPersona FROM persons) JOIN size USING (Grupo) WHERE PersonasEnElGrupo > {_LIST} GROUP BY ALL
+SELECT Grupo, PersonasEnElGrupo, Tramo, Personas_del_grupo FROM lists JOIN size USING (Grupo)
 """,
 )
 def member_lists(spark, sf_dir):

@@ -29,7 +29,7 @@ DOCUMENT_MINIMUM = 1_000_000
 DOCUMENT_SAME_DIGITS = r"^.{2}(.)\1{5}"  # eight digits, the third to the eighth equal
 BLOCKED, NOT_BLOCKED = "S", "_"
 
-# A group's member list longer than this is given in several rows (see `group_member_lists`).
+# Member lists hold the persons of a range of so many person numbers (see `group_member_lists`).
 MEMBERS_PER_LIST = 1000
 
 
@@ -170,41 +170,33 @@ def heads_in_another_group(persons: DataFrame) -> DataFrame:
     return persons.filter(F.col("EsGrupo") & (F.col("NroPersona") != F.col("Grupo"))).drop("EsGrupo")
 
 
-def _group_sizes(persons: DataFrame) -> DataFrame:
-    return persons.groupBy("Grupo").agg(F.count_distinct("NroPersona").alias("PersonasEnElGrupo"))
-
-
-def blocked_heads(persons: DataFrame, members_per_list: int = MEMBERS_PER_LIST) -> DataFrame:
-    """Blocked persons that are a group, with the number and the list of their group's members.
+def group_member_lists(persons: DataFrame, members_per_list: int = MEMBERS_PER_LIST) -> DataFrame:
+    """Members of every group, one row per range of person numbers, with the group's size.
 
-    A group of more than `members_per_list` persons has a null list here; `group_member_lists`
-    gives its members in rows of bounded length.
+    A range of `members_per_list` numbers holds at most as many different persons, so no list
+    outgrows a task, and together the rows hold every member. Group 0 stands for none.
     """
-    heads = persons.filter(F.col("EsGrupo") & (F.col("Bloqueado") == BLOCKED)).drop("EsGrupo")
-    groups = heads.select("Grupo").distinct()
-    sizes = join_unique(_group_sizes(persons), groups, ["Grupo"], "left_semi")
-    short = sizes.filter(F.col("PersonasEnElGrupo") <= members_per_list)
+    grouped = persons.filter(F.col("Grupo") > 0)
+    sizes = grouped.groupBy("Grupo").agg(F.count_distinct("NroPersona").alias("PersonasEnElGrupo"))
+    part = F.expr(f"NroPersona DIV {int(members_per_list)}")
     lists = (
-        join_unique(persons.select("Grupo", "NroPersona"), short, ["Grupo"], "left_semi")
-        .groupBy("Grupo")
+        grouped.select("Grupo", "NroPersona")
+        .groupBy("Grupo", part.alias("Tramo"))
         .agg(F.array_sort(F.collect_set("NroPersona")).alias("Personas_del_grupo"))
     )
-    report = join_unique(join_unique(heads, sizes, ["Grupo"]), lists, ["Grupo"])
-    return report.orderBy(F.desc("PersonasEnElGrupo"), "NroPersona")
+    return join_unique(lists, sizes, ["Grupo"], "inner").select(
+        "Grupo", "PersonasEnElGrupo", "Tramo", "Personas_del_grupo"
+    )
 
 
-def group_member_lists(persons: DataFrame, members_per_list: int = MEMBERS_PER_LIST) -> DataFrame:
-    """Members of the groups too long for one list, one row per range of person numbers.
-
-    A range of `members_per_list` numbers holds at most as many different persons, so no list
-    outgrows a task, and together the rows hold every member.
-    """
-    long_groups = _group_sizes(persons).filter(F.col("PersonasEnElGrupo") > members_per_list)
-    part = F.expr(f"NroPersona DIV {int(members_per_list)}")
-    return (
-        join_unique(persons.select("Grupo", "NroPersona"), long_groups, ["Grupo"], "inner")
-        .groupBy("Grupo", "PersonasEnElGrupo", part.alias("Tramo"))
-        .agg(F.array_sort(F.collect_set("NroPersona")).alias("Personas_del_grupo"))
+def blocked_heads(persons: DataFrame, members_per_list: int = MEMBERS_PER_LIST) -> DataFrame:
+    """Blocked persons that are a group, with the number and the lists of their group's members:
+    a row per head and range of person numbers, for groups of any size."""
+    heads = persons.filter(F.col("EsGrupo") & (F.col("Bloqueado") == BLOCKED)).drop("EsGrupo")
+    members = join_unique(persons, heads.select("Grupo").distinct(), ["Grupo"], "left_semi")
+    lists = group_member_lists(members, members_per_list)
+    return heads.join(lists, "Grupo").select(*heads.columns, "PersonasEnElGrupo", "Tramo", "Personas_del_grupo").orderBy(
+        F.desc("PersonasEnElGrupo"), "NroPersona", "Tramo"
     )
 
 
@@ -252,7 +244,10 @@ def incoherent_groups(persons: DataFrame, strict_reference: bool = False) -> Dat
     )
     doubtful = rows.filter((F.col("Gru_x_Dni") > 1) | (F.col("Gru_x_Cuit") > 1))
     heads = persons.select(
-        F.col("NroPersona").alias("Grupo"),
+        F.col("NroPersona").alias("__head"),
         *[F.col(c).alias(f"{c}_grupo") for c in ("Nombre", "NroDocumento", "Cuit", "Bloqueado")],
     )
-    return doubtful.join(heads, "Grupo", "left").orderBy("NroDocumento", "Cuit", "NroPersona")
+    # Most persons have group 0, which is nobody's number: it stays out of the join as a null.
+    own = F.when(F.col("Grupo") != 0, F.col("Grupo"))
+    found = doubtful.join(heads, own == F.col("__head"), "left").drop("__head")
+    return found.orderBy("NroDocumento", "Cuit", "NroPersona")

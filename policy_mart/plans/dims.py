@@ -169,7 +169,7 @@ PERSON_REPORTS = {
     "several_unblocked": identity.groups_with_several_unblocked,
     "heads_in_another_group": identity.heads_in_another_group,
     "blocked_heads": identity.blocked_heads,
-    "long_group_members": identity.group_member_lists,
+    "group_members": identity.group_member_lists,
     "duplicates_without_group": identity.duplicates_without_group,
     "incoherent_groups": identity.incoherent_groups,
 }
