@@ -25,7 +25,7 @@ def join_unique(
     """
     names = {k: f"__right_{k}" for k in keys}
     if not match_nulls:
-        right = right.dropna(how="any", subset=list(keys))
+        right = _complete(right, keys)
     condition = None
     for k, r in names.items():
         same = F.col(k).eqNullSafe(F.col(r))
@@ -34,14 +34,26 @@ def join_unique(
     return joined if how in ("left_semi", "left_anti") else joined.drop(*names.values())
 
 
+def _complete(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows without a null in the keys, by conditions that a source can evaluate."""
+    for k in keys:
+        df = df.filter(F.col(k).isNotNull())
+    return df
+
+
 def unique_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct keys without the ones holding a null, which never equal anything."""
-    return df.select(*keys).dropna(how="any").distinct()
+    return _complete(df.select(*keys), keys).distinct()
 
 
-def not_in(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of `left` whose key is absent from `right`. A key with a null is always absent."""
-    return join_unique(left, unique_keys(right, keys), keys, "left_anti")
+def not_in(left: DataFrame, right: DataFrame, keys: Sequence[str], unique: bool = True) -> DataFrame:
+    """Rows of `left` whose key is absent from `right`. A key with a null is always absent.
+
+    Without `unique` the right side's keys are shuffled as they are, which saves a shuffle where
+    few of them repeat.
+    """
+    present = unique_keys(right, keys) if unique else _complete(right.select(*keys), keys)
+    return join_unique(left, present, keys, "left_anti")
 
 
 def present_in(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

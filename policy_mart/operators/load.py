@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from ..functions.dates import MONTH, month_index, month_number, yyyymm
 from .keyed import not_in
 
-# A calendar of this many days is small enough to broadcast (4 bytes a row).
-_CALENDAR_DAYS = 200_000
-
 
 def with_month(df: DataFrame, date_col: str) -> DataFrame:
     return df if MONTH in df.columns else df.withColumn(MONTH, yyyymm(date_col))
@@ -44,11 +41,13 @@ def append_new(
 ) -> DataFrame:
     """Source rows whose key is not in the target's same month.
 
-    Duplicates inside the batch are kept, and rows with a null key are always new. `since` bounds
-    both scans: source rows by date, target keys by the month partition. With `stop_at_gap` only
-    the months before the first empty one are loaded.
+    Duplicates inside the batch are kept, and rows with a null key are always new. Rows without a
+    date belong to no month and are left out. `since` bounds both scans: source rows by date,
+    target keys by the month partition. The target's keys are read once and shuffled once: an anti
+    join needs no distinct right side. With `stop_at_gap` only the months before the first empty
+    one are loaded.
     """
-    rows = with_month(source, date_col)
+    rows = with_month(source, date_col).filter(F.col(date_col).isNotNull())
     loaded = with_month(target, date_col)
     if since is not None:
         rows = rows.filter(F.col(date_col) >= F.lit(since))
@@ -56,8 +55,8 @@ def append_new(
     if stop_at_gap:
         start = None if since is None else month_number(since)
         run = contiguous_months(rows, start)
-        rows = rows.join(F.broadcast(run), MONTH, "left_semi")  # one row per calendar month
-    return not_in(rows, loaded, [MONTH, *keys]).select(*source.columns)
+        rows = rows.join(run, MONTH, "left_semi")
+    return not_in(rows, loaded, [MONTH, *keys], unique=False).select(*source.columns)
 
 
 def first_date(source: DataFrame, date_col: str) -> dt.date | None:
@@ -66,14 +65,8 @@ def first_date(source: DataFrame, date_col: str) -> dt.date | None:
     return found.date() if isinstance(found, dt.datetime) else found
 
 
-def _check_calendar(first: dt.date, last: dt.date) -> None:
-    if (last - first).days > _CALENDAR_DAYS:
-        raise ValueError(f"calendar longer than {_CALENDAR_DAYS} days: {first} to {last}")
-
-
 def calendar(source: DataFrame, first: dt.date, last: dt.date, name: str) -> DataFrame:
     """One row per day, both ends included."""
-    _check_calendar(first, last)
     days = F.explode(F.sequence(F.lit(first), F.lit(last)))
     return source.sparkSession.range(1).select(days.alias(name))
 
@@ -94,9 +87,8 @@ def snapshot_rows_to_load(
     """Whole days of the source, within the calendar, that the target lacks.
 
     A source row's own date proves that the source has the day, so only the loaded days are
-    looked up. There are at most as many as calendar days, which bounds the broadcast.
+    looked up.
     """
-    _check_calendar(first, last)
     span = F.col(date_col).between(F.lit(first), F.lit(last))
     have = loaded.filter(span).select(date_col).distinct()
-    return source.filter(span).join(F.broadcast(have), date_col, "left_anti").select(*source.columns)
+    return source.filter(span).join(have, date_col, "left_anti").select(*source.columns)

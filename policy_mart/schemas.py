@@ -1,7 +1,7 @@
 """Table schemas, keys and date columns of the mart.
 
 Spark has no unsigned types, so the sources' 32-bit codes are `bigint`. Amounts are `double` and are
-summed as decimals.
+summed as whole numbers of small units (`functions.numbers`).
 """
 
 from __future__ import annotations
@@ -11,27 +11,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import types as T
 
 
-_KINDS = {
-    "bigint": T.LongType(),
-    "int": T.IntegerType(),
-    "smallint": T.ShortType(),
-    "double": T.DoubleType(),
-    "string": T.StringType(),
-    "date": T.DateType(),
-    "timestamp": T.TimestampType(),
-}
-
-
-def _columns(text: str) -> list[tuple[str, str]]:
-    """(name, type) pairs from lines of `type: column, column, ...`."""
-    lines = [line.split(":") for line in text.strip().splitlines()]
-    return [(name.strip(), kind.strip()) for kind, names in lines for name in names.split(",")]
-
-
-def struct(text: str) -> T.StructType:
-    return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in _columns(text)])
-
-
 @dataclass(frozen=True)
 class Table:
     name: str
@@ -42,7 +21,8 @@ class Table:
 
     @property
     def schema(self) -> T.StructType:
-        return struct(self.ddl)
+        """Read by Spark's own parser, so a session must be running."""
+        return T.StructType.fromDDL(self.ddl)
 
     @property
     def by_month(self) -> bool:
@@ -51,24 +31,54 @@ class Table:
 
     @property
     def columns(self) -> list[str]:
-        return [name for name, _ in _columns(self.ddl)]
+        """The names, one column being declared per line."""
+        return [line.split()[0].strip("`") for line in self.ddl.strip().splitlines()]
 
 
 # Table layouts, keys and sort orders.
 OPERATIONS = Table(
     "sehpm151t",
     """
-bigint: Op, Suplemento, CodTipoOp, CodSubTipoOp, PlVidaNvaRen, CodRama, Poliza, NroAsegurado, CpAsegurado, CpSufijoAsegurado
-string: NombreAsegurado, LocalidadAsegurado, ProvinciaAsegurado
-bigint: CodOrganizador, CodProductor
-double: SumaAsegurada, PrimaNeta, RecFin, RecAdm, DerEmision, SellRiesgo, ImpInt, ServSoc, TasaSsn, Iva, IvaPercepcion, IvaRespNoInscr, BonifPrima, Acc, RecCapital
-date: FEmision, FVigDesde, FVigHasta
-double: PrimaTarifa, PremioBruto
-bigint: CodOrganizadorComision
-double: ComOrganizador
-bigint: CodProductorComision
-double: ComProductor
-""",
+    Op bigint,
+    Suplemento bigint,
+    CodTipoOp bigint,
+    CodSubTipoOp bigint,
+    PlVidaNvaRen bigint,
+    CodRama bigint,
+    Poliza bigint,
+    NroAsegurado bigint,
+    CpAsegurado bigint,
+    CpSufijoAsegurado bigint,
+    NombreAsegurado string,
+    LocalidadAsegurado string,
+    ProvinciaAsegurado string,
+    CodOrganizador bigint,
+    CodProductor bigint,
+    SumaAsegurada double,
+    PrimaNeta double,
+    RecFin double,
+    RecAdm double,
+    DerEmision double,
+    SellRiesgo double,
+    ImpInt double,
+    ServSoc double,
+    TasaSsn double,
+    Iva double,
+    IvaPercepcion double,
+    IvaRespNoInscr double,
+    BonifPrima double,
+    Acc double,
+    RecCapital double,
+    FEmision date,
+    FVigDesde date,
+    FVigHasta date,
+    PrimaTarifa double,
+    PremioBruto double,
+    CodOrganizadorComision bigint,
+    ComOrganizador double,
+    CodProductorComision bigint,
+    ComProductor double
+    """,
     ("Op", "Suplemento"),
     "FEmision",
     ("CodOrganizador", "CodProductor", "NroAsegurado", "CpAsegurado", "CpSufijoAsegurado", "Op", "Suplemento"),
@@ -77,37 +87,59 @@ double: ComProductor
 CLAIM_PAYMENTS = Table(
     "sinpagt",
     """
-bigint: CodRama, Siniestro, NroLiquidacion
-string: CodItemPago
-date: FechaPago
-bigint: CodCausa, NroAsegurado, CodOrganizador, CodProductor
-string: TipoMovimiento, TipoLiquidacion
-bigint: Clasereserva
-string: TipoAcreedor
-bigint: CodAcreedor
-string: CodMayorAuxiliar
-bigint: NroMayorAuxiliar
-string: Pagado, Proceso, EstadoIngreso
-bigint: CantFrentes, Op, NroBeneficiario
-string: TipoReserva, CodRiesgo
-bigint: CoberturaReservada
-string: ItemPago
-date: FechaDenuncia, FechaOcurrencia
-string: DireccionSiniestro
-bigint: CpSiniestro
-string: MarcaFueraTermino, CodTerminado, CodUbicacion, FueraVigencia, PolizaAnulada, EnCaducidad, ComponenteBaja
-bigint: Conductor
-string: CondHabitual
-bigint: Poliza, Supl, Comp
-string: CodCoberturaAut
-double: SumaAseguradaAut
-bigint: CodInderProvinciaAut
-string: CodMarcaAu, CodModeloAut
-bigint: AnioVehiculoAut
-string: OrigenVehiculoAut
-bigint: CodTipoVehiculoAut, CodUsoVehiculoAut
-double: Importe
-""",
+    CodRama bigint,
+    Siniestro bigint,
+    NroLiquidacion bigint,
+    CodItemPago string,
+    FechaPago date,
+    CodCausa bigint,
+    NroAsegurado bigint,
+    CodOrganizador bigint,
+    CodProductor bigint,
+    TipoMovimiento string,
+    TipoLiquidacion string,
+    Clasereserva bigint,
+    TipoAcreedor string,
+    CodAcreedor bigint,
+    CodMayorAuxiliar string,
+    NroMayorAuxiliar bigint,
+    Pagado string,
+    Proceso string,
+    EstadoIngreso string,
+    CantFrentes bigint,
+    Op bigint,
+    NroBeneficiario bigint,
+    TipoReserva string,
+    CodRiesgo string,
+    CoberturaReservada bigint,
+    ItemPago string,
+    FechaDenuncia date,
+    FechaOcurrencia date,
+    DireccionSiniestro string,
+    CpSiniestro bigint,
+    MarcaFueraTermino string,
+    CodTerminado string,
+    CodUbicacion string,
+    FueraVigencia string,
+    PolizaAnulada string,
+    EnCaducidad string,
+    ComponenteBaja string,
+    Conductor bigint,
+    CondHabitual string,
+    Poliza bigint,
+    Supl bigint,
+    Comp bigint,
+    CodCoberturaAut string,
+    SumaAseguradaAut double,
+    CodInderProvinciaAut bigint,
+    CodMarcaAu string,
+    CodModeloAut string,
+    AnioVehiculoAut bigint,
+    OrigenVehiculoAut string,
+    CodTipoVehiculoAut bigint,
+    CodUsoVehiculoAut bigint,
+    Importe double
+    """,
     ("CodRama", "Siniestro", "NroLiquidacion", "CodItemPago"),
     "FechaPago",
     ("CodRama", "CodOrganizador", "CodProductor", "NroAsegurado", "CodCausa", "CodItemPago"),
@@ -116,12 +148,22 @@ double: Importe
 CLAIM_REPORTS = Table(
     "denupet",
     """
-bigint: Op, CodRama, Poliza, Supl, Comp, Siniestro
-date: FechaDenuncia, FechaSiniestro
-bigint: CodCausa
-string: Causa, DireccionSiniestro
-bigint: CpSiniestro, CodOrganizador, CodProductor, NroAsegurado
-""",
+    Op bigint,
+    CodRama bigint,
+    Poliza bigint,
+    Supl bigint,
+    Comp bigint,
+    Siniestro bigint,
+    FechaDenuncia date,
+    FechaSiniestro date,
+    CodCausa bigint,
+    Causa string,
+    DireccionSiniestro string,
+    CpSiniestro bigint,
+    CodOrganizador bigint,
+    CodProductor bigint,
+    NroAsegurado bigint
+    """,
     ("Op", "Siniestro", "Comp"),
     "FechaDenuncia",
     ("Op", "Siniestro", "Comp"),
@@ -130,18 +172,36 @@ bigint: CpSiniestro, CodOrganizador, CodProductor, NroAsegurado
 MOTOR_PREMIUMS = Table(
     "primas_automotores",
     """
-date: FEmision, FVigDesde, FVigHasta
-bigint: Op, Comp, Supl, CodRama, Poliza
-double: SaComponente
-bigint: Cap, Var, Air
-string: Origen
-bigint: AnioComponente
-string: CodCoberturaAut
-bigint: CodTipoVeh, CodUsoVeh
-double: PrimaTarifaSupl, BonPrimaSupl, PremioSupl, PremioCobradoSupl
-bigint: CodOrganizador, CodProductor
-double: PrimaTarifaComp, PrimaRcTarifaComp, PrimaCascoTarifaComp, PrimaNetaComp, PrimaRcNetaComp, PrimaCascoNetaComp
-""",
+    FEmision date,
+    FVigDesde date,
+    FVigHasta date,
+    Op bigint,
+    Comp bigint,
+    Supl bigint,
+    CodRama bigint,
+    Poliza bigint,
+    SaComponente double,
+    Cap bigint,
+    Var bigint,
+    Air bigint,
+    Origen string,
+    AnioComponente bigint,
+    CodCoberturaAut string,
+    CodTipoVeh bigint,
+    CodUsoVeh bigint,
+    PrimaTarifaSupl double,
+    BonPrimaSupl double,
+    PremioSupl double,
+    PremioCobradoSupl double,
+    CodOrganizador bigint,
+    CodProductor bigint,
+    PrimaTarifaComp double,
+    PrimaRcTarifaComp double,
+    PrimaCascoTarifaComp double,
+    PrimaNetaComp double,
+    PrimaRcNetaComp double,
+    PrimaCascoNetaComp double
+    """,
     ("Op", "Supl", "Comp"),
     "FEmision",
     ("Op", "CodRama", "Poliza", "Supl", "Comp", "CodCoberturaAut"),
@@ -150,13 +210,30 @@ double: PrimaTarifaComp, PrimaRcTarifaComp, PrimaCascoTarifaComp, PrimaNetaComp,
 OTHER_PREMIUMS = Table(
     "primas_rvarias",
     """
-date: FEmision, FVigDesde, FVigHasta
-bigint: Op, CodRama, Poliza, Supl, Comp, CodOrganizador, CodProductor, CodRiesgo
-string: Riesgo
-bigint: CodCobertura
-string: Cobertura, CodProvincia
-double: SaCobertura, PremioBrutoSuplemento, BonPrimaPorc, Pormilaje, PrimaTarifaSuplemento, PrimaTarifaCobertura, PrimaNetaSuplemento, PrimaNetaCobertura
-""",
+    FEmision date,
+    FVigDesde date,
+    FVigHasta date,
+    Op bigint,
+    CodRama bigint,
+    Poliza bigint,
+    Supl bigint,
+    Comp bigint,
+    CodOrganizador bigint,
+    CodProductor bigint,
+    CodRiesgo bigint,
+    Riesgo string,
+    CodCobertura bigint,
+    Cobertura string,
+    CodProvincia string,
+    SaCobertura double,
+    PremioBrutoSuplemento double,
+    BonPrimaPorc double,
+    Pormilaje double,
+    PrimaTarifaSuplemento double,
+    PrimaTarifaCobertura double,
+    PrimaNetaSuplemento double,
+    PrimaNetaCobertura double
+    """,
     ("Op", "Supl", "Comp", "CodCobertura"),
     "FEmision",
     ("CodRama", "CodOrganizador", "CodProductor", "CodCobertura", "CodProvincia"),
@@ -165,11 +242,26 @@ double: SaCobertura, PremioBrutoSuplemento, BonPrimaPorc, Pormilaje, PrimaTarifa
 LIFE_PREMIUMS = Table(
     "primas_vida",
     """
-date: FEmision, FVigDesde
-bigint: Op, CodRama, Poliza, Supl, Comp, CodOrganizador, CodProductor, CodCobertura
-string: Cobertura, CodProvincia
-double: SaSupl, PremioBrutoSuplemento, PrimaTarifaSuplemento, BonPrimaPctSuplemento, PrimaNetaSuplemento, PrimaTarifaCobertura, PrimaNetaCobertura
-""",
+    FEmision date,
+    FVigDesde date,
+    Op bigint,
+    CodRama bigint,
+    Poliza bigint,
+    Supl bigint,
+    Comp bigint,
+    CodOrganizador bigint,
+    CodProductor bigint,
+    CodCobertura bigint,
+    Cobertura string,
+    CodProvincia string,
+    SaSupl double,
+    PremioBrutoSuplemento double,
+    PrimaTarifaSuplemento double,
+    BonPrimaPctSuplemento double,
+    PrimaNetaSuplemento double,
+    PrimaTarifaCobertura double,
+    PrimaNetaCobertura double
+    """,
     ("Op", "Supl", "Comp", "CodCobertura"),
     "FEmision",
     ("CodRama", "CodOrganizador", "CodProductor", "CodCobertura", "CodProvincia"),
@@ -178,29 +270,55 @@ double: SaSupl, PremioBrutoSuplemento, PrimaTarifaSuplemento, BonPrimaPctSupleme
 SNAPSHOTS = Table(
     "vigentes_vehiculos_dia",
     """
-bigint: CodOrganizador, CodProductor, CodRama, Poliza, Supl, Componente
-date: FVigDesde, FVigHasta
-bigint: NroAsegurado
-string: NomAsegurado
-bigint: CpAsegurado, CpSufijoAsegurado
-string: CodMarca, CodModelo, CodSubModelo, Marca, Modelo, SubModelo
-bigint: CvaCapitulo, CvaVariante
-string: CvaDescripcion
-bigint: AnioVehiculo, CodUsoVehiculo, CodTipoVehiculo
-string: CodCoberturaAut
-double: SumaAsegurada
-string: NroMotor, NroChasis, Origen
-bigint: NroPersonaPagador, NroPersonaTomador
-string: CodCarroceria, NomProductor, DomicilioProductor
-bigint: CpProductor, CpSufijoProductor
-string: LocalidadProductor, CodProvinciaProductor, ProvinciaProductor
-bigint: CodProvinciaInderProductor, MatriculoProductor, CodGrupoOrganizador
-string: GrupoOrganizador, TarifaMadreLetra
-bigint: TarifaHija
-string: Dominio
-int: Ant
-date: Fecha
-""",
+    CodOrganizador bigint,
+    CodProductor bigint,
+    CodRama bigint,
+    Poliza bigint,
+    Supl bigint,
+    Componente bigint,
+    FVigDesde date,
+    FVigHasta date,
+    NroAsegurado bigint,
+    NomAsegurado string,
+    CpAsegurado bigint,
+    CpSufijoAsegurado bigint,
+    CodMarca string,
+    CodModelo string,
+    CodSubModelo string,
+    Marca string,
+    Modelo string,
+    SubModelo string,
+    CvaCapitulo bigint,
+    CvaVariante bigint,
+    CvaDescripcion string,
+    AnioVehiculo bigint,
+    CodUsoVehiculo bigint,
+    CodTipoVehiculo bigint,
+    CodCoberturaAut string,
+    SumaAsegurada double,
+    NroMotor string,
+    NroChasis string,
+    Origen string,
+    NroPersonaPagador bigint,
+    NroPersonaTomador bigint,
+    CodCarroceria string,
+    NomProductor string,
+    DomicilioProductor string,
+    CpProductor bigint,
+    CpSufijoProductor bigint,
+    LocalidadProductor string,
+    CodProvinciaProductor string,
+    ProvinciaProductor string,
+    CodProvinciaInderProductor bigint,
+    MatriculoProductor bigint,
+    CodGrupoOrganizador bigint,
+    GrupoOrganizador string,
+    TarifaMadreLetra string,
+    TarifaHija bigint,
+    Dominio string,
+    Ant int,
+    Fecha date
+    """,
     ("Fecha", "CodRama", "Poliza", "Componente"),
     "Fecha",
     ("Fecha", "CodOrganizador", "CodProductor", "CodCoberturaAut", "NroAsegurado"),
@@ -209,88 +327,123 @@ date: Fecha
 PERSONS = Table(
     "dim_daf",
     """
-bigint: NroPersona, persona_key
-string: Cuit, NroDocumento, Sexo, Nombre, Domicilio, Cp, CpSufijo
-smallint: Bloqueado, EsDelegado
-timestamp: last_update
-bigint: version
-""",
+    NroPersona bigint,
+    persona_key bigint,
+    Cuit string,
+    NroDocumento string,
+    Sexo string,
+    Nombre string,
+    Domicilio string,
+    Cp string,
+    CpSufijo string,
+    Bloqueado smallint,
+    EsDelegado smallint,
+    last_update timestamp,
+    version bigint
+    """,
     ("NroPersona",),
 )
 
 ORGANIZERS = Table(
     "dim_organizadores",
     """
-bigint: CodOrganizador, NroPersona
-string: Nombre, Domicilio
-bigint: Cp, CpSufijo
-string: Localidad, CodProvincia, TipoDoc
-bigint: NroDoc
-string: Cuit, Provincia, CodInderProvincia
-bigint: Matricula, CodGrupo
-string: Grupo
-""",
+    CodOrganizador bigint,
+    NroPersona bigint,
+    Nombre string,
+    Domicilio string,
+    Cp bigint,
+    CpSufijo bigint,
+    Localidad string,
+    CodProvincia string,
+    TipoDoc string,
+    NroDoc bigint,
+    Cuit string,
+    Provincia string,
+    CodInderProvincia string,
+    Matricula bigint,
+    CodGrupo bigint,
+    Grupo string
+    """,
     ("CodOrganizador",),
 )
 
 PRODUCERS = Table(
     "dim_productores",
     """
-bigint: CodProductor, NroPersonaProductor
-string: Nombre, Domicilio
-bigint: Cp, CpSufijo
-string: Localidad, CodProvincia, TipoDoc
-bigint: NroDoc
-string: Cuit, Provincia, CodInderProvincia
-bigint: Matricula
-""",
+    CodProductor bigint,
+    NroPersonaProductor bigint,
+    Nombre string,
+    Domicilio string,
+    Cp bigint,
+    CpSufijo bigint,
+    Localidad string,
+    CodProvincia string,
+    TipoDoc string,
+    NroDoc bigint,
+    Cuit string,
+    Provincia string,
+    CodInderProvincia string,
+    Matricula bigint
+    """,
     ("CodProductor",),
 )
 
 LOCALITIES = Table(
     "dim_localidades",
     """
-bigint: Cp, CpSufijo
-string: Localidad, CodProvinciaStr
-bigint: CodProvInder
-string: Provincia
-""",
+    Cp bigint,
+    CpSufijo bigint,
+    Localidad string,
+    CodProvinciaStr string,
+    CodProvInder bigint,
+    Provincia string
+    """,
     ("Cp", "CpSufijo"),
 )
 
 MOTOR_COVERAGES = Table(
     "dim_coberturas_aut",
     """
-string: CodCobertura
-bigint: OrCobertura
-string: CatCobertura
-bigint: OrCatCobertura
-int: Rt, Rp, It, Ip, At, Ap
-timestamp: version
-""",
+    CodCobertura string,
+    OrCobertura bigint,
+    CatCobertura string,
+    OrCatCobertura bigint,
+    Rt int,
+    Rp int,
+    It int,
+    Ip int,
+    At int,
+    Ap int,
+    version timestamp
+    """,
     ("CodCobertura",),
 )
 
 OTHER_COVERAGES = Table(
     "dim_coberturas_rv",
     """
-bigint: CodRama, CodCobertura
-string: Cobertura
-double: Pormilaje
-string: Informe
-""",
+    CodRama bigint,
+    CodCobertura bigint,
+    Cobertura string,
+    Pormilaje double,
+    Informe string
+    """,
     ("CodRama", "CodCobertura"),
 )
 
 RATES = Table(
     "dim_tasas_scd",
     """
-bigint: NumTarifa, Cap, Air
-string: CodCobertura
-bigint: segmento_ant, AntMinima, AntMaxima
-double: TasaAnual
-date: fecha_desde
-""",
+    NumTarifa bigint,
+    Cap bigint,
+    Air bigint,
+    CodCobertura string,
+    segmento_ant bigint,
+    AntMinima bigint,
+    AntMaxima bigint,
+    TasaAnual double,
+    fecha_desde date
+    """,
     ("NumTarifa", "Cap", "Air", "CodCobertura", "segmento_ant"),
     "fecha_desde",
 )
@@ -298,10 +451,16 @@ date: fecha_desde
 LIABILITY_RATES = Table(
     "dim_rc_scd",
     """
-bigint: NumTarifa, Cap, Var
-double: RcSl, RcCl, RcExt, RcAp, RcObl
-date: fecha_desde
-""",
+    NumTarifa bigint,
+    Cap bigint,
+    Var bigint,
+    RcSl double,
+    RcCl double,
+    RcExt double,
+    RcAp double,
+    RcObl double,
+    fecha_desde date
+    """,
     ("NumTarifa", "Cap", "Var"),
     "fecha_desde",
 )
@@ -309,11 +468,21 @@ date: fecha_desde
 RATES_BY_RISK = Table(
     "tasas_aut_x_riesgo",
     """
-bigint: NumTarifa, Cap, Air, segmento_ant, AntMinima, AntMaxima
-string: CodCobertura
-double: TasaAnual
-int: Habilitado
-double: TasaIt, TasaRt, TasaAt, TasaIp, TasaRp, TasaAp
-""",
+    NumTarifa bigint,
+    Cap bigint,
+    Air bigint,
+    segmento_ant bigint,
+    AntMinima bigint,
+    AntMaxima bigint,
+    CodCobertura string,
+    TasaAnual double,
+    Habilitado int,
+    TasaIt double,
+    TasaRt double,
+    TasaAt double,
+    TasaIp double,
+    TasaRp double,
+    TasaAp double
+    """,
     ("NumTarifa", "Cap", "Air", "segmento_ant", "CodCobertura"),
 )

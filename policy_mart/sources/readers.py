@@ -6,24 +6,35 @@ from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import decimal_comma, lenient_date, strip
 
 
-def cast_to(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The schema's columns with its types. Text that does not fit becomes null; a numeric
-    overflow is an error, since it would lose data."""
+def _observed(df: DataFrame, rejected: Observation | None, parsed: Mapping[str, tuple[Column, Column]]) -> DataFrame:
+    """Count, in the same pass, the values per column that are there but do not parse."""
+    if rejected is None or not parsed:
+        return df
+    counts = [F.count_if(raw.isNotNull() & value.isNull()).alias(name) for name, (raw, value) in parsed.items()]
+    return df.observe(rejected, *counts)
+
+
+def cast_to(df: DataFrame, schema: T.StructType, rejected: Observation | None = None) -> DataFrame:
+    """The schema's columns with its types. Text that does not fit becomes null, and `rejected`
+    gets the number of such values per column; a numeric overflow is an error, since it would lose
+    data."""
     kinds = dict(df.dtypes)
+    texts = [f for f in schema.fields if kinds[f.name] == "string" and not isinstance(f.dataType, T.StringType)]
+    parsed = {f.name: (F.col(f.name), F.col(f.name).try_cast(f.dataType)) for f in texts}
 
     def typed(field: T.StructField):
-        column = F.col(field.name)
-        text = kinds[field.name] == "string" and not isinstance(field.dataType, T.StringType)
-        return (column.try_cast(field.dataType) if text else column.cast(field.dataType)).alias(field.name)
+        if field.name in parsed:
+            return parsed[field.name][1].alias(field.name)
+        return F.col(field.name).cast(field.dataType).alias(field.name)
 
-    return df.select(*[typed(f) for f in schema.fields])
+    return _observed(df, rejected, parsed).select(*[typed(f) for f in schema.fields])
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -96,11 +107,13 @@ def read_delimited(
     sep: str = ";",
     encoding: str = "ISO-8859-1",
     date_format: str = "d/M/yyyy",
+    rejected: Observation | None = None,
 ) -> DataFrame:
     """Delimited file with a header, decimal commas and day-first dates.
 
     `columns` maps headers to the schema's columns; the second column of a repeated header `X` is
-    `X (2)`. Other columns are left out, and values that do not parse become null.
+    `X (2)`. Other columns are left out, and values that do not parse become null; `rejected` gets
+    the number of such values per column.
     """
     raw = spark.read.option("sep", sep).option("header", True).option("encoding", encoding).csv(path)
     raw = raw.toDF(*_headers(raw.columns)).select(*[F.col(f"`{h}`").alias(n) for h, n in columns.items()])
@@ -116,4 +129,6 @@ def read_delimited(
             value = strip(field.name).try_cast(field.dataType)
         return value.alias(field.name)
 
-    return raw.select(*[parsed(f) for f in schema.fields])
+    filled = {f.name: F.when(strip(f.name) != "", strip(f.name)) for f in schema.fields if not isinstance(f.dataType, T.StringType)}
+    checked = {f.name: (filled[f.name], parsed(f)) for f in schema.fields if f.name in filled}
+    return _observed(raw, rejected, checked).select(*[parsed(f) for f in schema.fields])

@@ -1,7 +1,9 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from policy_mart.functions.dates import MONTH
 from policy_mart.operators import load
@@ -66,9 +68,9 @@ def test_missing_dates(spark):
     assert [r.d for r in new.collect()] == [D(2025, 2, 5)] * 2
 
 
-def test_calendar_is_bounded(spark):
-    with pytest.raises(ValueError):
-        load.calendar(rows(spark), D(1, 1, 1), D(9000, 1, 1), "d")
+def test_calendar_of_any_length(spark):
+    days = load.calendar(rows(spark), D(1600, 1, 1), D(3000, 1, 1), "d")
+    assert days.count() == (D(3000, 1, 1) - D(1600, 1, 1)).days + 1
 
 
 def test_first_date_of_nothing(spark):
@@ -252,12 +254,28 @@ def test_create_table_and_insert_select(spark, tmp_path):
     spark.sql(f"DROP TABLE {name}")
 
 
-def test_casting_bad_text_gives_null(spark):
-    df = spark.createDataFrame([("x", "2025-01-01"), ("12", "no")], "Op string, FechaDenuncia string")
-    from policy_mart.schemas import struct
+def test_casting_bad_text_gives_null_and_is_counted(spark):
+    rows_ = [("x", "2025-01-01"), ("12", "no"), ("y", None)]
+    df = spark.createDataFrame(rows_, "Op string, FechaDenuncia string")
+    rejected = Observation()
+    got = readers.cast_to(df, StructType.fromDDL("Op bigint, FechaDenuncia date"), rejected)
+    assert set(map(tuple, got.collect())) == {(12, None), (None, D(2025, 1, 1)), (None, None)}
+    assert rejected.get == {"Op": 2, "FechaDenuncia": 1}
 
-    got = readers.cast_to(df, struct("bigint: Op\ndate: FechaDenuncia"))
-    assert sorted(map(tuple, got.collect()), key=str) == [(12, None), (None, D(2025, 1, 1))]
+
+def test_rejected_values_of_a_file_are_counted(spark, tmp_path):
+    (tmp_path / "f.csv").write_text("A;B;C\n1,5;2/1/2025;x\n;nope;y\nbad;;z\n")
+    rejected = Observation()
+    schema = StructType.fromDDL("a double, b date, c string")
+    got = readers.read_delimited(spark, str(tmp_path / "f.csv"), {"A": "a", "B": "b", "C": "c"}, schema, rejected=rejected)
+    assert sorted(r.c for r in got.collect()) == ["x", "y", "z"]
+    assert rejected.get == {"a": 1, "b": 1}
+
+
+def test_rows_without_a_date_are_not_loaded(spark):
+    source = rows(spark, (1, D(2025, 1, 1), "a"), (2, None, "b"))
+    target = rows(spark, (9, D(2025, 1, 1), "z"))
+    assert [r.k for r in load.append_new(source, target, ["k"], "d").collect()] == [1]
 
 
 def test_query_parameters_are_values(spark):
