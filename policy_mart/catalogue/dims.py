@@ -109,14 +109,14 @@ def dim_coverages_latest(spark, sf_dir):
     return latest_per_key(spark.read.parquet(path), ["CodCobertura"], ["version", "Pormilaje"])
 
 
-@query("guarded_refresh", "SELECT p_partkey, p_type, p_retailprice FROM part WHERE p_size <= 25")
+@query("guarded_refresh", "SELECT p_partkey, p_type, p_retailprice + 1 AS p_retailprice FROM part")
 def guarded_refresh(spark, sf_dir):
-    """A refresh, one from an empty source that changes nothing, and a smaller one that replaces."""
+    """A refresh, one from an empty source that changes nothing, and one that replaces every row."""
     path = work_dir(spark, "refresh")
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice", "p_size")
-    full_refresh(p.drop("p_size"), path, guard_empty=True)
-    assert not full_refresh(p.filter("p_size < 0").drop("p_size"), path, guard_empty=True)
-    full_refresh(p.filter("p_size <= 25").drop("p_size"), path, guard_empty=True)
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice")
+    full_refresh(p, path, guard_empty=True)
+    assert not full_refresh(p.limit(0), path, guard_empty=True)
+    full_refresh(p.withColumn("p_retailprice", F.col("p_retailprice") + 1), path, guard_empty=True)
     return spark.read.parquet(path)
 
 

@@ -78,7 +78,6 @@ def contiguous(spark, sf_dir):
     return orders.join(run, MONTH, "left_semi").groupBy(MONTH).agg(F.count(F.lit(1)).alias("orders"))
 
 
-_SPAN = (dt.date(2023, 12, 25), dt.date(2024, 2, 5))
 _LOADED_BEFORE = dt.date(2024, 1, 11)
 
 
@@ -87,10 +86,16 @@ def _events(spark, sf_dir):
     return e.select("event_id", "user_id", "event_type", "value", day("ts").alias("Fecha"))
 
 
+def _span(source):
+    """The source's first and last day."""
+    found = source.agg(F.min("Fecha").alias("first"), F.max("Fecha").alias("last")).first()
+    return found["first"], found["last"]
+
+
 @query(
     "missing_snapshot_dates",
     """
-SELECT d AS Fecha FROM (SELECT CAST(unnest(generate_series(DATE '2023-12-25', DATE '2024-02-05', INTERVAL 1 DAY)) AS DATE) AS d)
+SELECT d AS Fecha FROM (SELECT CAST(unnest(generate_series((SELECT min(CAST(ts AS DATE)) FROM events), (SELECT max(CAST(ts AS DATE)) FROM events), INTERVAL 1 DAY)) AS DATE) AS d)
 WHERE d NOT IN (SELECT CAST(ts AS DATE) FROM events WHERE ts < TIMESTAMP '2024-01-11')
   AND d IN (SELECT CAST(ts AS DATE) FROM events)
 """,
@@ -99,14 +104,14 @@ def missing_snapshot_dates(spark, sf_dir):
     """Days the source has and the target, loaded up to 10 January, lacks."""
     source = _events(spark, sf_dir)
     loaded = source.filter(F.col("Fecha") < F.lit(_LOADED_BEFORE))
-    return missing_dates(source, loaded, "Fecha", *_SPAN)
+    return missing_dates(source, loaded, "Fecha", *_span(source))
 
 
 @query(
     "snapshot_load",
     """
 SELECT event_id, user_id, event_type AS Dominio, CAST(ts AS DATE) AS Fecha FROM events
-WHERE ts >= TIMESTAMP '2024-01-11' AND CAST(ts AS DATE) BETWEEN DATE '2023-12-25' AND DATE '2024-02-05'
+WHERE ts >= TIMESTAMP '2024-01-11'
 """,
 )
 def snapshot_load(spark, sf_dir):
@@ -114,7 +119,7 @@ def snapshot_load(spark, sf_dir):
     padded = F.concat(F.lit(" \t"), F.col("event_type"), F.lit("  "))
     source = _events(spark, sf_dir).withColumn("Dominio", padded)
     loaded = source.filter(F.col("Fecha") < F.lit(_LOADED_BEFORE))
-    new = snapshot_rows_to_load(source, loaded, "Fecha", *_SPAN)
+    new = snapshot_rows_to_load(source, loaded, "Fecha", *_span(source))
     return new.select("event_id", "user_id", strip("Dominio").alias("Dominio"), "Fecha")
 
 
@@ -157,14 +162,14 @@ def claims_load(spark, sf_dir):
     "claim_reports_load",
     """
 WITH r AS (SELECT l_orderkey AS Op, CAST(l_linenumber AS BIGINT) AS Comp, l_partkey AS Siniestro, CAST(l_shipdate AS DATE) AS FechaDenuncia,
-    l_suppkey AS CodProductor, l_returnflag FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-01-01')
+    l_suppkey AS CodProductor, l_returnflag FROM lineitem)
 SELECT Op, Comp, Siniestro, FechaDenuncia, CodProductor FROM r s WHERE NOT EXISTS (
   SELECT 1 FROM r t WHERE t.l_returnflag = 'A' AND t.Op = s.Op AND t.Comp = s.Comp AND t.Siniestro = s.Siniestro
     AND date_trunc('month', t.FechaDenuncia) = date_trunc('month', s.FechaDenuncia))
 """,
 )
 def claim_reports_load(spark, sf_dir):
-    """Claim reports since 1996, from all order lines, against the lines flagged A."""
+    """Claim reports, from all order lines, against the lines flagged A."""
     li = table(spark, sf_dir, "lineitem")
     values = {
         "DPOPER": F.col("l_orderkey"),
@@ -177,7 +182,7 @@ def claim_reports_load(spark, sf_dir):
     rows = raw.select("l_returnflag", *[F.col(s).alias(n) for s, n in CLAIM_REPORT_COLUMNS.items()])
     loaded = cast_to(rows.filter("l_returnflag = 'A'"), CLAIM_REPORTS.schema)
     source = cast_to(rows, CLAIM_REPORTS.schema)
-    new = append_new(source, loaded, CLAIM_REPORTS.keys, "FechaDenuncia", dt.date(1996, 1, 1))
+    new = append_new(source, loaded, CLAIM_REPORTS.keys, "FechaDenuncia")
     return new.select("Op", "Comp", "Siniestro", "FechaDenuncia", "CodProductor")
 
 

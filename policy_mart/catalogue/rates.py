@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from ..functions.dates import yyyymm
 from ..operators.controls import missing_matches, missing_summary
 from ..operators.rates import BASE_COVERAGES, RISKS, decompose_rates, rate_band_join
 from ..operators.scd import current_rows
@@ -14,6 +15,7 @@ from ..plans.dims import RATE_VALUES, prepare_rates
 from ..schemas import RATES
 from .registry import query, table
 from .standins import (
+    day,
     COVERAGE_FLAGS_SQL,
     CURRENT_RATES_SQL,
     PREMIUM_LINES_SQL,
@@ -157,25 +159,25 @@ def premiums_without_rate(spark, sf_dir):
 @query(
     "missing_matches",
     """
-SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN
-  (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderdate < TIMESTAMP '1996-01-01')
+SELECT l_orderkey, l_linenumber, CAST(year(l_shipdate) * 100 + month(l_shipdate) AS INTEGER) AS mes FROM lineitem
+WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND date_trunc('month', o_orderdate) = date_trunc('month', l_shipdate))
 """,
 )
 def missing(spark, sf_dir):
-    """Customers without an urgent order before 1996."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    o = table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT' AND o_orderdate < TIMESTAMP_NTZ '1996-01-01'")
-    return missing_matches(c, o.select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
+    """Lines without an order of theirs in the month they were shipped."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", yyyymm(day("l_shipdate")).alias("mes"))
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), yyyymm(day("o_orderdate")).alias("mes"))
+    return missing_matches(lines, orders, ["l_orderkey", "mes"])
 
 
 @query(
     "missing_summary",
     """
-SELECT count(*) AS Faltantes, CAST(1 AS BIGINT) AS mostrados FROM customer WHERE c_custkey NOT IN
-  (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderdate < TIMESTAMP '1996-01-01')
+SELECT count(*) AS Faltantes, CAST(1 AS BIGINT) AS mostrados FROM lineitem
+WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND date_trunc('month', o_orderdate) = date_trunc('month', l_shipdate))
 """,
 )
 def summary(spark, sf_dir):
     """How many are missing, and one of them at random, which is only counted here."""
     shown = missing_summary(missing(spark, sf_dir), seed=7)
-    return shown.agg(F.max("Faltantes").alias("Faltantes"), F.count_distinct("c_custkey").alias("mostrados"))
+    return shown.agg(F.max("Faltantes").alias("Faltantes"), F.count_distinct("l_orderkey").alias("mostrados"))
