@@ -17,15 +17,16 @@ from .registry import query, table, total
 from .standins import day
 
 
-def event_stream(spark, sf_dir):
-    """The events table as a stream of files.
+_BATCHES = 3
 
-    The pattern serves a table that is a folder of files and one that is a single file, which a
-    stream would not take by its plain name.
-    """
-    schema = table(spark, sf_dir, "events").schema
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000)
-    return reader.parquet(f"{sf_dir}/events.parquet*").withColumn("day", day("ts"))
+
+def event_stream(spark, sf_dir):
+    """The events table as a stream of files that comes in several batches."""
+    events = table(spark, sf_dir, "events")
+    path = work_dir(spark, "events")
+    events.repartition(2 * _BATCHES, "event_id").write.parquet(path)
+    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2)
+    return reader.parquet(path).withColumn("day", day("ts"))
 
 
 @query(
