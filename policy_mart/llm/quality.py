@@ -16,7 +16,7 @@ from ._work import Shelf, name, others
 #: What stands before a text.
 START = "\n"
 #: Most entries of a model that is sent to every task; a larger one is joined. An entry takes 24 bytes there.
-SENT_ENTRIES = 4_000_000
+SENT_ENTRIES = 2_000_000
 
 
 def _padded(texts: Sequence[str | None], order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -27,24 +27,24 @@ def _padded(texts: Sequence[str | None], order: int) -> tuple[np.ndarray, np.nda
     clean = [START * (order - 1) + " ".join((t or "").split()) for t in texts]
     codes = code_points("".join(clean)).copy() if clean else np.zeros(0, np.uint32)
     codes[(codes >= 48) & (codes <= 57)] = 48
-    sizes = np.array([len(c) for c in clean])
-    return codes, np.cumsum(sizes) - sizes
+    sizes = np.array([len(c) for c in clean], np.int64)
+    return codes.astype(np.uint64), np.cumsum(sizes) - sizes
 
 
 def _windows(codes: np.ndarray, starts: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
     """The first positions of the n-grams that lie in one text, and the text of each."""
-    owner = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(codes))))
-    at = np.arange(max(len(codes) - order + 1, 0))
-    inside = owner[at] == owner[at + order - 1]
-    return at[inside], owner[at[inside]]
+    sizes = np.diff(np.append(starts, len(codes))) - order + 1
+    owner = np.repeat(np.arange(len(starts)), sizes)
+    return np.arange(len(owner)) + owner * (order - 1), owner
 
 
 def _hash(codes: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     """64-bit hashes of the n code points from each position."""
     h = np.full(len(at), np.uint64(n + 1))
     for k in range(n):
-        h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + codes[at + k].astype(np.uint64))
-    return h
+        h *= np.uint64(0x9E3779B97F4A7C15)
+        h += codes[at + k]
+    return mix64(h)
 
 
 def count_ngrams(texts: DataFrame, order: int) -> DataFrame:
@@ -52,7 +52,7 @@ def count_ngrams(texts: DataFrame, order: int) -> DataFrame:
     column. Tasks count first and send each of their n-grams once."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, grams, counts = np.zeros(0, np.uint64), np.zeros((0, order), np.uint32), np.zeros(0, np.int64)
+        keys, grams, counts = np.zeros(0, np.uint64), np.zeros((0, order), np.uint64), np.zeros(0, np.int64)
         for batch in batches:
             column = batch.column(0).to_pylist()
             for a, b in chunks(column):
@@ -62,7 +62,7 @@ def count_ngrams(texts: DataFrame, order: int) -> DataFrame:
                 gram = codes[at[first][:, None] + np.arange(order)[None, :]] if len(at) else grams[:0]
                 keys, where = np.unique(np.concatenate([keys, key]), return_inverse=True)
                 summed = np.bincount(where, np.concatenate([counts, n]), minlength=len(keys)).astype(np.int64)
-                merged = np.zeros((len(keys), order), np.uint32)
+                merged = np.zeros((len(keys), order), np.uint64)
                 merged[where] = np.concatenate([grams, gram])
                 grams, counts = merged, summed
         for i in range(0, len(keys), 50_000):
@@ -86,7 +86,7 @@ def _discounts(counts: DataFrame) -> list[float]:
     return [min(max(d, 0.05), k + 0.95) for k, d in enumerate(found)]
 
 
-def train(texts: DataFrame, shelf: Shelf, order: int = 5) -> DataFrame:
+def train(texts: DataFrame, shelf: Shelf, order: int = 4) -> DataFrame:
     """The model (gram, size, p, back): probability of a gram's last character after the others, and
     the weight that it gives, as a context, to the next lower order.
 
@@ -138,23 +138,38 @@ def train(texts: DataFrame, shelf: Shelf, order: int = 5) -> DataFrame:
     return shelf.put(reduce(DataFrame.unionByName, out))
 
 
+def _keyed(model: DataFrame) -> DataFrame:
+    """(key, size, log_p, log_back) of a model: grams by their hash, absent values as NaN."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams = batch.column(0).to_pylist()
+            sizes = np.array([len(g) for g in grams], np.int64)
+            codes = code_points("".join(grams)).astype(np.uint64)
+            starts = np.cumsum(sizes) - sizes
+            keys = np.zeros(len(grams), np.uint64)
+            for size in np.unique(sizes):
+                here = np.flatnonzero(sizes == size)
+                keys[here] = _hash(codes, starts[here], int(size))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *batch.columns[1:]], names=["key", "log_p", "log_back"])
+
+    nan = F.lit(float("nan"))
+    logs = model.select("gram", F.coalesce(F.log("p"), nan).alias("log_p"), F.coalesce(F.log("back"), nan).alias("log_back"))
+    return logs.mapInArrow(hashed, "key long, log_p double, log_back double")
+
+
 class Tables:
     """The model as sorted arrays: log-probabilities and log-weights by the hash of a gram."""
 
-    def __init__(self, grams: list[str], p: np.ndarray, back: np.ndarray, order: int):
+    def __init__(self, keyed: pa.Table, order: int):
         self.order = order
-        keys = np.zeros(len(grams), np.uint64)
-        sizes = np.array([len(g) for g in grams])
-        codes = code_points("".join(grams))
-        starts = np.cumsum(sizes) - sizes
-        for size in range(order + 1):
-            here = np.flatnonzero(sizes == size)
-            keys[here] = _hash(codes, starts[here], size)
+        keys = keyed.column("key").to_numpy().view(np.uint64)
         by = np.argsort(keys)
         self.keys = keys[by]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            self.log_p, self.log_back = np.log(p[by]), np.log(back[by])
-        self.unseen = float(self.log_p[np.searchsorted(self.keys, _hash(codes, np.zeros(1, np.int64), 0)[0])])
+        self.log_p = keyed.column("log_p").to_numpy()[by]
+        self.log_back = keyed.column("log_back").to_numpy()[by]
+        nothing = _hash(np.zeros(0, np.uint64), np.zeros(1, np.int64), 0)
+        self.unseen = float(self.log_p[np.searchsorted(self.keys, nothing[0])])
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
@@ -184,10 +199,7 @@ class Tables:
 
 def _scored_by_task(docs: DataFrame, text: str, model: DataFrame, order: int, kept: list) -> DataFrame:
     """`kept` columns with _llm_chars and _llm_log, by a model that every task holds."""
-    rows = model.toPandas()
-    tables = Tables(
-        rows["gram"].tolist(), rows["p"].to_numpy(np.float64), rows["back"].to_numpy(np.float64), order
-    )
+    tables = Tables(_keyed(model).toArrow(), order)
     shared = docs.sparkSession.sparkContext.broadcast(tables)
 
     @F.pandas_udf("chars long, log double")
@@ -276,7 +288,7 @@ def score_quality(
     trusted: DataFrame,
     text: str = "text",
     lang: str = "lang",
-    order: int = 5,
+    order: int = 4,
     fences: float = 4.0,
     prior_chars: int = 100,
     sent_entries: int = SENT_ENTRIES,
@@ -318,7 +330,7 @@ def score_quality(
         scored = _scored_by_task(docs, text, model, order, kept)
     else:
         scored = _scored_by_joins(docs, text, model, order, kept, shelf)
-    scored = shelf.put(scored)
+    scored = shelf.last(scored)
     bits = F.when(F.col("_llm_chars") > 0, -F.col("_llm_log") / F.col("_llm_chars"))
     scored = scored.withColumn("_llm_bits", bits)
 
