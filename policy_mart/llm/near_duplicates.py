@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._graph import components
+from ._ranks import ranked
 from ._text import chunks, mix64, shingles
 from ._work import Shelf, name, others, runs
 
@@ -193,8 +194,9 @@ def _block_links(nodes: DataFrame, texts: DataFrame, width: int, threshold: floa
     They are compared in pairs of blocks: products of matrices give what two texts have in common, and
     only links come out. Blocks are in the order of roots, and those of one root alone do not meet.
     """
-    cut = Window.partitionBy("centre").orderBy("root", "node")
-    placed = nodes.withColumn("block", F.floor((F.row_number().over(cut) - 1) / BLOCK).cast("int"))
+    cells = nodes.select("*", F.hex(F.substring("root", 1, 1)).alias("roots"), F.hex(F.substring("node", 1, 1)).alias("part"))
+    placed = ranked(cells, ["centre", "roots", "root", "part"], ["node"], "rank")
+    placed = placed.select("node", "root", "centre", F.floor(F.col("rank") / BLOCK).cast("int").alias("block"))
     spread = placed.groupBy("centre", "block").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
     other = spread.select("centre", *[F.col(c).alias(f"{c}_b") for c in ("block", "lo", "hi")])
     meet = (F.col("block") <= F.col("block_b")) & ((F.col("lo") != F.col("hi_b")) | (F.col("hi") != F.col("lo_b")))
