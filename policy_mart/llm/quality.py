@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -203,9 +204,7 @@ def _scored_by_task(docs: DataFrame, text: str, model: DataFrame, order: int, ke
     shared = docs.sparkSession.sparkContext.broadcast(tables)
 
     @F.pandas_udf("chars long, log double")
-    def score(texts):
-        import pandas as pd
-
+    def score(texts: pd.Series) -> pd.DataFrame:
         column = [t if isinstance(t, str) else None for t in texts]
         chars, logs = [], []
         for a, b in chunks(column):
@@ -271,10 +270,8 @@ def _scored_by_joins(docs: DataFrame, text: str, model: DataFrame, order: int, k
             seen = seen.withColumn("context", F.substring("gram", order - size + 1, size - 1)).join(b, "context", "left")
             more = F.when(F.col("done") | F.col("log_b").isNull(), 0.0).otherwise(F.col("log_b"))
             seen = seen.select("gram", (F.col("log") + more).alias("log"), "done")
-    unseen = model.filter("size = 0").select(F.log("p").alias("log_unseen"))
-    seen = seen.join(F.broadcast(unseen)).select(
-        "gram", F.when(F.col("done"), F.col("log")).otherwise(F.col("log") + F.col("log_unseen")).alias("log")
-    )
+    unseen = float(np.log(model.filter("size = 0").first()["p"]))
+    seen = seen.select("gram", F.when(F.col("done"), F.col("log")).otherwise(F.col("log") + F.lit(unseen)).alias("log"))
     totals = rows.join(seen, "gram").groupBy("doc").agg(
         F.sum("n").alias("_llm_chars"), F.sum(F.col("n") * F.col("log")).alias("_llm_log")
     )
