@@ -87,7 +87,7 @@ def _discounts(counts: DataFrame) -> list[float]:
     return [min(max(d, 0.05), k + 0.95) for k, d in enumerate(found)]
 
 
-def train(texts: DataFrame, shelf: Shelf, order: int = 4) -> DataFrame:
+def train(texts: DataFrame, shelf: Shelf, order: int = 5) -> DataFrame:
     """The model (gram, size, p, back): probability of a gram's last character after the others, and
     the weight that it gives, as a context, to the next lower order.
 
@@ -285,7 +285,7 @@ def score_quality(
     trusted: DataFrame,
     text: str = "text",
     lang: str = "lang",
-    order: int = 4,
+    order: int = 5,
     fences: float = 4.0,
     prior_chars: int = 100,
     sent_entries: int = SENT_ENTRIES,

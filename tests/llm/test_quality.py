@@ -71,6 +71,15 @@ def test_perplexity_by_definition(spark, sent):
         assert r["perplexity"] == pytest.approx(model.perplexity(r["text"]), rel=1e-9)
 
 
+def test_learns_five_characters_by_default(spark):
+    texts = [words(i, 25) for i in range(30)]
+    trusted = spark.createDataFrame([(t,) for t in texts[:20]], "text string")
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    model = ByHand(texts[:20], 5)
+    for r in quality.score_quality(docs, trusted).collect():
+        assert r["perplexity"] == pytest.approx(model.perplexity(r["text"]), rel=1e-9)
+
+
 def test_probabilities_sum_to_one():
     model = ByHand([words(i, 20) for i in range(10)], 3)
     letters = [*model.counts[1], "unseen"]
