@@ -66,10 +66,10 @@ def norms(x: np.ndarray) -> np.ndarray:
 
 
 def _local_join(members: DataFrame, k: int, threshold: float, kind: str) -> DataFrame:
-    """(a, b, sim): each member's best others in its group, if better than the worst it has, and the
-    links of the member with the most links.
+    """(a, b, sim): each member's best others in its group, if better than the worst it has, and links
+    that span each piece of the group's links, so that no link measured is lost to the components.
 
-    `members` has group, id, worst and vec. Groups are of bounded size.
+    `members` has group, id, worst, vec and root; members of one root are not compared. Groups are of bounded size.
     """
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,34 +84,51 @@ def _local_join(members: DataFrame, k: int, threshold: float, kind: str) -> Data
             n, top = len(ids), min(k, len(ids) - 1)
             if n < 2:
                 continue
+            root = group.column("root").to_numpy()[at]
             sims = x @ x.T
-            np.fill_diagonal(sims, -2.0)
+            sims[root[:, None] == root[None, :]] = -2.0
             best = np.argpartition(-sims, top - 1, axis=1)[:, :top]
             value = np.take_along_axis(sims, best, axis=1)
-            better = value > worst[:, None]
+            better = (value > worst[:, None]) & (value > -2.0)
             a, c = np.nonzero(better)
             b, value = best[a, c], value[a, c]
-            # A hub's links keep a group of near copies in one piece, however short the lists.
-            linked = sims >= threshold
-            hub = int(linked.sum(axis=1).argmax())
-            spokes = np.flatnonzero(linked[hub])
-            a, b = np.concatenate([a, spokes]), np.concatenate([b, np.full(len(spokes), hub)])
-            value = np.concatenate([value, sims[hub, spokes]])
+            # Spanning links keep all that is linked in one piece, however short the lists.
+            leaf, hub = _spanning(sims >= threshold)
+            a, b, value = np.concatenate([a, leaf]), np.concatenate([b, hub]), np.concatenate([value, sims[leaf, hub]])
             if len(a):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[a]), pa.array(ids[b]), pa.array(value)], names=["a", "b", "sim"]
                 )
 
     return (
-        members.select("group", "id", "worst", "vec")
+        members.select("group", "id", "worst", "vec", "root")
         .repartition("group")
         .sortWithinPartitions("group")
         .mapInArrow(join, "a long, b long, sim double")
     )
 
 
+def _spanning(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The links of a spanning forest of a symmetric matrix, from the nodes with the most links."""
+    degree = linked.sum(axis=1)
+    waiting = degree > 0
+    leaves, hubs, todo = [], [], []
+    while todo or waiting.any():
+        if not todo:
+            todo.append(int(np.where(waiting, degree, -1).argmax()))
+            waiting[todo[0]] = False
+        hub = todo.pop()
+        new = np.flatnonzero(linked[hub] & waiting)
+        waiting[new] = False
+        todo.extend(new.tolist())
+        leaves.append(new)
+        hubs.append(np.full(len(new), hub))
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *leaves]), np.concatenate([none, *hubs])
+
+
 def _by_planes(vectors: DataFrame, tables: int, bits: int, seed: int, kind: str) -> DataFrame:
-    """(table, code, id, vec): on which side of `bits` random planes through 0 a vector lies, for each table."""
+    """(table, code, id, vec, root): on which side of `bits` random planes through 0 a vector lies, for each table."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes = None
@@ -125,11 +142,11 @@ def _by_planes(vectors: DataFrame, tables: int, bits: int, seed: int, kind: str)
             codes = side @ (1 << np.arange(bits, dtype=np.int64))
             rows = pa.array(np.repeat(np.arange(len(x)), tables))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.tile(np.arange(tables, dtype=np.int64), len(x))), pa.array(codes.ravel()), batch.column(0).take(rows), batch.column(1).take(rows)],
-                names=["table", "code", "id", "vec"],
+                [pa.array(np.tile(np.arange(tables, dtype=np.int64), len(x))), pa.array(codes.ravel()), *[batch.column(i).take(rows) for i in range(3)]],
+                names=["table", "code", "id", "vec", "root"],
             )
 
-    return vectors.mapInArrow(code, "table long, code long, id long, vec binary")
+    return vectors.select("id", "vec", "root").mapInArrow(code, "table long, code long, id long, vec binary, root long")
 
 
 def _cut(rows: DataFrame, keys: list[str], salt: Column) -> DataFrame:
@@ -147,15 +164,27 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 
 
 def descend(
-    vectors: DataFrame, kind: str, shelf: Shelf, threshold: float, k: int, rounds: int, settled: float, seed: int
-) -> list[DataFrame]:
-    """The links (a, b, sim) at the threshold that NN-descent comes by.
+    vectors: DataFrame,
+    kind: str,
+    shelf: Shelf,
+    threshold: float,
+    k: int,
+    rounds: int,
+    settled: float,
+    seed: int,
+    near: DataFrame | None = None,
+) -> tuple[list[DataFrame], DataFrame]:
+    """The links (a, b, sim) at the threshold that NN-descent comes by, and the lists it ends with.
+
+    `vectors` has id, vec and root; vectors of one root are not compared and in no list of each other. `near` are
+    lists of any root, whose nodes meet in the groups too: a way to the members next to a neighbour.
 
     It starts from neighbours on the same side of random planes. In each round a node's
     neighbours, and the nodes it is a neighbour of, meet in a group of their own and are
     compared; each keeps its k best. It ends when a round finds new links for no more than the fraction
     `settled` of the nodes. A group is cut into parts of bounded size, so a node with very many
-    reverse neighbours costs no task more than others.
+    reverse neighbours costs no task more than others. With `near` a round counts all that is new in the
+    lists, as they get close to a link before they hold one.
     """
     n = vectors.count()
     bits = max(1, min(40, int(np.ceil(np.log2(max(n, 2) / 16)))))
@@ -169,24 +198,50 @@ def descend(
         worst = graph.groupBy(F.col("a").alias("id")).agg(
             F.when(F.count(F.lit(1)) < k, F.lit(-2.0)).otherwise(F.min("sim")).alias("worst")
         )
-        described = vectors.join(worst, "id", "left").select("id", F.coalesce("worst", F.lit(-2.0)).alias("worst"), "vec")
+        described = vectors.join(worst, "id", "left").select("id", F.coalesce("worst", F.lit(-2.0)).alias("worst"), "vec", "root")
         edges = (
             graph.select(F.col("a").alias("hub"), F.col("b").alias("id"))
             .unionByName(graph.select(F.col("b").alias("hub"), F.col("a").alias("id")))
             .unionByName(graph.select(F.col("a").alias("hub"), F.col("a").alias("id")))
-            .distinct()
         )
+        if near is not None:
+            edges = edges.unionByName(near.select(F.col("a").alias("hub"), F.col("b").alias("id")))
+        edges = edges.distinct()
         members = _cut(edges, ["hub"], F.xxhash64("id", F.lit(turn))).select("group", "id").join(described, "id")
         found = shelf.put(_local_join(members, k, threshold, kind))
-        near = found.filter(F.col("sim") >= threshold)
-        fresh = near.join(graph.select("a", "b"), ["a", "b"], "left_anti").agg(F.count_distinct("a")).first()[0]
-        links.append(near)
+        linked = found.filter(F.col("sim") >= threshold)
+        fresh = (linked if near is None else found).join(graph.select("a", "b"), ["a", "b"], "left_anti").agg(F.count_distinct("a")).first()[0]
+        links.append(linked)
         old = graph
         graph = shelf.put(_best(graph.select("a", "b", "sim").unionByName(found), k))
         shelf.drop(old)
         if fresh <= settled * n:
             break
-    return links
+    return links, graph
+
+
+def bridges(
+    vectors: DataFrame, kind: str, shelf: Shelf, known: list[DataFrame], graph: DataFrame, threshold: float, k: int, rounds: int, settled: float, seed: int
+) -> tuple[list[DataFrame], DataFrame]:
+    """All links found, and the components (node, root) they make.
+
+    A list of `k` links has no room for what lies behind them. While there are such lists, the descent is repeated
+    between components only, with lists of members of others, until it finds no more link.
+    """
+    roots = shelf.put(components(reduce(DataFrame.unionByName, known).select("a", "b"), shelf))
+    full = graph.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("sim").alias("worst"))
+    if full.filter((F.col("n") >= k) & (F.col("worst") >= threshold)).isEmpty():
+        return known, roots
+    while True:
+        placed = vectors.select("id", "vec").join(roots.withColumnRenamed("node", "id"), "id", "left")
+        placed = shelf.put(placed.select("id", "vec", F.coalesce("root", "id").alias("root")))
+        found, lists = descend(placed, kind, shelf, threshold, k, rounds, settled, seed, graph)
+        more = shelf.put(reduce(DataFrame.unionByName, found).select("a", "b", "sim"))
+        shelf.drop(placed, lists)
+        if more.isEmpty():
+            return known, roots
+        known = [*known, more]
+        roots = shelf.put(components(reduce(DataFrame.unionByName, known).select("a", "b"), shelf))
 
 
 def _full_links(members: DataFrame, shelf: Shelf, threshold: float, kind: str) -> DataFrame:
@@ -286,7 +341,8 @@ def near_vectors(
 
     Two vectors are linked at cosine `threshold` or more, in double precision. NN-descent gives about the
     `k` nearest of each vector, and the links on the way make components. Where lists are
-    saturated with links, they are enlarged to the whole component, within which every link is then counted exactly.
+    saturated with links, the descent is repeated between components (see `bridges`). Within a component
+    every link is counted exactly.
     A bounded sample of vectors is compared with all to audit the recall; if it is below
     `recall`, the descent goes on with lists twice as long from other planes, up to four times.
 
@@ -296,12 +352,12 @@ def near_vectors(
     """
     shelf = Shelf(embeddings.sparkSession, "nn-descent")
     sound, kind = comparable(embeddings, key, vector)
-    vectors = shelf.put(sound)
+    vectors = shelf.put(sound.withColumn("root", F.col("id")))
     known: list[DataFrame] = []
     for attempt in range(4):
-        known += descend(vectors, kind, shelf, threshold, k << attempt, rounds, settled, seed=attempt)
-        roots = components(reduce(DataFrame.unionByName, known).select("a", "b"), shelf)
-        members = shelf.put(roots.withColumnRenamed("node", "id").join(vectors, "id"))
+        found, graph = descend(vectors, kind, shelf, threshold, k << attempt, rounds, settled, seed=attempt)
+        known, roots = bridges(vectors, kind, shelf, known + found, graph, threshold, k << attempt, rounds, settled, seed=attempt)
+        members = shelf.put(roots.withColumnRenamed("node", "id").join(vectors.select("id", "vec"), "id"))
         links = shelf.put(_full_links(members, shelf, threshold, kind).join(members.select("id", "root"), "id"))
         if audit_recall(vectors, kind, links, threshold, audit) >= recall:
             break

@@ -60,6 +60,20 @@ def test_links_against_all_pairs(spark):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got)
 
 
+def test_large_groups_that_touch_in_one_pair(spark):
+    r = np.random.default_rng(7)
+    d = 32
+    a, b = np.linalg.qr(r.standard_normal((d, 2)))[0].T
+    at = lambda t: np.cos(t) * a + np.sin(t) * b
+    groups = [at(t) + 0.015 * r.standard_normal((1000, d)) for t in (0.0, 0.6)]
+    x = np.concatenate([*groups, [at(0.145), at(0.455)], r.standard_normal((2000, d))]).astype(np.float32)
+    ids = r.permutation(len(x))
+    expected = links_by_hand(ids, x)
+    assert len({expected[int(i)][1] for i in ids[:2002]}) == 1
+    got = neighbours.near_vectors(frame(spark, zip(ids.tolist(), x.tolist(), strict=True))).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == expected
+
+
 def test_embeddings_table(spark):
     e = spark.read.parquet(f"{DATA}/embeddings.parquet")
     rows = e.collect()
