@@ -19,6 +19,8 @@ GROUP = 128
 BLOCK = 256
 #: Sets of random planes that give the first neighbours.
 TABLES = 8
+#: Groups of vectors by their number of links, which the audit asks alike: none, 1 to 3, 4 to 15, and so on.
+STRATA = 6
 
 
 def comparable(vectors: DataFrame, key: str, vector: str) -> tuple[DataFrame, str]:
@@ -173,6 +175,7 @@ def descend(
     settled: float,
     seed: int,
     near: DataFrame | None = None,
+    tables: int = TABLES,
 ) -> tuple[list[DataFrame], DataFrame]:
     """The links (a, b, sim) at the threshold that NN-descent comes by, and the lists it ends with.
 
@@ -188,7 +191,7 @@ def descend(
     """
     n = vectors.count()
     bits = max(1, min(40, int(np.ceil(np.log2(max(n, 2) / 16)))))
-    coded = shelf.put(_by_planes(vectors, TABLES, bits, seed, kind))
+    coded = shelf.put(_by_planes(vectors, tables, bits, seed, kind))
     start = _cut(coded, ["table", "code"], F.xxhash64("id", "table")).withColumn("worst", F.lit(-2.0))
     found = shelf.put(_local_join(start, k, threshold, kind))
     shelf.drop(coded)
@@ -305,11 +308,22 @@ def _full_links(members: DataFrame, shelf: Shelf, threshold: float, kind: str) -
 
 
 def audit_recall(vectors: DataFrame, kind: str, links: DataFrame, threshold: float, sample: int) -> float:
-    """The share of true neighbours, at the threshold, of about `sample` vectors that the links (id,
-    n_links) hold: a bounded set of queries, each compared with every vector."""
-    queries = vectors.select("id", "vec").orderBy(F.xxhash64("id", F.lit("audit"))).limit(sample).collect()
-    if not queries:
+    """The share of a vector's true neighbours, at the threshold, that the links (id, n_links) hold, on
+    average over the vectors with any: about `sample` queries, each compared with every vector.
+
+    The queries come in equal parts from strata by the number of links held, and count as often as their
+    stratum has vectors, so neither large groups nor small ones outweigh the rest.
+    """
+    held = F.coalesce("n_links", F.lit(0))
+    layer = F.least(F.ceil(F.log2(held + 1.0) / 2), F.lit(STRATA - 1)).cast("int")
+    known = links.select("id", "n_links")
+    layered = vectors.select("id", "vec").join(known, "id", "left").withColumn("layer", layer)
+    sizes = {x["layer"]: x["count"] for x in layered.groupBy("layer").count().collect()}
+    if not sizes:
         return 1.0
+    each = max(1, sample // len(sizes))
+    parts = [layered.filter(F.col("layer") == i).orderBy(F.xxhash64("id", F.lit("audit"))).limit(each) for i in sizes]
+    queries = reduce(DataFrame.unionByName, parts).select("id", "vec", "layer").collect()
     ids = np.array([q["id"] for q in queries])
     x = unit_rows(pa.array([bytes(q["vec"]) for q in queries], pa.binary()), kind)
 
@@ -322,8 +336,15 @@ def audit_recall(vectors: DataFrame, kind: str, links: DataFrame, threshold: flo
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], names=["id", "n"])
 
     true = vectors.select("id", "vec").mapInArrow(compare, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-    got = true.join(links, "id", "left").agg(F.sum("n"), F.sum(F.least("n", F.coalesce("n_links", F.lit(0))))).first()
-    return 1.0 if not got[0] else float(got[1] or 0) / float(got[0])
+    got = {x["id"]: x for x in true.join(known, "id", "left").collect()}
+    asked = {i: sum(q["layer"] == i for q in queries) for i in sizes}
+    weight = total = 0.0
+    for q in queries:
+        n, share = got[q["id"]]["n"], sizes[q["layer"]] / asked[q["layer"]]
+        if n:
+            weight += share
+            total += share * min(n, got[q["id"]]["n_links"] or 0) / n
+    return total / weight if weight else 1.0
 
 
 def near_vectors(
@@ -344,7 +365,8 @@ def near_vectors(
     saturated with links, the descent is repeated between components (see `bridges`). Within a component
     every link is counted exactly.
     A bounded sample of vectors is compared with all to audit the recall; if it is below
-    `recall`, the descent goes on with lists twice as long from other planes, up to four times.
+    `recall`, the descent goes on with lists twice as long from twice as many other planes, up to four times in
+    all, and then fails: a result below `recall` is not given.
 
     Vectors that are null, zero, or hold null or non-finite components link with nothing (see
     `comparable`, also for repeated keys). Equal vectors are linked like any others. Rows with a null
@@ -355,12 +377,15 @@ def near_vectors(
     vectors = shelf.put(sound.withColumn("root", F.col("id")))
     known: list[DataFrame] = []
     for attempt in range(4):
-        found, graph = descend(vectors, kind, shelf, threshold, k << attempt, rounds, settled, seed=attempt)
+        found, graph = descend(vectors, kind, shelf, threshold, k << attempt, rounds, settled, attempt, tables=TABLES << attempt)
         known, roots = bridges(vectors, kind, shelf, known + found, graph, threshold, k << attempt, rounds, settled, seed=attempt)
         members = shelf.put(roots.withColumnRenamed("node", "id").join(vectors.select("id", "vec"), "id"))
         links = shelf.put(_full_links(members, shelf, threshold, kind).join(members.select("id", "root"), "id"))
-        if audit_recall(vectors, kind, links, threshold, audit) >= recall:
+        reached = audit_recall(vectors, kind, links, threshold, audit)
+        if reached >= recall:
             break
+    else:
+        raise RuntimeError(f"near_vectors: recall {reached:.4f} after {attempt + 1} attempts, below {recall}")
     ids = embeddings.select(name(key).alias(key))
     out = ids.join(links.select(F.col("id").alias("_llm_id"), "n_links", "root"), name(key) == F.col("_llm_id"), "left")
     component = F.coalesce("root", name(key))

@@ -146,3 +146,13 @@ def test_audit_sees_lost_links(spark):
     rows = [(i, n if i % 2 else 0) for i, (n, _) in true.items()]
     halved = spark.createDataFrame(rows, "id long, n_links long")
     assert 0.3 < neighbours.audit_recall(vectors, kind, halved, 0.95, 10_000) < 0.7
+
+
+def test_audit_counts_small_groups(spark):
+    r = np.random.default_rng(3)
+    group = r.standard_normal(32) + 0.02 * r.standard_normal((300, 32))
+    pairs = np.repeat(r.standard_normal((60, 32)), 2, axis=0) + 0.02 * r.standard_normal((120, 32))
+    x = np.concatenate([group, pairs])
+    vectors, kind = neighbours.comparable(frame(spark, enumerate(x.tolist())), "vec_id", "embedding")
+    lost = spark.createDataFrame([(i, 299) for i in range(300)], "id long, n_links long")
+    assert neighbours.audit_recall(vectors, kind, lost, 0.95, 64) == pytest.approx(300 / 420)
