@@ -18,7 +18,7 @@ from .neighbours import comparable, norms, unit_rows
 SHARD_ROWS = 4096
 QUERY_BLOCK = 2048
 
-INDEX = "shard int, ids binary, vec binary, entry int, nodes array<binary>, offsets array<binary>, targets array<binary>"
+INDEX = "shard int, ids binary, starts binary, vec binary, entry int, nodes array<binary>, offsets array<binary>, targets array<binary>"
 
 
 class Graph:
@@ -135,9 +135,9 @@ class Graph:
 
 
 def build_index(vectors: DataFrame, kind: str, shards: int, links: int = 12, width: int = 64) -> DataFrame:
-    """One row per shard: its ids, vectors, and its graph as flat neighbour arrays.
+    """One row per shard: its distinct vectors, their ids, and their graph as flat neighbour arrays.
 
-    A shard holds the rows that a hash of the id gives it, about SHARD_ROWS; every row is indexed.
+    Equal vectors are one node, whose ids lie in order from its place in `starts`. A shard holds the rows that a hash of the id gives it, about SHARD_ROWS; every row is indexed.
     """
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,13 +145,18 @@ def build_index(vectors: DataFrame, kind: str, shards: int, links: int = 12, wid
             shard = part.column("shard")[0].as_py()
             order = np.argsort(part.column("id").to_numpy())
             part = part.take(pa.array(order))
-            column = part.column("vec").combine_chunks()
+            node_of: dict[bytes, int] = {}
+            node = np.array([node_of.setdefault(v, len(node_of)) for v in part.column("vec").to_pylist()])
+            ids = part.column("id").to_numpy()[np.argsort(node, kind="stable")]
+            starts = np.append(0, np.cumsum(np.bincount(node)))
+            column = pa.array(list(node_of), pa.binary())
             g = Graph.build(unit_rows(column, kind), links, width, seed=shard)
             nodes, offsets, targets = g.flat()
             yield pa.RecordBatch.from_pydict(
                 {
                     "shard": pa.array([shard], pa.int32()),
-                    "ids": pa.array([part.column("id").to_numpy().tobytes()], pa.binary()),
+                    "ids": pa.array([ids.tobytes()], pa.binary()),
+                    "starts": pa.array([starts.astype(np.int64).tobytes()], pa.binary()),
                     "vec": pa.array([b"".join(column.to_pylist())], pa.binary()),
                     "entry": pa.array([g.entry], pa.int32()),
                     "nodes": pa.array([nodes], pa.list_(pa.binary())),
@@ -165,7 +170,7 @@ def build_index(vectors: DataFrame, kind: str, shards: int, links: int = 12, wid
 
 
 def search_index(index: DataFrame, queries: DataFrame, kind: str, shards: int, k: int, width: int = 96) -> DataFrame:
-    """(query_id, vec_id, score): each shard's k best others of each query (columns id, vec).
+    """(query_id, vec_id, score): each shard's k best others of each query (columns id, vec), the smaller id first among equals.
 
     Queries travel in blocks, each block to every shard; a shard small next to the width is compared in full.
     """
@@ -190,26 +195,32 @@ def search_index(index: DataFrame, queries: DataFrame, kind: str, shards: int, k
             for i in range(batch.num_rows):
                 r = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
                 ids, q_ids = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["q_ids"], np.int64)
-                x = np.frombuffer(r["vec"], kind).reshape(len(ids), -1).astype(np.float64)
+                starts = np.frombuffer(r["starts"], np.int64)
+                x = np.frombuffer(r["vec"], kind).reshape(len(starts) - 1, -1).astype(np.float64)
                 q = np.frombuffer(r["q_vec"], kind).reshape(len(q_ids), -1).astype(np.float64)
                 nx, nq = norms(x), norms(q)
                 g = Graph.load(x / nx[:, None], r["entry"], r["nodes"], r["offsets"], r["targets"])
                 unit = q / nq[:, None]
-                found_q, found_x = [], []
+                found_q, found_id, found_score = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
                 for j in range(len(q_ids)):
-                    near = range(len(ids)) if len(ids) <= width else g.search(unit[j], k + 1, width)
-                    found_x.extend(near)
-                    found_q.extend([j] * len(near))
-                a, b = np.array(found_q, int), np.array(found_x, int)
-                other = q_ids[a] != ids[b]
-                a, b = a[other], b[other]
-                score = (q[a] * x[b]).sum(axis=1) / (nq[a] * nx[b])
+                    near = np.arange(len(x)) if len(x) <= width else np.array(g.search(unit[j], max(width, k + 1), width))
+                    score = (q[j] * x[near]).sum(axis=1) / (nq[j] * nx[near])
+                    # Of copies, the k smallest ids beside the query's own are enough.
+                    copies = [ids[starts[v] : min(starts[v + 1], starts[v] + k + 1)] for v in near]
+                    score = np.repeat(score, [len(c) for c in copies])
+                    own = np.concatenate(copies)
+                    score, own = score[own != q_ids[j]], own[own != q_ids[j]]
+                    first = np.lexsort((own, -score))[:k]
+                    found_q.append(np.full(len(first), q_ids[j]))
+                    found_id.append(own[first])
+                    found_score.append(score[first])
+                a, b, score = np.concatenate(found_q), np.concatenate(found_id), np.concatenate(found_score)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(q_ids[a]), pa.array(ids[b]), pa.array(score)], names=["query_id", "vec_id", "score"]
+                    [pa.array(a), pa.array(b), pa.array(score)], names=["query_id", "vec_id", "score"]
                 )
 
     pairs = to_all.repartition("shard").join(index, "shard")
-    return pairs.select("ids", "vec", "entry", "nodes", "offsets", "targets", "q_ids", "q_vec").mapInArrow(
+    return pairs.select("ids", "starts", "vec", "entry", "nodes", "offsets", "targets", "q_ids", "q_vec").mapInArrow(
         search, "query_id long, vec_id long, score double"
     )
 

@@ -156,3 +156,13 @@ def test_audit_counts_small_groups(spark):
     vectors, kind = neighbours.comparable(frame(spark, enumerate(x.tolist())), "vec_id", "embedding")
     lost = spark.createDataFrame([(i, 299) for i in range(300)], "id long, n_links long")
     assert neighbours.audit_recall(vectors, kind, lost, 0.95, 64) == pytest.approx(300 / 420)
+
+
+def test_ties_beyond_the_width(spark):
+    r = np.random.default_rng(5)
+    same = r.standard_normal(8)
+    x = [same if i % 2 else r.standard_normal(8) for i in range(400)]
+    found = ann.nearest(frame(spark, [(i, v.tolist()) for i, v in enumerate(x)]), every=25).collect()
+    for q in range(25, 400, 50):
+        mine = sorted((r["rank"], r["vec_id"]) for r in found if r["query_id"] == q)
+        assert mine == [(1, 1), (2, 3), (3, 5), (4, 7), (5, 9)]
