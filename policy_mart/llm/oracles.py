@@ -1,7 +1,7 @@
 """DuckDB SQL that gives the rows of the queries that SQL can express.
 
-The trained, signature-based and graph-based operators (1, 6, 8, 10 and the pipeline) have none; tests
-compare them with brute force.
+The trained, signature-based and graph-based operators (1, 6, 8, 10 and the pipeline) and the token files
+(11) have none; tests compare them with brute force.
 """
 
 from __future__ import annotations
@@ -187,3 +187,73 @@ c AS (SELECT n, min(r) AS component_id FROM reach GROUP BY n),
 d AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
 SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM embeddings JOIN c ON vec_id = n LEFT JOIN d ON vec_id = a
 """
+
+_PARTS = ["CAST(doc_id AS VARCHAR)", "source", "lang", "{n}", "text"]
+
+
+def _leaf(n: str) -> str:
+    parts = [p.format(n=n) for p in _PARTS]
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({p})) || ':' || {p}, '-')" for p in parts) + ")"
+
+
+#: The unsigned CRC-32 of a short ASCII string: eight steps per byte over the reflected polynomial.
+_CRC = (
+    "list_reduce(list_concat([CAST(4294967295 AS UBIGINT)], list_transform(string_split({0}, ''), lambda c: CAST(ascii(c) AS UBIGINT))), "
+    "lambda crc, c: list_reduce(list_concat([xor(crc, c)], list_transform(range(8), lambda i: CAST(i AS UBIGINT))), "
+    "lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, CAST(3988292384 AS UBIGINT)) ELSE v >> 1 END))"
+)
+
+
+_FOLD = (
+    "list_reduce(list_concat([[{0}]], {1}), lambda h, s: [sha256(CASE WHEN s[1] = 'l' THEN s[2] || h[1] ELSE h[1] || s[2] END)])[1]"
+)
+
+ORACLES["op12_merkle"] = f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, lang, {_leaf("CAST(n_chars AS VARCHAR)")} AS leaf,
+    CASE WHEN xor({_CRC.format("CAST(doc_id AS VARCHAR)")}, CAST(4294967295 AS UBIGINT)) % 7 = 0 THEN {_leaf("CAST(n_chars + 1 AS VARCHAR)")} END AS other FROM documents),
+p AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d),
+t AS (SELECT lang, 0 AS level, list(leaf ORDER BY pos) AS nodes FROM p GROUP BY lang
+  UNION ALL SELECT lang, level + 1, list_transform(range(0, (len(nodes) + 1) // 2), lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], ''))) FROM t WHERE len(nodes) > 1),
+g AS MATERIALIZED (SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos FROM t WHERE len(nodes) = 1),
+u AS (SELECT 0 AS level, list(subroot ORDER BY pos) AS nodes FROM g
+  UNION ALL SELECT level + 1, list_transform(range(0, (len(nodes) + 1) // 2), lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], ''))) FROM u WHERE len(nodes) > 1),
+s AS (SELECT p.doc_id, p.pos, p.lang, t.level, CASE WHEN (p.pos >> t.level) & 1 = 1 THEN 'l' ELSE 'r' END AS side,
+    coalesce(t.nodes[xor(p.pos >> t.level, 1) + 1], '') AS sibling FROM p JOIN t ON p.lang IS NOT DISTINCT FROM t.lang WHERE len(t.nodes) > 1
+  UNION ALL SELECT p.doc_id, p.pos, p.lang, 1000 + u.level, CASE WHEN (g.pos >> u.level) & 1 = 1 THEN 'l' ELSE 'r' END,
+    coalesce(u.nodes[xor(g.pos >> u.level, 1) + 1], '') FROM p JOIN g ON p.lang IS NOT DISTINCT FROM g.lang, u WHERE len(u.nodes) > 1),
+w AS (SELECT lang, pos, list([side, sibling] ORDER BY level) AS way, string_agg(sibling, '' ORDER BY level) AS proof FROM s GROUP BY lang, pos),
+f AS (SELECT p.*, coalesce(w.proof, '') AS proof, {_FOLD.format("coalesce(p.other, p.leaf)", "coalesce(w.way, [])")} AS folded_root
+  FROM p LEFT JOIN w ON p.lang IS NOT DISTINCT FROM w.lang AND p.pos = w.pos)
+SELECT f.doc_id, f.leaf, g.subroot, r.root, sha256(f.proof) AS proof_sha256, f.folded_root, f.folded_root = r.root AS verified
+FROM f JOIN g ON f.lang IS NOT DISTINCT FROM g.lang, (SELECT nodes[1] AS root FROM u WHERE len(nodes) = 1) r
+"""
+
+
+def _clusters(k: int = 40, rounds: int = 5, d: int = 64) -> str:
+    """Every round as a table of its own: centroids, then the nearest of each point."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(
+            f"a{r} AS MATERIALIZED (SELECT n, arg_min(c, dist * 1000 + c) AS c, min(dist) AS dist FROM (SELECT p.n, m.c, "
+            f"list_sum(list_transform(list_zip(p.v, m.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS dist FROM p, c{r} m) GROUP BY n)"
+        )
+        if r < rounds:
+            steps.append(
+                f"s{r} AS (SELECT c, i, sum(x) AS t, count(*) AS z FROM (SELECT a.c, unnest(p.v) AS x, generate_subscripts(p.v, 1) AS i FROM a{r} a JOIN p USING (n)) GROUP BY c, i)"
+            )
+            steps.append(
+                f"c{r + 1} AS MATERIALIZED (SELECT m.c, coalesce(x.v, m.v) AS v FROM c{r} m LEFT JOIN "
+                f"(SELECT c, list(CAST((t - ((t % z) + z) % z) // z AS BIGINT) ORDER BY i) AS v FROM s{r} GROUP BY c) x USING (c))"
+            )
+    return f"""
+WITH p AS MATERIALIZED (SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = {d} AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS c, v FROM p QUALIFY c < {k}),
+{",\n".join(steps)}
+SELECT p.vec_id, CAST(a.c AS INTEGER) AS cluster, a.dist AS distance, CAST(sum(a.dist) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(a.dist) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m.v, ',')) AS centroid_sha256
+FROM p JOIN a{rounds} a USING (n) JOIN c{rounds} m ON m.c = a.c
+"""
+
+
+ORACLES["op13_bisectors"] = _clusters()

@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, language, lines, mixture, near_duplicates, neighbours, packing, quality, secrets, shards
+from ..workdir import work_dir
+from . import (
+    ann,
+    centroids,
+    language,
+    lines,
+    manifest,
+    mixture,
+    near_duplicates,
+    neighbours,
+    packing,
+    quality,
+    secrets,
+    shards,
+    token_file,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -118,3 +133,34 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = docs.join(good.hint("merge"), "doc_id", "left_semi")
     scored = quality.score_quality(docs, trusted, columns=["doc_id", "lang"])
     return scored.select("doc_id", "lang", "n_scored", "perplexity", "adjusted", "threshold", "kept")
+
+
+#: Id 1 ends a document in the vocabulary of the token files.
+END_ID = 1
+
+
+@query("op11_huffman")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, coded into files and decoded again: where they begin, how many, their checksum."""
+    from public_tokenizers import path
+
+    files = work_dir(spark, "token-files")
+    tokenizer = token_file.json_of(path("word_bpe_49k.json"))
+    token_file.write_ids(table(spark, sf_dir, "documents"), files, tokenizer, END_ID, by_word=True)
+    return token_file.read_ids(spark, files)
+
+
+@query("op12_merkle")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, roots and proof; those whose key's checksum 7 divides are held against one more character."""
+    docs = table(spark, sf_dir, "documents")
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    other = manifest.leaf_hash(["doc_id", "source", "lang", F.col("n_chars") + 1, "text"])
+    return manifest.merkle_manifest(docs, manifest.leaf_hash(fields), F.when(changed, other))
+
+
+@query("op13_bisectors")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's cluster, distance and the sums of distances."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
