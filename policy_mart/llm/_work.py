@@ -25,10 +25,10 @@ class Shelf:
         self._paths: dict[int, str] = {}
         self._frames: list[DataFrame] = []
 
-    def put(self, df: DataFrame) -> DataFrame:
+    def put(self, df: DataFrame, compression: str | None = None) -> DataFrame:
         self._n += 1
         path = f"{self.root}/{self._n}"
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
         out = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(out)] = path
         self._frames.append(out)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -13,12 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._work import name
+from ._work import Shelf, name
 
 #: Ids are counted, coded and decoded so many at a time inside a task.
 CHUNK = 1 << 20
-#: Words whose ids a task remembers, and the longest of them in characters.
-WORDS, WORD_CHARS = 200_000, 64
+#: Words whose ids a task remembers, twice over, and the longest of them in characters.
+WORDS, WORD_CHARS = 400_000, 32
 
 
 @dataclass(frozen=True)
@@ -43,10 +45,10 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str
     `tokenizer` is the content of a tokenizer's JSON file; it is sent to the tasks, whose size does not
     grow with the documents. Each document's ids end with `end_id`. With `by_word`, for tokenizers that
     drop white space and join nothing across it, a text is cut at ASCII white space and the library
-    encodes each different word once per task; the ids are those of the whole text.
+    encodes words that a task has not met lately; the ids are those of the whole text.
 
-    Two passes encode the texts: the first counts the ids, the second writes their codes, so uncoded ids
-    are never stored. `<path>/code` holds the length of each id's code, which is all that a canonical
+    The texts are encoded once, into a table that is removed when the files are written; it is read to
+    count the ids and to code them. `<path>/code` holds the length of each id's code, which is all that a canonical
     code needs; `<path>/blocks` holds the blocks, part after part. A part is a range of keys. What goes
     through the driver is one count per id of the vocabulary and one bound per part.
 
@@ -56,25 +58,28 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: str
     is an empty file. Columns other than key and text are not read, whatever their names.
     """
     spark = docs.sparkSession
-    rows = docs.select(name(key).cast("long").alias("doc_id"), name(text).alias("text"))
-    shared = spark.sparkContext.broadcast((tokenizer, end_id, by_word))
-    counted = rows.select("text").mapInArrow(_counter(shared), "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    shelf = Shelf(spark, "token-ids")
+    kind = "<u2" if max(_words(tokenizer).size, end_id + 1) <= 1 << 16 else "<u4"
+    shared = spark.sparkContext.broadcast((tokenizer, end_id, by_word, kind))
+    rows = docs.select(name(key).cast("long").alias("doc_id"), name(text).alias("text"), F.monotonically_increasing_id().alias("row"))
+    raw = shelf.put(rows.mapInArrow(_encoded(shared), "doc_id bigint, row bigint, ids binary"), compression="zstd")
+    counted = raw.select("ids").mapInArrow(_counted(kind), "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     counts = counted.orderBy("id").toPandas()  # a row per id of the vocabulary at most
     ids, n = counts["id"].to_numpy(np.int64), counts["n"].to_numpy(np.int64)
     lengths = code_lengths(n, layout.limit)
     code = spark.createDataFrame(list(zip(ids.tolist(), lengths.tolist(), strict=True)), "id int, length int")
     code.coalesce(1).write.parquet(f"{path}/code")
     parts = int(min(max(-(-int(n.sum()) // layout.part), 1), layout.most_parts))
-    bounds = np.array(_bounds(rows, parts), np.int64)
+    bounds = np.array(_bounds(raw, parts), np.int64)
     book = spark.sparkContext.broadcast(_dense(ids, lengths))
-    coded = rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
-        _coder(shared, book, bounds, layout),
+    coded = raw.mapInArrow(
+        _coded(kind, book, bounds, layout),
         "part int, doc_id bigint, row bigint, piece int, last boolean, first int, n int, marks binary, payload binary",
     )
     in_order = coded.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "doc_id", "row", "piece")
     # Codes do not compress any further.
-    blocks = in_order.mapInArrow(_blocks(layout.block), BLOCKS)
-    blocks.write.option("compression", "none").parquet(f"{path}/blocks")
+    in_order.mapInArrow(_blocks(layout.block), BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
+    shelf.drop(raw)
 
 
 def read_ids(spark: SparkSession, path: str, layout: Layout = Layout()) -> DataFrame:
@@ -133,33 +138,77 @@ def _placed(spark: SparkSession, path: str, pieces: DataFrame) -> DataFrame:
 # --- token ids
 
 
+#: Letters of Latin-1, and what follows them from a sign of ASCII on that is none.
+_STEM = re.compile("([A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([\0-@\\[-`{-\x7f].*)", re.DOTALL)
+
+
 class _Words(dict):
-    """The ids of words, each encoded by the library when it is first met."""
+    """The ids of words, encoded by the library when they are first met, as bytes.
+
+    When WORDS are held, they become the older half, from which a word that is met again comes back.
+    """
+
+    def __init__(self, tokenizer: str):
+        from tokenizers import Tokenizer
 
-    def __init__(self, tokenizer):
         super().__init__()
-        self._tokenizer = tokenizer
+        self.tokenizer = t = Tokenizer.from_str(tokenizer)
+        self._model = t.model
+        self.size = t.get_vocab_size()
+        self.kind = "<u4"
+        self._older: dict[str, bytes] = {}
+        self._table = self._letters()
+
+    def _letters(self) -> dict[int, str] | None:
+        """What reaches the model of each letter of Latin-1, upper case included; None unless a run of letters reaches it as one piece."""
+        t = self.tokenizer
+        if not t.normalizer or not t.pre_tokenizer:
+            return None
+        pieces = lambda text: [p for p, _ in t.pre_tokenizer.pre_tokenize_str(t.normalizer.normalize_str(text))]
+        letters = [c for c in map(chr, range(0x100)) if c.isalpha()]
+        table = {c: "".join(pieces(c)) for c in letters}
+        if pieces("".join(letters)) != ["".join(table.values())]:
+            return None
+        return {ord(c): piece for c, piece in table.items()}
 
     def __missing__(self, word: str) -> bytes:
-        raw = np.array(self._tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        raw = self._older.get(word)
+        if raw is None:
+            raw = self._fresh(word)
         if len(word) <= WORD_CHARS:
             if len(self) >= WORDS:
+                self._older = dict(self)
                 self.clear()
             self[word] = raw
         return raw
 
+    def _fresh(self, word: str) -> bytes:
+        if self._table and word:
+            if word.isalpha() and max(word) <= "\xff":
+                # No sign of Latin-1 changes the one before it, so the letters can be put in one by one.
+                return self._packed([t.id for t in self._model.tokenize(word.translate(self._table))])
+            stem = _STEM.fullmatch(word)
+            if stem:
+                return self[stem[1]] + self[stem[2]]
+        return self._packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.kind == '<u2' else 'I'}", *ids)
+
 
 @lru_cache(1)
 def _words(tokenizer: str) -> _Words:
-    from tokenizers import Tokenizer
-
-    return _Words(Tokenizer.from_str(tokenizer))
+    return _Words(tokenizer)
 
 
-def encoder(tokenizer: str, end_id: int, by_word: bool):
-    """A function from a text to its ids and the end id, as little-endian unsigned 32-bit integers."""
+def encoder(tokenizer: str, end_id: int, by_word: bool, kind: str = "<u4"):
+    """A function from a text to its ids and the end id, as little-endian unsigned integers."""
     words = _words(tokenizer)
-    end = np.array([end_id], "<u4").tobytes()
+    if words.kind != kind:
+        words.kind = kind
+        words.clear()
+        words._older = {}
+    end = np.array([end_id], kind).tobytes()
 
     def of_words(text: str | None) -> bytes:
         if not text:
@@ -169,19 +218,35 @@ def encoder(tokenizer: str, end_id: int, by_word: bool):
         return b"".join(map(words.__getitem__, text.split(" "))) + end
 
     def of_text(text: str | None) -> bytes:
-        ids = words._tokenizer.encode(text, add_special_tokens=False).ids if text else []
-        return np.array(ids, "<u4").tobytes() + end
+        ids = words.tokenizer.encode(text, add_special_tokens=False).ids if text else []
+        return np.array(ids, kind).tobytes() + end
 
     return of_words if by_word else of_text
 
 
-def _gathered(raws: Iterator[tuple[int, bytes]]) -> Iterator[tuple[list[int], list[bytes]]]:
+def _encoded(shared):
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = encoder(*shared.value)
+        for batch in batches:
+            text = batch.column("text")
+            # A slice at a time, so that the ids of a batch of long texts are not held at once.
+            for at in range(0, batch.num_rows, 256):
+                cells = [batch.column(c).slice(at, 256) for c in ("doc_id", "row")]
+                raws = pa.array(list(map(ids, text.slice(at, 256).to_pylist())), pa.binary())
+                yield pa.RecordBatch.from_arrays([*cells, raws], names=["doc_id", "row", "ids"])
+
+    return encode
+
+
+def _gathered(raws: pa.Array, kind: str) -> Iterator[tuple[list[int], list[bytes]]]:
     """Documents together, until they have CHUNK ids."""
     at, held, size = [], [], 0
-    for i, raw in raws:
+    width = np.dtype(kind).itemsize
+    for i in range(len(raws)):
+        raw = raws[i].as_py()
         at.append(i)
         held.append(raw)
-        size += len(raw) // 4
+        size += len(raw) // width
         if size >= CHUNK:
             yield at, held
             at, held, size = [], [], 0
@@ -189,13 +254,12 @@ def _gathered(raws: Iterator[tuple[int, bytes]]) -> Iterator[tuple[list[int], li
         yield at, held
 
 
-def _counter(shared):
+def _counted(kind: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(*shared.value)
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for _, raws in _gathered((0, encode(t)) for t in batch.column("text").to_pylist()):
-                new = np.bincount(np.frombuffer(b"".join(raws), "<u4"), minlength=len(total))
+            for _, raws in _gathered(batch.column("ids"), kind):
+                new = np.bincount(np.frombuffer(b"".join(raws), kind), minlength=len(total))
                 new[: len(total)] += total
                 total = new
         used = np.flatnonzero(total)
@@ -281,21 +345,20 @@ def _bounds(rows: DataFrame, parts: int) -> list[int]:
     return found or []
 
 
-def _coder(shared, book, bounds: np.ndarray, layout: Layout):
+def _coded(kind: str, book, bounds: np.ndarray, layout: Layout):
     names = ["part", "doc_id", "row", "piece", "last", "first", "n", "marks", "payload"]
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(*shared.value)
         codes, sizes = book.value
         for batch in batches:
             keys = batch.column("doc_id")
             number = keys.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
             least, most = np.searchsorted(bounds, number, "left"), np.searchsorted(bounds, number, "right")
             # A key that is a bound may go to any part around it: its rows take turns.
-            part = least + np.arange(len(number)) % (most - least + 1)
             row = batch.column("row").to_numpy()
-            for at, raws in _gathered(enumerate(map(encode, batch.column("text").to_pylist()))):
-                doc, piece, last, first, n, marks, payload = _pieces(raws, codes, sizes, layout)
+            part = least + row % (most - least + 1)
+            for at, raws in _gathered(batch.column("ids"), kind):
+                doc, piece, last, first, n, marks, payload = _pieces(raws, kind, codes, sizes, layout)
                 doc = np.array(at)[doc]
                 cells = [pa.array(part[doc], pa.int32()), keys.take(pa.array(doc)), pa.array(row[doc]), pa.array(piece, pa.int32()),
                          pa.array(last), pa.array(first, pa.int32()), pa.array(n, pa.int32()), pa.array(marks, pa.binary()), pa.array(payload, pa.binary())]
@@ -304,11 +367,11 @@ def _coder(shared, book, bounds: np.ndarray, layout: Layout):
     return code
 
 
-def _pieces(raws: Sequence[bytes], codes: np.ndarray, sizes: np.ndarray, layout: Layout):
+def _pieces(raws: Sequence[bytes], kind: str, codes: np.ndarray, sizes: np.ndarray, layout: Layout):
     """The documents' pieces: document, number, whether it is the last, ids before it in the document,
     ids, checkpoints and code of each. A piece's code begins at a byte."""
-    ids = np.frombuffer(b"".join(raws), "<u4")
-    per_doc = np.array([len(r) // 4 for r in raws], np.int64)
+    ids = np.frombuffer(b"".join(raws), kind)
+    per_doc = np.array([len(r) for r in raws], np.int64) // ids.itemsize
     pieces = -(-per_doc // layout.block)
     doc = np.repeat(np.arange(len(raws)), pieces)
     number = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
