@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import string
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
@@ -12,6 +13,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,15 +21,17 @@ from ._work import Shelf, name
 
 #: Ids are counted, coded and decoded so many at a time inside a task.
 CHUNK = 1 << 20
+#: Bytes of text that are encoded together; a longer text goes by itself, whole.
+TEXT_BYTES = 1 << 24
 #: Words whose ids a task remembers, twice over, and the longest of them in characters.
-WORDS, WORD_CHARS = 400_000, 32
+WORDS, WORD_CHARS = 700_000, 32
 
 
 @dataclass(frozen=True)
 class Layout:
     """The shape of the files. None of the numbers changes what is read back."""
 
-    limit: int = 20  # the longest code, in bits; 2 ** limit must not be below the number of ids
+    limit: int = 18  # the longest code, in bits, 24 at most; 2 ** limit must not be below the number of ids
     block: int = 1 << 14  # ids of a block at most; a block is decoded without any other
     stride: int = 256  # ids from one checkpoint to the next
     part: int = 1 << 22  # ids of a part, about
@@ -90,7 +94,9 @@ def read_ids(spark: SparkSession, path: str, layout: Layout = Layout()) -> DataF
     apart from each other; a document that goes over several blocks is put together from the
     checksums of its pieces.
     """
-    return _placed(spark, path, decoded(spark, path, layout, _checked, "part int, doc_id bigint, first bigint, piece int, whole boolean, n int, crc bigint"))
+    shelf = Shelf(spark, "token-pieces")
+    pieces = decoded(spark, path, layout, _checked, "part int, doc_id bigint, first bigint, piece int, whole boolean, n int, crc bigint")
+    return shelf.last(_placed(spark, path, shelf.put(pieces)))
 
 
 def read_tokens(spark: SparkSession, path: str, layout: Layout = Layout()) -> DataFrame:
@@ -155,9 +161,12 @@ class _Words(dict):
         self.tokenizer = t = Tokenizer.from_str(tokenizer)
         self._model = t.model
         self.size = t.get_vocab_size()
+        self.special = [a.content for a in t.get_added_tokens_decoder().values()]
         self.kind = "<u4"
         self._older: dict[str, bytes] = {}
         self._table = self._letters()
+        #: Whether upper case makes no difference outside special tokens.
+        self.folds = bool(self._table) and all(self._table[ord(c)] == self._table[ord(c.lower())] for c in string.ascii_uppercase)
 
     def _letters(self) -> dict[int, str] | None:
         """What reaches the model of each letter of Latin-1, upper case included; None unless a run of letters reaches it as one piece."""
@@ -186,13 +195,20 @@ class _Words(dict):
         if self._table and word:
             if word.isalpha() and max(word) <= "\xff":
                 # No sign of Latin-1 changes the one before it, so the letters can be put in one by one.
-                return self._packed([t.id for t in self._model.tokenize(word.translate(self._table))])
+                return self.packed([t.id for t in self._model.tokenize(word.translate(self._table))])
             stem = _STEM.fullmatch(word)
             if stem:
                 return self[stem[1]] + self[stem[2]]
-        return self._packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        return self.packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
-    def _packed(self, ids: list[int]) -> bytes:
+    def use(self, kind: str) -> None:
+        """Hold ids as numbers of this kind."""
+        if kind != self.kind:
+            self.kind = kind
+            self.clear()
+            self._older = {}
+
+    def packed(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{'H' if self.kind == '<u2' else 'I'}", *ids)
 
 
@@ -201,39 +217,44 @@ def _words(tokenizer: str) -> _Words:
     return _Words(tokenizer)
 
 
-def encoder(tokenizer: str, end_id: int, by_word: bool, kind: str = "<u4"):
-    """A function from a text to its ids and the end id, as little-endian unsigned integers."""
+def token_ids(texts: pa.Array, tokenizer: str, end_id: int, by_word: bool, kind: str) -> pa.Array:
+    """The ids of each text and the end id, as little-endian unsigned integers."""
     words = _words(tokenizer)
-    if words.kind != kind:
-        words.kind = kind
-        words.clear()
-        words._older = {}
-    end = np.array([end_id], kind).tobytes()
-
-    def of_words(text: str | None) -> bytes:
-        if not text:
-            return end
-        for space in "\n\t\r\v\f":
-            text = text.replace(space, " ")
-        return b"".join(map(words.__getitem__, text.split(" "))) + end
-
-    def of_text(text: str | None) -> bytes:
-        ids = words.tokenizer.encode(text, add_special_tokens=False).ids if text else []
-        return np.array(ids, kind).tobytes() + end
-
-    return of_words if by_word else of_text
+    words.use(kind)
+    end = words.packed([end_id])
+    if not by_word:
+        of_text = lambda t: words.packed(words.tokenizer.encode(t, add_special_tokens=False).ids) if t else b""
+        return pa.array([of_text(t) + end for t in texts.to_pylist()], pa.binary())
+    texts = texts.fill_null("")
+    # Special tokens are looked for before texts are put in lower case.
+    if words.folds and not any(pc.any(pc.match_substring(texts, s, ignore_case=True)).as_py() for s in words.special):
+        texts = pc.ascii_lower(texts)
+    lists = pc.ascii_split_whitespace(texts)
+    coded = lists.flatten().dictionary_encode()
+    # Each different word once, and the end behind the last word of each text.
+    raws = [*map(words.__getitem__, coded.dictionary.to_pylist()), end]
+    ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    order = np.insert(coded.indices.to_numpy().astype(np.int64), ends[1:], len(raws) - 1)
+    size = np.fromiter(map(len, raws), np.int64, len(raws)) // np.dtype(kind).itemsize
+    n = size[order]
+    total = np.cumsum(n)
+    flat = np.frombuffer(b"".join(raws), kind)
+    ids = flat[np.arange(int(total[-1])) + np.repeat((np.cumsum(size) - size)[order] - (total - n), n)]
+    last = total[ends[1:] + np.arange(len(texts))]
+    offsets = np.concatenate([np.zeros(1, np.int64), last]) * ids.itemsize
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(ids)]).cast(pa.binary())
 
 
 def _encoded(shared):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = encoder(*shared.value)
         for batch in batches:
             text = batch.column("text")
-            # A slice at a time, so that the ids of a batch of long texts are not held at once.
-            for at in range(0, batch.num_rows, 256):
-                cells = [batch.column(c).slice(at, 256) for c in ("doc_id", "row")]
-                raws = pa.array(list(map(ids, text.slice(at, 256).to_pylist())), pa.binary())
-                yield pa.RecordBatch.from_arrays([*cells, raws], names=["doc_id", "row", "ids"])
+            size = pc.binary_length(text).fill_null(0).to_numpy(zero_copy_only=False)
+            # Some texts at a time, so that the ids of a batch of long texts are not held at once.
+            cuts = np.flatnonzero(np.diff(np.cumsum(size) // TEXT_BYTES, prepend=-1, append=-1))
+            for first, end in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                cells = [batch.column(c).slice(first, end - first) for c in ("doc_id", "row")]
+                yield pa.RecordBatch.from_arrays([*cells, token_ids(text.slice(first, end - first), *shared.value)], names=["doc_id", "row", "ids"])
 
     return encode
 
@@ -314,7 +335,7 @@ def canonical_codes(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, n
 
 def _dense(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Code and length by id."""
-    codes, sizes = np.zeros(int(ids.max(initial=0)) + 1, np.uint64), np.zeros(int(ids.max(initial=0)) + 1, np.int64)
+    codes, sizes = np.zeros(int(ids.max(initial=0)) + 1, np.uint64), np.zeros(int(ids.max(initial=0)) + 1, np.int32)
     order, code = canonical_codes(ids, lengths)
     codes[ids[order]], sizes[ids] = code.astype(np.uint64), lengths
     return codes, sizes
@@ -325,8 +346,8 @@ def decoding_table(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, in
     code's length in the lowest five bits."""
     longest = int(lengths.max(initial=1))
     order, _ = canonical_codes(ids, lengths)
-    entries = (ids[order].astype(np.uint64) << np.uint64(5)) | lengths[order].astype(np.uint64)
-    table = np.zeros(1 << longest, np.uint64)
+    entries = (ids[order].astype(np.uint32) << np.uint32(5)) | lengths[order].astype(np.uint32)
+    table = np.zeros(1 << longest, np.uint32)
     filled = np.repeat(entries, np.int64(1) << (longest - lengths[order]))
     table[: len(filled)] = filled
     return table, longest
@@ -378,24 +399,30 @@ def _pieces(raws: Sequence[bytes], kind: str, codes: np.ndarray, sizes: np.ndarr
     last = number == pieces[doc] - 1
     n = np.where(last, per_doc[doc] - number * layout.block, layout.block)
     begin = np.cumsum(n) - n
-    size = sizes[ids]
-    before = np.cumsum(size) - size
-    used = np.add.reduceat(size, begin)
+    # Positions are counted in bits; 32-bit numbers, where they are enough, are half the work.
+    whole = np.int32 if len(ids) < 1 << 26 else np.int64
+    size = sizes[ids].astype(whole, copy=False)
+    before = np.cumsum(size, dtype=whole) - size
+    used = before[begin + n - 1] + size[begin + n - 1] - before[begin]
     bytes_ = -(-used // 8)
-    offset = np.cumsum(bytes_) - bytes_
-    inside = before - np.repeat(before[begin], n)
-    position = inside + np.repeat(8 * offset, n)
-    # Each code lies in one or two words of 32 bits; those that share a word do not overlap.
-    shifted = codes[ids] << (64 - (position & 31) - size).astype(np.uint64)
-    word = position >> 5
+    offset = np.cumsum(bytes_, dtype=np.int64) - bytes_
+    position = before + np.repeat((8 * offset - before[begin]).astype(whole), n)
+    # A code lies in one word of 64 bits, or goes over into the next; codes that share a word do not overlap.
+    left = 64 - (position & 63) - size
+    code = codes[ids]
+    over = np.flatnonzero(left < 0)
+    word = position >> 6
     firsts = np.flatnonzero(np.diff(word, prepend=-1))
-    out = np.zeros(int(offset[-1] + bytes_[-1]) // 4 + 3, np.uint64)
-    out[word[firsts]] += np.add.reduceat(shifted >> np.uint64(32), firsts)
-    out[word[firsts] + 1] += np.add.reduceat(shifted & np.uint64(0xFFFFFFFF), firsts)
-    raw = out.astype(">u4").tobytes()
-    place = np.arange(len(ids)) - np.repeat(begin, n)
-    marked = np.flatnonzero(place % layout.stride == 0)
-    marks = inside[marked].astype("<u4").tobytes()
+    out = np.zeros(int(offset[-1] + bytes_[-1]) // 8 + 2, np.uint64)
+    shifted = code << np.maximum(left, 0).astype(np.uint64)
+    shifted[over] = code[over] >> (-left[over]).astype(np.uint64)
+    out[word[firsts]] = np.add.reduceat(shifted, firsts)
+    out[word[over] + 1] += code[over] << (64 + left[over]).astype(np.uint64)
+    raw = out.astype(">u8").tobytes()
+    strides = -(-n // layout.stride)
+    within = np.arange(int(strides.sum())) - np.repeat(np.cumsum(strides) - strides, strides)
+    marked = np.repeat(begin, strides) + within * layout.stride
+    marks = (before[marked] - np.repeat(before[begin], strides)).astype("<u4").tobytes()
     ends = np.cumsum(-(-n // layout.stride)) * 4
     return (
         doc, number, last, number * layout.block, n,
@@ -448,28 +475,27 @@ def _decode(batch: pa.RecordBatch, coded: tuple[np.ndarray, int], stride: int):
     fields = pieces.flatten()
     n = fields.field("n").to_numpy().astype(np.int64)
     size = fields.field("bytes").to_numpy().astype(np.int64)
-    raw = np.frombuffer(b"".join([*batch.column("payload").to_pylist(), bytes(8)]), np.uint8).astype(np.uint64)
+    raw = np.frombuffer(b"".join([*batch.column("payload").to_pylist(), bytes(8)]), np.uint8).astype(np.uint32)
     # The 32 bits that begin at each byte.
-    window = (raw[:-3] << np.uint64(24)) | (raw[1:-2] << np.uint64(16)) | (raw[2:-1] << np.uint64(8)) | raw[3:]
+    window = (raw[:-3] << np.uint32(24)) | (raw[1:-2] << np.uint32(16)) | (raw[2:-1] << np.uint32(8)) | raw[3:]
     marks = np.frombuffer(b"".join(batch.column("marks").to_pylist()), "<u4").astype(np.int64)
     lanes = -(-n // stride)
     within = np.arange(len(marks)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
     at = marks + np.repeat(8 * (np.cumsum(size) - size), lanes)
     left = np.minimum(np.repeat(n, lanes) - within * stride, stride)
-    to = np.cumsum(left) - left
     order = np.argsort(-left, kind="stable")
-    at, left, to = at[order], left[order], to[order]
-    out = np.zeros(int(n.sum()), "<u4")
-    mask = np.uint64((1 << longest) - 1)
-    alive = len(left)
-    for step in range(int(left[0]) if len(left) else 0):
-        while left[alive - 1] <= step:
-            alive -= 1
-        p = at[:alive]
-        bits = (window[p >> 3] >> (32 - longest - (p & 7)).astype(np.uint64)) & mask
-        entry = table[bits]
-        out[to[:alive] + step] = entry >> np.uint64(5)
-        at[:alive] = p + (entry & np.uint64(31)).astype(np.int64)
+    at, falling = at[order], left[order]
+    # A row per step; a lane's ids stand in a column.
+    steps = np.zeros((int(falling[0]) if len(left) else 0, len(left)), "<u4")
+    alive = np.searchsorted(-falling, -np.arange(len(steps)), "left")
+    for step, m in enumerate(alive.tolist()):
+        p = at[:m]
+        entry = table[(window[p >> 3] << (p & 7).astype(np.uint32)) >> np.uint32(32 - longest)]
+        steps[step, :m] = entry >> np.uint32(5)
+        p += entry & np.uint32(31)
+    columns = np.empty_like(steps.T, order="C")
+    columns[order] = steps.T
+    out = columns[np.arange(len(steps)) < left[:, None]]
     return out, owner, fields, n
 
 

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -24,6 +25,12 @@ def plain(text):
     return [*(TOKENIZER.encode(text, add_special_tokens=False).ids if text else []), 1]
 
 
+def encoded(text, kind="<u2"):
+    raw = token_file.token_ids(pa.array([None, text, "", text]), JSON, 1, True, kind).to_pylist()
+    assert raw[0] == raw[2] == np.array([1], kind).tobytes() and raw[1] == raw[3]
+    return np.frombuffer(raw[1], kind).tolist()
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
@@ -166,10 +173,16 @@ def test_checksums_join(a, b):
 @settings(max_examples=150, deadline=None)
 @given(st.text(st.sampled_from("aBcé ßİ\n\t\r\x0b\x0c\x1c\x85\xa0 ́'12.!<|endoftext|>ſKΣς中"), max_size=60) | st.text(max_size=60))
 def test_words_give_the_ids_of_whole_texts(text):
-    raw = token_file.encoder(JSON, 1, True)(text)
-    assert np.frombuffer(raw, "<u4").tolist() == plain(text)
+    assert encoded(text) == plain(text)
+
+
+def test_words_of_the_corpus(spark):
+    texts = [r["text"] or "" for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
+    for text in texts:
+        assert encoded(text) == plain(text)
+    assert encoded(texts[0], "<u4") == plain(texts[0])
 
 
 def test_special_tokens_inside_texts():
-    for text in ("a<|endoftext|>b <|startoftext|>", "<|endoftext|>", "x <|endof text|>"):
-        assert np.frombuffer(token_file.encoder(JSON, 1, True)(text), "<u4").tolist() == plain(text)
+    for text in ("<|ENDOFTEXT|> A<|EndOfText|>", "it's it'S I'LL'd don't's ain't.'ve x'tis", "Ça, n'été! ÀÉÎÕÜ ªº µ ÿŸ ß ŒÆ ñ·l a1b2 A$$$ a.b,c", "a<|endoftext|>b <|startoftext|>", "<|endoftext|>", "x <|endof text|>"):
+        assert encoded(text) == plain(text)
