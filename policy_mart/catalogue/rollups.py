@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.numbers import half_even
-from ..operators.rollup import additive_rollup, claims_rollup, control_row, merge_rollups
+from ..operators.rollup import additive_rollup, claims_rollup, control_row, finished, merge_states, rollup_states
 from ..operators.stats import best_by_metric, daily_monthly_summary
 from ..plans import facts
 from ..schemas import MOTOR_PREMIUMS, OTHER_PREMIUMS
@@ -142,15 +142,15 @@ FROM lineitem GROUP BY ALL
 """,
 )
 def rollup_merge(spark, sf_dir):
-    """Partial rollups of returned and of other lines add up to the rollup of all."""
+    """Stored rollups of returned and of other lines add up to the rollup of all."""
     li = table(spark, sf_dir, "lineitem").withColumn("ship_date", day("l_shipdate"))
 
     def partial(rows):
         extra = {"lines": F.count(F.lit(1))}
-        return additive_rollup(rows, "ship_date", "month", ["l_suppkey"], {"amount": "l_extendedprice"}, extra=extra)
+        return rollup_states(rows, "ship_date", "month", ["l_suppkey"], {"amount": "l_extendedprice"}, extra=extra)
 
     parts = partial(li.filter("l_returnflag = 'R'")).unionByName(partial(li.filter("l_returnflag <> 'R'")))
-    return merge_rollups(parts, ["month", "l_suppkey"], ["amount"], ["lines"])
+    return finished(merge_states(parts, ["month", "l_suppkey"], ["amount"], ["lines"]), ["amount"])
 
 
 @query(

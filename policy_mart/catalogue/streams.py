@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.dates import MONTH
+from ..operators.rollup import claims_rollup
 from ..streaming.maintain import (
     current_so_far,
     rollup_so_far,
@@ -20,13 +22,15 @@ from .standins import day
 _BATCHES = 3
 
 
+def _in_batches(rows, key):
+    """A table as a stream of files that comes in several batches, each with rows of all dates."""
+    path = work_dir(rows.sparkSession, "stream-source")
+    rows.repartition(2 * _BATCHES, key).write.parquet(path)
+    return rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(path)
+
+
 def event_stream(spark, sf_dir):
-    """The events table as a stream of files that comes in several batches."""
-    events = table(spark, sf_dir, "events")
-    path = work_dir(spark, "events")
-    events.repartition(2 * _BATCHES, "event_id").write.parquet(path)
-    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2)
-    return reader.parquet(path).withColumn("day", day("ts"))
+    return _in_batches(table(spark, sf_dir, "events"), "event_id").withColumn("day", day("ts"))
 
 
 @query(
@@ -69,9 +73,33 @@ SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS day, CAST(year(
 def append(spark, sf_dir):
     """The events streamed into a fact twice: the second run finds every key loaded."""
     path = work_dir(spark, "stream-append")
+    events = event_stream(spark, sf_dir)
     for run in ("first", "second"):
-        stream_append(
-            event_stream(spark, sf_dir), f"{path}/table", f"{path}/{run}", ["event_id"], "day", ["ts"]
-        ).awaitTermination()
-    fact = streamed_fact(spark, f"{path}/table", "day")
+        stream_append(events, f"{path}/table", f"{path}/{run}", ["event_id"], "day", ["ts"]).awaitTermination()
+    fact = streamed_fact(spark, f"{path}/table", events.schema)
     return fact.select("event_id", "user_id", "event_type", "value", "day", "yyyymm")
+
+
+@query(
+    "stream_distinct",
+    f"""
+SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, l_returnflag, l_suppkey, {total('l_extendedprice', 'paid')},
+  count(DISTINCT l_partkey) AS siniestros_pagados
+FROM lineitem GROUP BY ALL
+""",
+)
+def distinct(spark, sf_dir):
+    """Amounts and different parts per month and supplier, kept while the lines come in batches, each with late rows."""
+    path = work_dir(spark, "stream-distinct")
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_extendedprice"]
+    lines = table(spark, sf_dir, "lineitem").select(*columns, day("l_shipdate").alias("shipped"))
+
+    def paid(rows):
+        priced = rows.withColumnRenamed("l_extendedprice", "paid")
+        return claims_rollup(priced, "shipped", "month", ["l_returnflag", "l_suppkey"], "paid", "l_partkey")
+
+    stream_append(
+        _in_batches(lines, "l_orderkey"), f"{path}/fact", f"{path}/checkpoint", ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"],
+        "shipped", ["l_suppkey"], rollups=[(f"{path}/rollup", "month", paid)],
+    ).awaitTermination()
+    return spark.read.parquet(f"{path}/rollup").drop(MONTH)

@@ -61,6 +61,25 @@ def money_sum(c: Column | str) -> Column:
     return amount(F.sum(high_part(whole)), F.sum(low_part(whole)), F.sum(_rest(value)))
 
 
+def money_state(c: Column | str) -> Column:
+    """What `money_sum` adds up, kept as whole numbers: the states of parts add up to that of the whole."""
+    value = _col(c).cast("double")
+    whole = _whole(value)
+    sums = {"high": high_part(whole), "low": low_part(whole), "rest": _rest(value)}
+    return F.struct(*[F.sum(part).alias(name) for name, part in sums.items()])
+
+
+def merged_state(c: Column | str) -> Column:
+    """Sum of states."""
+    return F.struct(*[F.sum(_col(c)[name]).alias(name) for name in ("high", "low", "rest")])
+
+
+def state_amount(c: Column | str) -> Column:
+    """The amount that `money_sum` gives for the rows of a state, to the last bit."""
+    state = _col(c)
+    return amount(state["high"], state["low"], state["rest"])
+
+
 class UnitSums:
     """Sums of units columns under their names, to be combined exactly after the aggregation."""
 

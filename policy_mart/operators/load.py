@@ -38,13 +38,15 @@ def append_new(
     date_col: str,
     since: dt.date | None = None,
     stop_at_gap: bool = False,
+    months: Sequence[int] | None = None,
 ) -> DataFrame:
     """Source rows whose key is not in the target's same month.
 
     Duplicates inside the batch are kept, and rows with a null key are always new. Rows without a
     date belong to no month and are left out. `since` bounds both scans: source rows by date,
     target keys by the month partition. The target's keys are read once and shuffled once: an anti
-    join needs no distinct right side. With `stop_at_gap` only the months before the first empty
+    join needs no distinct right side. `months` names the months that the source has rows of, where they
+    are known: of the target only those are read. With `stop_at_gap` only the months before the first empty
     one are loaded.
     """
     rows = with_month(source, date_col).filter(F.col(date_col).isNotNull())
@@ -52,6 +54,8 @@ def append_new(
     if since is not None:
         rows = rows.filter(F.col(date_col) >= F.lit(since))
         loaded = loaded.filter(F.col(MONTH) >= month_number(since))
+    if months is not None:
+        loaded = loaded.filter(F.col(MONTH).isin(list(months)))
     if stop_at_gap:
         start = None if since is None else month_number(since)
         run = contiguous_months(rows, start)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_start, yyyymm
-from ..functions.numbers import money_sum, or_zero_money
+from ..functions.numbers import merged_state, money_state, money_sum, or_zero_money, state_amount
 
 
 def additive_rollup(
@@ -26,12 +26,35 @@ def additive_rollup(
     computed grouping columns, and `extra` adds further aggregates such as counts or extremes. The
     sum of nothing but nulls is 0.
     """
-    named = dict(sums) if isinstance(sums, Mapping) else {c: c for c in sums}
+    measures = {n: or_zero_money(money_sum(c)) for n, c in _named(sums).items()}
+    return _rollup(df, date_col, month_col, dims, measures, buckets, extra)
+
+
+def _named(sums: Mapping[str, str] | Sequence[str]) -> dict[str, str]:
+    return dict(sums) if isinstance(sums, Mapping) else {c: c for c in sums}
+
+
+def _rollup(
+    df: DataFrame, date_col: str, month_col: str, dims: Sequence[str], measures: Mapping[str, Column],
+    buckets: Mapping[str, Column] | None, extra: Mapping[str, Column] | None,
+) -> DataFrame:
     groups = [month_start(date_col).alias(month_col), *[F.col(d) for d in dims]]
     groups += [c.alias(n) for n, c in (buckets or {}).items()]
-    measures = [or_zero_money(money_sum(c)).alias(n) for n, c in named.items()]
-    measures += [c.alias(n) for n, c in (extra or {}).items()]
-    return df.groupBy(*groups).agg(*measures)
+    return df.groupBy(*groups).agg(*[c.alias(n) for n, c in {**measures, **(extra or {})}.items()])
+
+
+def rollup_states(
+    df: DataFrame,
+    date_col: str,
+    month_col: str,
+    dims: Sequence[str],
+    sums: Mapping[str, str] | Sequence[str],
+    buckets: Mapping[str, Column] | None = None,
+    extra: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """A rollup to be stored in parts: like `additive_rollup`, with states in place of amounts."""
+    measures = {n: money_state(c) for n, c in _named(sums).items()}
+    return _rollup(df, date_col, month_col, dims, measures, buckets, extra)
 
 
 def claims_rollup(
@@ -48,12 +71,17 @@ def claims_rollup(
     )
 
 
-def merge_rollups(parts: DataFrame, keys: Sequence[str], sums: Sequence[str], counts: Sequence[str] = ()) -> DataFrame:
-    """Add up the rows of partial rollups that share a key."""
-    added = [or_zero_money(money_sum(c)).alias(c) for c in sums] + [F.sum(c).cast("bigint").alias(c) for c in counts]
+def merge_states(parts: DataFrame, keys: Sequence[str], states: Sequence[str], counts: Sequence[str] = ()) -> DataFrame:
+    """Add up the rows of stored rollups that share a key. The result is a stored rollup itself."""
+    added = [merged_state(c).alias(c) for c in states] + [F.sum(c).cast("bigint").alias(c) for c in counts]
     return parts.groupBy(*keys).agg(*added)
 
 
+def finished(stored: DataFrame, states: Sequence[str]) -> DataFrame:
+    """A merged rollup with amounts in place of states: what `additive_rollup` gives for all rows at once."""
+    return stored.withColumns({c: or_zero_money(state_amount(c)) for c in states})
+
+
 def control_row(fact: DataFrame, fact_date: str, rollup: DataFrame, rollup_date: str) -> DataFrame:
     """One row: first month, last month and number of months of a fact and of its rollup."""
 
