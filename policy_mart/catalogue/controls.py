@@ -4,8 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.controls import compare_commissions, enrich_case_producers, enrich_cases
+from ..operators.controls import (
+    INTERMEDIARIES,
+    client_updates,
+    compare_commissions,
+    enrich_case_producers,
+    enrich_cases,
+    producer_updates,
+)
 from ..plans.reports import operations_without_commission
+from ..sources.keyed_table import KeyedTable
+from ..workdir import work_dir
 from .registry import query, table
 from .standins import OPERATIONS_SQL, day, operations, organizers, producers
 
@@ -120,16 +129,16 @@ policy_rows AS (SELECT o_custkey AS Poliza, CAST(l_shipdate AS DATE) AS Fecha, o
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'P')"""
 
 
-def _enriched_sql(pending: str, order: str, client: str) -> str:
+def _enriched_sql(pending: str, order: str, client: str, cases: str = "cases", before: str = "") -> str:
     return f"""
-WITH {_CASES_SQL}, {_POLICY_ROWS_SQL},
-pending AS (SELECT DISTINCT poliza, TRY_CAST(substr(poliza, 1, 7) AS BIGINT) AS n FROM cases WHERE {pending} AND activa = 1),
+WITH {_CASES_SQL}, {_POLICY_ROWS_SQL}, {before}
+pending AS (SELECT DISTINCT poliza, TRY_CAST(substr(poliza, 1, 7) AS BIGINT) AS n FROM {cases} WHERE {pending} AND activa = 1),
 last_row AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY Poliza ORDER BY {order}) AS rn FROM policy_rows) WHERE rn = 1),
 found AS (SELECT p.poliza, r.CodProductor, s_name, r.CodOrganizador, n_name, c_name FROM pending p JOIN last_row r ON r.Poliza = p.n
   LEFT JOIN supplier ON r.CodProductor = s_suppkey LEFT JOIN nation ON r.CodOrganizador = n_nationkey LEFT JOIN customer ON r.NroAsegurado = c_custkey)
 SELECT id, dominio, c.poliza, {client} AS cliente, activa, coalesce(f.CodProductor, cod_productor) AS cod_productor, coalesce(f.s_name, nom_productor) AS nom_productor,
   coalesce(f.CodOrganizador, cod_organizador) AS cod_organizador, coalesce(f.n_name, nom_organizador) AS nom_organizador
-FROM cases c LEFT JOIN found f ON c.poliza = f.poliza"""
+FROM {cases} c LEFT JOIN found f ON c.poliza = f.poliza"""
 
 
 @query("case_enrichment", _enriched_sql("cliente = ''", "Fecha DESC, CodProductor DESC, CodOrganizador DESC", "coalesce(f.c_name, cliente)"))
@@ -149,3 +158,28 @@ def case_producer(spark, sf_dir):
         _cases(spark, sf_dir), _policy_rows(spark, sf_dir), producers(spark, sf_dir), organizers(spark, sf_dir),
         ["CodProductor", "CodOrganizador"],
     )
+
+
+_CLIENTS_SQL = _enriched_sql("cliente = ''", "Fecha DESC, CodProductor DESC, CodOrganizador DESC", "coalesce(f.c_name, cliente)")
+
+
+@query(
+    "case_write_back",
+    _enriched_sql(
+        "cod_productor IS NULL", "CodProductor DESC, CodOrganizador DESC", "cliente", "enriched", f"enriched AS ({_CLIENTS_SQL}),"
+    ),
+)
+def case_write_back(spark, sf_dir):
+    """Cases kept in a table, given clients and then producers; a second run of both changes nothing."""
+    cases = KeyedTable(spark, work_dir(spark, "cases"), "poliza", 16)
+    cases.write(_cases(spark, sf_dir))
+    clients = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("NroPersona"), F.col("c_name").alias("Nombre"))
+    rows, by = _policy_rows(spark, sf_dir), (producers(spark, sf_dir), organizers(spark, sf_dir))
+
+    def run():
+        found = client_updates(cases.read(), rows, clients, *by, ties=["CodProductor"])
+        changed = cases.update(found, [*INTERMEDIARIES, "cliente"])
+        return changed + cases.update(producer_updates(cases.read(), rows, *by, ["CodProductor", "CodOrganizador"]), INTERMEDIARIES)
+
+    assert run() and not run()
+    return cases.read()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import MONTH, in_month, yyyymm
 from ..functions.text import strip
@@ -23,8 +24,8 @@ from ..plans.facts import (
 from ..plans.mart import Mart
 from ..plans.reports import claim_payments_control
 from ..schemas import CLAIM_PAYMENTS, CLAIM_REPORTS, LIFE_PREMIUMS, MOTOR_PREMIUMS, OTHER_PREMIUMS
-from ..sources.readers import cast_to
-from ..sources.writers import append_by_month, compact_months
+from ..sources.readers import cast_to, malformed_lines, read_delimited
+from ..sources.writers import append_by_month, compact_fragmented, compact_months
 from ..workdir import work_dir
 from .registry import query, table
 from .standins import (
@@ -337,3 +338,44 @@ def compact_month(spark, sf_dir):
         written = append_by_month(orders.filter(F.col("o_orderstatus") == status), path, "order_date")
     compact_months(spark, path, written.months[:2], ["o_orderkey"])
     return spark.read.parquet(path)
+
+
+@query(
+    "compact_fragmented",
+    """
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus, CAST(o_orderdate AS DATE) AS order_date,
+  CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS yyyymm FROM orders
+""",
+)
+def compact_by_size(spark, sf_dir):
+    """Months in three files each, chosen and rewritten by the files' sizes; a second run finds nothing to do."""
+    path = work_dir(spark, "fragmented")
+    orders = _orders(spark, sf_dir)
+    for part in range(3):
+        append_by_month(orders.filter(F.col("o_orderkey") % 3 == part), path, "order_date")
+    assert compact_fragmented(spark, path, sort=["o_orderkey"]) and not compact_fragmented(spark, path, sort=["o_orderkey"])
+    return spark.read.parquet(path)
+
+
+@query(
+    "ansi_file",
+    """
+WITH s AS (SELECT s_suppkey % 10 AS d, s_suppkey AS code, s_name || ' ' || chr(8364) || ' ' || chr(8220) || 'n' || chr(241) || chr(8221) AS named, s_suppkey / 4 AS amount FROM supplier)
+SELECT CASE WHEN d NOT IN (3, 7) THEN code END AS code, CASE WHEN d NOT IN (3, 7) THEN named END AS named, CASE WHEN d NOT IN (3, 7) THEN amount END AS amount,
+  CASE d WHEN 3 THEN code || ';' || named WHEN 7 THEN code || ';' || named || ';1,5;more' END AS malformed FROM s
+""",
+)
+def ansi_file(spark, sf_dir):
+    """Suppliers written as an ANSI file with short and long lines among them: the sound lines, and the others as they stand."""
+    path = work_dir(spark, "ansi")
+    code, kind = F.col("s_suppkey"), F.col("s_suppkey") % 10
+    # The bytes 0x80, 0x93 and 0x94 of the file are the euro sign and quotation marks.
+    named = F.concat(F.col("s_name"), F.lit(" \x80 \x93n\xf1\x94"))
+    amount = F.replace(F.format_string("%.2f", code / 4), F.lit("."), F.lit(","))
+    line = F.concat_ws(";", code, named, F.when(kind == 7, F.lit("1,5;more")).when(kind != 3, amount))
+    rows = table(spark, sf_dir, "supplier").select(line.alias("Code;Name;Amount"))
+    # One column, so that nothing is quoted; every part has the header.
+    rows.write.option("header", True).option("encoding", "ISO-8859-1").option("quote", "").option("sep", "\t").csv(path)
+    columns = {"Code": "code", "Name": "named", "Amount": "amount"}
+    sound = read_delimited(spark, path, columns, T.StructType.fromDDL("code bigint, named string, amount double"))
+    return sound.unionByName(malformed_lines(spark, path).withColumnRenamed("line", "malformed"), allowMissingColumns=True)

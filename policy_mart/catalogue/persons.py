@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import identity
 from ..plans.dims import PERSON_COLUMNS, current_persons, load_persons
 from ..plans.mart import Mart
+from ..sources import versions
 from ..workdir import work_dir
 from .registry import query
 from .standins import PERSONS_SQL, raw_persons
@@ -65,6 +66,34 @@ def person_current(spark, sf_dir):
     return current_persons(mart).drop("last_update")
 
 
+_VERSIONED = ["NroPersona", "Nombre", "Domicilio", "Cp", "Bloqueado"]
+
+
+@query(
+    "person_versions",
+    f"""
+WITH {PERSONS_SQL}
+SELECT NroPersona, Nombre, Domicilio, Cp, CASE WHEN NroPersona % 3 = 0 THEN 'S' ELSE Bloqueado END AS Bloqueado FROM persons WHERE NroPersona % 5 <> 0
+""",
+)
+def person_versions(spark, sf_dir):
+    """Persons appended by difference: all, the same again (no rows), then some blocked and others gone;
+    current after the old versions were dropped."""
+    path = work_dir(spark, "person-versions")
+    first = _normalised(spark, sf_dir).select(*_VERSIONED)
+    schema = first.schema
+
+    def load(rows, version):
+        return versions.append_difference(rows, path, ["NroPersona"], version)
+
+    load(first, 1)
+    assert load(first, 2) == 0
+    blocked = F.when(F.col("NroPersona") % 3 == 0, "S").otherwise(F.col("Bloqueado"))
+    load(first.filter("NroPersona % 5 <> 0").withColumn("Bloqueado", blocked), 3)
+    versions.compact_versions(spark, path, schema, ["NroPersona"])
+    return versions.current(spark, path, schema, ["NroPersona"])
+
+
 @query(
     "person_reports_1",
     f"""

@@ -7,13 +7,14 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..functions.dates import yyyymm
+from ..functions.numbers import money_sum
 from ..operators.controls import missing_matches, missing_summary
 from ..operators.rates import BASE_COVERAGES, RISKS, decompose_rates, rate_band_join
 from ..operators.scd import current_rows
 from ..plans import reports
 from ..plans.dims import RATE_VALUES, prepare_rates
 from ..schemas import RATES
-from .registry import query, table
+from .registry import query, table, total
 from .standins import (
     day,
     COVERAGE_FLAGS_SQL,
@@ -181,3 +182,28 @@ def summary(spark, sf_dir):
     """How many are missing, and one of them at random, which is only counted here."""
     shown = missing_summary(missing(spark, sf_dir), seed=7)
     return shown.agg(F.max("Faltantes").alias("Faltantes"), F.count_distinct("l_orderkey").alias("mostrados"))
+
+
+@query(
+    "bands_of_any_width",
+    f"""
+WITH bands AS (SELECT n_nationkey AS band, n_regionkey AS k, CASE WHEN n_nationkey % 5 = 3 THEN NULL ELSE n_nationkey * 1000 END AS lo,
+  CASE n_nationkey % 5 WHEN 0 THEN n_nationkey * 1000 + 50 WHEN 1 THEN 9999999 WHEN 2 THEN NULL WHEN 3 THEN n_nationkey * 4000 ELSE n_nationkey * 1000 + 20000 END AS hi
+  FROM nation)
+SELECT band, count(*) AS lines, {total('l_extendedprice', 'amount')} FROM lineitem JOIN bands
+  ON l_suppkey % 5 = k AND (lo IS NULL OR l_extendedprice >= lo) AND (hi IS NULL OR l_extendedprice <= hi) GROUP BY ALL
+""",
+)
+def bands_of_any_width(spark, sf_dir):
+    """Lines and amounts per band: narrow, wide, up to ten million, and open at either end."""
+    key = F.col("n_nationkey")
+    kind = key % 5
+    bands = table(spark, sf_dir, "nation").select(
+        key.alias("band"),
+        F.col("n_regionkey").cast("bigint").alias("k"),
+        F.when(kind != 3, key * 1000).alias("lo"),
+        F.when(kind == 0, key * 1000 + 50).when(kind == 1, 9999999).when(kind == 3, key * 4000).when(kind == 4, key * 1000 + 20000).alias("hi"),
+    )
+    lines = table(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 5).cast("bigint").alias("k"), "l_extendedprice")
+    found = rate_band_join(lines, bands, ["k"], "l_extendedprice", "lo", "hi", bin_width=100, open_ends=True)
+    return found.groupBy("band").agg(F.count(F.lit(1)).alias("lines"), money_sum("l_extendedprice").alias("amount"))

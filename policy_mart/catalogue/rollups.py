@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..functions.numbers import half_even
 from ..operators.rollup import additive_rollup, claims_rollup, control_row, finished, merge_states, rollup_states
 from ..operators.stats import best_by_metric, daily_monthly_summary
 from ..plans import facts
-from ..schemas import MOTOR_PREMIUMS, OTHER_PREMIUMS
+from ..plans.mart import Mart
+from ..plans.reports import monthly_vehicle_counts
+from ..schemas import MOTOR_PREMIUMS, OTHER_PREMIUMS, SNAPSHOTS
 from ..sources.readers import cast_to
+from ..workdir import work_dir
 from .registry import names, query, table, total, totals
 from .standins import (
     OPERATIONS_SQL,
@@ -19,6 +24,7 @@ from .standins import (
     operations,
     premium_lines,
     raw_other_premiums,
+    with_missing,
 )
 
 
@@ -153,9 +159,7 @@ def rollup_merge(spark, sf_dir):
     return finished(merge_states(parts, ["month", "l_suppkey"], ["amount"], ["lines"]), ["amount"])
 
 
-@query(
-    "daily_monthly_summary",
-    """
+_SUMMARY_SQL = """
 WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY ALL),
 r AS (SELECT *, year(day) * 100 + month(day) AS m,
   row_number() OVER (PARTITION BY year(day), month(day) ORDER BY n DESC, day) AS hi,
@@ -165,7 +169,12 @@ g AS (SELECT CAST(m AS INTEGER) AS Mes, max(CASE WHEN hi = 1 THEN day END) AS ma
   max(n) - min(n) AS Gap, round_even(stddev_pop(n), 0) AS Std, CAST(quantile_cont(n, 0.25) AS DOUBLE) AS Q1,
   CAST(quantile_cont(n, 0.5) AS DOUBLE) AS Q2, CAST(quantile_cont(n, 0.75) AS DOUBLE) AS Q3 FROM r GROUP BY m)
 SELECT *, CASE WHEN Q2 < Promedio THEN 'D' WHEN Q2 > Promedio THEN 'I' ELSE 'N' END AS Cola FROM g
-""",
+"""
+
+
+@query(
+    "daily_monthly_summary",
+    _SUMMARY_SQL,
 )
 def daily_summary(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(day("o_orderdate").alias("order_date"))
@@ -223,3 +232,16 @@ def control(spark, sf_dir):
     done = o.filter("o_orderstatus = 'F'")
     rollup = additive_rollup(done, "order_date", "month", ["o_custkey"], ["o_totalprice"])
     return control_row(o, "order_date", rollup, "month")
+
+
+@query("monthly_vehicle_counts", _SUMMARY_SQL)
+def monthly_counts(spark, sf_dir):
+    """Orders as daily snapshots in two loads; the report reads the counts per day that the loads keep."""
+    mart = Mart(spark, work_dir(spark, "snapshots"))
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("Poliza"), day("o_orderdate").alias("Fecha"))
+    raw = with_missing(o, SNAPSHOTS.columns)
+    span = o.agg(F.min("Fecha").alias("first"), F.max("Fecha").alias("last")).first()
+    today = span["last"] + dt.timedelta(days=1)
+    facts.load_vehicle_snapshots(mart, raw.filter(F.dayofmonth("Fecha") % 2 == 0), today, span["first"])
+    facts.load_vehicle_snapshots(mart, raw, today, span["first"])
+    return monthly_vehicle_counts(mart)

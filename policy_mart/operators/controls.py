@@ -12,9 +12,10 @@ from ..functions.text import leading_number
 from .keyed import join_unique, not_in, present_in, unique_keys
 from .scd import latest_per_key, upsert_columns
 
-# The motor branches, the digits of a policy number, the regulator's motor code.
+# The motor branches, the digits of a policy number, columns of a case, the regulator's motor code.
 MOTOR_BRANCHES = (4, 44)
 POLICY_DIGITS = 7
+INTERMEDIARIES = ("cod_productor", "nom_productor", "cod_organizador", "nom_organizador")
 REGULATOR_MOTOR_CODE, MOTOR_BRANCH, OTHER_MOTOR_BRANCH = 1030, 4, 44
 
 
@@ -94,30 +95,48 @@ def enrich_cases(
     cases: DataFrame, snapshots: DataFrame, persons: DataFrame, producers: DataFrame, organizers: DataFrame,
     ties: Sequence[str] = (),
 ) -> DataFrame:
-    """Client, producer and organizer of the active cases that lack a client.
+    """The cases with `client_updates`. All cases of such a policy are updated."""
+    updates = client_updates(cases, snapshots, persons, producers, organizers, ties)
+    return upsert_columns(cases, updates, "poliza", [*INTERMEDIARIES, "cliente"])
+
+
+def client_updates(
+    cases: DataFrame, snapshots: DataFrame, persons: DataFrame, producers: DataFrame, organizers: DataFrame,
+    ties: Sequence[str] = (),
+) -> DataFrame:
+    """Client, producer and organizer for the policies of active cases that lack a client, one row per policy.
 
     They come from the newest snapshot row (CodRama, Poliza, Fecha, NroAsegurado, CodProductor,
-    CodOrganizador) of the case's policy in the motor branches. All cases of such a policy are updated.
+    CodOrganizador) of the policy in the motor branches.
     """
     pending = _numbered(cases.filter((F.col("cliente") == "") & (F.col("activa") == 1)))
     rows = snapshots.withColumnRenamed("Poliza", "NroPoliza")
     newest = _one_row_per_policy(rows, pending, ["Fecha", *ties])
     clients = persons.select(F.col("NroPersona").alias("NroAsegurado"), F.col("Nombre").alias("cliente"))
     found = join_unique(newest.select("NroPoliza", "NroAsegurado", "CodProductor", "CodOrganizador"), clients, ["NroAsegurado"])
-    return _update(cases, pending, found, producers, organizers, ["cliente"])
+    return _updates(pending, found, producers, organizers, ["cliente"])
 
 
 def enrich_case_producers(
     cases: DataFrame, operations: DataFrame, producers: DataFrame, organizers: DataFrame,
     order_cols: Sequence[str],
 ) -> DataFrame:
-    """Producer and organizer of the active cases without a producer, from an operation (CodRama,
+    """The cases with `producer_updates`."""
+    updates = producer_updates(cases, operations, producers, organizers, order_cols)
+    return upsert_columns(cases, updates, "poliza", INTERMEDIARIES)
+
+
+def producer_updates(
+    cases: DataFrame, operations: DataFrame, producers: DataFrame, organizers: DataFrame,
+    order_cols: Sequence[str],
+) -> DataFrame:
+    """Producer and organizer for the policies of active cases without a producer, from an operation (CodRama,
     Poliza, CodProductor, CodOrganizador) of the policy; `order_cols` decides which one."""
     pending = _numbered(cases.filter(F.col("cod_productor").isNull() & (F.col("activa") == 1)))
     rows = operations.withColumnRenamed("Poliza", "NroPoliza")
     chosen = _one_row_per_policy(rows, pending, order_cols)
     found = chosen.select("NroPoliza", "CodProductor", "CodOrganizador")
-    return _update(cases, pending, found, producers, organizers, [])
+    return _updates(pending, found, producers, organizers, [])
 
 
 def _numbered(pending: DataFrame) -> DataFrame:
@@ -126,14 +145,13 @@ def _numbered(pending: DataFrame) -> DataFrame:
     return unique_keys(pending, ["poliza"]).withColumn("NroPoliza", number).dropna(subset=["NroPoliza"])
 
 
-def _update(
-    cases: DataFrame, pending: DataFrame, found: DataFrame, producers: DataFrame, organizers: DataFrame,
-    more: Sequence[str],
+def _updates(
+    pending: DataFrame, found: DataFrame, producers: DataFrame, organizers: DataFrame, more: Sequence[str]
 ) -> DataFrame:
     by_prod = producers.select("CodProductor", F.col("Nombre").alias("nom_productor"))
     by_org = organizers.select("CodOrganizador", F.col("Nombre").alias("nom_organizador"))
     named = join_unique(join_unique(found, by_prod, ["CodProductor"]), by_org, ["CodOrganizador"])
-    updates = join_unique(pending, named, ["NroPoliza"], "inner").select(
+    return join_unique(pending, named, ["NroPoliza"], "inner").select(
         "poliza",
         F.col("CodProductor").alias("cod_productor"),
         "nom_productor",
@@ -141,5 +159,3 @@ def _update(
         "nom_organizador",
         *more,
     )
-    columns = ["cod_productor", "nom_productor", "cod_organizador", "nom_organizador", *more]
-    return upsert_columns(cases, updates, "poliza", columns)

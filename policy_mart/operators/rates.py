@@ -97,22 +97,57 @@ def decompose_rates(
 
 
 def rate_band_join(
-    df: DataFrame, bands: DataFrame, keys: Sequence[str], value: str, lo: str, hi: str, bin_width: int = 10
+    df: DataFrame, bands: DataFrame, keys: Sequence[str], value: str, lo: str, hi: str, bin_width: int = 10,
+    open_ends: bool = False,
 ) -> DataFrame:
     """Each row with the bands of its keys that hold its value, both ends included.
 
-    Bands are cut into bins of `bin_width` and the bin joins as one more equality key. A row meets
-    only the bands that touch its bin, and a hot key's rows spread over the bins. A band spans
-    `(hi - lo) / bin_width + 1` bins, so choose the width by the bands' length.
+    Bands are cut into bins, and the bin joins as one more equality key: a row meets only the bands that
+    touch its bin, and a hot key's rows spread over the bins. Bins of `bin_width` serve bands of up to
+    `_BINS` bins; wider ones have bins eight times as wide, and so on, so that no band has more than
+    `_BINS` + 1 of them, however wide. Bands without an end, or of more levels than `_LEVELS`, join by
+    the keys alone. A row is looked up once per level that the bands have, which their table is asked for first.
+
+    A null end holds nothing, as in SQL's BETWEEN; with `open_ends` the band goes on without end there.
+    A null value is in no band.
     """
-    cut = F.sequence(_bin(lo, bin_width), _bin(hi, bin_width))
-    binned = bands.filter(F.col(lo) <= F.col(hi)).withColumn("__bin", F.explode(cut))
-    return (
-        df.withColumn("__bin", _bin(value, bin_width))
-        .join(binned, [*keys, "__bin"], "inner")
-        .filter(F.col(value).between(F.col(lo), F.col(hi)))
-        .drop("__bin")
-    )
+    below, above = F.col(value) >= F.col(lo), F.col(value) <= F.col(hi)
+    if open_ends:
+        below, above = F.col(lo).isNull() | below, F.col(hi).isNull() | above
+        sound = F.coalesce(F.col(lo) <= F.col(hi), F.lit(True))
+    else:
+        sound = F.col(lo) <= F.col(hi)
+    kept = bands.filter(sound).withColumn("__level", _band_level(lo, hi, bin_width))
+    levels = sorted(r["__level"] for r in kept.select("__level").distinct().collect())  # _LEVELS + 2 at most
+    level_bin = F.lit(None).cast("array<bigint>")
+    row_bins = []
+    for level in levels:
+        width = bin_width * _STEP**level
+        whole = F.lit(0).cast("bigint")
+        cut = F.array(whole) if level == _OPEN else F.sequence(_bin(lo, width), _bin(hi, width))
+        level_bin = F.when(F.col("__level") == level, cut).otherwise(level_bin)
+        row_bins.append(F.struct(F.lit(level).alias("__level"), (whole if level == _OPEN else _bin(value, width)).alias("__bin")))
+    binned = kept.withColumn("__bin", F.explode(level_bin))
+    if not levels:
+        rows = df.withColumns({"__level": F.lit(0), "__bin": F.lit(0).cast("bigint")})
+    elif len(levels) == 1:
+        rows = df.withColumns({"__level": F.lit(levels[0]), "__bin": row_bins[0]["__bin"]})
+    else:
+        rows = df.withColumn("__at", F.explode(F.array(*row_bins))).select(*df.columns, "__at.__level", "__at.__bin")
+    joined = rows.join(binned, [*keys, "__level", "__bin"], "inner")
+    return joined.filter(F.col(value).isNotNull() & below & above).drop("__level", "__bin")
+
+
+#: Bins of a band at its level, by how much the levels' bins grow, and the number of levels; the level of bands without an end.
+_BINS, _STEP, _LEVELS, _OPEN = 8, 8, 16, -1
+
+
+def _band_level(lo: str, hi: str, width: int) -> Column:
+    """The first level at which a band has about `_BINS` bins."""
+    bins = (F.col(hi).cast("double") - F.col(lo).cast("double")) / width
+    level = F.ceil(F.log(float(_STEP), bins / _BINS)).cast("int")
+    bounded = bins <= float(_BINS) * float(_STEP) ** _LEVELS
+    return F.when(F.coalesce(bounded, F.lit(False)), F.greatest(F.lit(0), level)).otherwise(F.lit(_OPEN))
 
 
 def _bin(c: str, width: int) -> Column:

@@ -12,12 +12,22 @@ from ..functions.numbers import half_even, money_sum, or_zero_money
 
 
 def daily_monthly_summary(df: DataFrame, date_col: str) -> DataFrame:
-    """Per month: extremes of the daily row count with their days, mean, spread and quartiles.
+    """`monthly_summary` of the number of rows per day."""
+    return monthly_summary(daily_counts(df, date_col, "__n"), date_col, "__n")
 
-    On equal counts the earliest day is named. A month has at most 31 daily counts, so the exact
-    percentile is cheap. `Cola` compares the median with the rounded mean: D below, I above, N equal.
+
+def daily_counts(df: DataFrame, date_col: str, count: str) -> DataFrame:
+    return df.groupBy(date_col).agg(F.count(F.lit(1)).alias(count))
+
+
+def monthly_summary(daily: DataFrame, date_col: str, count: str) -> DataFrame:
+    """Per month: extremes of the daily counts with their days, mean, spread and quartiles.
+
+    `daily` has a row per day. On equal counts the earliest day is named. A month has at most 31 daily
+    counts, so the exact percentile is cheap. `Cola` compares the median with the rounded mean: D below,
+    I above, N equal.
     """
-    daily = df.groupBy(F.col(date_col).alias("__day")).agg(F.count(F.lit(1)).alias("__n"))
+    daily = daily.select(F.col(date_col).alias("__day"), F.col(count).alias("__n"))
     age = -F.datediff("__day", F.lit("1970-01-01").cast("date"))
     quartiles = F.percentile("__n", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
     monthly = daily.groupBy(yyyymm("__day").alias("Mes")).agg(

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ..functions.text import clean_name
 from ..operators import identity
 from ..operators.rates import decompose_rates, widen_last_band
-from ..operators.scd import current_rows, latest_per_key, scd_delta
+from ..operators.scd import current_rows, scd_delta
 from ..schemas import (
     LIABILITY_RATES,
     LOCALITIES,
@@ -24,8 +24,10 @@ from ..schemas import (
     RATES_BY_RISK,
     Table,
 )
+from ..sources import versions
 from ..sources.readers import cast_to
-from ..sources.writers import full_refresh, stage, versioned_append, write_report
+from ..sources.versions import append_difference
+from ..sources.writers import full_refresh, stage, staged, write_report
 from .mart import Mart
 
 # Source column -> mart column, intermediary types and the unused name.
@@ -138,18 +140,29 @@ def load_localities(mart: Mart, places: DataFrame, provinces: DataFrame) -> None
     full_refresh(cast_to(localities(places, provinces), LOCALITIES.schema), mart.path(LOCALITIES.name))
 
 
+def _microseconds(at: dt.datetime) -> int:
+    return int(at.timestamp() * 1_000_000)
+
+
+def _unversioned(table: Table) -> T.StructType:
+    return T.StructType([f for f in table.schema.fields if f.name != versions.VERSION])
+
+
 def _cast_unversioned(rows: DataFrame, table: Table) -> DataFrame:
-    return cast_to(rows, T.StructType([f for f in table.schema.fields if f.name != "version"]))
+    return cast_to(rows, _unversioned(table))
 
 
 def load_motor_coverages(mart: Mart, rows: DataFrame, version: dt.datetime) -> None:
-    versioned_append(_cast_unversioned(rows, MOTOR_COVERAGES), mart.path(MOTOR_COVERAGES.name), version)
+    """Append the coverages that are new, changed or gone."""
+    append_difference(
+        _cast_unversioned(rows, MOTOR_COVERAGES), mart.path(MOTOR_COVERAGES.name), MOTOR_COVERAGES.keys,
+        _microseconds(version), ties=["OrCobertura"],
+    )
 
 
 def motor_coverages(mart: Mart) -> DataFrame:
     """Latest version of each coverage."""
-    table = mart.table(MOTOR_COVERAGES)
-    return latest_per_key(table, MOTOR_COVERAGES.keys, ["version", "OrCobertura"]).drop("version")
+    return versions.current(mart.spark, mart.path(MOTOR_COVERAGES.name), _unversioned(MOTOR_COVERAGES), MOTOR_COVERAGES.keys)
 
 
 def load_other_coverages(mart: Mart, rows: DataFrame) -> bool:
@@ -157,12 +170,16 @@ def load_other_coverages(mart: Mart, rows: DataFrame) -> bool:
     return full_refresh(cast_to(rows, OTHER_COVERAGES.schema), mart.path(OTHER_COVERAGES.name), guard_empty=True)
 
 
-def load_persons(mart: Mart, raw: DataFrame, loaded_at: dt.datetime, strict_reference: bool = False) -> None:
-    """Append this load's version of every person. The version is the load's time in microseconds."""
+def load_persons(mart: Mart, raw: DataFrame, loaded_at: dt.datetime, strict_reference: bool = False) -> int:
+    """Append a version of every person that is new, changed or gone; returns how many there are.
+
+    The version is the load's time in microseconds. A person that did not change keeps the time of the
+    load that last changed it.
+    """
     persons = identity.resolve_persons(raw.select(*_named(PERSON_COLUMNS)), strict_reference)
-    version = int(loaded_at.timestamp() * 1_000_000)
+    version = _microseconds(loaded_at)
     rows = _cast_unversioned(persons.withColumn("last_update", F.lit(loaded_at)), PERSONS)
-    versioned_append(rows, mart.path(PERSONS.name), version)
+    return append_difference(rows, mart.path(PERSONS.name), PERSONS.keys, version, ["last_update"], ["persona_key"])
 
 
 PERSON_REPORTS = {
@@ -177,14 +194,19 @@ PERSON_REPORTS = {
 
 def write_person_reports(mart: Mart, raw: DataFrame) -> None:
     """The data-quality reports on persons. The source is read once for all of them."""
-    persons = stage(identity.normalise_persons(raw.select(*_named(PERSON_COLUMNS))), "persons")
-    for name, report in PERSON_REPORTS.items():
-        write_report(report(persons), mart.path(f"person_reports/{name}"), "parquet")
+    with staged(identity.normalise_persons(raw.select(*_named(PERSON_COLUMNS))), "persons") as persons:
+        for name, report in PERSON_REPORTS.items():
+            write_report(report(persons), mart.path(f"person_reports/{name}"), "parquet")
 
 
 def current_persons(mart: Mart) -> DataFrame:
     """Every person as last loaded."""
-    return latest_per_key(mart.table(PERSONS), PERSONS.keys, ["version", "persona_key"]).drop("version")
+    return versions.current(mart.spark, mart.path(PERSONS.name), _unversioned(PERSONS), PERSONS.keys)
+
+
+def compact_persons(mart: Mart) -> None:
+    """Drop the persons' versions that no reader of the current ones needs."""
+    versions.compact_versions(mart.spark, mart.path(PERSONS.name), _unversioned(PERSONS), PERSONS.keys)
 
 
 def _load_history(mart: Mart, table: Table, rows: DataFrame, compare: list[str], ties: list[str]) -> DataFrame:

@@ -13,9 +13,11 @@ from ..functions.numbers import half_even, money_sum, net_of_discount, or_zero_m
 from ..functions.text import lenient_date, strip
 from ..operators.load import first_date
 from ..operators.rollup import additive_rollup, claims_rollup
+from ..operators.stats import daily_counts
 from ..schemas import (
     CLAIM_PAYMENTS,
     CLAIM_REPORTS,
+    DAILY_VEHICLES,
     LIFE_PREMIUMS,
     MOTOR_PREMIUMS,
     OPERATIONS,
@@ -370,6 +372,7 @@ def prepare_snapshots(raw: DataFrame) -> DataFrame:
 def load_vehicle_snapshots(
     mart: Mart, raw: DataFrame, today: dt.date, first: dt.date = FIRST_SNAPSHOT_DAY
 ) -> Written:
-    """Load the missing days up to yesterday."""
+    """Load the missing days up to yesterday, and renew the counts per day of their months."""
     yesterday = today - dt.timedelta(days=1)
-    return load_snapshots(mart, SNAPSHOTS, prepare_snapshots(raw), first, yesterday)
+    counts = (DAILY_VEHICLES.name, "Fecha", lambda rows: daily_counts(rows, "Fecha", "cantidad"))
+    return load_snapshots(mart, SNAPSHOTS, prepare_snapshots(raw), first, yesterday, [counts])

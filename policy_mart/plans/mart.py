@@ -14,6 +14,7 @@ from ..functions.dates import MONTH, month_number
 from ..operators.load import append_new, snapshot_rows_to_load
 from ..schemas import Table
 from ..sources.readers import cast_to, read_or_empty
+from ..sources.publish import finish
 from ..sources.writers import Written, append_by_month, replace_partitions
 
 
@@ -45,14 +46,20 @@ def load_fact(
     """Append the new rows of a fact, then renew its rollups for the months that got any.
 
     A run that dies in between leaves a note of where it began; the next one then renews all months
-    from there on, since it finds no new rows by which to tell them.
+    from there on, since it finds no new rows by which to tell them. One that dies while it appends has
+    added nothing, or is first brought to its end, so no part of a key's rows is taken for all of them.
     """
     source = cast_to(rows, table.schema)
+    finish(mart.spark, mart.path(table.name))
     new = append_new(source, mart.table(table), table.keys, table.date_col, since, stop_at_gap)
+    return _append(mart, table, new, 0 if since is None else month_number(since), rollups)
+
+
+def _append(mart: Mart, table: Table, new: DataFrame, since: int, rollups: Sequence[Rollup]) -> Written:
     if not rollups:
         return append_by_month(new, mart.path(table.name), table.date_col, table.sort)
     unfinished = _unfinished_since(mart, table)
-    _note_start(mart, table, 0 if since is None else month_number(since))
+    _note_start(mart, table, since)
     written = append_by_month(new, mart.path(table.name), table.date_col, table.sort)
     months = set(written.months)
     if unfinished is not None:
@@ -98,8 +105,14 @@ def refresh_rollup(
     replace_partitions(rollup.withColumn(MONTH, month), mart.path(name))
 
 
-def load_snapshots(mart: Mart, table: Table, rows: DataFrame, first: dt.date, last: dt.date) -> Written:
-    """Append the days of a daily snapshot that are missing, out of those the source has."""
+def load_snapshots(
+    mart: Mart, table: Table, rows: DataFrame, first: dt.date, last: dt.date, rollups: Sequence[Rollup] = ()
+) -> Written:
+    """Append the days of a daily snapshot that are missing, out of those the source has.
+
+    `rollups` are renewed for the months that got days, as in `load_fact`.
+    """
+    finish(mart.spark, mart.path(table.name))
     loaded = mart.table(table)
     new = snapshot_rows_to_load(cast_to(rows, table.schema), loaded, table.date_col, first, last)
-    return append_by_month(new, mart.path(table.name), table.date_col, table.sort)
+    return _append(mart, table, new, month_number(first), rollups)

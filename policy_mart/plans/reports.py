@@ -19,8 +19,9 @@ from ..operators.rates import (
 )
 from ..operators.rollup import control_row
 from ..operators.scd import latest_per_key
-from ..operators.stats import best_by_metric, daily_monthly_summary
+from ..operators.stats import best_by_metric, monthly_summary
 from ..schemas import (
+    DAILY_VEHICLES,
     CLAIM_PAYMENTS,
     CLAIM_REPORTS,
     MOTOR_PREMIUMS,
@@ -102,12 +103,12 @@ def premiums_without_rate(vehicle_premiums: DataFrame, rates: DataFrame) -> Data
     return missing_matches(vehicle_premiums, rates, RATE_KEY)
 
 
-def _organizers(mart: Mart) -> DataFrame:
+def current_organizers(mart: Mart) -> DataFrame:
     """One row per code: an organizer in several groups is reported under the highest one."""
     return latest_per_key(mart.table(ORGANIZERS), ORGANIZERS.keys, ["CodGrupo", "NroPersona", "Nombre"])
 
 
-def _producers(mart: Mart) -> DataFrame:
+def current_producers(mart: Mart) -> DataFrame:
     return latest_per_key(mart.table(PRODUCERS), PRODUCERS.keys, ["NroPersonaProductor", "Nombre"])
 
 
@@ -123,7 +124,7 @@ def person_profile(mart: Mart) -> DataFrame:
     paid = movements(_rollup(mart, "sinpagt_perfiles_agg"), "FechaPagoMes", keys, {"ImporteSiniestro": "Importe"})
     rows = income.unionByName(paid, allowMissingColumns=True)
     return result_profile(
-        rows, current_persons(mart), _producers(mart), _organizers(mart), ["CodRama"], INCOME, "ImporteSiniestro"
+        rows, current_persons(mart), current_producers(mart), current_organizers(mart), ["CodRama"], INCOME, "ImporteSiniestro"
     )
 
 
@@ -138,7 +139,7 @@ def agents_profile(mart: Mart) -> DataFrame:
         F.lit(1).alias("Denuncias"),
     )
     return agent_profile(
-        operations, paid, reports, _organizers(mart), _producers(mart), INCOME, "ImporteSiniestro"
+        operations, paid, reports, current_organizers(mart), current_producers(mart), INCOME, "ImporteSiniestro"
     )
 
 
@@ -148,7 +149,8 @@ def load_agents_profile(mart: Mart) -> None:
 
 
 def monthly_vehicle_counts(mart: Mart) -> DataFrame:
-    return daily_monthly_summary(mart.table(SNAPSHOTS), "Fecha").orderBy(F.desc("Mes"))
+    """Reads the counts per day that the snapshot load keeps, not the snapshots."""
+    return monthly_summary(mart.table(DAILY_VEHICLES), "Fecha", "cantidad").orderBy(F.desc("Mes"))
 
 
 def best_postal_suffix(mart: Mart) -> DataFrame:
@@ -210,4 +212,4 @@ def compared_operations(raw: DataFrame, since: int = COMPARED_FROM) -> DataFrame
 
 
 def commission_comparison(mart: Mart, listed: DataFrame, raw: DataFrame) -> DataFrame:
-    return compare_commissions(listed, compared_operations(raw), _producers(mart), _organizers(mart))
+    return compare_commissions(listed, compared_operations(raw), current_producers(mart), current_organizers(mart))

@@ -324,6 +324,17 @@ SNAPSHOTS = Table(
     ("Fecha", "CodOrganizador", "CodProductor", "CodCoberturaAut", "NroAsegurado"),
 )
 
+DAILY_VEHICLES = Table(
+    "vigentes_vehiculos_dia_cantidad",
+    """
+    Fecha date,
+    cantidad bigint
+    """,
+    ("Fecha",),
+    "Fecha",
+    ("Fecha",),
+)
+
 PERSONS = Table(
     "dim_daf",
     """
@@ -414,7 +425,7 @@ MOTOR_COVERAGES = Table(
     Ip int,
     At int,
     Ap int,
-    version timestamp
+    version bigint
     """,
     ("CodCobertura",),
 )

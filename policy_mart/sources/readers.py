@@ -5,14 +5,19 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..files import Files
 from ..functions.text import decimal_comma, lenient_date, strip
 
 
+#: "ANSI" as Windows programs in Western Europe and America write it.
+ANSI = "windows-1252"
+_MALFORMED = "_malformed"
+
+
 def _observed(df: DataFrame, rejected: Observation | None, parsed: Mapping[str, tuple[Column, Column]]) -> DataFrame:
     """Count, in the same pass, the values per column that are there but do not parse."""
     if rejected is None or not parsed:
@@ -44,12 +49,9 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table, or no rows where nothing has been written yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not Files(spark, path).exists(path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def jdbc_options(
@@ -99,13 +101,49 @@ def _headers(names: Sequence[str]) -> list[str]:
     return headers
 
 
+def _ansi_signs() -> tuple[str, str]:
+    """The bytes 0x80 to 0x9F as ISO-8859-1 reads them, and what windows-1252 has there; five are unused."""
+    pairs = [(chr(b), bytes([b]).decode("cp1252", "ignore")) for b in range(0x80, 0xA0)]
+    used = [(read, meant) for read, meant in pairs if meant]
+    return "".join(r for r, _ in used), "".join(m for _, m in used)
+
+
+def _decoded(text: Column, encoding: str) -> Column:
+    return F.translate(text, *_ansi_signs()) if encoding == ANSI else text
+
+
+def _delimited(spark: SparkSession, path: str, sep: str, encoding: str) -> tuple[list[str], DataFrame]:
+    """The headers, and the lines as texts `_c0`, `_c1`, ..., with `_MALFORMED` set to the whole line
+    where it has more or fewer fields than there are headers.
+
+    Spark does not know windows-1252, which differs from ISO-8859-1 in 27 bytes; these are put right.
+    """
+    reader = spark.read.option("sep", sep).option("header", True).option("encoding", "ISO-8859-1" if encoding == ANSI else encoding)
+    found = reader.csv(path).columns
+    names = [f"_c{i}" for i in range(len(found))]
+    texts = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _MALFORMED]])
+    # All fields have to be parsed for their number to be known.
+    lines = reader.schema(texts).option("columnNameOfCorruptRecord", _MALFORMED).option("columnPruning", False).csv(path)
+    signs = dict(zip(*_ansi_signs(), strict=True)) if encoding == ANSI else {}
+    headers = ["".join(signs.get(c, c) for c in h) for h in _headers(found)]
+    return headers, lines.select(*[_decoded(F.col(n), encoding).alias(n) for n in texts.names])
+
+
+def malformed_lines(spark: SparkSession, path: str, sep: str = ";", encoding: str = ANSI) -> DataFrame:
+    """The lines (`line`) that `read_delimited` leaves out."""
+    _, lines = _delimited(spark, path, sep, encoding)
+    # Spark refuses a query that reads no other column; the second condition is never true.
+    found = F.col(_MALFORMED).isNotNull() | F.col("_c0").rlike("(?!)")
+    return lines.filter(found).select(F.col(_MALFORMED).alias("line"))
+
+
 def read_delimited(
     spark: SparkSession,
     path: str,
     columns: Mapping[str, str],
     schema: T.StructType,
     sep: str = ";",
-    encoding: str = "ISO-8859-1",
+    encoding: str = ANSI,
     date_format: str = "d/M/yyyy",
     rejected: Observation | None = None,
 ) -> DataFrame:
@@ -113,10 +151,12 @@ def read_delimited(
 
     `columns` maps headers to the schema's columns; the second column of a repeated header `X` is
     `X (2)`. Other columns are left out, and values that do not parse become null; `rejected` gets
-    the number of such values per column.
+    the number of such values per column. Lines with too many or too few fields are left out, since
+    their values may stand in the wrong columns; `malformed_lines` has them.
     """
-    raw = spark.read.option("sep", sep).option("header", True).option("encoding", encoding).csv(path)
-    raw = raw.toDF(*_headers(raw.columns)).select(*[F.col(f"`{h}`").alias(n) for h, n in columns.items()])
+    headers, lines = _delimited(spark, path, sep, encoding)
+    sound = lines.filter(F.col(_MALFORMED).isNull())
+    raw = sound.select(*[F.col(f"_c{headers.index(h)}").alias(n) for h, n in columns.items()])
 
     def parsed(field: T.StructField):
         if isinstance(field.dataType, T.DoubleType):

@@ -21,6 +21,7 @@ from ..operators.load import append_new
 from ..operators.rollup import finished, merge_states, rollup_states
 from ..operators.scd import latest_per_key
 from ..sources.readers import read_or_empty
+from ..sources.publish import finish
 from ..sources.writers import append_by_month, replace_partitions
 
 BATCH = "batch"
@@ -127,6 +128,7 @@ def stream_append(
 
     def each(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
+        finish(spark, path)
         months = months_of(batch, date_col)
         unkeyed = _unkeyed(keys)
         _write_months(batch.filter(unkeyed).withColumn(MONTH, yyyymm(date_col)), _unkeyed_path(path), number)

@@ -190,3 +190,44 @@ def test_vehicles_with_default_tariff(spark):
     premiums = spark.createDataFrame([(4, 1, 1, 1, 1, 1, 9.0, 50.0)], "CodRama bigint, Poliza bigint, Comp bigint, Cap bigint, Var bigint, Air bigint, Sa double, PrimaNeta double")
     got = reports.vehicles_with_premiums(chosen, premiums).collect()
     assert [(r.Poliza, r.NumTarifa) for r in got] == [(1, 11)]
+
+
+def _bands(spark, *data):
+    return spark.createDataFrame([(1, *d) for d in data], "k int, band string, lo double, hi double")
+
+
+def _held(df):
+    return sorted((r.v, r.band) for r in df.collect())
+
+
+def test_bands_of_any_width_and_without_ends(spark):
+    data = [("narrow", 10.0, 12.0), ("point", 5.0, 5.0), ("wide", 0.0, 9_999_999.0), ("huge", -1e300, 1e300), ("none", 9.0, 3.0),
+            ("up", 100.0, None), ("down", None, 6.0), ("all", None, None), ("inf", 1.0, float("inf"))]
+    values = [-5.0, 0.0, 5.0, 6.0, 11.5, 12.0, 12.5, 99.9, 100.0, 5e6, 9_999_999.0, 1e12, 1e301, None]
+    rows = spark.createDataFrame([(1, v) for v in values] + [(2, 5.0)], "k int, v double")
+    bands = _bands(spark, *data)
+    for open_ends in (False, True):
+
+        def holds(v, lo, hi, open_ends=open_ends):
+            if not open_ends and (lo is None or hi is None):
+                return False
+            return (lo is None or v >= lo) and (hi is None or v <= hi)
+
+        expected = sorted((v, b) for v in values if v is not None for b, lo, hi in data if holds(v, lo, hi))
+        assert _held(rates.rate_band_join(rows, bands, ["k"], "v", "lo", "hi", open_ends=open_ends)) == expected
+    assert _held(rates.rate_band_join(rows, bands.limit(0), ["k"], "v", "lo", "hi")) == []
+
+
+def test_a_band_has_few_bins_however_wide(spark):
+    """Bands up to 10 ** 15 wide: the join side with the bands has at most ten rows of each."""
+    r = random.Random(1)
+    data = [(str(i), lo, lo + 10.0 ** r.uniform(-2, 15)) for i in range(300) for lo in [r.uniform(-1e6, 1e6)]]
+    bands = _bands(spark, *data)
+    value = [r.choice([lo, hi, (lo + hi) / 2, hi + 1e-3]) for _, lo, hi in data]
+    rows = spark.createDataFrame([(1, v) for v in value], "k int, v double")
+    joined = rates.rate_band_join(rows, bands, ["k"], "v", "lo", "hi")
+    assert _held(joined) == sorted((v, b) for v in value for b, lo, hi in data if lo <= v <= hi)
+    levels = bands.select("lo", "hi", rates._band_level("lo", "hi", 10).alias("l"))
+    spans = levels.select((F.floor(F.col("hi") / (10 * F.pow(F.lit(8.0), "l"))) - F.floor(F.col("lo") / (10 * F.pow(F.lit(8.0), "l"))) + 1).alias("n"))
+    assert spans.agg(F.max("n")).first()[0] <= rates._BINS + 1
+    assert "CartesianProduct" not in joined._jdf.queryExecution().toString() and "NestedLoop" not in joined._jdf.queryExecution().toString()
