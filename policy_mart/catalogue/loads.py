@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +26,15 @@ from ..plans.mart import Mart
 from ..plans.reports import claim_payments_control
 from ..schemas import CLAIM_PAYMENTS, CLAIM_REPORTS, LIFE_PREMIUMS, MOTOR_PREMIUMS, OTHER_PREMIUMS
 from ..sources.readers import cast_to, malformed_lines, read_delimited
-from ..sources.writers import append_by_month, compact_fragmented, compact_months
+from ..sources.readers import query as sql_query
+from ..sources.writers import (
+    append_by_month,
+    compact_fragmented,
+    compact_months,
+    create_table,
+    insert_select,
+    write_report,
+)
 from ..workdir import work_dir
 from .registry import query, table
 from .standins import (
@@ -379,3 +388,52 @@ def ansi_file(spark, sf_dir):
     columns = {"Code": "code", "Name": "named", "Amount": "amount"}
     sound = read_delimited(spark, path, columns, T.StructType.fromDDL("code bigint, named string, amount double"))
     return sound.unionByName(malformed_lines(spark, path).withColumnRenamed("line", "malformed"), allowMissingColumns=True)
+
+
+@query(
+    "bound_parameters",
+    """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '1997-03-01' AND o_orderstatus = 'F'
+""",
+)
+def bound_parameters(spark, sf_dir):
+    """SQL over a registered table with a date and a text bound as values."""
+    view = f"orders_{uuid.uuid4().hex}"
+    _orders(spark, sf_dir).createTempView(view)
+    sql = f"SELECT o_orderkey, o_custkey, o_totalprice FROM {view} WHERE order_date >= :desde AND o_orderstatus = :estado"
+    return sql_query(spark, sql, desde=dt.date(1997, 3, 1), estado="F")
+
+
+@query(
+    "insert_select_table",
+    """
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus, CAST(o_orderdate AS DATE) AS order_date,
+  CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS yyyymm FROM orders
+""",
+)
+def insert_select_table(spark, sf_dir):
+    """A table created by its schema, twice, and filled by two inserts whose columns come in another order."""
+    name, path = f"orders_{uuid.uuid4().hex}", work_dir(spark, "registered")
+    orders = _orders(spark, sf_dir)
+    for _ in range(2):
+        create_table(spark, name, orders.schema, path, MONTH)
+    dated = orders.withColumn(MONTH, yyyymm("order_date"))
+    turned = dated.select(*reversed(dated.columns))
+    for part in (turned.filter("o_orderstatus = 'F'"), turned.filter("o_orderstatus <> 'F'")):
+        # By month, so that a task does not write a file for each.
+        insert_select(part.repartition(MONTH), name)
+    rows = spark.read.schema(spark.table(name).schema).parquet(path)
+    spark.sql(f"DROP TABLE {name}")  # the files stay
+    return rows
+
+
+@query(
+    "report_export",
+    "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier",
+)
+def report_export(spark, sf_dir):
+    """A report written as csv, in several parts with a header each, and read back."""
+    path = work_dir(spark, "report")
+    report = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    write_report(report.repartition(3, "s_suppkey"), path)
+    return spark.read.option("header", True).schema(report.schema).csv(path)

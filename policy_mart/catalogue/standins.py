@@ -305,7 +305,8 @@ def producers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as persons. Three neighbours share a tax id, four a document, some have unusable
-    ones, some are blocked, and some belong to the group of a person with a lower number."""
+    ones, some are blocked, and some belong to the group of a person with a lower number; every second
+    of these heads belongs to the group before its own."""
     c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
     third, fourth = [F.expr(f"c_custkey DIV {n}") for n in (3, 4)]
@@ -322,7 +323,7 @@ def raw_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 7 == 0, "0001-01-01").when(k % 9 == 0, "unknown").otherwise(born).alias("FechaNac"),
         (k % 3).cast("int").alias("Sexo"),
         F.when(k % 5 == 0, "S").otherwise("_").alias("Bloqueado"),
-        F.when(k % 17 == 0, F.expr("c_custkey DIV 102 * 102 + 1")).when(k % 19 == 0, F.lit(None)).otherwise(F.lit(0)).alias("Grupo"),
+        F.when(k % 204 == 102, k - 101).when(k % 17 == 0, F.expr("c_custkey DIV 102 * 102 + 1")).when(k % 19 == 0, F.lit(None)).otherwise(F.lit(0)).alias("Grupo"),
     )
 
 
@@ -335,7 +336,7 @@ raw_persons AS (
     CASE WHEN c_custkey % 7 = 0 OR c_custkey % 9 = 0 THEN NULL ELSE DATE '1960-01-01' + CAST(c_custkey % 15000 AS INTEGER) END AS FechaNac,
     CASE c_custkey % 3 WHEN 1 THEN 'M' WHEN 2 THEN 'F' END AS Sexo,
     CASE WHEN c_custkey % 5 = 0 THEN 'S' ELSE '_' END AS Bloqueado,
-    CASE WHEN c_custkey % 17 = 0 THEN c_custkey // 102 * 102 + 1 WHEN c_custkey % 19 = 0 THEN NULL ELSE 0 END AS Grupo0
+    CASE WHEN c_custkey % 204 = 102 THEN c_custkey - 101 WHEN c_custkey % 17 = 0 THEN c_custkey // 102 * 102 + 1 WHEN c_custkey % 19 = 0 THEN NULL ELSE 0 END AS Grupo0
   FROM customer
 ),
 persons AS (
