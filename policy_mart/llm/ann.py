@@ -18,7 +18,7 @@ from .neighbours import comparable, norms, unit_rows
 SHARD_ROWS = 4096
 QUERY_BLOCK = 2048
 
-INDEX = "shard int, ids binary, starts binary, vec binary, entry int, nodes array<binary>, offsets array<binary>, targets array<binary>"
+INDEX = "dim int, shard int, ids binary, starts binary, vec binary, entry int, nodes array<binary>, offsets array<binary>, targets array<binary>"
 
 
 class Graph:
@@ -134,15 +134,25 @@ class Graph:
         return [i for _, i in self.near(q, found, 0, max(width, k))[:k]]
 
 
+def sharded(vectors: DataFrame) -> DataFrame:
+    """(dim, shards, shard, id, vec): about SHARD_ROWS rows of one dimension go to a shard, by a hash of the id."""
+    rows = vectors.withColumn("dim", F.octet_length("vec"))
+    sizes = rows.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / SHARD_ROWS).cast("int").alias("shards"))
+    lot = F.pmod(F.xxhash64("id"), F.col("shards")).cast("int")
+    return rows.join(sizes, "dim").select("dim", "shards", lot.alias("shard"), "id", "vec")
+
+
 def build_index(vectors: DataFrame, kind: str, shards: int, links: int = 12, width: int = 64) -> DataFrame:
     """One row per shard: its distinct vectors, their ids, and their graph as flat neighbour arrays.
 
+    `vectors` has the shard of each row (`sharded`), of one dimension.
+
     Equal vectors are one node, whose ids lie in order from its place in `starts`. A shard holds the rows that a hash of the id gives it, about SHARD_ROWS; every row is indexed.
     """
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in runs(batches, ["shard"]):
-            shard = part.column("shard")[0].as_py()
+        for part in runs(batches, ["dim", "shard"]):
+            dim, shard = part.column("dim")[0].as_py(), part.column("shard")[0].as_py()
             order = np.argsort(part.column("id").to_numpy())
             part = part.take(pa.array(order))
             node_of: dict[bytes, int] = {}
@@ -154,6 +164,7 @@ def build_index(vectors: DataFrame, kind: str, shards: int, links: int = 12, wid
             nodes, offsets, targets = g.flat()
             yield pa.RecordBatch.from_pydict(
                 {
+                    "dim": pa.array([dim], pa.int32()),
                     "shard": pa.array([shard], pa.int32()),
                     "ids": pa.array([ids.tobytes()], pa.binary()),
                     "starts": pa.array([starts.astype(np.int64).tobytes()], pa.binary()),
@@ -165,30 +176,38 @@ def build_index(vectors: DataFrame, kind: str, shards: int, links: int = 12, wid
                 }
             )
 
-    sharded = vectors.select(F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"), "id", "vec")
-    return sharded.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(index, INDEX)
+    rows = vectors.select("dim", "shard", "id", "vec")
+    return rows.repartition(shards, "dim", "shard").sortWithinPartitions("dim", "shard").mapInArrow(index, INDEX)
 
 
-def search_index(index: DataFrame, queries: DataFrame, kind: str, shards: int, k: int, width: int = 96) -> DataFrame:
-    """(query_id, vec_id, score): each shard's k best others of each query (columns id, vec), the smaller id first among equals.
+def search_index(index: DataFrame, queries: DataFrame, kind: str, k: int, width: int = 96) -> DataFrame:
+    """(query_id, query_no, vec_id, score): each shard's k best others of each query (columns id, vec), the smaller id first among equals.
 
-    Queries travel in blocks, each block to every shard; a shard small next to the width is compared in full.
+    Queries travel in blocks of one dimension, each block to every shard of it; a shard small next to the width is
+    compared in full. `query_no` tells vectors of one key apart.
     """
     n = queries.count()
     blocks = max(1, ceil(n / QUERY_BLOCK))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in runs(batches, ["block"]):
+        for part in runs(batches, ["dim", "block"]):
             yield pa.RecordBatch.from_pydict(
                 {
+                    "dim": pa.array([part.column("dim")[0].as_py()], pa.int32()),
+                    "shards": pa.array([part.column("shards")[0].as_py()], pa.int32()),
+                    "q_nos": pa.array([part.column("no").to_numpy().tobytes()], pa.binary()),
                     "q_ids": pa.array([part.column("id").to_numpy().tobytes()], pa.binary()),
                     "q_vec": pa.array([b"".join(part.column("vec").to_pylist())], pa.binary()),
                 }
             )
 
-    blocked = queries.select(F.pmod(F.xxhash64("id", F.lit("q")), F.lit(blocks)).cast("int").alias("block"), "id", "vec")
-    blocked = blocked.repartition(blocks, "block").sortWithinPartitions("block").mapInArrow(gather, "q_ids binary, q_vec binary")
-    to_all = blocked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    lot = F.pmod(F.xxhash64("id", F.lit("q")), F.lit(blocks)).cast("int")
+    dealt = queries.select(F.octet_length("vec").alias("dim"), lot.alias("block"), "id", "vec", F.xxhash64("vec").alias("no"))
+    # A row per dimension.
+    dealt = dealt.join(index.groupBy("dim").agg((F.max("shard") + 1).alias("shards")), "dim")
+    blocked = dealt.repartition(blocks, "dim", "block").sortWithinPartitions("dim", "block")
+    blocked = blocked.mapInArrow(gather, "dim int, shards int, q_nos binary, q_ids binary, q_vec binary")
+    to_all = blocked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,7 +220,9 @@ def search_index(index: DataFrame, queries: DataFrame, kind: str, shards: int, k
                 nx, nq = norms(x), norms(q)
                 g = Graph.load(x / nx[:, None], r["entry"], r["nodes"], r["offsets"], r["targets"])
                 unit = q / nq[:, None]
+                nos = np.frombuffer(r["q_nos"], np.int64)
                 found_q, found_id, found_score = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+                found_no = [np.zeros(0, np.int64)]
                 for j in range(len(q_ids)):
                     near = np.arange(len(x)) if len(x) <= width else np.array(g.search(unit[j], max(width, k + 1), width))
                     score = (q[j] * x[near]).sum(axis=1) / (nq[j] * nx[near])
@@ -212,16 +233,18 @@ def search_index(index: DataFrame, queries: DataFrame, kind: str, shards: int, k
                     score, own = score[own != q_ids[j]], own[own != q_ids[j]]
                     first = np.lexsort((own, -score))[:k]
                     found_q.append(np.full(len(first), q_ids[j]))
+                    found_no.append(np.full(len(first), nos[j]))
                     found_id.append(own[first])
                     found_score.append(score[first])
                 a, b, score = np.concatenate(found_q), np.concatenate(found_id), np.concatenate(found_score)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(a), pa.array(b), pa.array(score)], names=["query_id", "vec_id", "score"]
+                    [pa.array(a), pa.array(np.concatenate(found_no)), pa.array(b), pa.array(score)],
+                    names=["query_id", "query_no", "vec_id", "score"],
                 )
 
-    pairs = to_all.repartition("shard").join(index, "shard")
-    return pairs.select("ids", "starts", "vec", "entry", "nodes", "offsets", "targets", "q_ids", "q_vec").mapInArrow(
-        search, "query_id long, vec_id long, score double"
+    pairs = to_all.repartition("dim", "shard").join(index, ["dim", "shard"])
+    return pairs.select("ids", "starts", "vec", "entry", "nodes", "offsets", "targets", "q_ids", "q_vec", "q_nos").mapInArrow(
+        search, "query_id long, query_no long, vec_id long, score double"
     )
 
 
@@ -238,9 +261,11 @@ def nearest(
 
     Queries are `queries` (same columns), or every row whose key `every` divides. Nearness is the cosine in double
     precision of the original vectors; ties go to the smaller key. A query with fewer candidates
-    gets all of them. Vectors that are null, zero, or hold null or non-finite components take no part;
-    see `comparable`, also for repeated keys and other dimensions. An empty table gives an empty table. The index is written to the
-    shared folder, a row per shard, and read from there.
+    gets all of them. Vectors that are null, zero, or hold null or non-finite components take no part, and
+    vectors of other dimensions than the query's are no candidates. Rows that agree in key and vector are one; differing
+    vectors of one key are all candidates, but not of a query of that key, and each is a query of its own. Columns other
+    than key and vector are not read, whatever their names. An empty table gives an empty table. The index
+    is written to the shared folder, a row per shard, and read from there.
     """
     shelf = Shelf(embeddings.sparkSession, "small-worlds")
     sound, kind = comparable(embeddings, key, vector)
@@ -251,7 +276,7 @@ def nearest(
         if asked_kind != kind:
             raise ValueError("queries and vectors differ in their number format")
     shards = max(1, ceil(vectors.count() / SHARD_ROWS))
-    index = shelf.put(build_index(vectors, kind, shards))
-    found = search_index(index, asked, kind, shards, k, width)
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    index = shelf.put(build_index(sharded(vectors), kind, shards))
+    found = search_index(index, asked, kind, k, width)
+    place = F.row_number().over(Window.partitionBy("query_id", "query_no").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

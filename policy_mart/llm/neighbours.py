@@ -7,6 +7,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,30 +24,46 @@ TABLES = 8
 STRATA = 6
 
 
-def comparable(vectors: DataFrame, key: str, vector: str) -> tuple[DataFrame, str]:
-    """(id, vec), one row per key, and the number format of vec's bytes: vectors that are not null, not
-    zero and free of null and non-finite components.
-
-    Rows of one key are one vector, the first by its bytes. Only vectors of equal dimension can be
-    compared: those of another dimension than the most frequent one take no part.
-    """
+def packed(vectors: DataFrame, key: str, vector: str) -> tuple[DataFrame, str]:
+    """(key, vec) of every row, and the number format of vec's bytes. vec is null where the vector is null, zero, empty or holds
+    null or non-finite components: such vectors can be compared with nothing."""
     v = name(vector)
     kind = "<f4" if vectors.schema[vector].dataType.simpleString() == "array<float>" else "<f8"
     sound = F.size(v) > 0
     sound = sound & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    nonzero = F.exists(v, lambda x: x != 0)
-    rows = vectors.filter(v.isNotNull() & name(key).isNotNull()).filter(F.coalesce(sound & nonzero, F.lit(False)))
-    usual = rows.groupBy(F.size(v).alias("d")).count().orderBy(F.desc("count"), "d").first()
-    rows = rows.filter(F.size(v) == (usual["d"] if usual else 0))
+    sound = F.coalesce(sound & F.exists(v, lambda x: x != 0), F.lit(False))
 
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cells = [np.asarray(x, kind).tobytes() for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cells, pa.binary())], names=["id", "vec"])
+            cells = [None if x is None else np.asarray(x, kind).tobytes() for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cells, pa.binary())], names=["key", "vec"])
+
+    values = F.when(sound, v if kind == "<f4" else v.cast("array<double>"))
+    return vectors.select(name(key).cast("long"), values).mapInArrow(pack, "key long, vec binary"), kind
 
-    values = v if kind == "<f4" else v.cast("array<double>")
-    cells = rows.select(name(key).cast("long"), values).mapInArrow(packed, "id long, vec binary")
-    return cells.groupBy("id").agg(F.min("vec").alias("vec")), kind
+
+def comparable(vectors: DataFrame, key: str, vector: str) -> tuple[DataFrame, str]:
+    """(id, vec) of the rows with a key whose vectors can be compared, each once, and the number format of vec's bytes.
+
+    Vectors of one key that differ all stay. Vectors of different dimensions have no cosine with each other.
+    """
+    rows, kind = packed(vectors, key, vector)
+    return rows.filter("key IS NOT NULL AND vec IS NOT NULL").select(F.col("key").alias("id"), "vec").distinct(), kind
+
+
+def same_length(rows: pa.RecordBatch | pa.Table, column: str) -> Iterator[pa.RecordBatch | pa.Table]:
+    """The rows by the length of their vectors."""
+    if not rows.num_rows:
+        return
+    length = pc.binary_length(rows.column(column)).to_numpy(zero_copy_only=False) if isinstance(rows, pa.RecordBatch) else (
+        pc.binary_length(rows.column(column)).to_numpy()
+    )
+    found = np.unique(length)
+    if len(found) == 1:
+        yield rows
+        return
+    for n in found:
+        yield rows.take(pa.array(np.flatnonzero(length == n)))
 
 
 def rows_of(column: pa.Array, kind: str) -> np.ndarray:
@@ -75,7 +92,7 @@ def _local_join(members: DataFrame, k: int, threshold: float, kind: str) -> Data
     """
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in runs(batches, ["group"]):
+        for group in (part for whole in runs(batches, ["group"]) for part in same_length(whole, "vec")):
             n = group.num_rows
             if n < 2:
                 continue
@@ -130,18 +147,20 @@ def _spanning(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _by_planes(vectors: DataFrame, tables: int, bits: int, seed: int, kind: str) -> DataFrame:
-    """(table, code, id, vec, root): on which side of `bits` random planes through 0 a vector lies, for each table."""
+    """(table, code, id, vec, root): on which side of `bits` random planes through 0 a vector lies, for each table.
+
+    Vectors of different dimensions have different codes.
+    """
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        planes: dict[int, np.ndarray] = {}
+        for batch in (part for whole in batches for part in same_length(whole, "vec")):
             x = unit_rows(batch.column(1), kind)
-            if planes is None:
-                planes = np.random.default_rng(seed).standard_normal((x.shape[1], tables * bits))
-            side = (x @ planes > 0).reshape(len(x), tables, bits)
-            codes = side @ (1 << np.arange(bits, dtype=np.int64))
+            d = x.shape[1]
+            if d not in planes:
+                planes = {d: np.random.default_rng(seed).standard_normal((d, tables * bits))}
+            side = (x @ planes[d] > 0).reshape(len(x), tables, bits)
+            codes = side @ (1 << np.arange(bits, dtype=np.int64)) + (d << 40)
             rows = pa.array(np.repeat(np.arange(len(x)), tables))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.tile(np.arange(tables, dtype=np.int64), len(x))), pa.array(codes.ravel()), *[batch.column(i).take(rows) for i in range(3)]],
@@ -258,12 +277,11 @@ def _full_links(members: DataFrame, shelf: Shelf, threshold: float, kind: str) -
     half = np.cos(np.arccos(threshold) / 2) + 1e-9
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                near = (unit_rows(batch.column(2), kind) * unit_rows(batch.column(3), kind)).sum(axis=1) >= half
-                yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(i) for i in range(3)], pa.array(near)], names=["root", "id", "vec", "near"]
-                )
+        for batch in (part for whole in batches for part in same_length(whole, "vec")):
+            near = (unit_rows(batch.column(2), kind) * unit_rows(batch.column(3), kind)).sum(axis=1) >= half
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(i) for i in range(3)], pa.array(near)], names=["root", "id", "vec", "near"]
+            )
 
     measured = members.join(centre, "root").select("root", "id", "vec", "centre")
     measured = shelf.put(measured.mapInArrow(measure, "root long, id long, vec binary, near boolean"))
@@ -283,13 +301,14 @@ def _full_links(members: DataFrame, shelf: Shelf, threshold: float, kind: str) -
         F.sequence(F.lit(0), (far_blocks + near_blocks - 1).cast("int"))
     )
     meeting = open_rows.withColumn("partner", F.explode(partners)).select(
-        F.xxhash64("root", F.least("block", "partner"), F.greatest("block", "partner")).alias("group"), "id", "vec", "block", "near"
+        "root", F.least("block", "partner").alias("lower"), F.greatest("block", "partner").alias("upper"), "id", "vec", "block"
     )
+    group = ["root", "lower", "upper"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in runs(batches, ["group"]):
-            ids, block = group.column("id").to_numpy(), group.column("block").to_numpy()
-            x = unit_rows(group.column("vec").combine_chunks(), kind)
+        for part in runs(batches, group):
+            ids, block = part.column("id").to_numpy(), part.column("block").to_numpy()
+            x = unit_rows(part.column("vec").combine_chunks(), kind)
             linked = x @ x.T >= threshold
             np.fill_diagonal(linked, False)
             if block.min() != block.max():  # two blocks meet here; each meets itself elsewhere
@@ -298,12 +317,7 @@ def _full_links(members: DataFrame, shelf: Shelf, threshold: float, kind: str) -
                 [pa.array(ids), pa.array(linked.sum(axis=1).astype(np.int64))], names=["id", "n"]
             )
 
-    counted = (
-        meeting.select("group", "id", "vec", "block")
-        .repartition("group")
-        .sortWithinPartitions("group")
-        .mapInArrow(count, "id long, n long")
-    )
+    counted = meeting.repartition(*group).sortWithinPartitions(*group).mapInArrow(count, "id long, n long")
     return sure.unionByName(counted).groupBy("id").agg(F.sum("n").alias("n_links"))
 
 
@@ -325,14 +339,17 @@ def audit_recall(vectors: DataFrame, kind: str, links: DataFrame, threshold: flo
     parts = [layered.filter(F.col("layer") == i).orderBy(F.xxhash64("id", F.lit("audit"))).limit(each) for i in sizes]
     queries = reduce(DataFrame.unionByName, parts).select("id", "vec", "layer").collect()
     ids = np.array([q["id"] for q in queries])
-    x = unit_rows(pa.array([bytes(q["vec"]) for q in queries], pa.binary()), kind)
+    length = np.array([len(q["vec"]) for q in queries])
+    asked_by = {int(n): np.flatnonzero(length == n) for n in np.unique(length)}
+    x = {n: unit_rows(pa.array([bytes(queries[i]["vec"]) for i in at], pa.binary()), kind) for n, at in asked_by.items()}
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(ids), np.int64)
-        for batch in batches:
-            if batch.num_rows:
-                near = unit_rows(batch.column(1), kind) @ x.T >= threshold
-                total += (near & (batch.column(0).to_numpy()[:, None] != ids[None, :])).sum(axis=0)
+        for batch in (part for whole in batches for part in same_length(whole, "vec")):
+            n = len(batch.column(1)[0].as_py())
+            if n in x:
+                near = unit_rows(batch.column(1), kind) @ x[n].T >= threshold
+                total[asked_by[n]] += (near & (batch.column(0).to_numpy()[:, None] != ids[asked_by[n]][None, :])).sum(axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], names=["id", "n"])
 
     true = vectors.select("id", "vec").mapInArrow(compare, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
@@ -368,13 +385,20 @@ def near_vectors(
     `recall`, the descent goes on with lists twice as long from twice as many other planes, up to four times in
     all, and then fails: a result below `recall` is not given.
 
-    Vectors that are null, zero, or hold null or non-finite components link with nothing (see
-    `comparable`, also for repeated keys). Equal vectors are linked like any others. Rows with a null
-    key come back with no link and a null component. An empty table gives an empty table.
+    Vectors that are null, zero, or hold null or non-finite components link with nothing, nor do those of
+    different dimensions with each other. Equal vectors are linked like any others. Rows that agree in key and
+    vector are one vector, and each gives its result; differing vectors of one key are vectors of their own.
+    Rows with a null key come back with no link and a null component. Columns other than key and vector
+    are not read, whatever their names. An empty table gives an empty table.
     """
     shelf = Shelf(embeddings.sparkSession, "nn-descent")
-    sound, kind = comparable(embeddings, key, vector)
-    vectors = shelf.put(sound.withColumn("root", F.col("id")))
+    rows, kind = packed(embeddings, key, vector)
+    rows = shelf.put(rows)
+    sound = shelf.put(rows.filter("key IS NOT NULL AND vec IS NOT NULL").distinct())
+    # The key numbers a vector, unless it has several.
+    repeated = not sound.groupBy("key").count().filter("count > 1").isEmpty()
+    number = F.monotonically_increasing_id() if repeated else F.col("key")
+    vectors = shelf.put(sound.withColumn("id", number).withColumn("root", F.col("id")))
     known: list[DataFrame] = []
     for attempt in range(4):
         found, graph = descend(vectors, kind, shelf, threshold, k << attempt, rounds, settled, attempt, tables=TABLES << attempt)
@@ -386,12 +410,16 @@ def near_vectors(
             break
     else:
         raise RuntimeError(f"near_vectors: recall {reached:.4f} after {attempt + 1} attempts, below {recall}")
-    ids = embeddings.select(name(key).alias(key))
-    out = ids.join(links.select(F.col("id").alias("_llm_id"), "n_links", "root"), name(key) == F.col("_llm_id"), "left")
-    component = F.coalesce("root", name(key))
-    return out.select(
-        name(key).cast("long").alias(key),
-        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
-        component.cast("long").alias("component_id"),
-        (name(key) == component).alias("kept"),
+    linked = links.join(vectors.select("id", F.col("key").alias("own"), F.col("vec").alias("own_vec")), "id")
+    least = linked.groupBy("root").agg(F.min("own").alias("component"))
+    found = linked.join(least, "root").select("own", "own_vec", "n_links", "component")
+    out = rows.join(found, (F.col("key") == F.col("own")) & (F.col("vec") == F.col("own_vec")), "left")
+    component = F.coalesce("component", "key")
+    return shelf.last(
+        out.select(
+            F.col("key").alias(key),
+            F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+            component.alias("component_id"),
+            (F.col("key") == component).alias("kept"),
+        )
     )

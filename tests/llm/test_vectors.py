@@ -166,3 +166,55 @@ def test_ties_beyond_the_width(spark):
     for q in range(25, 400, 50):
         mine = sorted((r["rank"], r["vec_id"]) for r in found if r["query_id"] == q)
         assert mine == [(1, 1), (2, 3), (3, 5), (4, 7), (5, 9)]
+
+
+def rows_by_hand(rows, threshold=0.95):
+    """(key, n_links, component) of every row: each different (key, vector) is a vector, dimensions apart."""
+    nodes = list(dict.fromkeys((i, tuple(v)) for i, v in rows))
+    unit = [np.array(v) / np.linalg.norm(v) for _, v in nodes]
+    near = [[a != b and len(x) == len(y) and x @ y >= threshold for b, y in enumerate(unit)] for a, x in enumerate(unit)]
+    root = list(range(len(nodes)))
+    for _ in nodes:
+        root = [min([root[a], *(root[b] for b in range(len(nodes)) if near[a][b])]) for a in range(len(nodes))]
+    least = {r: min(nodes[a][0] for a in range(len(nodes)) if root[a] == r) for r in root}
+    found = {n: (sum(near[a]), least[root[a]]) for a, n in enumerate(nodes)}
+    return sorted((i, *found[i, tuple(v)]) for i, v in rows)
+
+
+MIXED = [
+    *[(i, [1.0, 0.001 * i, 0.0]) for i in range(6)],
+    *[(10 + i, [1.0, 0.002 * i]) for i in range(3)],  # parallel, of another dimension
+    (20, [0.0, 1.0]),
+    (1, [0.0, 0.0, 1.0]),  # another vector of key 1
+    (30, [0.0, 0.0, 2.0]),
+    (40, [1.0, 0.0]),
+    (40, [0.0, 0.0, 1.0]),
+    (40, [0.0, 0.0, 1.0]),
+    (50, [5.0]),
+    (51, [7.0]),
+]
+
+
+def test_links_of_all_dimensions_and_of_every_vector_of_a_key(spark):
+    got = neighbours.near_vectors(frame(spark, MIXED)).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == rows_by_hand(MIXED)
+    only = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.0])]
+    got = neighbours.near_vectors(frame(spark, only)).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == [(1, 0, 1), (1, 1, 1), (2, 1, 1)]
+
+
+def test_an_unsound_vector_gets_no_link_from_its_keys_other_vector(spark):
+    got = neighbours.near_vectors(frame(spark, [(1, [1.0, 0.0]), (1, None), (2, [1.0, 0.0])])).collect()
+    assert sorted((r["vec_id"], r["n_links"]) for r in got) == [(1, 0), (1, 1), (2, 1)]
+
+
+def test_search_in_all_dimensions_and_over_every_vector_of_a_key(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SHARD_ROWS", 3)
+    found = ann.nearest(frame(spark, MIXED), every=10).collect()
+    nodes = list(dict.fromkeys((i, tuple(v)) for i, v in MIXED))
+    expected = []
+    for i, v in nodes:
+        if i % 10 == 0:
+            others = [(-float(np.dot(v, w) / np.linalg.norm(v) / np.linalg.norm(w)), j) for j, w in nodes if j != i and len(w) == len(v)]
+            expected += [(i, n, j, round(-s, 9)) for n, (s, j) in enumerate(sorted((round(s, 12), j) for s, j in others)[:5], 1)]
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], round(r["score"], 9)) for r in found) == sorted(expected)
