@@ -1,8 +1,6 @@
 """What the driver's entry takes from this subpackage."""
 
-import corpus_pipeline
-
 from . import oracles, queries
 
-QUERIES = queries.QUERIES | {"pipeline": corpus_pipeline.run}
-ORACLES = oracles.ORACLES | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+QUERIES = queries.QUERIES
+ORACLES = oracles.ORACLES

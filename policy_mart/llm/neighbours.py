@@ -52,17 +52,18 @@ def comparable(vectors: DataFrame, key: str, vector: str) -> tuple[DataFrame, st
 
 
 def same_length(rows: pa.RecordBatch | pa.Table, column: str) -> Iterator[pa.RecordBatch | pa.Table]:
-    """The rows by the length of their vectors."""
-    if not rows.num_rows:
+    """The rows by the length of their vectors, most often one."""
+    if rows.num_rows < 2:
+        if rows.num_rows:
+            yield rows
         return
-    length = pc.binary_length(rows.column(column)).to_numpy(zero_copy_only=False) if isinstance(rows, pa.RecordBatch) else (
-        pc.binary_length(rows.column(column)).to_numpy()
-    )
-    found = np.unique(length)
-    if len(found) == 1:
+    length = pc.binary_length(rows.column(column))
+    ends = pc.min_max(length)
+    if ends["min"].as_py() == ends["max"].as_py():
         yield rows
         return
-    for n in found:
+    length = np.asarray(length)
+    for n in np.unique(length):
         yield rows.take(pa.array(np.flatnonzero(length == n)))
 
 
