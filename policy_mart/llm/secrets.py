@@ -64,13 +64,64 @@ def _zipped(text: Column, pattern: str) -> Column:
     return F.arrays_zip(F.split(text, pattern, -1).alias("piece"), hits.alias("hit"))
 
 
+#: Rows that one fold gathers.
+PIECE = 64
+
+
+def _with(value: Column, body) -> Column:
+    """`body` of a value that is computed once, however often the body reads it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _gathered(rows: Column, start: dict[str, Column], step, item: str) -> Column:
+    """The non-null items of a fold over `rows`, in time proportional to them.
+
+    `start` holds the state by name, `step(state, row)` gives its next columns by name and the item.
+    A fold copies its state in each step, so no state may hold all items. One fold finds the state before
+    each piece of `PIECE` rows, and then each piece is folded by itself.
+    """
+    none = F.array().cast(f"array<{item}>")
+
+    def state(columns: dict[str, Column], *more: Column) -> Column:
+        return F.struct(*[column.alias(key) for key, column in columns.items()], *more)
+
+    def numbers(known, piece):
+        return F.sequence(piece * PIECE, F.least((piece + 1) * PIECE, F.size(known)) - 1)
+
+    def whole(known):
+        pieces = F.sequence(F.lit(0), F.floor((F.size(known) - 1) / PIECE).cast("int"))
+
+        def past(before, piece):
+            after = F.aggregate(numbers(known, piece), before["now"], lambda s, i: state(step(s, F.get(known, i))[0]))
+            return F.struct(after.alias("now"), F.concat(before["seen"], F.array(before["now"])).alias("seen"))
+
+        zero = state(start)
+        nothing = F.filter(F.array(zero), lambda s: F.lit(False))
+        befores = F.aggregate(pieces, F.struct(zero.alias("now"), nothing.alias("seen")), past, lambda s: s["seen"])
+
+        def put(s, i):
+            after, new = step(s, F.get(known, i))
+            items = _with(new, lambda n: F.when(n.isNull(), s["items"]).otherwise(F.concat(s["items"], F.array(n))))
+            return state(after, items.alias("items"))
+
+        def of_piece(before, piece):
+            first = state({key: before[key] for key in start}, none.alias("items"))
+            return F.aggregate(numbers(known, piece), first, put, lambda s: s["items"])
+
+        return F.flatten(F.transform(befores, of_piece))
+
+    return _with(rows, lambda known: F.when(F.size(known) > 0, whole(known)).otherwise(none))
+
+
+SPAN = "struct<first:int,kind:int,until:int,hit:string>"
+
+
 def _spans(text: Column, pattern: str, kind: int, guard: Column, passes) -> Column:
-    """Spans (start, kind, end, text) of the matches that pass, in code points.
+    """Spans (first, kind, until, hit) of the matches that pass, in code points.
 
     Text between and inside matches adds up to the positions, so one fold over the matches gives
     all of them, and a text without `guard` is not scanned.
     """
-    empty = F.array().cast("array<struct<first:int,kind:int,until:int,hit:string>>")
 
     def step(state, pair):
         first = state["at"] + F.length(pair["piece"])
@@ -78,12 +129,39 @@ def _spans(text: Column, pattern: str, kind: int, guard: Column, passes) -> Colu
         span = F.struct(
             first.alias("first"), F.lit(kind).alias("kind"), until.alias("until"), pair["hit"].alias("hit")
         )
-        found = F.when(pair["hit"].isNotNull() & passes(pair["hit"]), F.concat(state["found"], F.array(span)))
-        return F.struct(until.alias("at"), found.otherwise(state["found"]).alias("found"))
+        return {"at": until}, F.when(pair["hit"].isNotNull(), span)
+
+    found = _gathered(_zipped(text, pattern), {"at": F.lit(0)}, step, SPAN)
+    empty = F.array().cast(f"array<{SPAN}>")
+    return F.when(guard, F.filter(found, lambda s: passes(s["hit"]))).otherwise(empty)
+
 
-    start = F.struct(F.lit(0).alias("at"), empty.alias("found"))
-    pairs = _zipped(text, pattern)
-    return F.when(guard, F.aggregate(pairs, start, step, lambda s: s["found"])).otherwise(empty)
+def _uncovered(covers: Column, spans: Column, kinds: int) -> Column:
+    """The spans that lie within none of `covers` and within no span of a smaller kind (from 3 on) that does not either.
+
+    A sweep by start: a span lies within an earlier one exactly if some earlier one ends no sooner.
+    At one start, covers come first and then smaller kinds, so the furthest end of each is all the state.
+    """
+    fields = [f"end{kind}" for kind in range(2, 3 + kinds)]
+
+    def step(state, span):
+        rank = F.greatest(span["kind"], F.lit(2))
+        inside = F.lit(False)
+        for kind, field in enumerate(fields, start=2):
+            inside = inside | ((F.lit(kind) < rank) & (state[field] >= span["until"]))
+        is_cover = span["kind"] < 0
+        seen = is_cover | (state["end2"] < span["until"])
+        after = {
+            field: F.when((rank == kind) & seen, F.greatest(state[field], span["until"])).otherwise(state[field])
+            for kind, field in enumerate(fields, start=2)
+        }
+        return after, F.when(~is_cover & ~inside, span)
+
+    marked = F.transform(
+        covers,
+        lambda s: F.struct(s["first"].alias("first"), F.lit(-1).alias("kind"), s["until"].alias("until"), F.lit("").alias("hit")),
+    )
+    return _gathered(F.array_sort(F.concat(marked, spans)), {field: F.lit(-1) for field in fields}, step, SPAN)
 
 
 def window_entropy(candidate: Column, cls: CharClass) -> Column:
@@ -108,14 +186,16 @@ def window_entropy(candidate: Column, cls: CharClass) -> Column:
         into, out, counts = pair["into"], pair["out"], state["counts"]
         gains = F.element_at(counts, into)
         s = state["s"] + term(gains + 1) - term(gains)
-        counts1 = F.transform(counts, lambda c, i: F.when(i + 1 == into, c + 1).otherwise(c))
-        loses = F.when(out > 0, F.element_at(counts1, F.greatest(out, F.lit(1)))).otherwise(F.lit(0))
-        s = s + F.when(out > 0, term(loses - 1) - term(loses)).otherwise(F.lit(0.0))
-        counts2 = F.transform(counts1, lambda c, i: F.when(i + 1 == out, c - 1).otherwise(c))
+        # One pass over the counts takes in the one and puts out the other.
+        counts1 = F.transform(
+            counts, lambda c, i: c + F.when(i + 1 == into, 1).otherwise(0) - F.when(i + 1 == out, 1).otherwise(0)
+        )
+        before = F.element_at(counts, F.greatest(out, F.lit(1))) + F.when(out == into, 1).otherwise(0)
+        s = s + F.when(out > 0, term(before - 1) - term(before)).otherwise(F.lit(0.0))
         seen = state["seen"] + 1
         bits = F.when(seen >= w, F.lit(log2(w)) - s / w).otherwise(F.lit(0.0))
         return F.struct(
-            F.when(out > 0, counts2).otherwise(counts1).alias("counts"),
+            counts1.alias("counts"),
             s.alias("s"),
             seen.alias("seen"),
             F.greatest(state["best"], bits).alias("best"),
@@ -153,11 +233,6 @@ def _allowed(hit: Column, patterns: Sequence[str]) -> Column:
     return found
 
 
-def _outside(spans: str):
-    """A test that a span lies within none of `spans`."""
-    return lambda s: ~F.exists(spans, lambda o: (o["first"] <= s["first"]) & (s["until"] <= o["until"]))
-
-
 def scan_secrets(
     docs: DataFrame,
     text: str = "text",
@@ -172,8 +247,10 @@ def scan_secrets(
     `until` is exclusive. Base kinds are leftmost and do not overlap within a kind, and the
     allow-list does not touch them.
 
-    Map-only: each text is scanned whole in its own row. Null and empty texts have no spans. The
-    output column replaces an input column of that name.
+    Map-only: each text is scanned whole in its own row, in time proportional to its length but for the
+    sort of its spans. Null and empty texts have no spans, an empty table gives an empty table, and repeated
+    rows get the same spans. Spans that tie in start and kind are one span. The output column replaces an
+    input column of that name, and columns of other names stay as they are.
     """
     rest = others(docs, "secrets")
     t = F.coalesce(name(text), F.lit(""))
@@ -192,22 +269,17 @@ def scan_secrets(
     news = []
     for kind, cls in enumerate(classes, start=3):
         run = f"[{cls.chars}]{{{cls.least},}}"
-        near = f"(?=[{cls.chars}]*[0-9]){run}"
+        # Held against starts of runs only: from each character, a long run without a digit would be read to its end.
+        near = f"(?<![{cls.chars}])(?=[{cls.chars}]*[0-9]){run}"
         frame = frame.withColumn(f"_llm_c{kind}", _spans(t, run, kind, t.rlike(near), _random(cls)))
         news.append(F.col(f"_llm_c{kind}"))
     frame = frame.withColumn("_llm_new", F.concat(*news)).drop(*[f"_llm_c{k}" for k in range(3, 3 + len(classes))])
     is_allowed = lambda hit: _allowed(hit, allowed)
     frame = frame.withColumn("_llm_allowed", _spans(t, WHOLE, 0, F.size("_llm_new") > 0, is_allowed))
-    for known in ("_llm_allowed", "_llm_found"):
-        frame = frame.withColumn("_llm_new", F.filter("_llm_new", _outside(known)))
     # A string of two classes is listed for the first.
-    fresh = F.filter(
-        "_llm_new",
-        lambda s: ~F.exists(
-            "_llm_new",
-            lambda o: (o["kind"] < s["kind"]) & (o["first"] <= s["first"]) & (s["until"] <= o["until"]),
-        ),
-    )
+    fresh = F.when(
+        F.size("_llm_new") > 0, _uncovered(F.concat("_llm_allowed", "_llm_found"), F.col("_llm_new"), len(classes))
+    ).otherwise(F.col("_llm_new"))
     frame = frame.withColumn("_llm_found", F.concat("_llm_found", fresh))
     return frame.select(*rest, F.array_sort("_llm_found").alias("secrets"))
 

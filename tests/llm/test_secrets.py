@@ -1,6 +1,9 @@
 import math
+import random
 import re
 from collections import Counter
+from hashlib import md5
+from time import perf_counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,6 +98,42 @@ def test_many_spans_in_one_text(spark):
     assert spans(spark, [text]) == [base_by_hand(text)]
 
 
+def key_dump(lines):
+    """Lines that each hold an assignment and a token of mixed characters."""
+    digest = lambda i, salt: md5(f"{salt}{i}".encode()).hexdigest()
+    return "\n".join(f"token={digest(i, 'a')[:30]} x {digest(i, 'b')[:12].upper()}z{digest(i, 'c')[:12]}" for i in range(lines))
+
+
+def test_many_spans_of_several_kinds_in_one_text(spark):
+    texts = [key_dump(n) for n in (1, secrets.PIECE - 1, secrets.PIECE, secrets.PIECE + 1, 2 * secrets.PIECE + 1)]
+    assert spans(spark, texts) == [all_by_hand(t) for t in texts]
+
+
+def test_time_is_in_proportion_to_the_text(spark):
+    """A key dump of eight times the lines takes far less than the 64-fold time of pairs of spans."""
+
+    def seconds(lines):
+        began = perf_counter()
+        assert len(spans(spark, [key_dump(lines)])[0]) >= lines
+        return perf_counter() - began
+
+    seconds(50)  # warm-up
+    assert seconds(4000) < 24 * max(seconds(500), 0.5)
+
+
+def test_long_runs_without_digits(spark):
+    text = "ACGT" * 100_000 + " token=abcdef " + "qwerty" * 50_000
+    assert spans(spark, [text]) == [base_by_hand(text)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_overlapping_strings_at_random(spark, seed):
+    r = random.Random(seed)
+    parts = ["token=", "AKIA", "0f" * 13, "sample", "Zx9Kq2LmV8Tr4Wn6Yp1B", "c3Dd5Ff7Gh0J", "/", "+", "-", " ", "ab1", "=", "é", "sha256-"]
+    texts = ["".join(r.choice(parts) for _ in range(60)) for _ in range(150)]
+    assert spans(spark, texts) == [all_by_hand(t) for t in texts]
+
+
 def test_messy_rows_stay_native(spark):
     got = secrets.scan_secrets(messy(spark))
     assert got.count() == messy(spark).count() and got.filter("secrets is null").isEmpty()
