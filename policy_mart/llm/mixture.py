@@ -57,6 +57,12 @@ def source_targets(
     )
 
 
+def random_offset(group: Column, seed: int) -> Column:
+    """A source's offset in [0, 1): 32 bits of a digest of the seed and the source, so that reruns agree."""
+    drawn = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), group)), 1, 8)
+    return F.conv(drawn, 16, 10).cast("double") / F.lit(float(1 << 32))
+
+
 def mix_sources(
     docs: DataFrame,
     text: str = "text",
@@ -64,13 +70,13 @@ def mix_sources(
     key: str = "doc_id",
     weights: Sequence[float] = (1, 2, 3),
     most: float = 3.0,
-    offset: float = 0.5,
+    seed: int = 0,
 ) -> DataFrame:
     """`docs` with `size`, `source_size`, `target`, `copies` and `taken`.
 
     A source's documents expect `target / source_size` copies each. Prefix sums of the expected
-    copies, moved by one random `offset` in [0, 1), give a document one copy for each integer they
-    cross on it. Documents stand in the order of their size and then of their key's digest:
+    copies, moved by one random offset in [0, 1) for the source, give a document one copy for each integer
+    they cross on it; another `seed` draws other offsets, so over seeds each document gets what it expects. Documents stand in the order of their size and then of their key's digest:
     neighbours have like sizes, so the words taken stay near the target, and the order is the same
     in every run. A source is cut into sizes and digest ranges; no task holds a source or all
     copies of a text, and only counts are summed over the sizes of a size class and the classes
@@ -107,7 +113,8 @@ def mix_sources(
     order = ["_llm_digest", "_llm_key", "_llm_text"]
     places = ranked(sized, ["_llm_group", "_llm_class", "size", "_llm_range"], order, "_llm_rank")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    crossed = F.floor((F.col("_llm_rank") + 1) * rate + F.lit(float(offset))) - F.floor(F.col("_llm_rank") * rate + F.lit(float(offset)))
+    offset = random_offset(F.col("_llm_group"), seed)
+    crossed = F.floor((F.col("_llm_rank") + 1) * rate + offset) - F.floor(F.col("_llm_rank") * rate + offset)
     out = places.join(targets, "_llm_group").withColumn("copies", crossed.cast("long"))
     return out.select(*rest, "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 

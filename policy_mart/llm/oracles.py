@@ -83,7 +83,8 @@ t AS (SELECT source, source_size, CASE WHEN is_full THEN cap ELSE w * (total - c
   / (w_all - coalesce(sum(w) FILTER (is_full) OVER (), 0)) END AS target FROM f),
 r AS (SELECT d.*, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
   row_number() OVER (PARTITION BY d.source ORDER BY size, digest) - 1 AS rank FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-c AS (SELECT *, CAST(floor((rank + 1) * rate + 0.5::DOUBLE) - floor(rank * rate + 0.5::DOUBLE) AS BIGINT) AS copies FROM r)
+o AS (SELECT *, CAST('0x' || substr(md5('0:' || CASE WHEN source IS NULL THEN '1' ELSE '0' || source END), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS start FROM r),
+c AS (SELECT *, CAST(floor((rank + 1) * rate + start) - floor(rank * rate + start) AS BIGINT) AS copies FROM o)
 SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM c
 """
 

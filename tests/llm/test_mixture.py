@@ -27,7 +27,12 @@ def targets_by_hand(sizes, weights=(1, 2, 3), most=3):
         capped |= {s: most * sizes[s] for s in over}
 
 
-def mix_by_hand(rows, offset=0.5):
+def offset_by_hand(source, seed=0):
+    group = "1" if source is None else f"0{source}"
+    return int(md5(f"{seed}:{group}".encode()).hexdigest()[:8], 16) / 2**32
+
+
+def mix_by_hand(rows, seed=0):
     """(doc_id, text, source) -> copies, by one running sum over each source."""
     by_source = defaultdict(list)
     for doc, text, source in rows:
@@ -37,6 +42,7 @@ def mix_by_hand(rows, offset=0.5):
     for source, docs in by_source.items():
         size = sum(x[0] for x in docs)
         rate = targets[source] / size if size else 0
+        offset = offset_by_hand(source, seed)
         for i, (n, _, doc) in enumerate(sorted(docs, key=lambda x: x[:2])):
             out.append((doc, n, math.floor((i + 1) * rate + offset) - math.floor(i * rate + offset)))
     return out, targets
@@ -44,9 +50,11 @@ def mix_by_hand(rows, offset=0.5):
 
 def test_against_a_running_sum(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text", "source")
-    got = rows_of(mixture.mix_sources(docs), "doc_id", "size", "copies")
-    expected, targets = mix_by_hand([tuple(r) for r in docs.collect()])
-    assert got == sorted(expected, key=repr)
+    rows = [tuple(r) for r in docs.collect()]
+    for seed in (0, 5):
+        got = rows_of(mixture.mix_sources(docs, seed=seed), "doc_id", "size", "copies")
+        expected, targets = mix_by_hand(rows, seed)
+        assert got == sorted(expected, key=repr)
     by_source = {r["source"]: r["t"] for r in mixture.mix_sources(docs).groupBy("source").agg(F.first("target").alias("t")).collect()}
     assert by_source == pytest.approx(targets)
 
@@ -69,6 +77,22 @@ def test_taken_is_near_target_with_a_hot_source(spark):
         assert r["taken"] == pytest.approx(r["target"], rel=0.02, abs=300) and r["most"] <= 3
 
 
+def test_offsets_are_random(spark):
+    """Offsets fill [0, 1) evenly over sources and over seeds, and a document's copies average to what it expects."""
+    drawn = spark.range(2000).select(F.concat(F.lit("0s"), F.col("id").cast("string")).alias("g"))
+    offsets = [r["o"] for r in drawn.select(mixture.random_offset(F.col("g"), 7).alias("o")).collect()]
+    assert len(set(offsets)) > 1990 and min(offsets) >= 0 and max(offsets) < 1
+    assert [sum(k / 4 <= o < (k + 1) / 4 for o in offsets) for k in range(4)] == pytest.approx([500] * 4, abs=90)
+    rows = [(i, "w " * 5, "a") for i in range(3)] + [(9, "w " * 12, "b")]
+    totals = defaultdict(int)
+    for seed in range(400):
+        mixed, targets = mix_by_hand(rows, seed)
+        for doc, _, copies in mixed:
+            totals[doc] += copies
+    for doc, _, source in rows:
+        assert totals[doc] / 400 == pytest.approx(targets[source] / (15 if source == "a" else 12), abs=0.12)
+
+
 def test_messy_rows(spark):
     docs = messy(spark)
     mixed = mixture.mix_sources(docs)
