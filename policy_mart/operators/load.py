@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import MONTH, month_index, month_number, yyyymm
+from .dealing import TASK, deal
 from .keyed import not_in
 
 
@@ -49,6 +50,45 @@ def append_new(
     are known: of the target only those are read. With `stop_at_gap` only the months before the first empty
     one are loaded.
     """
+    rows, loaded = _compared(source, target, date_col, since, stop_at_gap, months)
+    return not_in(rows, loaded, [MONTH, *keys], unique=False).select(*source.columns)
+
+
+def new_by_month(
+    source: DataFrame,
+    target: DataFrame | None,
+    keys: Sequence[str],
+    date_col: str,
+    since: dt.date | None = None,
+    stop_at_gap: bool = False,
+    together: Sequence[str] = (),
+    months: Sequence[int] | None = None,
+) -> DataFrame:
+    """The rows of `append_new`, dealt out by month: they can be written by month as they are.
+
+    The target's keys and the source's rows go through one shuffle together, and a row is new where its
+    key and month have none of the target's. `together` names keys by which a month's rows are dealt out
+    (default: all); rows that share them stay side by side, which makes them smaller. Without a target all
+    rows are new.
+    """
+    rows, loaded = _compared(source, source.limit(0) if target is None else target, date_col, since, stop_at_gap, months)
+    by = list(together or keys)
+    if target is None:
+        return deal(rows, date_col, by).select(*source.columns)
+    have = loaded.select(date_col, MONTH, *keys).dropna(subset=list(keys)).withColumn(_LOADED, F.lit(True))
+    both = rows.withColumn(_LOADED, F.lit(False)).unionByName(have, allowMissingColumns=True)
+    known = F.max(_LOADED).over(Window.partitionBy(TASK, MONTH, *keys))
+    return deal(both, date_col, by).withColumn("__known", known).filter("NOT __known").select(*source.columns)
+
+
+_LOADED = "__loaded"
+
+
+def _compared(
+    source: DataFrame, target: DataFrame, date_col: str, since: dt.date | None, stop_at_gap: bool,
+    months: Sequence[int] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """The source's rows and the target's with their month, both bounded as `append_new` says."""
     rows = with_month(source, date_col).filter(F.col(date_col).isNotNull())
     loaded = with_month(target, date_col)
     if since is not None:
@@ -60,7 +100,7 @@ def append_new(
         start = None if since is None else month_number(since)
         run = contiguous_months(rows, start)
         rows = rows.join(run, MONTH, "left_semi")
-    return not_in(rows, loaded, [MONTH, *keys], unique=False).select(*source.columns)
+    return rows, loaded
 
 
 def first_date(source: DataFrame, date_col: str) -> dt.date | None:

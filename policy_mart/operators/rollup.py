@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_start, yyyymm
 from ..functions.numbers import merged_state, money_state, money_sum, or_zero_money, state_amount
+from .dealing import TASK, deal
 
 
 def additive_rollup(
@@ -19,15 +20,18 @@ def additive_rollup(
     sums: Mapping[str, str] | Sequence[str],
     buckets: Mapping[str, Column] | None = None,
     extra: Mapping[str, Column] | None = None,
+    fine: Sequence[str] = (),
 ) -> DataFrame:
     """Sums per month, dimensions and value buckets.
 
     `sums` maps output names to columns (or lists columns that keep their names), `buckets` adds
     computed grouping columns, and `extra` adds further aggregates such as counts or extremes. The
-    sum of nothing but nulls is 0.
+    sum of nothing but nulls is 0. `fine` says that groups are about as many as rows, and names dimensions
+    by which a month's rows are dealt out: summing before the shuffle would then only hold all rows in
+    memory and send wider ones. The result is ready to be written by month.
     """
     measures = {n: or_zero_money(money_sum(c)) for n, c in _named(sums).items()}
-    return _rollup(df, date_col, month_col, dims, measures, buckets, extra)
+    return _rollup(df, date_col, month_col, dims, measures, buckets, extra, fine)
 
 
 def _named(sums: Mapping[str, str] | Sequence[str]) -> dict[str, str]:
@@ -36,11 +40,15 @@ def _named(sums: Mapping[str, str] | Sequence[str]) -> dict[str, str]:
 
 def _rollup(
     df: DataFrame, date_col: str, month_col: str, dims: Sequence[str], measures: Mapping[str, Column],
-    buckets: Mapping[str, Column] | None, extra: Mapping[str, Column] | None,
+    buckets: Mapping[str, Column] | None, extra: Mapping[str, Column] | None, fine: Sequence[str] = (),
 ) -> DataFrame:
     groups = [month_start(date_col).alias(month_col), *[F.col(d) for d in dims]]
     groups += [c.alias(n) for n, c in (buckets or {}).items()]
-    return df.groupBy(*groups).agg(*[c.alias(n) for n, c in {**measures, **(extra or {})}.items()])
+    aggregates = [c.alias(n) for n, c in {**measures, **(extra or {})}.items()]
+    if fine:
+        # The task follows from the month and the dimensions, so it divides no group.
+        return deal(df, date_col, fine).groupBy(TASK, *groups).agg(*aggregates).drop(TASK)
+    return df.groupBy(*groups).agg(*aggregates)
 
 
 def rollup_states(
@@ -59,15 +67,16 @@ def rollup_states(
 
 def claims_rollup(
     claims: DataFrame, date_col: str, month_col: str, dims: Sequence[str], amount: str, claim: str,
-    paid: str = "siniestros_pagados",
+    paid: str = "siniestros_pagados", fine: Sequence[str] = (),
 ) -> DataFrame:
     """Amount and number of different claims per month and dimensions.
 
     The distinct count is not additive: recompute touched months from the fact, never add it up.
-    Spark groups by (dims, claim) first, so one hot group is spread over its claims.
+    Spark groups by (dims, claim) first, so one hot group is spread over its claims; `fine` is as in
+    `additive_rollup`, for dimensions of few claims each.
     """
     return additive_rollup(
-        claims, date_col, month_col, dims, [amount], extra={paid: F.count_distinct(F.col(claim))}
+        claims, date_col, month_col, dims, [amount], extra={paid: F.count_distinct(F.col(claim))}, fine=fine
     )
 
 

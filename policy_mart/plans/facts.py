@@ -295,12 +295,13 @@ MOTOR_ROLLUP_SUMS = [
 
 
 def motor_premiums_rollup(premiums: DataFrame) -> DataFrame:
-    return additive_rollup(premiums, "FEmision", "FEmisionMes", MOTOR_ROLLUP_DIMS, MOTOR_ROLLUP_SUMS)
+    """The dimensions hold the fact's keys, so there are about as many groups as lines."""
+    return additive_rollup(premiums, "FEmision", "FEmisionMes", MOTOR_ROLLUP_DIMS, MOTOR_ROLLUP_SUMS, fine=["Op"])
 
 
 def load_motor_premiums(mart: Mart, raw: DataFrame, since: dt.date, stop_at_gap: bool = False) -> Written:
     rows = raw.drop(*MOTOR_PREMIUM_UNUSED)
-    rollups = [("primas_automotores_agg", "FEmisionMes", motor_premiums_rollup)]
+    rollups = [("primas_automotores_agg", "FEmisionMes", motor_premiums_rollup, True)]
     return load_fact(mart, MOTOR_PREMIUMS, rows, since, stop_at_gap, rollups)
 
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import MONTH, month_number
-from ..operators.load import append_new, snapshot_rows_to_load
+from ..files import Files
+from ..operators.load import new_by_month, snapshot_rows_to_load
 from ..schemas import Table
 from ..sources.readers import cast_to, read_or_empty
 from ..sources.publish import finish
@@ -32,7 +33,8 @@ class Mart:
         return read_or_empty(self.spark, self.path(table.name), T.StructType([*table.schema.fields, *month]))
 
 
-Rollup = tuple[str, str, Callable[[DataFrame], DataFrame]]  # table name, month column, definition
+# Table name, month column, definition, and True where the definition deals its rows out by month (`fine`).
+Rollup = tuple[str, str, Callable[[DataFrame], DataFrame]] | tuple[str, str, Callable[[DataFrame], DataFrame], bool]
 
 
 def load_fact(
@@ -51,22 +53,25 @@ def load_fact(
     """
     source = cast_to(rows, table.schema)
     finish(mart.spark, mart.path(table.name))
-    new = append_new(source, mart.table(table), table.keys, table.date_col, since, stop_at_gap)
-    return _append(mart, table, new, 0 if since is None else month_number(since), rollups)
+    loaded = mart.table(table) if Files(mart.spark, mart.path(table.name)).exists(mart.path(table.name)) else None
+    new = new_by_month(source, loaded, table.keys, table.date_col, since, stop_at_gap, table.together)
+    return _append(mart, table, new, 0 if since is None else month_number(since), rollups, dealt=True)
 
 
-def _append(mart: Mart, table: Table, new: DataFrame, since: int, rollups: Sequence[Rollup]) -> Written:
+def _append(
+    mart: Mart, table: Table, new: DataFrame, since: int, rollups: Sequence[Rollup], dealt: bool = False
+) -> Written:
     if not rollups:
-        return append_by_month(new, mart.path(table.name), table.date_col, table.sort)
+        return append_by_month(new, mart.path(table.name), table.date_col, table.sort, dealt)
     unfinished = _unfinished_since(mart, table)
     _note_start(mart, table, since)
-    written = append_by_month(new, mart.path(table.name), table.date_col, table.sort)
+    written = append_by_month(new, mart.path(table.name), table.date_col, table.sort, dealt)
     months = set(written.months)
     if unfinished is not None:
         loaded = mart.table(table).filter(F.col(MONTH) >= unfinished).select(MONTH).distinct()
         months |= {row[MONTH] for row in loaded.collect()}  # one row per calendar month
-    for name, month_col, define in rollups:
-        refresh_rollup(mart, table, name, month_col, define, sorted(months))
+    for name, month_col, define, *fine in rollups:
+        refresh_rollup(mart, table, name, month_col, define, sorted(months), *fine)
     _clear_notes(mart, table)
     return written
 
@@ -91,7 +96,8 @@ def _clear_notes(mart: Mart, table: Table) -> None:
 
 
 def refresh_rollup(
-    mart: Mart, table: Table, name: str, month_col: str, define: Callable[[DataFrame], DataFrame], months: Sequence[int]
+    mart: Mart, table: Table, name: str, month_col: str, define: Callable[[DataFrame], DataFrame], months: Sequence[int],
+    fine: bool = False,
 ) -> None:
     """Recompute a rollup for some months from the fact's month partitions.
 
@@ -102,7 +108,7 @@ def refresh_rollup(
     touched = mart.table(table).filter(F.col(MONTH).isin(list(months)))
     rollup = define(touched)
     month = (F.year(month_col) * 100 + F.month(month_col)).cast("int")
-    replace_partitions(rollup.withColumn(MONTH, month), mart.path(name))
+    replace_partitions(rollup.withColumn(MONTH, month), mart.path(name), dealt=fine)
 
 
 def load_snapshots(

@@ -18,6 +18,8 @@ class Table:
     keys: tuple[str, ...]
     date_col: str | None = None
     sort: tuple[str, ...] = field(default=())
+    #: Keys by which a month's rows are dealt out to tasks; those that share them are stored side by side.
+    together: tuple[str, ...] = field(default=())
 
     @property
     def schema(self) -> T.StructType:
@@ -205,6 +207,7 @@ MOTOR_PREMIUMS = Table(
     ("Op", "Supl", "Comp"),
     "FEmision",
     ("Op", "CodRama", "Poliza", "Supl", "Comp", "CodCoberturaAut"),
+    ("Op",),
 )
 
 OTHER_PREMIUMS = Table(

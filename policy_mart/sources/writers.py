@@ -40,27 +40,32 @@ def _sorted(df: DataFrame, partition_col: str, sort: Sequence[str]) -> DataFrame
     return df.sortWithinPartitions(partition_col, *sort) if sort else df
 
 
-def append_by_month(df: DataFrame, path: str, date_col: str, sort: Sequence[str] = ()) -> Written:
+def append_by_month(df: DataFrame, path: str, date_col: str, sort: Sequence[str] = (), dealt: bool = False) -> Written:
     """Append to a table partitioned by month. The touched months come out of the same pass.
 
     They are observed behind the shuffle: AQE drops a shuffle that turns out empty, and with it
     whatever was observed in front of it. The load's files are staged and then moved, under a name of
     the load's own, so a load that dies has either added nothing yet or is ended by `finish`. Who
-    compares new rows with the table calls `finish` before reading it.
+    compares new rows with the table calls `finish` before reading it. `dealt` rows are dealt out by month
+    already (`operators.dealing`) and are not shuffled again.
     """
     finish(df.sparkSession, path)
     seen = Observation()
-    rows = _balanced(_with_month(df, date_col), MONTH).observe(
+    monthly = _with_month(df, date_col)
+    rows = (monthly if dealt else _balanced(monthly, MONTH)).observe(
         seen, F.collect_set(MONTH).alias("months"), F.count(F.lit(1)).alias("rows")
     )
     publish(df.sparkSession, path, stage_write(_sorted(rows, MONTH, sort), path, ADD, MONTH))
     return Written(seen.get["rows"], tuple(sorted(seen.get["months"])))
 
 
-def replace_partitions(df: DataFrame, path: str, partition_col: str = MONTH, sort: Sequence[str] = ()) -> None:
-    """Replace the partitions that `df` has rows for; others stay. `df` may read `path`."""
+def replace_partitions(
+    df: DataFrame, path: str, partition_col: str = MONTH, sort: Sequence[str] = (), dealt: bool = False
+) -> None:
+    """Replace the partitions that `df` has rows for; others stay. `df` may read `path`. `dealt` is as in
+    `append_by_month`."""
     finish(df.sparkSession, path)
-    rows = _sorted(_balanced(df, partition_col), partition_col, sort)
+    rows = _sorted(df if dealt else _balanced(df, partition_col), partition_col, sort)
     publish(df.sparkSession, path, stage_write(rows, path, SWAP, partition_col))
 
 
