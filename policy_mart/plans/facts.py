@@ -257,7 +257,7 @@ def prepare_claim_payments(raw: DataFrame) -> DataFrame:
 
 def claim_payments_rollup(payments: DataFrame) -> DataFrame:
     dims = ["CodRama", "CodOrganizador", "CodProductor", "NroAsegurado"]
-    return claims_rollup(payments, "FechaPago", "FechaPagoMes", dims, "Importe", "Siniestro")
+    return claims_rollup(payments, "FechaPago", "FechaPagoMes", dims, "Importe", "Siniestro", fine=["NroAsegurado"])
 
 
 def claim_payments_agents_rollup(payments: DataFrame) -> DataFrame:
@@ -273,7 +273,7 @@ def load_claim_payments(mart: Mart, raw: DataFrame, stop_at_gap: bool = False) -
     if since is None:
         return Written(0, ())
     rollups = [
-        ("sinpagt_perfiles_agg", "FechaPagoMes", claim_payments_rollup),
+        ("sinpagt_perfiles_agg", "FechaPagoMes", claim_payments_rollup, True),
         ("sinpagt_agentes_agg", "FechaPagoMes", claim_payments_agents_rollup),
     ]
     return load_fact(mart, CLAIM_PAYMENTS, rows, since.replace(day=1), stop_at_gap, rollups)

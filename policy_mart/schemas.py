@@ -145,6 +145,7 @@ CLAIM_PAYMENTS = Table(
     ("CodRama", "Siniestro", "NroLiquidacion", "CodItemPago"),
     "FechaPago",
     ("CodRama", "CodOrganizador", "CodProductor", "NroAsegurado", "CodCausa", "CodItemPago"),
+    ("CodRama", "Siniestro"),
 )
 
 CLAIM_REPORTS = Table(
