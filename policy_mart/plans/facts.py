@@ -324,10 +324,11 @@ def other_premiums_rollup(premiums: DataFrame) -> DataFrame:
         },
         buckets={"SaCoberturaMillones": half_even(F.col("SaCobertura") / 1_000_000)},
         extra={"SaCoberturaMin": F.min("SaCobertura"), "SaCoberturaMax": F.max("SaCobertura")},
+        fine=["CodProductor", "CodRiesgo", "CodCobertura"],
     )
 
 
-OTHER_ROLLUPS = [("primas_rvarias_agg_reaseguro", "FEmisionMes", other_premiums_rollup)]
+OTHER_ROLLUPS = [("primas_rvarias_agg_reaseguro", "FEmisionMes", other_premiums_rollup, True)]
 
 
 def prepare_other_premiums(raw: DataFrame) -> DataFrame:

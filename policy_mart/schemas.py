@@ -241,6 +241,7 @@ OTHER_PREMIUMS = Table(
     ("Op", "Supl", "Comp", "CodCobertura"),
     "FEmision",
     ("CodRama", "CodOrganizador", "CodProductor", "CodCobertura", "CodProvincia"),
+    ("Op",),
 )
 
 LIFE_PREMIUMS = Table(
@@ -269,6 +270,7 @@ LIFE_PREMIUMS = Table(
     ("Op", "Supl", "Comp", "CodCobertura"),
     "FEmision",
     ("CodRama", "CodOrganizador", "CodProductor", "CodCobertura", "CodProvincia"),
+    ("Op",),
 )
 
 SNAPSHOTS = Table(
