@@ -14,6 +14,7 @@ from ..operators.controls import (
 )
 from ..plans.reports import operations_without_commission
 from ..sources.keyed_table import KeyedTable
+from ..sources.writers import stage
 from ..workdir import work_dir
 from .registry import query, table
 from .standins import OPERATIONS_SQL, day, operations, organizers, producers
@@ -174,7 +175,8 @@ def case_write_back(spark, sf_dir):
     cases = KeyedTable(spark, work_dir(spark, "cases"), "poliza", 16)
     cases.write(_cases(spark, sf_dir))
     clients = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("NroPersona"), F.col("c_name").alias("Nombre"))
-    rows, by = _policy_rows(spark, sf_dir), (producers(spark, sf_dir), organizers(spark, sf_dir))
+    # Four updates read the policy rows, which a mart keeps in a table.
+    rows, by = stage(_policy_rows(spark, sf_dir), "policy-rows"), (producers(spark, sf_dir), organizers(spark, sf_dir))
 
     def run():
         found = client_updates(cases.read(), rows, clients, *by, ties=["CodProductor"])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.keyed import join_unique
 from .publish import SWAP, discard, finish, publish, stage_write
-from .writers import replace_partitions
+from .writers import replace_partitions, staged
 
 BUCKET = "key_bucket"
 _CHANGED = "__changed"
@@ -42,10 +42,15 @@ class KeyedTable:
 
         `updates` has one row per key, and a null in it keeps the old value. Only buckets with updated
         keys are read, and only those with a changed row are replaced; the files of all others stay. Updates
-        may be made from the table itself. Should the run die, the next use of the table ends it.
+        may be made from the table itself. They are worked out once, and kept in the work folder for the
+        time of the update. Should the run die, the next use of the table ends it.
         """
         finish(self.spark, self.path)
         new = updates.select(self.key, *[F.col(c).alias(f"__new_{c}") for c in columns]).withColumn(BUCKET, self._bucket())
+        with staged(new, "updates") as kept:
+            return self._merge(kept, columns)
+
+    def _merge(self, new: DataFrame, columns: Sequence[str]) -> int:
         touched = [r[BUCKET] for r in new.select(BUCKET).distinct().collect()]  # a row per bucket at most
         if not touched:
             return 0
@@ -59,9 +64,9 @@ class KeyedTable:
         dealt = merged.select(*rows.columns, _CHANGED).hint("rebalance", BUCKET)
         seen = Observation()
         dealt = dealt.observe(seen, F.count_if(_CHANGED).alias("rows"), F.collect_set(F.when(F.col(_CHANGED), F.col(BUCKET))).alias("buckets"))
-        staged = stage_write(dealt.drop(_CHANGED), self.path, SWAP, BUCKET)
+        written = stage_write(dealt.drop(_CHANGED), self.path, SWAP, BUCKET)
         if not seen.get["rows"]:
-            discard(self.spark, staged)
+            discard(self.spark, written)
             return 0
-        publish(self.spark, self.path, staged, {f"{BUCKET}={b}" for b in seen.get["buckets"]})
+        publish(self.spark, self.path, written, {f"{BUCKET}={b}" for b in seen.get["buckets"]})
         return seen.get["rows"]
