@@ -96,10 +96,10 @@ def distinct(spark, sf_dir):
 
     def paid(rows):
         priced = rows.withColumnRenamed("l_extendedprice", "paid")
-        return claims_rollup(priced, "shipped", "month", ["l_returnflag", "l_suppkey"], "paid", "l_partkey")
+        return claims_rollup(priced, "shipped", "month", ["l_returnflag", "l_suppkey"], "paid", "l_partkey", fine=["l_suppkey"])
 
     stream_append(
         _in_batches(lines, "l_orderkey"), f"{path}/fact", f"{path}/checkpoint", ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"],
-        "shipped", ["l_suppkey"], rollups=[(f"{path}/rollup", "month", paid)],
+        "shipped", ["l_suppkey"], rollups=[(f"{path}/rollup", "month", paid, True)],
     ).awaitTermination()
     return spark.read.parquet(f"{path}/rollup").drop(MONTH)

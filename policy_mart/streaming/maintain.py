@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.dates import MONTH, yyyymm
 from ..functions.numbers import money_state
-from ..operators.load import append_new
+from ..operators.load import new_by_month
 from ..operators.rollup import finished, merge_states, rollup_states
 from ..operators.scd import latest_per_key
 from ..sources.readers import read_or_empty
@@ -27,7 +27,8 @@ from ..sources.writers import append_by_month, replace_partitions
 BATCH = "batch"
 FOLDED = -1
 
-Rollup = tuple[str, str, Callable[[DataFrame], DataFrame]]  # path, month column, definition
+# Path, month column, definition, and True where the definition deals its rows out by month (`fine`).
+Rollup = tuple[str, str, Callable[[DataFrame], DataFrame]] | tuple[str, str, Callable[[DataFrame], DataFrame], bool]
 
 
 def _run(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None]) -> StreamingQuery:
@@ -120,7 +121,7 @@ def stream_append(
     a batch is loaded once. A row with a null key can not be told from another one when a batch runs
     again, so such rows go to a table by batch; `streamed_fact` returns both.
 
-    `rollups` (path, month column, definition) are recomputed from the fact for the months of the
+    `rollups` (see `Rollup`) are recomputed from the fact for the months of the
     batch, after they were appended. This keeps distinct counts right, which can not be added up. A
     batch that died in between is run again: it finds its rows loaded and renews the same months.
     """
@@ -132,11 +133,11 @@ def stream_append(
         months = months_of(batch, date_col)
         unkeyed = _unkeyed(keys)
         _write_months(batch.filter(unkeyed).withColumn(MONTH, yyyymm(date_col)), _unkeyed_path(path), number)
-        append_by_month(unseen(batch.filter(~unkeyed), path, keys, date_col, order_cols, months), path, date_col)
+        append_by_month(unseen(batch.filter(~unkeyed), path, keys, date_col, order_cols, months), path, date_col, dealt=True)
         touched = streamed_fact(spark, path, schema).filter(F.col(MONTH).isin(months))
-        for rollup_path, month_col, define in rollups if months else ():
+        for rollup_path, month_col, define, *fine in rollups if months else ():
             month = (F.year(month_col) * 100 + F.month(month_col)).cast("int")
-            replace_partitions(define(touched).withColumn(MONTH, month), rollup_path)
+            replace_partitions(define(touched).withColumn(MONTH, month), rollup_path, dealt=any(fine))
 
     return _run(stream, checkpoint, each)
 
@@ -150,9 +151,9 @@ def months_of(rows: DataFrame, date_col: str) -> list[int]:
 def unseen(
     rows: DataFrame, path: str, keys: Sequence[str], date_col: str, order_cols: Sequence[str], months: Sequence[int]
 ) -> DataFrame:
-    """One row for each key that the fact lacks. `months` are those of the rows; others are not read."""
+    """One row for each key that the fact lacks, dealt out by month. `months` are those of the rows; others are not read."""
     fact = read_or_empty(rows.sparkSession, path, _with_month(rows.schema))
-    return append_new(latest_per_key(rows, keys, order_cols), fact, keys, date_col, months=months)
+    return new_by_month(latest_per_key(rows, keys, order_cols), fact, keys, date_col, months=months)
 
 
 def _unkeyed(keys: Sequence[str]) -> Column:
