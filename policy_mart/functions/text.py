@@ -8,14 +8,21 @@ from pyspark.sql import functions as F
 # A mark that never occurs in source text; it carries word breaks through initcap.
 _BREAK = "\u0001 "
 
+_PLAIN_DATES = {  # format -> digits of it, and their order in a date
+    "yyyy-M-d": (r"^((?!0000)[0-9]{4})-([0-9]{1,2})-([0-9]{1,2})\z", "$1-$2-$3"),
+    "d/M/yyyy": (r"^([0-9]{1,2})/([0-9]{1,2})/((?!0000)[0-9]{4})\z", "$3-$2-$1"),
+}
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def strip(c: Column | str) -> Column:
-    """Remove any leading and trailing white space, not only spaces."""
-    return F.regexp_replace(_col(c), r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+    """Remove any leading and trailing white space, not only spaces. Most texts show by their ends that there is none."""
+    text = _col(c)
+    plain = F.substring(text, 1, 1).between("!", "~") & F.substring(text, -1, 1).between("!", "~")
+    return F.when(plain, text).otherwise(F.regexp_replace(text, r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""))
 
 
 def title_case(c: Column | str) -> Column:
@@ -32,8 +39,17 @@ def clean_name(c: Column | str) -> Column:
 
 
 def lenient_date(c: Column | str, fmt: str = "yyyy-M-d") -> Column:
-    """Parse a date; text that is not one becomes null instead of an error."""
-    return F.try_to_date(_col(c), fmt)
+    """Parse a date; text that is not one becomes null instead of an error.
+
+    Plain digits are put in order and cast: the parser of formats takes ten times as long to refuse a day
+    that no month has.
+    """
+    text = _col(c)
+    parsed = F.try_to_date(text, fmt)
+    if fmt not in _PLAIN_DATES:
+        return parsed
+    plain, ordered = _PLAIN_DATES[fmt]
+    return F.when(text.rlike(plain), F.regexp_replace(text, plain, ordered).try_cast("date")).otherwise(parsed)
 
 
 def decimal_comma(c: Column | str) -> Column:

@@ -109,7 +109,10 @@ def _ansi_signs() -> tuple[str, str]:
 
 
 def _decoded(text: Column, encoding: str) -> Column:
-    return F.translate(text, *_ansi_signs()) if encoding == ANSI else text
+    if encoding != ANSI:
+        return text
+    # Text of as many bytes as characters is ASCII and has none of the signs.
+    return F.when(F.octet_length(text) == F.char_length(text), text).otherwise(F.translate(text, *_ansi_signs()))
 
 
 def _delimited(spark: SparkSession, path: str, sep: str, encoding: str) -> tuple[list[str], DataFrame]:
