@@ -1,4 +1,4 @@
-"""Rows dealt out by month, so that one shuffle serves the comparison, the sums and the files by month."""
+"""Rows dealt out by month, so that one shuffle serves the comparison and the files by month."""
 
 from __future__ import annotations
 

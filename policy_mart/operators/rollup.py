@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_start, yyyymm
 from ..functions.numbers import merged_state, money_state, money_sum, or_zero_money, state_amount
-from .dealing import TASK, deal
 
 
 def additive_rollup(
@@ -26,9 +25,9 @@ def additive_rollup(
 
     `sums` maps output names to columns (or lists columns that keep their names), `buckets` adds
     computed grouping columns, and `extra` adds further aggregates such as counts or extremes. The
-    sum of nothing but nulls is 0. `fine` says that groups are about as many as rows, and names dimensions
-    by which a month's rows are dealt out: summing before the shuffle would then only hold all rows in
-    memory and send wider ones. The result is ready to be written by month.
+    sum of nothing but nulls is 0. `fine` says that groups are about as many as rows: summing before the
+    shuffle would then only hold all rows in memory and send wider ones. It names dimensions, no floating
+    ones, by which a month's rows are cut into ranges. The result is ready to be written by month.
     """
     measures = {n: or_zero_money(money_sum(c)) for n, c in _named(sums).items()}
     return _rollup(df, date_col, month_col, dims, measures, buckets, extra, fine)
@@ -42,13 +41,18 @@ def _rollup(
     df: DataFrame, date_col: str, month_col: str, dims: Sequence[str], measures: Mapping[str, Column],
     buckets: Mapping[str, Column] | None, extra: Mapping[str, Column] | None, fine: Sequence[str] = (),
 ) -> DataFrame:
-    groups = [month_start(date_col).alias(month_col), *[F.col(d) for d in dims]]
-    groups += [c.alias(n) for n, c in (buckets or {}).items()]
+    month = month_start(date_col).alias(month_col)
+    groups = [*[F.col(d) for d in dims], *[c.alias(n) for n, c in (buckets or {}).items()]]
     aggregates = [c.alias(n) for n, c in {**measures, **(extra or {})}.items()]
     if fine:
-        # The task follows from the month and the dimensions, so it divides no group.
-        return deal(df, date_col, fine).groupBy(TASK, *groups).agg(*aggregates).drop(TASK)
-    return df.groupBy(*groups).agg(*aggregates)
+        # Ranges hold about as many rows each, however large a month is, and divide no group. Spark samples
+        # the rows for their ends and joins small ones, so few rows give few files.
+        ranges = df.withColumn(_MONTH, month).repartitionByRange(_MONTH, *fine)
+        return ranges.groupBy(F.col(_MONTH).alias(month_col), *groups).agg(*aggregates)
+    return df.groupBy(month, *groups).agg(*aggregates)
+
+
+_MONTH = "__month"
 
 
 def rollup_states(

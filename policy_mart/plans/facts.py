@@ -296,7 +296,8 @@ MOTOR_ROLLUP_SUMS = [
 
 def motor_premiums_rollup(premiums: DataFrame) -> DataFrame:
     """The dimensions hold the fact's keys, so there are about as many groups as lines."""
-    return additive_rollup(premiums, "FEmision", "FEmisionMes", MOTOR_ROLLUP_DIMS, MOTOR_ROLLUP_SUMS, fine=["Op"])
+    keys = ["Op", "Comp", "Supl"]
+    return additive_rollup(premiums, "FEmision", "FEmisionMes", MOTOR_ROLLUP_DIMS, MOTOR_ROLLUP_SUMS, fine=keys)
 
 
 def load_motor_premiums(mart: Mart, raw: DataFrame, since: dt.date, stop_at_gap: bool = False) -> Written:

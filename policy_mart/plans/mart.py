@@ -33,7 +33,7 @@ class Mart:
         return read_or_empty(self.spark, self.path(table.name), T.StructType([*table.schema.fields, *month]))
 
 
-# Table name, month column, definition, and True where the definition deals its rows out by month (`fine`).
+# Table name, month column, definition, and True where the definition cuts its rows into ranges by month (`fine`).
 Rollup = tuple[str, str, Callable[[DataFrame], DataFrame]] | tuple[str, str, Callable[[DataFrame], DataFrame], bool]
 
 

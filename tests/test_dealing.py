@@ -47,6 +47,21 @@ def test_fine_rollups_shuffle_rows_once_and_sum_behind(spark):
     assert sorted(map(str, fine.collect())) == sorted(map(str, plain.collect()))
 
 
+def test_a_large_month_and_a_large_value_are_summed_by_many_tasks(spark):
+    fact = spark.range(4000).select(*[(F.when(F.col("id") % 40 == 0, F.lit(D(2024, 12, 5))).otherwise(F.lit(D(2025, 1, 2))) if f.dataType.simpleString() == "date" else F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id")) if f.name == "Op" else F.col("id")).cast(f.dataType).alias(f.name) for f in MOTOR_PREMIUMS.schema.fields])
+    fact = fact.unionByName(fact.filter("Comp < 100"))
+    small = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(small, "false")  # rows this few would be joined in one task
+    try:
+        rollup = facts.motor_premiums_rollup(fact)
+        per_task = [r["count"] for r in rollup.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(per_task) == 4000 and len(per_task) >= 6 and max(per_task) < 1000
+        summed = rollup.agg(F.sum("PremioSupl"), F.count_distinct("FEmisionMes")).first()
+        assert tuple(summed) == (sum(range(4000)) + sum(range(100)), 2)
+    finally:
+        spark.conf.unset(small)
+
+
 def test_updates_are_worked_out_once(spark, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "t"), "k", 4)
     table.write(spark.createDataFrame([(str(n), "old") for n in range(9)], "k string, v string"))
