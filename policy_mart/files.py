@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from urllib.parse import unquote
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 class Files:
@@ -19,6 +21,10 @@ class Files:
             return []
         return sorted((s.getPath().getName(), s.isDirectory()) for s in self._fs.listStatus(self._path(path)))
 
+    def size(self, path: str) -> int:
+        """Bytes of a file, or of all that a folder holds. Nothing where there is none."""
+        return self._fs.getContentSummary(self._path(path)).getLength() if self.exists(path) else 0
+
     def make(self, path: str) -> None:
         self._fs.mkdirs(self._path(path))
 
@@ -28,3 +34,13 @@ class Files:
 
     def remove(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
+
+
+def file_bytes(df: DataFrame, enough: int) -> int:
+    """Bytes of the files that a frame reads, counted up to `enough`."""
+    total = 0
+    for name in map(unquote, df.inputFiles()):
+        total += Files(df.sparkSession, name).size(name)
+        if total >= enough:
+            break
+    return total

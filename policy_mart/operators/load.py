@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import MONTH, month_index, month_number, yyyymm
-from .dealing import TASK, deal
+from .dealing import TASK, deal, in_piece
 from .keyed import not_in
 
 
@@ -63,22 +63,24 @@ def new_by_month(
     stop_at_gap: bool = False,
     together: Sequence[str] = (),
     months: Sequence[int] | None = None,
+    piece: tuple[int, int] = (0, 1),
 ) -> DataFrame:
     """The rows of `append_new`, dealt out by month: they can be written by month as they are.
 
     The target's keys and the source's rows go through one shuffle together, and a row is new where its
     key and month have none of the target's. `together` names keys by which a month's rows are dealt out
     (default: all); rows that share them stay side by side, which makes them smaller. Without a target all
-    rows are new.
+    rows are new. `piece` (number, pieces) leaves the rows of some of these keys only.
     """
     rows, loaded = _compared(source, source.limit(0) if target is None else target, date_col, since, stop_at_gap, months)
     by = list(together or keys)
+    rows, loaded = in_piece(rows, by, piece), in_piece(loaded, by, piece)
     if target is None:
-        return deal(rows, date_col, by).select(*source.columns)
+        return deal(rows, date_col, by, piece[1]).select(*source.columns)
     have = loaded.select(date_col, MONTH, *keys).dropna(subset=list(keys)).withColumn(_LOADED, F.lit(True))
     both = rows.withColumn(_LOADED, F.lit(False)).unionByName(have, allowMissingColumns=True)
     known = F.max(_LOADED).over(Window.partitionBy(TASK, MONTH, *keys))
-    return deal(both, date_col, by).withColumn("__known", known).filter("NOT __known").select(*source.columns)
+    return deal(both, date_col, by, piece[1]).withColumn("__known", known).filter("NOT __known").select(*source.columns)
 
 
 _LOADED = "__loaded"
@@ -89,10 +91,9 @@ def _compared(
     months: Sequence[int] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The source's rows and the target's with their month, both bounded as `append_new` says."""
-    rows = with_month(source, date_col).filter(F.col(date_col).isNotNull())
+    rows = with_month(bounded(source, date_col, since), date_col)
     loaded = with_month(target, date_col)
     if since is not None:
-        rows = rows.filter(F.col(date_col) >= F.lit(since))
         loaded = loaded.filter(F.col(MONTH) >= month_number(since))
     if months is not None:
         loaded = loaded.filter(F.col(MONTH).isin(list(months)))
@@ -103,6 +104,12 @@ def _compared(
     return rows, loaded
 
 
+def bounded(source: DataFrame, date_col: str, since: dt.date | None) -> DataFrame:
+    """The source's rows that have a date, not before `since`."""
+    rows = source.filter(F.col(date_col).isNotNull())
+    return rows if since is None else rows.filter(F.col(date_col) >= F.lit(since))
+
+
 def first_date(source: DataFrame, date_col: str) -> dt.date | None:
     """The source's earliest date, where a load without a given start begins."""
     found = source.agg(F.min(date_col).alias("d")).first()["d"]

@@ -361,7 +361,7 @@ def load_premium_file(mart: Mart, path: str, formula: str = "intended", stop_at_
     since = first_date(rows, "FEmision")
     if since is None:
         return Written(0, ())
-    return load_fact(mart, OTHER_PREMIUMS, rows, since.replace(day=1), stop_at_gap, OTHER_ROLLUPS)
+    return load_fact(mart, OTHER_PREMIUMS, rows, since.replace(day=1), stop_at_gap, OTHER_ROLLUPS, whole=True)
 
 
 def load_life_premiums(mart: Mart, raw: DataFrame, since: dt.date, stop_at_gap: bool = False) -> Written:

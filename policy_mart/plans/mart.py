@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 from ..functions.dates import MONTH, month_number
 from ..files import Files
-from ..operators.load import new_by_month, snapshot_rows_to_load
+from ..operators.dealing import pieces
+from ..operators.load import bounded, new_by_month, snapshot_rows_to_load
 from ..schemas import Table
 from ..sources.readers import cast_to, read_or_empty
 from ..sources.publish import finish
@@ -44,22 +45,29 @@ def load_fact(
     since: dt.date | None = None,
     stop_at_gap: bool = False,
     rollups: Sequence[Rollup] = (),
+    whole: bool = False,
 ) -> Written:
     """Append the new rows of a fact, then renew its rollups for the months that got any.
 
     A run that dies in between leaves a note of where it began; the next one then renews all months
     from there on, since it finds no new rows by which to tell them. One that dies while it appends has
     added nothing, or is first brought to its end, so no part of a key's rows is taken for all of them.
+    A large load from files is worked through in pieces by key, which are added together; its files are read
+    for each piece, and their rows must not change between. `whole` is for sources that cost too much to read again.
     """
     source = cast_to(rows, table.schema)
     finish(mart.spark, mart.path(table.name))
     loaded = mart.table(table) if Files(mart.spark, mart.path(table.name)).exists(mart.path(table.name)) else None
-    new = new_by_month(source, loaded, table.keys, table.date_col, since, stop_at_gap, table.together)
+    of = 1 if whole else pieces(bounded(source, table.date_col, since), table.together or table.keys)
+    new = [
+        new_by_month(source, loaded, table.keys, table.date_col, since, stop_at_gap, table.together, piece=(number, of))
+        for number in range(of)
+    ]
     return _append(mart, table, new, 0 if since is None else month_number(since), rollups, dealt=True)
 
 
 def _append(
-    mart: Mart, table: Table, new: DataFrame, since: int, rollups: Sequence[Rollup], dealt: bool = False
+    mart: Mart, table: Table, new: DataFrame | Sequence[DataFrame], since: int, rollups: Sequence[Rollup], dealt: bool = False
 ) -> Written:
     if not rollups:
         return append_by_month(new, mart.path(table.name), table.date_col, table.sort, dealt)
@@ -101,14 +109,31 @@ def refresh_rollup(
 ) -> None:
     """Recompute a rollup for some months from the fact's month partitions.
 
-    This also keeps measures right that can not be added up, such as distinct counts.
+    This also keeps measures right that can not be added up, such as distinct counts. Where the months are large
+    it is done for some of them at a time, so that the disk holds the shuffle and the second copy of these only.
     """
-    if not months:
-        return
-    touched = mart.table(table).filter(F.col(MONTH).isin(list(months)))
-    rollup = define(touched)
+    fact = mart.table(table)
     month = (F.year(month_col) * 100 + F.month(month_col)).cast("int")
-    replace_partitions(rollup.withColumn(MONTH, month), mart.path(name), dealt=fine)
+    for some in _months_at_a_time(mart, table, months):
+        rollup = define(fact.filter(F.col(MONTH).isin(some)))
+        replace_partitions(rollup.withColumn(MONTH, month), mart.path(name), dealt=fine)
+
+
+# Fixed value: bytes of the fact's files whose months are summed at a time.
+_SUMMED = 2 << 30
+
+
+def _months_at_a_time(mart: Mart, table: Table, months: Sequence[int]) -> list[list[int]]:
+    path, runs, held = mart.path(table.name), [], 0
+    files = Files(mart.spark, path)
+    for month in months:
+        size = files.size(f"{path}/{MONTH}={month}")
+        if not runs or held + size > _SUMMED:
+            runs.append([])
+            held = 0
+        runs[-1].append(month)
+        held += size
+    return runs
 
 
 def load_snapshots(

@@ -2,8 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs in the block go at the end of each run, on every executor.
+
+    Otherwise they stay until the driver happens to collect its garbage, and a job of many steps has
+    those of all its steps on disk. Make no frames in the block that are to be run twice.
+    """
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
 
 def build_session(app: str = "policy_mart", **overrides: str) -> SparkSession:
     """AQE sizes, coalesces and splits shuffle partitions; the initial number only has to be

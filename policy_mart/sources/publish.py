@@ -9,10 +9,12 @@ a table. Readers that started before a move do not see it.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..files import Files
+from ..session import shuffles_removed
 
 #: The staged files are added to the table's partitions; its partitions replace the table's; it replaces the table.
 ADD, SWAP, TABLE = "add", "swap", "table"
@@ -24,11 +26,17 @@ def _staging(path: str) -> str:
     return f"{path.rstrip('/')}__staged"
 
 
-def stage_write(df: DataFrame, path: str, kind: str, partition_by: str | None = None) -> str:
-    """Write rows beside the table; `publish` moves them in."""
+def stage_write(df: DataFrame | Sequence[DataFrame], path: str, kind: str, partition_by: str | None = None) -> str:
+    """Write rows beside the table; `publish` moves them in.
+
+    Several frames are written one after the other, and the last one marks them all as complete.
+    """
+    frames = [df] if isinstance(df, DataFrame) else list(df)
     staged = f"{_staging(path)}/{kind}-{uuid.uuid4().hex}"
-    writer = df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(staged)
+    for left, frame in zip(range(len(frames) - 1, -1, -1), frames, strict=True):
+        writer = frame.write.mode("append").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(left == 0).lower())
+        with shuffles_removed(frame.sparkSession):
+            (writer.partitionBy(partition_by) if partition_by else writer).parquet(staged)
     return staged
 
 

@@ -40,23 +40,32 @@ def _sorted(df: DataFrame, partition_col: str, sort: Sequence[str]) -> DataFrame
     return df.sortWithinPartitions(partition_col, *sort) if sort else df
 
 
-def append_by_month(df: DataFrame, path: str, date_col: str, sort: Sequence[str] = (), dealt: bool = False) -> Written:
+def append_by_month(
+    df: DataFrame | Sequence[DataFrame], path: str, date_col: str, sort: Sequence[str] = (), dealt: bool = False
+) -> Written:
     """Append to a table partitioned by month. The touched months come out of the same pass.
 
     They are observed behind the shuffle: AQE drops a shuffle that turns out empty, and with it
     whatever was observed in front of it. The load's files are staged and then moved, under a name of
     the load's own, so a load that dies has either added nothing yet or is ended by `finish`. Who
     compares new rows with the table calls `finish` before reading it. `dealt` rows are dealt out by month
-    already (`operators.dealing`) and are not shuffled again.
+    already (`operators.dealing`) and are not shuffled again. A load in pieces is several frames, written one
+    after the other and moved together.
     """
-    finish(df.sparkSession, path)
-    seen = Observation()
-    monthly = _with_month(df, date_col)
-    rows = (monthly if dealt else _balanced(monthly, MONTH)).observe(
-        seen, F.collect_set(MONTH).alias("months"), F.count(F.lit(1)).alias("rows")
-    )
-    publish(df.sparkSession, path, stage_write(_sorted(rows, MONTH, sort), path, ADD, MONTH))
-    return Written(seen.get["rows"], tuple(sorted(seen.get["months"])))
+    pieces = [df] if isinstance(df, DataFrame) else list(df)
+    spark = pieces[0].sparkSession
+    finish(spark, path)
+    seen = [Observation() for _ in pieces]
+    rows = []
+    for piece, counted in zip(pieces, seen, strict=True):
+        monthly = _with_month(piece, date_col)
+        observed = (monthly if dealt else _balanced(monthly, MONTH)).observe(
+            counted, F.collect_set(MONTH).alias("months"), F.count(F.lit(1)).alias("rows")
+        )
+        rows.append(_sorted(observed, MONTH, sort))
+    publish(spark, path, stage_write(rows, path, ADD, MONTH))
+    months = {month for counted in seen for month in counted.get["months"]}
+    return Written(sum(counted.get["rows"] for counted in seen), tuple(sorted(months)))
 
 
 def replace_partitions(
