@@ -20,6 +20,8 @@ from ..session import shuffles_removed
 ADD, SWAP, TABLE = "add", "swap", "table"
 _OLD = "old"
 _COMPLETE = "_SUCCESS"
+# Files of a fact are a quarter smaller than with snappy, for a few hundredths more CPU time.
+_OPTIONS = {"compression": "zstd"}
 
 
 def _staging(path: str) -> str:
@@ -34,7 +36,7 @@ def stage_write(df: DataFrame | Sequence[DataFrame], path: str, kind: str, parti
     frames = [df] if isinstance(df, DataFrame) else list(df)
     staged = f"{_staging(path)}/{kind}-{uuid.uuid4().hex}"
     for left, frame in zip(range(len(frames) - 1, -1, -1), frames, strict=True):
-        writer = frame.write.mode("append").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(left == 0).lower())
+        writer = frame.write.mode("append").options(**_OPTIONS).option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(left == 0).lower())
         with shuffles_removed(frame.sparkSession):
             (writer.partitionBy(partition_by) if partition_by else writer).parquet(staged)
     return staged

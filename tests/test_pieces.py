@@ -161,3 +161,12 @@ def test_writes_leave_no_shuffle_files(spark, tmp_path):
     assert not left
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
     assert all(spark.read.parquet(str(tmp_path / t)).count() == 2000 for t in "abc")
+
+
+def test_tables_are_stored_compressed_well(spark, tmp_path):
+    rows = premiums(spark, OTHER_PREMIUMS, str(tmp_path / "source"))
+    mart = Mart(spark, str(tmp_path / "mart"))
+    _load(mart, OTHER_PREMIUMS, rows)
+    for name in (OTHER_PREMIUMS.name, "primas_rvarias_agg_reaseguro"):
+        files = list(Path(mart.path(name)).rglob("*.parquet"))
+        assert files and all(f.name.endswith(".zstd.parquet") for f in files)
